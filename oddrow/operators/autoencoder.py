@@ -8,17 +8,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from oddrow.errors import ConfigurationError, DataLoadError, InferenceError
+from oddrow.functions.cells import column
 from oddrow.functions.scores import anomaly_flag
 from oddrow.operators import network
 from oddrow.operators.features import FEATURES
 from oddrow.operators.network import Layout, TrainState
 from oddrow.params import ArchitectureParams, TrainingParams
+from oddrow.shipping import ship_package
 from oddrow.sources.storage import shared_folder
 
 # A replica's parameters and moments are broadcast and sent back; larger models are refused.
@@ -50,15 +52,15 @@ def layout_for(
     return layout
 
 
-def _matrix(column: pa.Array, width: int, dtype: str) -> np.ndarray:
+def _matrix(cells: pa.Array, width: int, dtype: str) -> np.ndarray:
     """Rows of an array column as a matrix, without a copy where types allow."""
-    lengths = np.diff(column.offsets.to_numpy())
+    lengths = np.diff(cells.offsets.to_numpy())
     wrong = lengths[lengths != width]
     if wrong.size:
         raise InferenceError(
             f"feature width mismatch: expected {width} features but got {int(wrong[0])}"
         )
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = cells.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(-1, width).astype(dtype, copy=False)
 
 
@@ -73,9 +75,13 @@ class Autoencoder:
         if FEATURES not in df.columns:
             raise InferenceError(f"rows to score lack the column '{FEATURES}'; encode them first")
 
+    def _send(self, spark: SparkSession) -> tuple[Layout, Broadcast]:
+        ship_package(spark)
+        return self.layout, spark.sparkContext.broadcast(self.vector)
+
     def errors(self, df: DataFrame, features: Column | None = None) -> Column:
         """Reconstruction error per row; only the feature array is sent to Python."""
-        layout, vector = self.layout, df.sparkSession.sparkContext.broadcast(self.vector)
+        layout, vector = self._send(df.sparkSession)
 
         @arrow_udf("double")
         def mse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -101,7 +107,7 @@ class Autoencoder:
     def reconstruct(self, df: DataFrame) -> DataFrame:
         """Add ``reconstruction`` and ``mse``."""
         self._check(df)
-        layout, vector = self.layout, df.sparkSession.sparkContext.broadcast(self.vector)
+        layout, vector = self._send(df.sparkSession)
 
         @arrow_udf("struct<reconstruction:array<double>,mse:double>")
         def rebuild(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -129,22 +135,29 @@ def shard_count(params: TrainingParams, rows: int) -> int:
 
 
 def make_shards(
-    df: DataFrame, is_train: Column, order: Sequence[Column], shards: int, dtype: str = "float32"
+    df: DataFrame,
+    is_train: Column,
+    identity: Sequence[str],
+    shards: int,
+    seed: int,
+    dtype: str = "float32",
 ) -> DataFrame:
-    """Encoded rows in a fixed number of shards with a fixed order inside each.
+    """Encoded rows in a fixed number of shards with a fixed, seeded order inside each.
 
-    The checkpoint keeps exactly one file per shard: every epoch reads the same shards again
-    wherever it runs, and a lost executor costs a re-read and no recomputation.
+    ``identity`` names columns that tell rows apart; a hash of them all places a row, so no
+    single value can fill a shard. The checkpoint keeps exactly one file per shard: every epoch
+    reads the same shards again wherever it runs, and a lost executor costs a re-read only.
     """
     shared_folder(df.sparkSession)
     element = "float" if dtype == "float32" else "double"
-    names = [f"_o{i}" for i in range(len(order))]
+    told_apart = [column(c) for c in identity]
     rows = df.select(
         F.col(FEATURES).cast(f"array<{element}>").alias(FEATURES),
         is_train.alias("is_train"),
-        *[o.alias(n) for o, n in zip(order, names, strict=True)],
+        F.xxhash64(F.lit(seed), *told_apart).alias("_o0"),
+        F.xxhash64(F.lit(seed), F.lit("again"), *told_apart).alias("_o1"),
     )
-    placed = rows.repartition(shards, names[0]).sortWithinPartitions(*names)
+    placed = rows.repartition(shards, "_o0").sortWithinPartitions("_o0", "_o1")
     return placed.select(FEATURES, "is_train").checkpoint()
 
 
@@ -212,6 +225,7 @@ def epoch_pass(
     replicas: int = 1,
 ) -> dict:
     """One Spark job: validation loss of the incoming state and, if learning, the next state."""
+    ship_package(shards.sparkSession)
     sent = shards.sparkSession.sparkContext.broadcast(state)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

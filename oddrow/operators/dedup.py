@@ -19,7 +19,8 @@ def dedup(df: DataFrame, subset: Sequence[str], order: Sequence[str] = ()) -> Da
 
     Of the other columns the row that sorts first by ``order`` (then by the remaining
     columns) survives. This is a grouped aggregate and not a window, so copies collapse
-    before the shuffle and a row repeated very often costs no task more than others.
+    before the shuffle and a row repeated very often costs no task more than others. Rows
+    group by a hash first: sorting by it is nearly always decided by one long.
     """
     others = [c for c in order if c not in subset]
     others += [c for c in df.columns if c not in subset and c not in others and c != BAD_CELLS]
@@ -29,7 +30,10 @@ def dedup(df: DataFrame, subset: Sequence[str], order: Sequence[str] = ()) -> Da
                           .alias("_first"))
     if BAD_CELLS in df.columns:
         aggregates.append(F.sum(BAD_CELLS).alias(BAD_CELLS))
-    grouped = df.groupBy(*[column(c) for c in subset]).agg(*aggregates)
+    grouping = [column(c) for c in subset]
+    if others:
+        grouping.insert(0, F.xxhash64(*grouping).alias("_hash"))
+    grouped = df.groupBy(*grouping).agg(*aggregates)
     kept = {c: column(c) for c in subset}
     kept |= {c: F.col(f"_first.o{i}").alias(c) for i, c in enumerate(others)}
     kept |= {BAD_CELLS: F.col(BAD_CELLS)}

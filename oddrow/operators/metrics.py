@@ -7,7 +7,7 @@ import warnings
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 LABEL, PREDICTION, SCORE = "y", "prediction", "mse"
@@ -24,7 +24,8 @@ METRIC_NAMES = tuple(f"{m}_{c}" for c in ("normal", "anomalous") for m in CLASS_
 )
 
 
-def _cell_counts(df: DataFrame) -> DataFrame:
+def cell_counts(df: DataFrame) -> DataFrame:
+    """One row with the confusion counts n00, n01, n10, n11 (true label, prediction)."""
     y, p = F.col(LABEL), F.col(PREDICTION)
     return df.agg(
         *[
@@ -35,8 +36,15 @@ def _cell_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def _counted(df: DataFrame) -> DataFrame:
+    return df if "n00" in df.columns else cell_counts(df)
+
+
 def confusion_matrix(df: DataFrame) -> DataFrame:
-    """Four rows (true label, predicted label, records); cells without records stay."""
+    """Four rows (true label, predicted label, records); cells without records stay.
+
+    Takes flagged rows, or the result of :func:`cell_counts`.
+    """
     cells = F.array(
         *[
             F.struct(
@@ -48,7 +56,7 @@ def confusion_matrix(df: DataFrame) -> DataFrame:
             for q in (0, 1)
         ]
     )
-    return _cell_counts(df).select(F.explode(cells).alias("c")).select("c.*")
+    return _counted(df).select(F.explode(cells).alias("c")).select("c.*")
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -56,7 +64,10 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def classification_metrics(df: DataFrame) -> DataFrame:
-    """One row: precision, recall and F1 per class, and accuracy; x/0 counts as 0."""
+    """One row: precision, recall and F1 per class, and accuracy; x/0 counts as 0.
+
+    Takes flagged rows, or the result of :func:`cell_counts`.
+    """
     n = {k: F.col(f"n{k}") for k in ("00", "01", "10", "11")}
     out = []
     for name, hit, missed, false in (
@@ -70,31 +81,111 @@ def classification_metrics(df: DataFrame) -> DataFrame:
         ]
     total = n["00"] + n["01"] + n["10"] + n["11"]
     out.append(_ratio(n["00"] + n["11"], total).alias("accuracy"))
-    return _cell_counts(df).select(*out)
+    return _counted(df).select(*out)
+
+
+def _descending() -> Window:
+    return Window.partitionBy("r").orderBy(F.col("s").desc())
+
+
+def _running(name: str) -> Column:
+    return F.sum(name).over(_descending().rowsBetween(Window.unboundedPreceding, 0))
 
 
 @dataclass(frozen=True)
-class _Ranges:
-    """Score groups with a range id that ascends with the score."""
+class RankedScores:
+    """Positives and negatives per distinct score, in score ranges of bounded size.
+
+    ``groups`` has the columns range ``r`` (ascending with the score), score ``s``, ``pos`` and
+    ``neg``; ``ranges`` holds one row per range, from the highest scores down.
+    """
 
     groups: DataFrame
-    count: int
+    ranges: list[Row]
+
+    @property
+    def positives(self) -> int:
+        return sum(r.pos for r in self.ranges)
+
+    @property
+    def negatives(self) -> int:
+        return sum(r.neg for r in self.ranges)
+
+    def auc(self) -> float | None:
+        """Area under the ROC curve, ties counting half; None unless both classes occur."""
+        twice_area = above = 0
+        for r in self.ranges:
+            twice_area += int(r.twice) + 2 * above * r.neg
+            above += r.pos
+        if not self.positives or not self.negatives:
+            return None
+        auc = twice_area / (2 * self.positives * self.negatives)
+        if auc < AUC_WARNING_LEVEL:
+            message = f"model may be underperforming: AUC-ROC={auc:.4f} is below 0.80"
+            warnings.warn(message, stacklevel=2)
+        return auc
+
+    def _per_range(self, values: list[int | None]) -> Column:
+        """The value of a row's range, looked up in a literal."""
+        listed: list[int | None] = [None] * (max((r.r for r in self.ranges), default=0) + 1)
+        for r, value in zip(self.ranges, values, strict=True):
+            listed[r.r] = value
+        return F.element_at(F.lit(listed).cast("array<bigint>"), F.col("r") + 1)
+
+    def curve(self, drop_intermediate: bool = True) -> DataFrame:
+        """Points (threshold, fpr, tpr) from the strictest threshold down, from infinity.
+
+        Points in the middle of a straight step are left out by default, as they do not bend
+        the curve. A rate whose class is absent is null.
+        """
+        above = {"pos": 0, "neg": 0}
+        offsets: dict[str, list[int | None]] = {"pos": [], "neg": []}
+        for r in self.ranges:
+            for name in above:
+                offsets[name].append(above[name])
+                above[name] += r[name]
+        after = [*[r.top for r in self.ranges[1:]], None]
+
+        def following(name: str) -> Column:
+            inside = F.lead(name).over(_descending())
+            beyond = self._per_range([top and top[name] for top in after])
+            return F.coalesce(inside, beyond) if len(self.ranges) > 1 else inside
+
+        points = self.groups.select(
+            F.col("s").alias("threshold"),
+            "pos",
+            "neg",
+            (_running("neg") + self._per_range(offsets["neg"])).alias("fps"),
+            (_running("pos") + self._per_range(offsets["pos"])).alias("tps"),
+            following("pos").alias("next_pos"),
+            following("neg").alias("next_neg"),
+        )
+        if drop_intermediate:
+            bends = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
+            points = points.filter(F.col("next_pos").isNull() | bends)
+        start = self.groups.sparkSession.createDataFrame(
+            [(float("inf"), 0, 0)], "threshold double, fps bigint, tps bigint"
+        )
+        return start.unionByName(points.select("threshold", "fps", "tps")).select(
+            "threshold",
+            F.try_divide(F.col("fps").cast("double"), F.lit(float(self.negatives))).alias("fpr"),
+            F.try_divide(F.col("tps").cast("double"), F.lit(float(self.positives))).alias("tpr"),
+        )
 
 
-def _score_groups(df: DataFrame, range_rows: int) -> _Ranges:
-    """Positives and negatives per distinct score; ties collapse before the shuffle.
+def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
+    """Group the rows by score; ties collapse before the shuffle.
 
-    The range bounds are quantiles, so running sums can be taken range by range without
-    sorting the whole table in one task.
+    The range bounds are quantiles, so running sums are taken range by range and no task sorts
+    the whole table.
     """
     scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias("s"))
     scored = scored.filter(F.col("s").isNotNull() & ~F.isnan("s"))
-    rows = scored.count()
-    ranges = min(MAX_RANGES, -(-rows // range_rows))
+    count = min(MAX_RANGES, -(-scored.count() // range_rows))
     bounds: list[float] = []
-    if ranges > 1:
-        at = [i / ranges for i in range(1, ranges)]
-        sketch = F.percentile_approx("s", at, max(10_000, 4 * ranges))
+    if count > 1:
+        at = [i / count for i in range(1, count)]
+        sketch = F.percentile_approx("s", at, max(10_000, 4 * count))
         bounds = sorted(b for b in set(scored.agg(sketch).first()[0]) if math.isfinite(b))
     if bounds:
         splits = [float("-inf"), *bounds, float("inf")]
@@ -105,43 +196,26 @@ def _score_groups(df: DataFrame, range_rows: int) -> _Ranges:
     groups = scored.groupBy("r", "s").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
     )
-    return _Ranges(groups, len(bounds) + 1)
-
-
-def _descending() -> Window:
-    return Window.partitionBy("r").orderBy(F.col("s").desc())
-
-
-def auc_roc_value(df: DataFrame, range_rows: int = RANGE_ROWS) -> float | None:
-    """Area under the ROC curve, ties counting half; None unless both classes occur."""
-    ranges = _score_groups(df, range_rows)
     # Twice the area inside a range; decimals because the products exceed 64 bits at scale.
     whole = "decimal(19,0)"
-    before = F.sum("pos").over(_descending().rowsBetween(Window.unboundedPreceding, 0)) * 2
-    twice = (before - F.col("pos")).cast(whole) * F.col("neg").cast(whole)
-    per_range = (
-        ranges.groups.withColumn("twice", twice)
+    twice = (_running("pos") * 2 - F.col("pos")).cast(whole) * F.col("neg").cast(whole)
+    ranges = (
+        groups.withColumn("twice", twice)
         .groupBy("r")
-        .agg(F.sum("twice").alias("twice"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .orderBy(F.col("r").desc())
+        .agg(
+            F.sum("twice").alias("twice"),
+            F.sum("pos").alias("pos"),
+            F.sum("neg").alias("neg"),
+            F.max_by(F.struct("pos", "neg"), "s").alias("top"),
+        )
         .collect()
     )
-    area, positives, negatives = 0, 0, 0
-    for row in per_range:
-        area += int(row.twice) + 2 * positives * row.neg
-        positives += row.pos
-        negatives += row.neg
-    if not positives or not negatives:
-        return None
-    auc = area / (2 * positives * negatives)
-    if auc < AUC_WARNING_LEVEL:
-        warnings.warn(f"model may be underperforming: AUC-ROC={auc:.4f} is below 0.80", stacklevel=2)
-    return auc
+    return RankedScores(groups, sorted(ranges, key=lambda r: -r.r))
 
 
 def auc_roc(df: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row: AUC (null with one class) and whether it is below the warning level."""
-    auc = auc_roc_value(df, range_rows)
+    auc = rank_scores(df, range_rows).auc()
     low = None if auc is None else auc < AUC_WARNING_LEVEL
     return df.sparkSession.createDataFrame([(auc, low)], "auc_roc double, below_warning boolean")
 
@@ -149,68 +223,8 @@ def auc_roc(df: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
 def roc_curve(
     df: DataFrame, drop_intermediate: bool = True, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
-    """Points (threshold, fpr, tpr) from the strictest threshold down, starting at infinity.
-
-    Points in the middle of a straight step are left out by default, as they do not bend the
-    curve. A rate whose class is absent is null.
-    """
-    ranges = _score_groups(df, range_rows)
-    groups = ranges.groups
-    totals = {
-        row.r: row
-        for row in groups.groupBy("r")
-        .agg(
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.max_by(F.struct("pos", "neg"), "s").alias("top"),
-        )
-        .collect()
-    }
-    offsets: dict[int, tuple[int, int]] = {}
-    following: dict[int, tuple[int | None, int | None]] = {}
-    positives = negatives = 0
-    previous = None
-    for r in sorted(totals, reverse=True):
-        offsets[r] = (positives, negatives)
-        positives += totals[r].pos
-        negatives += totals[r].neg
-        if previous is not None:
-            following[previous] = (totals[r].top.pos, totals[r].top.neg)
-        previous = r
-
-    def per_range(values: dict[int, int | None], fallback: int | None) -> Column:
-        listed = [values.get(r, fallback) for r in range(ranges.count)]
-        return F.element_at(F.lit(listed).cast("array<bigint>"), F.col("r") + 1)
-
-    def running(name: str, i: int) -> Column:
-        inside = F.sum(name).over(_descending().rowsBetween(Window.unboundedPreceding, 0))
-        return inside + per_range({r: o[i] for r, o in offsets.items()}, 0)
-
-    def lead(name: str, i: int) -> Column:
-        if not following:
-            return F.lead(name).over(_descending())
-        beyond = per_range({r: f[i] for r, f in following.items()}, None)
-        return F.coalesce(F.lead(name).over(_descending()), beyond)
-
-    points = groups.select(
-        F.col("s").alias("threshold"),
-        running("neg", 1).alias("fps"),
-        running("pos", 0).alias("tps"),
-        *[F.col(c) for c in ("pos", "neg")],
-        lead("pos", 0).alias("next_pos"),
-        lead("neg", 1).alias("next_neg"),
-    )
-    if drop_intermediate:
-        bends = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
-        points = points.filter(F.col("next_pos").isNull() | bends)
-    start = df.sparkSession.createDataFrame(
-        [(float("inf"), 0, 0)], "threshold double, fps bigint, tps bigint"
-    )
-    return start.unionByName(points.select("threshold", "fps", "tps")).select(
-        "threshold",
-        F.try_divide(F.col("fps").cast("double"), F.lit(float(negatives))).alias("fpr"),
-        F.try_divide(F.col("tps").cast("double"), F.lit(float(positives))).alias("tpr"),
-    )
+    """ROC points of rows with ``y`` and ``mse``; see :meth:`RankedScores.curve`."""
+    return rank_scores(df, range_rows).curve(drop_intermediate)
 
 
 def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:

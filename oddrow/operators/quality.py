@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrow.errors import DataLoadError, SchemaValidationError
@@ -32,7 +32,7 @@ def distinct_labels(df: DataFrame, profile: Profile) -> DataFrame:
 
 
 def quality_counts(df: DataFrame, profile: Profile) -> DataFrame:
-    """One row of counts from a single pass: classes, and missing and infinite cells per column."""
+    """One row: classes, then missing and infinite cells per feature column by position."""
     label = column(profile.label)
     counts = [
         F.count(F.lit(1)).alias("total"),
@@ -49,15 +49,27 @@ def quality_counts(df: DataFrame, profile: Profile) -> DataFrame:
         for i, c in enumerate(profile.features)
         if c in profile.numeric
     ]
-    if COPIES in df.columns:
-        counts.append(F.sum(COPIES).alias("rows_before"))
-    if BAD_CELLS in df.columns:
-        counts.append(F.sum(BAD_CELLS).alias("bad_cells"))
     return df.agg(*counts)
 
 
+def _probe(profile: Profile) -> Column:
+    """Zero for a row of finite numbers, NaN with an infinite one, null with a missing cell.
+
+    A chain of products costs a wide table far less than a test per column.
+    """
+    zero = F.lit(0.0)
+    probe = zero
+    for c in profile.numeric:
+        probe = probe + column(c) * zero
+    for c in profile.categorical:
+        probe = F.when(column(c).isNotNull(), probe)
+    return probe
+
+
 @dataclass(frozen=True)
 class Quality:
+    """Counts of a table; the per-column counts are taken only if some row has a gap."""
+
     total: int
     normal: int
     attack: int
@@ -73,11 +85,22 @@ class Quality:
 
     @classmethod
     def of(cls, df: DataFrame, profile: Profile) -> Quality:
-        row = quality_counts(df, profile).first().asDict()
-        names = list(profile.features)
+        probe = _probe(profile)
+        counts = [
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(is_normal(profile)).alias("normal"),
+            F.count_if(column(profile.label).isNull()).alias("missing_label"),
+            F.count_if(probe.isNull() | F.isnan(probe)).alias("gaps"),
+        ]
+        if COPIES in df.columns:
+            counts.append(F.sum(COPIES).alias("rows_before"))
+        if BAD_CELLS in df.columns:
+            counts.append(F.sum(BAD_CELLS).alias("bad_cells"))
+        row = df.agg(*counts).first().asDict()
+        detail = quality_counts(df, profile).first().asDict() if row["gaps"] else {}
 
         def cells(kind: str) -> dict[str, int]:
-            found = {c: row.get(f"{kind}_{i}", 0) for i, c in enumerate(names)}
+            found = {c: detail.get(f"{kind}_{i}", 0) for i, c in enumerate(profile.features)}
             return {c: n for c, n in found.items() if n}
 
         return cls(

@@ -23,6 +23,8 @@ PREFIX_STEP = 3
 FETCH_ROWS = 65_536
 REPLICA_CHUNK = 1_000_000
 
+# Column with the hash of the key, for tables that are selected from more than once.
+RANK = "_rank"
 SPLIT = "split"
 TRAIN, VALIDATION, ATTACK = "train", "val", "attack"
 
@@ -106,8 +108,16 @@ def _identical_rows(df: DataFrame, tie: Column) -> DataFrame:
 
 
 def row_ranks(df: DataFrame, seed: int, key: Sequence[str]) -> list[Column]:
-    """Hash of the key, then of every column for rows that share a key."""
-    return [seeded_rank(seed, key or df.columns), seeded_rank(seed, df.columns)]
+    """Stored or fresh hash of the key, then of every column for rows that share a key."""
+    whole = seeded_rank(seed, [c for c in df.columns if c != RANK])
+    if RANK in df.columns:
+        return [F.col(RANK), whole]
+    return [seeded_rank(seed, key) if key else whole, whole]
+
+
+def with_rank(df: DataFrame, seed: int, key: Sequence[str]) -> DataFrame:
+    """Add ``_rank``, the seeded hash of the key, or of the whole row without a key."""
+    return df.withColumn(RANK, seeded_rank(seed, key or df.columns))
 
 
 def mark_lowest(
@@ -143,9 +153,12 @@ class Split:
 
 
 def split_normal(
-    df: DataFrame, normal: Column, fraction: float, seed: int, key: Sequence[str]
+    df: DataFrame, normal: Column, fraction: float, seed: int, key: Sequence[str] = ()
 ) -> Split:
-    """Add ``split``: train or val for normal rows, in exact sizes, and attack for the rest."""
+    """Add ``split``: train or val for normal rows, in exact sizes, and attack for the rest.
+
+    A column ``_rank`` from :func:`with_rank` is used if present.
+    """
     marked, cut = mark_lowest(df, seed, key, train_size(fraction), "_train", normal)
     if cut.total < 2:
         raise DataLoadError(

@@ -94,17 +94,29 @@ def exact_percentile(
 
 
 def fit_threshold(
-    df: DataFrame, percentile: int, score: str = "mse", **limits: int
+    df: DataFrame,
+    percentile: int,
+    score: str = "mse",
+    max_rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
+    fetch_rows: int = FETCH_ROWS,
 ) -> Threshold:
-    """Threshold with mean and population deviation of the scores."""
-    stats = df.agg(
-        F.avg(number(column(score))).alias("mean"),
-        F.stddev_pop(number(column(score))).alias("std"),
-        F.count(number(column(score))).alias("n"),
-    ).first()
+    """Threshold with mean and population deviation of the scores.
+
+    With ``max_rows``, a known upper bound on the rows, small tables take a single pass.
+    """
+    x = number(column(score))
+    measures = [F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.count(x).alias("n")]
+    single = max_rows is not None and max_rows <= small_rows
+    if single:
+        measures.append(F.percentile(x, F.lit(percentile / 100.0)).alias("value"))
+    stats = df.agg(*measures).first()
     if not stats["n"]:
         raise InferenceError("threshold not computed: there are no scores to take it from")
-    value = exact_percentile(df, column(score), percentile, stats["n"], **limits)
+    if single:
+        value = stats["value"]
+    else:
+        value = exact_percentile(df, x, percentile, stats["n"], small_rows, fetch_rows)
     return Threshold(value, percentile, stats["mean"], stats["std"])
 
 

@@ -29,9 +29,9 @@ from oddrow.operators.selection import (
     SPLIT,
     TRAIN,
     Split,
-    row_ranks,
     sample_rows,
     split_normal,
+    with_rank,
 )
 from oddrow.operators.threshold import fit_threshold
 from oddrow.params import JobParams
@@ -65,9 +65,11 @@ class Prepared:
         return self.rows.filter(F.col(SPLIT) != ATTACK)
 
 
-def clean(rows: DataFrame, profile: Profile, scratch: Scratch) -> DataFrame:
-    """Duplicates removed over the required columns, written once for all later passes."""
-    return scratch.keep(dedup(rows, profile.required, profile.key), "clean")
+def clean(rows: DataFrame, profile: Profile, scratch: Scratch, seed: int) -> DataFrame:
+    """Duplicates removed over the required columns, and rows ranked for the split; written
+    once for all later passes."""
+    kept = dedup(rows, profile.required, profile.key)
+    return scratch.keep(with_rank(kept, seed, profile.key or profile.required), "clean")
 
 
 def preprocess(
@@ -77,13 +79,8 @@ def preprocess(
     quality = Quality.of(cleaned, profile)
     quality.check_values(source)
     rows = cleaned.drop(COPIES, BAD_CELLS)
-    split = split_normal(
-        rows,
-        is_normal(profile),
-        params.splits.train_fraction,
-        params.splits.random_seed,
-        profile.key,
-    )
+    ratios = params.splits
+    split = split_normal(rows, is_normal(profile), ratios.train_fraction, ratios.random_seed)
     fitted = fit_preprocessor(split.rows.filter(F.col(SPLIT) == TRAIN), profile)
     return Prepared(split.rows, split, fitted, quality)
 
@@ -93,12 +90,11 @@ def fit_model(
 ) -> TrainingResult:
     """Train the autoencoder on the normal rows."""
     layout = layout_for(params.architecture, prepared.preprocessor.width, dtype)
-    ranks = row_ranks(prepared.rows, params.training.random_seed, profile.key)
     encoded = prepared.preprocessor.transform(prepared.normal)
     count = shard_count(params.training, prepared.split.n_train + prepared.split.n_val)
-    shards = make_shards(
-        encoded, F.col(SPLIT) == TRAIN, ranks if profile.key else ranks[:1], count, dtype
-    )
+    identity = (*profile.key, *profile.required)
+    seed = params.training.random_seed
+    shards = make_shards(encoded, F.col(SPLIT) == TRAIN, identity, count, seed, dtype)
     return train_autoencoder(shards, layout, params.training)
 
 
@@ -122,7 +118,8 @@ def train(
     try:
         source = params.dataset.path
         loaded = load_table(spark, source, profile, extras=profile.key)
-        prepared = preprocess(clean(loaded, profile, scratch), profile, params, source)
+        cleaned = clean(loaded, profile, scratch, params.splits.random_seed)
+        prepared = preprocess(cleaned, profile, params, source)
         artefacts.save_preprocessor(spark, run, prepared.preprocessor)
 
         result = fit_model(prepared, params, profile)
@@ -136,7 +133,9 @@ def train(
         scores = spark.read.parquet(f"{run}/{artefacts.SCORES}")
 
         threshold = fit_threshold(
-            scores.filter(F.col(SPLIT) == TRAIN), params.threshold.percentile
+            scores.filter(F.col(SPLIT) == TRAIN),
+            params.threshold.percentile,
+            max_rows=prepared.split.n_train,
         )
         artefacts.save_threshold(spark, run, threshold)
         tested = scores.filter(F.col(SPLIT) != TRAIN) if holdout else scores
@@ -157,11 +156,13 @@ def evaluate(spark: SparkSession, scored: DataFrame, run: str | None = None) ->
     missing = [c for c in (M.LABEL, M.PREDICTION, M.SCORE) if c not in scored.columns]
     if missing:
         raise InferenceError(f"rows to evaluate lack columns: {missing}")
-    found = M.classification_metrics(scored).first().asDict()
-    found["auc_roc"] = M.auc_roc_value(scored)
+    cells = M.cell_counts(scored)
+    cells = spark.createDataFrame([cells.first()], cells.schema)
+    ranked = M.rank_scores(scored)
+    found = M.classification_metrics(cells).first().asDict() | {"auc_roc": ranked.auc()}
     if run is not None:
-        write_table(M.confusion_matrix(scored).coalesce(1), f"{run}/{artefacts.CONFUSION}")
-        write_table(M.roc_curve(scored), f"{run}/{artefacts.ROC}")
+        write_table(M.confusion_matrix(cells).coalesce(1), f"{run}/{artefacts.CONFUSION}")
+        write_table(ranked.curve(), f"{run}/{artefacts.ROC}")
         write_table(M.error_histogram(scored).coalesce(1), f"{run}/{artefacts.HISTOGRAM}")
         artefacts.write_record(spark, f"{run}/{artefacts.METRICS}", found)
     return found

@@ -83,8 +83,10 @@ def typed(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str, profile: Profile) -> jobs.Prepared:
-    rows = jobs.clean(typed(spark, sf_dir, profile), profile, Scratch(spark))
-    return jobs.preprocess(rows, profile, job_params(profile), profile.name)
+    params = job_params(profile)
+    seed = params.splits.random_seed
+    rows = jobs.clean(typed(spark, sf_dir, profile), profile, Scratch(spark), seed)
+    return jobs.preprocess(rows, profile, params, profile.name)
 
 
 def rounded(value: Column, name: str) -> Column:
