@@ -136,7 +136,7 @@ class RankedScores:
         """Points (threshold, fpr, tpr) from the strictest threshold down, from infinity.
 
         Points in the middle of a straight step are left out by default, as they do not bend
-        the curve. A rate whose class is absent is null.
+        the curve; the strictest and the loosest threshold always stay. A rate whose class is absent is null.
         """
         above = {"pos": 0, "neg": 0}
         offsets: dict[str, list[int | None]] = {"pos": [], "neg": []}
@@ -162,7 +162,8 @@ class RankedScores:
         )
         if drop_intermediate:
             bends = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
-            points = points.filter(F.col("next_pos").isNull() | bends)
+            first = F.col("fps") + F.col("tps") == F.col("pos") + F.col("neg")
+            points = points.filter(first | F.col("next_pos").isNull() | bends)
         start = self.groups.sparkSession.createDataFrame(
             [(float("inf"), 0, 0)], "threshold double, fps bigint, tps bigint"
         )

@@ -152,7 +152,7 @@ def roc(p: Profile) -> str:
 SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0e0 AS fpr, 0.0e0 AS tpr
 UNION ALL
 SELECT {r("mse", "threshold")}, {r("fps / q", "fpr")}, {r("tps / p", "tpr")} FROM running
-WHERE next_pos IS NULL OR pos <> next_pos OR neg <> next_neg"""
+WHERE next_pos IS NULL OR tps + fps = pos + neg OR pos <> next_pos OR neg <> next_neg"""
 
 
 def histogram(p: Profile) -> str:

@@ -1,0 +1,133 @@
+"""The numeric kernel against finite differences and plain formulas."""
+
+import numpy as np
+import pytest
+
+from oddrow.operators import network as N
+from oddrow.operators.network import Layout, TrainState
+
+
+def small(activation="tanh", dropout=0.0, dtype="float64"):
+    return Layout(5, (4, 3), 2, activation, dropout, dtype)
+
+
+def test_layout_is_symmetric():
+    layout = Layout(10, (8, 6), 3, dropout_rate=0.1)
+    assert [(d.name, d.n_in, d.n_out) for d in layout.layers] == [
+        ("enc_dense_0", 10, 8), ("enc_dense_1", 8, 6), ("bottleneck", 6, 3),
+        ("dec_dense_0", 3, 6), ("dec_dense_1", 6, 8), ("output", 8, 10),
+    ]
+    assert [d.hidden for d in layout.layers] == [True, True, False, True, True, False]
+    assert layout.layers[-1].activation == "linear" and layout.layers[2].activation == "relu"
+    assert sum(len(p) for p in layout.views(layout.initial(0)).values()) > 0
+    learned = [p for p in layout.parameters if p[3]]
+    assert layout.parameters[: len(learned)] == learned
+    assert layout.size - layout.trainable == 2 * (8 + 6 + 6 + 8)
+    assert Layout.from_json(layout.to_json()) == layout
+
+
+def test_initial_parameters():
+    layout = small()
+    views = layout.views(layout.initial(7))
+    limit = np.sqrt(6 / (5 + 4))
+    assert np.abs(views["enc_dense_0", "kernel"]).max() <= limit
+    assert not views["enc_dense_0", "bias"].any()
+    assert (views["enc_dense_0", "gamma"] == 1).all()
+    assert (views["enc_dense_0", "moving_variance"] == 1).all()
+    assert np.array_equal(layout.initial(7), layout.initial(7))
+    assert not np.array_equal(layout.initial(7), layout.initial(8))
+
+
+@pytest.mark.parametrize("activation", ["relu", "tanh", "sigmoid", "linear", "elu", "softplus"])
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_gradient_matches_finite_differences(activation, dropout):
+    layout = small(activation, dropout)
+    rng = np.random.default_rng(3)
+    vector = layout.initial(1)
+    vector[: layout.trainable] += rng.normal(scale=0.1, size=layout.trainable)
+    rows = rng.normal(size=(7, 5))
+
+    def loss(v):
+        return N.gradient(layout, v.copy(), rows, np.random.default_rng(11))[0]
+
+    _, grad = N.gradient(layout, vector.copy(), rows, np.random.default_rng(11))
+    step = 1e-6
+    for i in range(layout.trainable):
+        up, down = vector.copy(), vector.copy()
+        up[i] += step
+        down[i] -= step
+        assert grad[i] == pytest.approx((loss(up) - loss(down)) / (2 * step), abs=2e-6)
+    assert not grad[layout.trainable :].any()
+
+
+def test_running_statistics_move_towards_the_batch():
+    layout = Layout(3, (2,), 1, "linear", 0.0, "float64")
+    vector = layout.initial(1)
+    rows = np.random.default_rng(0).normal(size=(50, 3))
+    a = rows @ layout.views(vector)["enc_dense_0", "kernel"].copy()
+    N.gradient(layout, vector, rows, np.random.default_rng(0))
+    views = layout.views(vector)
+    assert np.allclose(views["enc_dense_0", "moving_mean"], 0.01 * a.mean(0))
+    assert np.allclose(views["enc_dense_0", "moving_variance"], 0.99 + 0.01 * a.var(0))
+
+
+def test_scoring_uses_running_statistics():
+    layout = Layout(2, (2,), 1, "relu", 0.5, "float64")
+    vector = np.random.default_rng(5).normal(size=layout.size)
+    w = layout.views(vector)
+    w["enc_dense_0", "moving_variance"][:] = [0.5, 2.0]
+    w["dec_dense_0", "moving_variance"][:] = [1.5, 0.1]
+    x = np.array([[0.3, -1.2], [2.0, 0.7]])
+
+    def hidden(h, name):
+        a = np.maximum(h @ w[name, "kernel"] + w[name, "bias"], 0)
+        spread = np.sqrt(w[name, "moving_variance"] + 1e-3)
+        return (a - w[name, "moving_mean"]) / spread * w[name, "gamma"] + w[name, "beta"]
+
+    h = hidden(x, "enc_dense_0")
+    h = np.maximum(h @ w["bottleneck", "kernel"] + w["bottleneck", "bias"], 0)
+    h = hidden(h, "dec_dense_0")
+    expected = h @ w["output", "kernel"] + w["output", "bias"]
+    assert np.allclose(N.reconstruct(layout, vector, x), expected)
+    assert np.allclose(N.row_errors(x, expected), ((x - expected) ** 2).mean(1))
+
+
+def test_first_step_of_the_optimiser():
+    layout = small()
+    state = TrainState.fresh(layout, 1)
+    rows = np.random.default_rng(0).normal(size=(8, 5))
+    before = state.vector.copy()
+    _, grad = N.gradient(layout, before.copy(), rows, np.random.default_rng(0))
+    N.train_step(layout, state, rows, np.random.default_rng(0), 0.01, "none")
+    g = grad[: layout.trainable]
+    # After one step the corrected moments are g and g*g.
+    expected = before[: layout.trainable] - 0.01 * g / (np.abs(g) + 1e-7 / np.sqrt(0.001))
+    assert np.allclose(state.vector[: layout.trainable], expected, atol=1e-9)
+    assert state.steps == 1
+
+
+def test_learning_rates():
+    assert N.learning_rate(0.1, "none", 5_000) == 0.1
+    assert N.learning_rate(0.1, "step_decay", 0) == 0.1
+    assert N.learning_rate(0.1, "step_decay", 500) == pytest.approx(0.1 * 0.9**0.5)
+    assert N.learning_rate(0.1, "cosine_annealing", 500) == pytest.approx(0.05)
+    assert N.learning_rate(0.1, "cosine_annealing", 1_000) == pytest.approx(0.0)
+    assert N.learning_rate(0.1, "cosine_annealing", 9_000) == pytest.approx(0.0)
+
+
+def test_state_packing():
+    layout = small(dtype="float32")
+    state = TrainState.fresh(layout, 2)
+    state.first += 1
+    back = TrainState.unpack(layout, np.frombuffer(state.pack(), "float32"), 9)
+    assert np.array_equal(back.vector, state.vector) and np.array_equal(back.first, state.first)
+    assert back.steps == 9 and back.vector.flags.writeable
+
+
+def test_training_reduces_the_loss():
+    layout = Layout(6, (8,), 3, "relu", 0.0)
+    rng = np.random.default_rng(0)
+    rows = (rng.normal(size=(256, 2)) @ rng.normal(size=(2, 6))).astype("float32")
+    state = TrainState.fresh(layout, 0)
+    losses = [N.train_step(layout, state, rows, rng, 0.01, "none") for _ in range(200)]
+    assert losses[-1] < 0.3 * losses[0]
