@@ -24,12 +24,18 @@ from oddrow.shipping import ship_package
 from oddrow.sources.storage import shared_folder
 
 # A replica's parameters and moments are broadcast and sent back; larger models are refused.
-MAX_STATE_BYTES = 256 * 1024 * 1024
+MAX_STATE_BYTES = 128 * 1024 * 1024
 # Default size of a training shard, and the most shards that are averaged per epoch.
 SHARD_ROWS = 50_000
-MAX_SHARDS = 1_024
-# Beyond this many shards replicas are averaged in two levels, the first on the executors.
-DIRECT_SHARDS = 64
+MAX_SHARDS = 8_192
+# Replicas that one task, or the driver, averages at a time: by number and by size.
+MERGE_REPLICAS = 64
+MERGE_BYTES = 256 * 1024 * 1024
+
+
+def state_bytes(layout: Layout) -> int:
+    """Size of one replica: parameters and two moments of the trainable ones."""
+    return (layout.size + 2 * layout.trainable) * np.dtype(layout.dtype).itemsize
 
 
 def layout_for(
@@ -43,11 +49,10 @@ def layout_for(
         dropout_rate=architecture.dropout_rate,
         dtype=dtype,
     )
-    held = (layout.size + 2 * layout.trainable) * np.dtype(dtype).itemsize
-    if held > MAX_STATE_BYTES:
+    if state_bytes(layout) > MAX_STATE_BYTES:
         raise ConfigurationError(
-            f"the model needs {held} bytes per replica, more than {MAX_STATE_BYTES}: "
-            "use fewer categories or smaller layers"
+            f"the model needs {state_bytes(layout)} bytes per replica, more than "
+            f"{MAX_STATE_BYTES}: use fewer categories or smaller layers"
         )
     return layout
 
@@ -256,13 +261,17 @@ def epoch_pass(
         packed = own.pack() if tally["n"] else None
         yield _pass_batch([tally | {"shard": shard, "steps": own.steps, "state": packed}])
 
-    parts = shards.mapInArrow(run, PASS_SCHEMA)
-    if replicas > DIRECT_SHARDS:
+    def merge(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_pass_batch([_merge(layout, table.to_pylist())])])
 
-        def merge(table: pa.Table) -> pa.Table:
-            return pa.Table.from_batches([_pass_batch([_merge(layout, table.to_pylist())])])
-
-        group = (F.col("shard") % math.isqrt(replicas)).alias("g")
+    parts = shards.mapInArrow(run, PASS_SCHEMA)
+    fan_in = max(2, min(MERGE_REPLICAS, MERGE_BYTES // state_bytes(layout)))
+    width = 1
+    while replicas > fan_in:
+        # A tree of averages on the executors, so that the driver sees few replicas.
+        width *= fan_in
+        replicas = -(-replicas // fan_in)
+        group = F.floor(F.col("shard") / width).alias("g")
         parts = parts.groupBy(group).applyInArrow(merge, PASS_SCHEMA)
     merged = _merge(layout, [r.asDict() for r in parts.collect()])
     sent.unpersist()

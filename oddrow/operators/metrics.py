@@ -144,11 +144,10 @@ class RankedScores:
             for name in above:
                 offsets[name].append(above[name])
                 above[name] += r[name]
-        after = [*[r.top for r in self.ranges[1:]], None]
 
         def following(name: str) -> Column:
             inside = F.lead(name).over(_descending())
-            beyond = self._per_range([top and top[name] for top in after])
+            beyond = self._per_range([*[r[f"top_{name}"] for r in self.ranges[1:]], None])
             return F.coalesce(inside, beyond) if len(self.ranges) > 1 else inside
 
         points = self.groups.select(
@@ -182,7 +181,8 @@ def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
     """
     scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias("s"))
     scored = scored.filter(F.col("s").isNotNull() & ~F.isnan("s"))
-    count = min(MAX_RANGES, -(-scored.count() // range_rows))
+    rows = scored.count()
+    count = min(MAX_RANGES, -(-rows // range_rows))
     bounds: list[float] = []
     if count > 1:
         at = [i / count for i in range(1, count)]
@@ -197,8 +197,8 @@ def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
     groups = scored.groupBy("r", "s").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
     )
-    # Twice the area inside a range; decimals because the products exceed 64 bits at scale.
-    whole = "decimal(19,0)"
+    # Twice the area inside a range. It is at most rows**2, beyond 64 bits in large tables.
+    whole = "bigint" if rows**2 < 2**63 else "decimal(19,0)"
     twice = (_running("pos") * 2 - F.col("pos")).cast(whole) * F.col("neg").cast(whole)
     ranges = (
         groups.withColumn("twice", twice)
@@ -207,7 +207,8 @@ def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
             F.sum("twice").alias("twice"),
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
-            F.max_by(F.struct("pos", "neg"), "s").alias("top"),
+            F.max_by("pos", "s").alias("top_pos"),
+            F.max_by("neg", "s").alias("top_neg"),
         )
         .collect()
     )

@@ -178,7 +178,8 @@ def score(
     """Score new rows with a finished run: the input columns, ``mse`` and ``prediction``.
 
     ``data`` is a path, or a DataFrame with the columns of the run's profile. The label may be
-    absent. With ``output`` the scores are written there as a table and read back.
+    absent. A row with a missing or unreadable number has no score (NaN) and is not flagged;
+    rows read from CSV show such cells in ``bad_cells``. With ``output`` the scores are written there as a table and read back.
     """
     artefacts.check_artefacts(spark, run)
     params = JobParams.from_mapping(
@@ -194,7 +195,7 @@ def score(
     if dedup_rows:
         subset = [c for c in profile.required if c in rows.columns]
         rows = dedup(rows, subset, profile.key).drop(COPIES)
-    result = apply_run(spark, rows.drop(BAD_CELLS), run)
+    result = apply_run(spark, rows.withColumnRenamed(BAD_CELLS, "bad_cells"), run)
     if output is None:
         return result
     write_table(result, output)

@@ -16,6 +16,8 @@ from oddrow.sources.storage import escape_glob, exists
 
 # Count of unreadable numbers in a row of text; present on tables read from CSV only.
 BAD_CELLS = "_bad_cells"
+# The text of a row with too many or too few fields, else null.
+MALFORMED = "_malformed"
 
 
 def _load_error(path: str, exc: Exception) -> DataLoadError:
@@ -27,14 +29,20 @@ def _load_error(path: str, exc: Exception) -> DataLoadError:
     return DataLoadError(f"dataset cannot be read: {path} ({type(exc).__name__})")
 
 
-def _readable(spark: SparkSession, path: str) -> str:
-    return escape_glob(path) if exists(spark, path) else path
-
-
 def _csv(spark: SparkSession, path: str, header: bool, multi_line: bool) -> DataFrame:
     # Doubled quotes inside quoted text, as CSV writers other than Spark produce them.
     reader = spark.read.option("header", header).option("quote", '"').option("escape", '"')
-    return reader.option("multiLine", multi_line).csv(_readable(spark, path))
+    reader = reader.option("multiLine", multi_line)
+    readable = escape_glob(path) if exists(spark, path) else path
+    width = len(reader.csv(readable).columns)
+    if not width:
+        raise DataLoadError(f"dataset contains no parseable data: {path}")
+    # Names by position: real headers may repeat or differ in case only. Without pruning every
+    # row is checked for its number of fields.
+    names = [f"_c{i}" for i in range(width)]
+    schema = ", ".join(f"{n} string" for n in [*names, MALFORMED])
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+    return reader.schema(schema).csv(readable)
 
 
 def _header(first: Sequence[str | None]) -> list[str]:
@@ -53,15 +61,12 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> D
     """A CSV file with a header as string columns, named as in the file."""
     try:
         rows = _csv(spark, path, True, multi_line)
-        first = None if not rows.columns else _csv(spark, path, False, multi_line).first()
-        if first is None:
-            raise DataLoadError(f"dataset contains no parseable data: {path}")
+        first = _csv(spark, path, False, multi_line).drop(MALFORMED).first()
         if rows.isEmpty():
             raise DataLoadError(f"dataset is empty (no records after the header): {path}")
     except (PySparkException, Py4JJavaError) as exc:
         raise _load_error(path, exc) from exc
-    names = _header(list(first)[: len(rows.columns)])
-    return rows.toDF(*names)
+    return rows.toDF(*_header(first), MALFORMED)
 
 
 def read_headerless_csv(
@@ -72,18 +77,16 @@ def read_headerless_csv(
         rows = _csv(spark, path, False, multi_line)
     except (PySparkException, Py4JJavaError) as exc:
         raise _load_error(path, exc) from exc
-    if not rows.columns:
-        raise DataLoadError(f"dataset contains no parseable data: {path}")
-    if len(rows.columns) != len(header):
+    if len(rows.columns) - 1 != len(header):
         raise SchemaValidationError(
-            f"'{path}' has {len(rows.columns)} columns, expected {len(header)}"
+            f"'{path}' has {len(rows.columns) - 1} columns, expected {len(header)}"
         )
-    return rows.toDF(*header)
+    return rows.toDF(*header, MALFORMED)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     try:
-        rows = spark.read.parquet(_readable(spark, path))
+        rows = spark.read.parquet(escape_glob(path) if exists(spark, path) else path)
         if rows.isEmpty():
             raise DataLoadError(f"dataset is empty (no records): {path}")
     except (PySparkException, Py4JJavaError) as exc:
@@ -119,8 +122,8 @@ def project(
 ) -> DataFrame:
     """Required columns in profile order and type, then ``extras`` (default: all others).
 
-    Columns are picked by exact name. With ``from_text`` missing spellings become null and
-    unreadable numbers are counted per row in ``_bad_cells``.
+    Columns are picked by exact name. With ``from_text`` missing spellings become null, and
+    unreadable numbers and a wrong number of fields are counted per row in ``_bad_cells``.
     """
     check_columns(df.columns, profile, source, label_required)
     has_label = profile.label in df.columns or profile.label in profile.sources
@@ -146,7 +149,7 @@ def project(
 
     folded = {c.lower() for c in required}
     if extras is None:
-        extras = [c for c in df.columns if c not in required and c != BAD_CELLS]
+        extras = [c for c in df.columns if c not in (*required, BAD_CELLS, MALFORMED)]
     for name in extras:
         if name not in positions:
             raise SchemaValidationError(f"'{source}' lacks the column '{name}'")
@@ -154,11 +157,12 @@ def project(
         clash = name.lower() in folded
         out.append(F.col(positions[name]).alias(f"{name}_{index}" if clash else name))
     if from_text:
-        bad = [
-            cells.bad_number(_source(profile, c, positions))
-            for c in profile.numeric
-        ]
-        out.append(sum(bad[1:], bad[0]).alias(BAD_CELLS) if bad else F.lit(0).alias(BAD_CELLS))
+        bad = F.lit(0)
+        if MALFORMED in df.columns:
+            bad = F.when(F.col(positions[MALFORMED]).isNotNull(), 1).otherwise(0)
+        for name in profile.numeric:
+            bad = bad + cells.bad_number(_source(profile, name, positions))
+        out.append(bad.alias(BAD_CELLS))
     return safe.select(*out)
 
 

@@ -166,11 +166,11 @@ def test_an_epoch_averages_replicas_by_rows(spark):
     assert np.allclose(got.vector, total / n, atol=1e-6)
 
 
-def test_two_level_average_equals_one_level(spark, monkeypatch):
+def test_averaging_in_a_tree_equals_averaging_at_once(spark, monkeypatch):
     shards = shards_of(spark, 9)
     hyper, state = params(), TrainState.fresh(LAYOUT, 4)
     flat = A.epoch_pass(shards, LAYOUT, state, hyper, 0, True, 9)
-    monkeypatch.setattr(A, "DIRECT_SHARDS", 2)
+    monkeypatch.setattr(A, "MERGE_REPLICAS", 2)
     nested = A.epoch_pass(shards, LAYOUT, state, hyper, 0, True, 9)
     assert (flat["n"], flat["val_n"], flat["steps"]) == (
         nested["n"], nested["val_n"], nested["steps"],

@@ -111,6 +111,14 @@ def test_scoring_drops_copies_unless_told_otherwise(spark, run, make_csv, tmp_pa
     assert spark.read.parquet(output).count() == 19
 
 
+def test_unreadable_cells_give_no_score(spark, run, make_csv):
+    table = connections(4, 1, seed=13).astype({"duration": object})
+    table.loc[2, "duration"] = "oops"
+    rows = jobs.score(spark, make_csv(table), run).collect()
+    assert [(math.isnan(r.mse), r.prediction) for r in rows if r.bad_cells] == [(True, 0)]
+    assert sum(math.isnan(r.mse) for r in rows) == 1
+
+
 def test_scoring_a_frame(spark, run):
     rows = spark.createDataFrame(connections(8, 2, seed=5))
     assert jobs.score(spark, rows, run).count() == 10

@@ -12,6 +12,7 @@ from oddrow.operators.quality import Quality
 from oddrow.profiles import CICIDS2017, EVENTS, LINEITEM, NSL_KDD, UNSW_NB15
 from oddrow.sources.tables import (
     BAD_CELLS,
+    MALFORMED,
     load_table,
     project,
     read_headerless_csv,
@@ -154,7 +155,9 @@ def test_integer_labels(spark, make_csv):
 def test_headerless_file(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text("1,2\n3,4\n")
-    assert read_headerless_csv(spark, str(path), ["a", "b"]).columns == ["a", "b"]
+    rows = read_headerless_csv(spark, str(path), ["a", "b"])
+    assert [tuple(r) for r in rows.collect()] == [("1", "2", None), ("3", "4", None)]
+    assert rows.columns == ["a", "b", MALFORMED]
     with pytest.raises(SchemaValidationError, match="expected 3"):
         read_headerless_csv(spark, str(path), ["a", "b", "c"])
     with pytest.raises(DataLoadError, match="not found"):
@@ -185,3 +188,16 @@ def test_derived_columns(spark):
     )
     got = project(rows, EVENTS, extras=EVENTS.key).first()
     assert (got["props_k"], got["hour"], got["value"], got["event_id"]) == (7.0, 13.0, 2.0, 1)
+
+
+def test_rows_with_a_wrong_number_of_fields_are_counted(spark, make_csv):
+    path = make_csv(connections(4, 1))
+    lines = open(path).read().splitlines()
+    lines[2] += ",surplus"
+    lines[4] = lines[4].rsplit(",", 1)[0]
+    with open(path, "w") as out:
+        out.write("\n".join(lines) + "\n")
+    rows = load_table(spark, path, NSL_KDD, extras=())
+    assert sorted(r[BAD_CELLS] for r in rows.collect()) == [0, 0, 0, 1, 1]
+    with pytest.raises(SchemaValidationError, match="wrong length"):
+        Quality.of(rows, NSL_KDD).check_values(path)
