@@ -15,7 +15,7 @@ def one_hot(value: Column, categories: Sequence[str | None]) -> Column:
     generated code does not grow with the number of categories.
     """
     width = len(categories)
-    zero = F.lit(0.0)
+    zero, one = F.lit(0.0), F.lit(1.0)
     if width == 0:
         return F.array().cast("array<double>")
     known = [c for c in categories if c is not None]
@@ -24,7 +24,7 @@ def one_hot(value: Column, categories: Sequence[str | None]) -> Column:
     place = F.when(value.isNull(), missing_place).otherwise(place).cast("int")
     return F.when(place == 0, F.array_repeat(zero, width)).otherwise(
         F.concat(
-            F.array_repeat(zero, place - 1), F.array(F.lit(1.0)), F.array_repeat(zero, width - place)
+            F.array_repeat(zero, place - 1), F.array(one), F.array_repeat(zero, width - place)
         )
     )
 

@@ -90,11 +90,11 @@ class Autoencoder:
 
         @arrow_udf("double")
         def mse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            forward = network.Forward(layout, vector.value)
             for batch in batches:
                 present = batch.drop_null()
                 rows = _matrix(present, layout.input_dim, layout.dtype)
-                scores = network.row_errors(rows, network.reconstruct(layout, vector.value, rows))
-                scores = scores.astype(np.float64)
+                scores = network.row_errors(rows, forward(rows)).astype(np.float64)
                 if len(present) == len(batch):
                     yield pa.array(scores)
                 else:
@@ -116,9 +116,10 @@ class Autoencoder:
 
         @arrow_udf("struct<reconstruction:array<double>,mse:double>")
         def rebuild(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            forward = network.Forward(layout, vector.value)
             for batch in batches:
                 rows = _matrix(batch, layout.input_dim, layout.dtype)
-                rebuilt = network.reconstruct(layout, vector.value, rows)
+                rebuilt = forward(rows)
                 offsets = np.arange(0, rebuilt.size + 1, layout.input_dim, dtype=np.int32)
                 arrays = pa.ListArray.from_arrays(
                     pa.array(offsets), pa.array(rebuilt.astype(np.float64).ravel())
@@ -149,20 +150,21 @@ def make_shards(
 ) -> DataFrame:
     """Encoded rows in a fixed number of shards with a fixed, seeded order inside each.
 
-    ``identity`` names columns that tell rows apart; a hash of them all places a row, so no
-    single value can fill a shard. The checkpoint keeps exactly one file per shard: every epoch
-    reads the same shards again wherever it runs, and a lost executor costs a re-read only.
+    A hash of the features and of the ``identity`` columns places a row, so no single value
+    can fill a shard; rows that tie in both are the same to the model. The checkpoint keeps
+    exactly one file per shard: every epoch reads the same shards again wherever it runs, and a
+    lost executor costs a re-read only.
     """
     shared_folder(df.sparkSession)
     element = "float" if dtype == "float32" else "double"
-    told_apart = [column(c) for c in identity]
-    rows = df.select(
-        F.col(FEATURES).cast(f"array<{element}>").alias(FEATURES),
+    told_apart = [F.col(FEATURES), *[column(c) for c in identity]]
+    rows = df.withColumn(FEATURES, F.col(FEATURES).cast(f"array<{element}>")).select(
+        FEATURES,
         is_train.alias("is_train"),
         F.xxhash64(F.lit(seed), *told_apart).alias("_o0"),
         F.xxhash64(F.lit(seed), F.lit("again"), *told_apart).alias("_o1"),
     )
-    placed = rows.repartition(shards, "_o0").sortWithinPartitions("_o0", "_o1")
+    placed = rows.repartition(shards, "_o0").sortWithinPartitions("_o0", "_o1", "is_train")
     return placed.select(FEATURES, "is_train").checkpoint()
 
 
@@ -236,7 +238,8 @@ def epoch_pass(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         rng = np.random.default_rng([params.random_seed, epoch, shard])
-        came, own = sent.value, sent.value.copy()
+        own = sent.value.copy()
+        forward = network.Forward(layout, sent.value.vector)
         tally = {"n": 0, "loss": 0.0, "val_n": 0, "val_loss": 0.0}
 
         def training_blocks() -> Iterator[np.ndarray]:
@@ -245,8 +248,7 @@ def epoch_pass(
                 train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 held_out = rows[~train]
                 if len(held_out):
-                    rebuilt = network.reconstruct(layout, came.vector, held_out)
-                    errors = network.row_errors(held_out, rebuilt)
+                    errors = network.row_errors(held_out, forward(held_out))
                     tally["val_n"] += len(held_out)
                     tally["val_loss"] += float(errors.sum(dtype=np.float64))
                 if learn and train.any():

@@ -78,20 +78,26 @@ class Preprocessor:
         slots = [f"{c}={v}" for c, values in self.categories for v in values]
         return slots + [s.column for s in self.scales]
 
-    def feature_array(self) -> Column:
-        """One-hot blocks, then scaled numbers, as array<double>."""
+    def feature_array(self, element: str = "double") -> Column:
+        """One-hot blocks, then scaled numbers, as an array of ``double`` or ``float``.
+
+        The array is cast as a whole: a cast per cell makes the generated method of a wide
+        table too large for the JVM to compile.
+        """
         blocks = [one_hot(column(c).cast("string"), values) for c, values in self.categories]
         numbers = [standard_score(column(s.column), s.mean, s.scale) for s in self.scales]
         if numbers:
             blocks.append(F.array(*numbers))
-        return F.concat(*blocks) if len(blocks) > 1 else blocks[0]
+        features = F.concat(*blocks) if len(blocks) > 1 else blocks[0]
+        return features if element == "double" else features.cast(f"array<{element}>")
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, element: str = "double") -> DataFrame:
+        """Add ``features``; ``float`` is what a float32 model takes."""
         wanted = [c for c, _ in self.categories] + [s.column for s in self.scales]
         missing = [c for c in wanted if c not in df.columns]
         if missing:
             raise InferenceError(f"rows to encode lack fitted columns: {missing}")
-        return df.withColumn(FEATURES, self.feature_array())
+        return df.withColumn(FEATURES, self.feature_array(element))
 
 
 def _categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str | None]]:

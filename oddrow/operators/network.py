@@ -130,19 +130,38 @@ class Layout:
         return cls(**raw | {"encoder_layers": tuple(raw["encoder_layers"])})
 
 
-def reconstruct(layout: Layout, vector: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Forward pass for scoring: moving statistics, no dropout."""
-    w, h = layout.views(vector), rows
-    for d in layout.layers:
-        h = ACTIVATION[d.activation][0](h @ w[d.name, "kernel"] + w[d.name, "bias"])
-        if d.hidden:
-            gain = w[d.name, "gamma"] / np.sqrt(w[d.name, "moving_variance"] + NORM_EPSILON)
-            h = (h - w[d.name, "moving_mean"]) * gain + w[d.name, "beta"]
-    return h
+class Forward:
+    """Forward pass for scoring: moving statistics, no dropout.
+
+    A layer's normalisation is linear at this point, so it is folded into the next kernel once.
+    """
+
+    def __init__(self, layout: Layout, vector: np.ndarray) -> None:
+        w = layout.views(vector)
+        self.steps: list[tuple[np.ndarray, np.ndarray, str]] = []
+        gain = shift = None
+        for d in layout.layers:
+            kernel, bias = w[d.name, "kernel"], w[d.name, "bias"]
+            if gain is not None:
+                kernel, bias = gain[:, None] * kernel, bias + shift @ kernel
+            self.steps.append((kernel, bias, d.activation))
+            gain = None
+            if d.hidden:
+                gain = w[d.name, "gamma"] / np.sqrt(w[d.name, "moving_variance"] + NORM_EPSILON)
+                shift = w[d.name, "beta"] - w[d.name, "moving_mean"] * gain
+
+    def __call__(self, rows: np.ndarray) -> np.ndarray:
+        h = rows
+        for kernel, bias, activation in self.steps:
+            h = h @ kernel
+            h += bias
+            h = ACTIVATION[activation][0](h)
+        return h
 
 
 def row_errors(rows: np.ndarray, rebuilt: np.ndarray) -> np.ndarray:
-    return np.mean(np.square(rows - rebuilt), axis=1)
+    miss = rows - rebuilt
+    return np.einsum("ij,ij->i", miss, miss) / miss.shape[1]
 
 
 def gradient(

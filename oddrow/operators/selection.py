@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrow.errors import DataLoadError
-from oddrow.functions.ranks import seeded_rank
+from oddrow.functions.ranks import seeded_rank, seeded_row_rank
 
 HASH_DIGITS = 32
 # 16**3 prefix groups per counting pass; the bucket at the cut is fetched once it is this small.
@@ -107,17 +107,22 @@ def _identical_rows(df: DataFrame, tie: Column) -> DataFrame:
     return spread.withColumn("_ordinal", F.explode(ordinals)).drop("_chunk")
 
 
+def _rank(seed: int, key: Sequence[str], columns: Sequence[str]) -> Column:
+    return seeded_rank(seed, key) if key else seeded_row_rank(seed, columns)
+
+
 def row_ranks(df: DataFrame, seed: int, key: Sequence[str]) -> list[Column]:
-    """Stored or fresh hash of the key, then of every column for rows that share a key."""
-    whole = seeded_rank(seed, [c for c in df.columns if c != RANK])
-    if RANK in df.columns:
-        return [F.col(RANK), whole]
-    return [seeded_rank(seed, key) if key else whole, whole]
+    """Stored or fresh rank of the key, then of the whole row for rows that share a key."""
+    columns = [c for c in df.columns if c != RANK]
+    first = F.col(RANK) if RANK in df.columns else _rank(seed, key, columns)
+    return [first, seeded_row_rank(seed, columns)]
 
 
-def with_rank(df: DataFrame, seed: int, key: Sequence[str]) -> DataFrame:
-    """Add ``_rank``, the seeded hash of the key, or of the whole row without a key."""
-    return df.withColumn(RANK, seeded_rank(seed, key or df.columns))
+def with_rank(
+    df: DataFrame, seed: int, key: Sequence[str], columns: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``_rank``, the seeded rank by the key, or by ``columns`` (default: all) without one."""
+    return df.withColumn(RANK, _rank(seed, key, columns or df.columns))
 
 
 def mark_lowest(

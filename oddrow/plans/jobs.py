@@ -26,6 +26,7 @@ from oddrow.operators.features import Preprocessor, fit_preprocessor
 from oddrow.operators.quality import Quality
 from oddrow.operators.selection import (
     ATTACK,
+    RANK,
     SPLIT,
     TRAIN,
     Split,
@@ -35,6 +36,7 @@ from oddrow.operators.selection import (
 )
 from oddrow.operators.threshold import fit_threshold
 from oddrow.params import JobParams
+from oddrow.plans.session import compiled, compiled_methods
 from oddrow.profiles import NSL_KDD, NSL_KDD_RAW_HEADER, Profile, get_profile
 from oddrow.sources import artefacts
 from oddrow.sources.storage import Scratch, exists
@@ -69,13 +71,20 @@ def clean(rows: DataFrame, profile: Profile, scratch: Scratch, seed: int) -> Dat
     """Duplicates removed over the required columns, and rows ranked for the split; written
     once for all later passes."""
     kept = dedup(rows, profile.required, profile.key)
-    return scratch.keep(with_rank(kept, seed, profile.key or profile.required), "clean")
+    ranked = with_rank(kept, seed, profile.key, profile.required)
+    with compiled_methods(rows.sparkSession):
+        return scratch.keep(ranked, "clean")
 
 
 def preprocess(
     cleaned: DataFrame, profile: Profile, params: JobParams, source: str
 ) -> Prepared:
     """Check values, split the normal rows, fit on the training part."""
+    with compiled_methods(cleaned.sparkSession):
+        return _preprocess(cleaned, profile, params, source)
+
+
+def _preprocess(cleaned: DataFrame, profile: Profile, params: JobParams, source: str) -> Prepared:
     quality = Quality.of(cleaned, profile)
     quality.check_values(source)
     rows = cleaned.drop(COPIES, BAD_CELLS)
@@ -86,18 +95,20 @@ def preprocess(
 
 
 def fit_model(
-    prepared: Prepared, params: JobParams, profile: Profile, dtype: str = "float32"
+    prepared: Prepared, params: JobParams, dtype: str = "float32"
 ) -> TrainingResult:
     """Train the autoencoder on the normal rows."""
     layout = layout_for(params.architecture, prepared.preprocessor.width, dtype)
-    encoded = prepared.preprocessor.transform(prepared.normal)
+    element = "float" if dtype == "float32" else "double"
+    encoded = prepared.preprocessor.transform(prepared.normal, element)
     count = shard_count(params.training, prepared.split.n_train + prepared.split.n_val)
-    identity = (*profile.key, *profile.required)
     seed = params.training.random_seed
-    shards = make_shards(encoded, F.col(SPLIT) == TRAIN, identity, count, seed, dtype)
+    with compiled_methods(prepared.rows.sparkSession):
+        shards = make_shards(encoded, F.col(SPLIT) == TRAIN, [RANK], count, seed, dtype)
     return train_autoencoder(shards, layout, params.training)
 
 
+@compiled
 def train(
     spark: SparkSession,
     params: JobParams | Mapping[str, Any],
@@ -122,12 +133,12 @@ def train(
         prepared = preprocess(cleaned, profile, params, source)
         artefacts.save_preprocessor(spark, run, prepared.preprocessor)
 
-        result = fit_model(prepared, params, profile)
+        result = fit_model(prepared, params)
         artefacts.save_weights(spark, f"{run}/{artefacts.WEIGHTS}", result.model)
         write_table(result.history_table(spark).coalesce(1), f"{run}/{artefacts.HISTORY}")
 
         # One scoring pass serves the threshold and the evaluation.
-        scored = result.model.score(prepared.preprocessor.transform(prepared.rows))
+        scored = result.model.score(prepared.preprocessor.transform(prepared.rows, "float"))
         kept = [*profile.key, SPLIT, binary_label(profile).alias(M.LABEL), "mse"]
         write_table(scored.select(*kept), f"{run}/{artefacts.SCORES}")
         scores = spark.read.parquet(f"{run}/{artefacts.SCORES}")
@@ -150,6 +161,7 @@ def train(
     return run
 
 
+@compiled
 def evaluate(spark: SparkSession, scored: DataFrame, run: str | None = None) -> dict[str, Any]:
     """Metrics of rows with ``y``, ``prediction`` and ``mse``; with a run folder also the
     tables behind the confusion matrix, ROC and error-histogram charts."""
@@ -212,7 +224,8 @@ def apply_run(spark: SparkSession, rows: DataFrame, run: str) -> DataFrame:
             f"the fitted encoder gives {fitted.width}"
         )
     threshold = artefacts.load_threshold(spark, run)
-    return model.predict(fitted.transform(rows), threshold.threshold).drop("features")
+    element = "float" if model.layout.dtype == "float32" else "double"
+    return model.predict(fitted.transform(rows, element), threshold.threshold).drop("features")
 
 
 def report(spark: SparkSession, run: str) -> DataFrame:
@@ -264,6 +277,7 @@ class PrepareResult:
     attack: int
 
 
+@compiled
 def prepare(
     spark: SparkSession,
     raw_path: str,

@@ -390,8 +390,8 @@ def q_score_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_train_score(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
     """Train on the normal rows, take the threshold from them, flag all rows."""
     ready = prepared(spark, sf_dir, profile)
-    result = jobs.fit_model(ready, job_params(profile), profile)
-    rows = result.model.score(ready.preprocessor.transform(ready.rows))
+    result = jobs.fit_model(ready, job_params(profile))
+    rows = result.model.score(ready.preprocessor.transform(ready.rows, "float"))
     rows = rows.select(*profile.key, SPLIT, binary_label(profile).alias(M.LABEL), "mse")
     scores = Scratch(spark).keep(rows, "scores")
     limit = threshold_of(scores).threshold
@@ -400,7 +400,7 @@ def q_train_score(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFra
 
 def q_training_history(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
     ready = prepared(spark, sf_dir, profile)
-    return jobs.fit_model(ready, job_params(profile), profile).history_table(spark)
+    return jobs.fit_model(ready, job_params(profile)).history_table(spark)
 
 
 # -- preparing raw files -----------------------------------------------------------------

@@ -44,7 +44,7 @@ def test_scores_equal_plain_numpy(spark):
     rows, values = table(spark)
     model = random_model()
     x = values.astype("float32")
-    expected = N.row_errors(x, N.reconstruct(LAYOUT, model.vector, x))
+    expected = N.row_errors(x, N.Forward(LAYOUT, model.vector)(x))
     got = {r.id: r.mse for r in model.score(rows).select("id", "mse").collect()}
     assert len(got) == len(values)
     assert np.allclose([got[i] for i in range(len(values))], expected, rtol=1e-5)
@@ -55,7 +55,7 @@ def test_reconstruction(spark):
     rows, values = table(spark, n=20)
     model = random_model()
     out = model.reconstruct(rows).collect()
-    expected = N.reconstruct(LAYOUT, model.vector, values.astype("float32"))
+    expected = N.Forward(LAYOUT, model.vector)(values.astype("float32"))
     for r in out:
         assert np.allclose(r.reconstruction, expected[r.id], atol=1e-5)
         assert math.isclose(r.mse, np.mean((values[r.id] - expected[r.id]) ** 2), rel_tol=1e-4)
@@ -118,7 +118,7 @@ def sequential(shard, hyper, epochs):
                 LAYOUT, state, batch, rng, hyper.learning_rate, hyper.lr_schedule
             )
             losses.append(loss * len(batch))
-        rebuilt = N.reconstruct(LAYOUT, state.vector, x[~train])
+        rebuilt = N.Forward(LAYOUT, state.vector)(x[~train])
         history.append((sum(losses) / len(rows), N.row_errors(x[~train], rebuilt).mean()))
     return state, history
 

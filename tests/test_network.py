@@ -88,7 +88,7 @@ def test_scoring_uses_running_statistics():
     h = np.maximum(h @ w["bottleneck", "kernel"] + w["bottleneck", "bias"], 0)
     h = hidden(h, "dec_dense_0")
     expected = h @ w["output", "kernel"] + w["output", "bias"]
-    assert np.allclose(N.reconstruct(layout, vector, x), expected)
+    assert np.allclose(N.Forward(layout, vector)(x), expected)
     assert np.allclose(N.row_errors(x, expected), ((x - expected) ** 2).mean(1))
 
 
