@@ -10,6 +10,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from oddrow.operators.threshold import sampled_values
+
 LABEL, PREDICTION, SCORE = "y", "prediction", "mse"
 HISTOGRAM_BINS = 30
 AUC_WARNING_LEVEL = 0.80
@@ -176,7 +178,7 @@ class RankedScores:
 def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
     """Group the rows by score; ties collapse before the shuffle.
 
-    The range bounds are quantiles, so running sums are taken range by range and no task sorts
+    The range bounds are quantiles of a sample, so running sums are taken range by range and no task sorts
     the whole table.
     """
     scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias("s"))
@@ -185,9 +187,10 @@ def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
     count = min(MAX_RANGES, -(-rows // range_rows))
     bounds: list[float] = []
     if count > 1:
-        at = [i / count for i in range(1, count)]
-        sketch = F.percentile_approx("s", at, max(10_000, 4 * count))
-        bounds = sorted(b for b in set(scored.agg(sketch).first()[0]) if math.isfinite(b))
+        sample = sampled_values(scored.withColumnRenamed("s", "x"), rows)
+        places = [len(sample) * i // count for i in range(1, count)]
+        bounds = sorted({float(sample[i]) for i in places if i < len(sample)})
+        bounds = [b for b in bounds if math.isfinite(b)]
     if bounds:
         splits = [float("-inf"), *bounds, float("inf")]
         scored = Bucketizer(splits=splits, inputCol="s", outputCol="r").transform(scored)

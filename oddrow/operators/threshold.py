@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +14,9 @@ from oddrow.functions.cells import column, number
 
 # Up to this many rows the built-in exact percentile, which holds all values in one task, is used.
 SMALL_ROWS = 1_000_000
+# Values that the driver takes at a time: a sample that proposes an interval, or the last few.
 FETCH_ROWS = 65_536
-SKETCH_ACCURACY = 10_000
+SAMPLE_SEED = 42
 
 
 @dataclass(frozen=True)
@@ -25,42 +27,61 @@ class Threshold:
     mse_std: float
 
 
+def sampled_values(values: DataFrame, rows: int, size: int = FETCH_ROWS) -> np.ndarray:
+    """About ``size`` of the ``rows`` values of the column ``x``, sorted; all if there are fewer.
+
+    A sample only ever proposes bounds, which exact counts then confirm. Quantile sketches would
+    bring every task's sketch to a single task.
+    """
+    if rows > size:
+        values = values.sample(fraction=size / rows, seed=SAMPLE_SEED)
+    return np.sort(values.select("x").toPandas()["x"].to_numpy())
+
+
+def _interval(sample: np.ndarray, share: float) -> tuple[float, float]:
+    """Sample values around a quantile, wide enough to hold it almost surely."""
+    m = len(sample)
+    center = share * m
+    margin = 4.0 * math.sqrt(m * share * (1.0 - share)) + 8.0
+    low, high = math.floor(center - margin), math.ceil(center + margin)
+    if low <= 0 and high >= m - 1:
+        # Too few values for an interval: a pivot halves the range instead.
+        low = high = min(math.floor(center), m - 1)
+    return float(sample[max(low, 0)]), float(sample[min(high, m - 1)])
+
+
 def kth_smallest(values: DataFrame, k: int, n: int, fetch_rows: int = FETCH_ROWS) -> float:
     """The value of rank ``k`` (from 0) among ``n`` non-null values of the column ``x``.
 
-    A quantile sketch proposes an interval, exact counts confirm or correct it, and the search
-    goes on strictly inside, so heavily tied values leave the interval in one round. Only counts
-    and the last few values reach the driver.
+    A sample proposes an interval, exact counts confirm or correct it, and the search goes on
+    strictly inside or outside, so heavily tied values leave the interval in one round.
     """
     x = F.col("x")
-    low, high = values.agg(F.min("x"), F.max("x")).first()
     inside, below, count = values, 0, n
-    while True:
-        share = (k - below + 0.5) / count
-        margin = 2.0 / SKETCH_ACCURACY
-        at = [max(share - margin, 0.0), min(share + margin, 1.0)]
-        guess = inside.agg(F.percentile_approx("x", at, SKETCH_ACCURACY)).first()[0]
-        lo, hi = max(guess[0], low), min(guess[1], high)
-        c = values.agg(
+    while count > fetch_rows:
+        sample = sampled_values(inside, count, fetch_rows)
+        if not len(sample):
+            sample = np.array([inside.first().x])
+        lo, hi = _interval(sample, (k - below + 0.5) / count)
+        c = inside.agg(
             F.count_if(x < lo).alias("lt_lo"),
             F.count_if(x <= lo).alias("le_lo"),
             F.count_if(x < hi).alias("lt_hi"),
             F.count_if(x <= hi).alias("le_hi"),
         ).first()
-        if c.lt_lo <= k < c.le_lo:
+        place = k - below
+        if c.lt_lo <= place < c.le_lo:
             return lo
-        if c.lt_hi <= k < c.le_hi:
+        if c.lt_hi <= place < c.le_hi:
             return hi
-        if k < c.lt_lo:
-            inside, high, count = inside.filter(x < lo), lo, c.lt_lo - below
-        elif k >= c.le_hi:
-            inside, low = inside.filter(x > hi), hi
-            below, count = c.le_hi, count - (c.le_hi - below)
+        if place < c.lt_lo:
+            inside, count = inside.filter(x < lo), c.lt_lo
+        elif place >= c.le_hi:
+            inside, below, count = inside.filter(x > hi), below + c.le_hi, count - c.le_hi
         else:
-            inside, low, high = inside.filter((x > lo) & (x < hi)), lo, hi
-            below, count = c.le_lo, c.lt_hi - c.le_lo
-        if count <= fetch_rows:
-            return sorted(r.x for r in inside.collect())[k - below]
+            inside = inside.filter((x > lo) & (x < hi))
+            below, count = below + c.le_lo, c.lt_hi - c.le_lo
+    return float(sampled_values(inside, count, fetch_rows)[k - below])
 
 
 def exact_percentile(

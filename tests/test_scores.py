@@ -82,6 +82,14 @@ def test_kth_smallest(spark):
         assert kth_smallest(values, k, 5_000, fetch_rows=5) == expected[k]
 
 
+def test_search_with_a_working_sample(spark):
+    """Sizes at which the sample gives true intervals, several rounds deep."""
+    values = spark.range(200_000).selectExpr("exp(rand(3) * 20) AS x").cache()
+    expected = np.sort(values.toPandas()["x"].to_numpy())
+    for k in (0, 17, 100_000, 190_000, 199_999):
+        assert kth_smallest(values, k, 200_000, fetch_rows=2_000) == expected[k]
+
+
 def test_missing_scores_are_left_out(spark):
     rows = frame(spark, [1.0, math.nan, 3.0])
     assert fit_threshold(rows, 50).threshold == 2.0
