@@ -128,6 +128,11 @@ def metrics(p: Profile) -> str:
     return f"{flagged(p)} SELECT {columns} FROM cells"
 
 
+def threshold(p: Profile) -> str:
+    columns = ", ".join(r(c, c) for c in ("threshold", "mse_mean", "mse_std"))
+    return f"{flagged(p)} SELECT {PERCENTILE} AS percentile, {columns} FROM lim"
+
+
 # Groups per distinct score with running sums from the highest score down.
 GROUPS = """groups AS (
   SELECT mse, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg
@@ -248,7 +253,7 @@ def forward(p: Profile, layout: Layout) -> str:
         inputs, came = [f"h{step}_{j}" for j in range(d.n_out)], f"layer{step}"
     squares = " + ".join(f"(z{i} - {x}) * (z{i} - {x})" for i, x in enumerate(inputs))
     rebuilt = ", ".join(f"{x} AS r{i}" for i, x in enumerate(inputs))
-    net = f"net AS (SELECT {keys(p)}, {rebuilt}, ({squares}) / {len(inputs)}.0e0 AS mse FROM {came})"
+    net = f"net AS (SELECT {keys(p)}, split, {rebuilt}, ({squares}) / {len(inputs)}.0e0 AS mse FROM {came})"
     return ",\n".join([fitted(p), *ctes, net])
 
 
@@ -350,6 +355,15 @@ FROM rows LEFT JOIN slots ON l_linestatus = category""",
         + f", {r('mse', 'mse')} FROM net",
         "score_fixed_weights": f"{forward(EVENTS, FIXED_LAYOUT)} SELECT event_id, "
         f"{r('mse', 'mse')}, CASE WHEN mse >= 1.0 THEN 1 ELSE 0 END AS prediction FROM net",
+        "threshold_artefact": threshold(p),
+        "scaler_artefact": scaler(p),
+        "encoder_artefact": f"""{prepared(p)}
+SELECT 'l_linestatus' AS column, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS place,
+  category FROM (SELECT DISTINCT l_linestatus AS category FROM rows WHERE split = 'train')""",
+        "score_job": f"""{forward(EVENTS, FIXED_LAYOUT)},
+lim AS (SELECT quantile_cont(mse, {PERCENTILE / 100}) AS threshold FROM net WHERE split = 'train')
+SELECT event_id, {r('mse', 'mse')}, CASE WHEN mse >= threshold THEN 1 ELSE 0 END AS prediction
+FROM net, lim""",
         "prepare_dataset": RAW_EVENTS,
         "prepare_sample": f"{RAW_EVENTS} ORDER BY "
         f"md5(concat_ws('|', '{SEED}', CAST(event_id AS VARCHAR))) LIMIT {SAMPLE_SIZE}",
@@ -378,13 +392,7 @@ FROM rows LEFT JOIN slots ON l_linestatus = category""",
             lambda q: f"{scored(q)} SELECT {keys(q)}, split, y, {r('mse', 'mse')} FROM scores",
             (LINEITEM, EVENTS),
         ),
-        (
-            "threshold_percentile",
-            lambda q: f"{flagged(q)} SELECT {PERCENTILE} AS percentile, "
-            + ", ".join(r(c, c) for c in ("threshold", "mse_mean", "mse_std"))
-            + " FROM lim",
-            (LINEITEM, EVENTS),
-        ),
+        ("threshold_percentile", threshold, (LINEITEM, EVENTS)),
         (
             "predict_flags",
             lambda q: f"{flagged(q)} SELECT {keys(q)}, y, prediction FROM flags",

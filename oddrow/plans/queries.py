@@ -32,6 +32,7 @@ from oddrow.operators.threshold import Threshold, fit_threshold, score_stats
 from oddrow.params import JobParams
 from oddrow.plans import jobs
 from oddrow.profiles import EMBEDDINGS, EVENTS, LINEITEM, Profile
+from oddrow.sources import artefacts
 from oddrow.sources.storage import Scratch
 from oddrow.sources.tables import load_table, project, write_table
 
@@ -403,6 +404,49 @@ def q_training_history(spark: SparkSession, sf_dir: str, profile: Profile) -> Da
     return jobs.fit_model(ready, job_params(profile)).history_table(spark)
 
 
+# -- stored artefacts --------------------------------------------------------------------
+
+
+def q_threshold_artefact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The threshold as read back from a run folder."""
+    run = Scratch(spark).path
+    artefacts.save_threshold(spark, run, threshold_of(scored(spark, sf_dir, LINEITEM)))
+    found = artefacts.load_threshold(spark, run)
+    row = [(found.threshold, found.percentile, found.mse_mean, found.mse_std)]
+    schema = "threshold double, percentile int, mse_mean double, mse_std double"
+    out = spark.createDataFrame(row, schema)
+    return out.select(
+        "percentile", *[rounded(F.col(c), c) for c in ("threshold", "mse_mean", "mse_std")]
+    )
+
+
+def q_scaler_artefact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = Scratch(spark).path
+    artefacts.save_preprocessor(spark, run, prepared(spark, sf_dir, LINEITEM).preprocessor)
+    rows = spark.read.parquet(f"{run}/{artefacts.SCALER}")
+    return rows.select("column", *[rounded(F.col(c), c) for c in ("mean", "std", "scale")])
+
+
+def q_encoder_artefact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = Scratch(spark).path
+    artefacts.save_preprocessor(spark, run, prepared(spark, sf_dir, LINEITEM).preprocessor)
+    return spark.read.parquet(f"{run}/{artefacts.ENCODER}").select("column", "place", "category")
+
+
+def q_score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scoring job on a stored run: fitted preprocessing, fixed weights, fitted threshold."""
+    run = Scratch(spark).path
+    ready = prepared(spark, sf_dir, EVENTS)
+    model = Autoencoder(FIXED_LAYOUT, fixed_vector())
+    artefacts.write_record(spark, f"{run}/{artefacts.PARAMS}", job_params(EVENTS).to_mapping())
+    artefacts.save_preprocessor(spark, run, ready.preprocessor)
+    artefacts.save_weights(spark, f"{run}/{artefacts.WEIGHTS}", model)
+    train = model.score(ready.preprocessor.transform(ready.train))
+    artefacts.save_threshold(spark, run, fit_threshold(train, PERCENTILE))
+    rows = jobs.score(spark, table(spark, sf_dir, "events"), run)
+    return rows.select(*EVENTS.key, rounded(F.col("mse"), "mse"), M.PREDICTION)
+
+
 # -- preparing raw files -----------------------------------------------------------------
 
 
@@ -455,6 +499,10 @@ def all_queries() -> dict[str, Query]:
         "run_report": q_run_report,
         "reconstruct_fixed_weights": q_reconstruct_fixed,
         "score_fixed_weights": q_score_fixed,
+        "threshold_artefact": q_threshold_artefact,
+        "scaler_artefact": q_scaler_artefact,
+        "encoder_artefact": q_encoder_artefact,
+        "score_job": q_score_job,
         "prepare_dataset": q_prepare_dataset,
         "prepare_sample": q_prepare_sample,
         "prepare_summary": q_prepare_summary,
