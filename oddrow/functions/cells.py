@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The spellings that a CSV reader takes as a missing value.
 MISSING_TEXT = (
@@ -21,6 +25,13 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def one_row(spark: SparkSession, record: Mapping[str, Any], schema: str) -> DataFrame:
+    """A table of one row from literals, which unlike Python rows needs no job of its own."""
+    kinds = T.StructType.fromDDL(schema)
+    cells = [F.lit(record[f.name]).cast(f.dataType).alias(f.name) for f in kinds]
+    return spark.range(0, 1, 1, 1).select(*cells)
+
+
 def text_cell(value: Column) -> Column:
     return F.when(~value.isin(*MISSING_TEXT), value)
 

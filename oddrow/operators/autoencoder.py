@@ -188,16 +188,16 @@ def _mini_batches(
 PASS_SCHEMA = (
     "shard int, n bigint, loss double, val_n bigint, val_loss double, steps bigint, state binary"
 )
-_PASS_FIELDS = [f.split()[0] for f in PASS_SCHEMA.split(", ")]
+_PASS_TYPES = pa.schema(
+    [
+        ("shard", pa.int32()), ("n", pa.int64()), ("loss", pa.float64()), ("val_n", pa.int64()),
+        ("val_loss", pa.float64()), ("steps", pa.int64()), ("state", pa.binary()),
+    ]
+)
 
 
 def _pass_batch(rows: list[dict]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.int64(), pa.binary()]
-    columns = [
-        pa.array([r[name] for r in rows], type=kind)
-        for name, kind in zip(_PASS_FIELDS, types, strict=True)
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=_PASS_FIELDS)
+    return pa.RecordBatch.from_pylist(rows, schema=_PASS_TYPES)
 
 
 def _merge(layout: Layout, parts: list[dict]) -> dict:

@@ -10,6 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from oddrow.functions.cells import one_row
 from oddrow.operators.threshold import sampled_values
 
 LABEL, PREDICTION, SCORE = "y", "prediction", "mse"
@@ -138,7 +139,8 @@ class RankedScores:
         """Points (threshold, fpr, tpr) from the strictest threshold down, from infinity.
 
         Points in the middle of a straight step are left out by default, as they do not bend
-        the curve; the strictest and the loosest threshold always stay. A rate whose class is absent is null.
+        the curve; the strictest and the loosest threshold always stay. A rate whose class is
+        absent is null.
         """
         above = {"pos": 0, "neg": 0}
         offsets: dict[str, list[int | None]] = {"pos": [], "neg": []}
@@ -165,8 +167,9 @@ class RankedScores:
             bends = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
             first = F.col("fps") + F.col("tps") == F.col("pos") + F.col("neg")
             points = points.filter(first | F.col("next_pos").isNull() | bends)
-        start = self.groups.sparkSession.createDataFrame(
-            [(float("inf"), 0, 0)], "threshold double, fps bigint, tps bigint"
+        origin = {"threshold": math.inf, "fps": 0, "tps": 0}
+        start = one_row(
+            self.groups.sparkSession, origin, "threshold double, fps bigint, tps bigint"
         )
         return start.unionByName(points.select("threshold", "fps", "tps")).select(
             "threshold",
@@ -178,8 +181,8 @@ class RankedScores:
 def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
     """Group the rows by score; ties collapse before the shuffle.
 
-    The range bounds are quantiles of a sample, so running sums are taken range by range and no task sorts
-    the whole table.
+    The range bounds are quantiles of a sample, so running sums are taken range by range and no
+    task sorts the whole table.
     """
     scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias("s"))
     scored = scored.filter(F.col("s").isNotNull() & ~F.isnan("s"))
@@ -221,8 +224,8 @@ def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
 def auc_roc(df: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row: AUC (null with one class) and whether it is below the warning level."""
     auc = rank_scores(df, range_rows).auc()
-    low = None if auc is None else auc < AUC_WARNING_LEVEL
-    return df.sparkSession.createDataFrame([(auc, low)], "auc_roc double, below_warning boolean")
+    found = {"auc_roc": auc, "below_warning": None if auc is None else auc < AUC_WARNING_LEVEL}
+    return one_row(df.sparkSession, found, "auc_roc double, below_warning boolean")
 
 
 def roc_curve(
@@ -287,6 +290,5 @@ def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     joined = grid.join(
         F.broadcast(counted), (grid.label == counted.y) & (grid.bin == counted.b), "left"
     )
-    return joined.select(
-        "label", "bin", "lower", "upper", F.coalesce("count", F.lit(0)).cast("bigint").alias("records")
-    )
+    records = F.coalesce("count", F.lit(0)).cast("bigint").alias("records")
+    return joined.select("label", "bin", "lower", "upper", records)

@@ -118,7 +118,7 @@ class Quality:
         """Numbers must be numbers: unreadable, missing or infinite cells stop the job."""
         problems = []
         if self.bad_cells:
-            problems.append(f"{self.bad_cells} cells that are not numbers or rows of a wrong length")
+            problems.append(f"{self.bad_cells} unreadable numbers or rows of a wrong length")
         if self.missing:
             problems.append(f"missing values in {self.missing}")
         if self.infinite:

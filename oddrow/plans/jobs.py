@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddrow.errors import ArtifactNotFoundError, DataLoadError, InferenceError
+from oddrow.functions.cells import one_row
 from oddrow.functions.labels import binary_label, is_normal
 from oddrow.functions.scores import anomaly_flag
 from oddrow.operators import metrics as M
@@ -140,8 +141,9 @@ def train(
         # One scoring pass serves the threshold and the evaluation.
         scored = result.model.score(prepared.preprocessor.transform(prepared.rows, "float"))
         kept = [*profile.key, SPLIT, binary_label(profile).alias(M.LABEL), "mse"]
-        write_table(scored.select(*kept), f"{run}/{artefacts.SCORES}")
-        scores = spark.read.parquet(f"{run}/{artefacts.SCORES}")
+        written = scored.select(*kept)
+        write_table(written, f"{run}/{artefacts.SCORES}", partition_by=[SPLIT])
+        scores = spark.read.schema(written.schema).parquet(f"{run}/{artefacts.SCORES}")
 
         threshold = fit_threshold(
             scores.filter(F.col(SPLIT) == TRAIN),
@@ -168,8 +170,8 @@ def evaluate(spark: SparkSession, scored: DataFrame, run: str | None = None) ->
     missing = [c for c in (M.LABEL, M.PREDICTION, M.SCORE) if c not in scored.columns]
     if missing:
         raise InferenceError(f"rows to evaluate lack columns: {missing}")
-    cells = M.cell_counts(scored)
-    cells = spark.createDataFrame([cells.first()], cells.schema)
+    counts = M.cell_counts(scored).first().asDict()
+    cells = one_row(spark, counts, ", ".join(f"{name} bigint" for name in counts))
     ranked = M.rank_scores(scored)
     found = M.classification_metrics(cells).first().asDict() | {"auc_roc": ranked.auc()}
     if run is not None:
@@ -191,7 +193,8 @@ def score(
 
     ``data`` is a path, or a DataFrame with the columns of the run's profile. The label may be
     absent. A row with a missing or unreadable number has no score (NaN) and is not flagged;
-    rows read from CSV show such cells in ``bad_cells``. With ``output`` the scores are written there as a table and read back.
+    rows read from CSV show such cells in ``bad_cells``. With ``output`` the scores are written
+    there as a table and read back.
     """
     artefacts.check_artefacts(spark, run)
     params = JobParams.from_mapping(
@@ -305,8 +308,3 @@ def prepare(
         table = load_table(spark, table_path, profile).select(*kept)
     write_table(sample_rows(table, sample_size, seed, key), sample_path, fmt)
     return PrepareResult(table_path, sample_path, quality.total, quality.normal, quality.attack)
-
-
-def with_dataset(params: JobParams, path: str) -> JobParams:
-    """The same parameters for another input."""
-    return replace(params, dataset=replace(params.dataset, path=path))

@@ -238,7 +238,8 @@ def forward(p: Profile, layout: Layout) -> str:
     for step, d in enumerate(layout.layers):
         units = []
         for j in range(d.n_out):
-            terms = [f"({float(w[d.name, 'kernel'][i, j])!r}e0) * {x}" for i, x in enumerate(inputs)]
+            column = w[d.name, "kernel"][:, j]
+            terms = [f"({float(v)!r}e0) * {x}" for v, x in zip(column, inputs, strict=True)]
             unit = " + ".join([*terms, f"({float(w[d.name, 'bias'][j])!r}e0)"])
             if d.activation == "relu":
                 unit = f"greatest({unit}, 0.0e0)"
@@ -253,7 +254,8 @@ def forward(p: Profile, layout: Layout) -> str:
         inputs, came = [f"h{step}_{j}" for j in range(d.n_out)], f"layer{step}"
     squares = " + ".join(f"(z{i} - {x}) * (z{i} - {x})" for i, x in enumerate(inputs))
     rebuilt = ", ".join(f"{x} AS r{i}" for i, x in enumerate(inputs))
-    net = f"net AS (SELECT {keys(p)}, split, {rebuilt}, ({squares}) / {len(inputs)}.0e0 AS mse FROM {came})"
+    mse = f"({squares}) / {len(inputs)}.0e0 AS mse"
+    net = f"net AS (SELECT {keys(p)}, split, {rebuilt}, {mse} FROM {came})"
     return ",\n".join([fitted(p), *ctes, net])
 
 
@@ -358,8 +360,9 @@ FROM rows LEFT JOIN slots ON l_linestatus = category""",
         "threshold_artefact": threshold(p),
         "scaler_artefact": scaler(p),
         "encoder_artefact": f"""{prepared(p)}
-SELECT 'l_linestatus' AS column, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS place,
-  category FROM (SELECT DISTINCT l_linestatus AS category FROM rows WHERE split = 'train')""",
+SELECT 'l_linestatus' AS column,
+  CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS place, category
+FROM (SELECT DISTINCT l_linestatus AS category FROM rows WHERE split = 'train')""",
         "score_job": f"""{forward(EVENTS, FIXED_LAYOUT)},
 lim AS (SELECT quantile_cont(mse, {PERCENTILE / 100}) AS threshold FROM net WHERE split = 'train')
 SELECT event_id, {r('mse', 'mse')}, CASE WHEN mse >= threshold THEN 1 ELSE 0 END AS prediction

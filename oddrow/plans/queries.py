@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from dataclasses import asdict
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oddrow.functions.cells import one_row
 from oddrow.functions.encoding import one_hot, standard_score
 from oddrow.functions.labels import binary_label, is_attack, is_normal
 from oddrow.functions.scores import anomaly_flag, mean_square
@@ -101,26 +103,34 @@ def baseline_score(fitted: jobs.Preprocessor) -> Column:
     ).alias("mse")
 
 
-def scored(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    """Key, split, binary label and baseline score of all deduplicated rows, written once."""
+def scored_with_size(
+    spark: SparkSession, sf_dir: str, profile: Profile
+) -> tuple[DataFrame, int]:
+    """Key, split, binary label and baseline score of all deduplicated rows, written once, and
+    the number of training rows."""
     ready = prepared(spark, sf_dir, profile)
-    rows = ready.rows.select(
-        *profile.key, SPLIT, binary_label(profile).alias(M.LABEL), baseline_score(ready.preprocessor)
-    )
-    return Scratch(spark).keep(rows, "scores")
+    label, mse = binary_label(profile).alias(M.LABEL), baseline_score(ready.preprocessor)
+    rows = ready.rows.select(*profile.key, SPLIT, label, mse)
+    return Scratch(spark).keep(rows, "scores"), ready.split.n_train
+
+
+def scored(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    return scored_with_size(spark, sf_dir, profile)[0]
 
 
-def threshold_of(scores: DataFrame) -> Threshold:
-    return fit_threshold(scores.filter(F.col(SPLIT) == TRAIN), PERCENTILE)
+def threshold_of(scores: DataFrame, n_train: int) -> Threshold:
+    return fit_threshold(scores.filter(F.col(SPLIT) == TRAIN), PERCENTILE, max_rows=n_train)
 
 
 def flagged(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    scores = scored(spark, sf_dir, profile)
-    limit = threshold_of(scores).threshold
+    scores, n_train = scored_with_size(spark, sf_dir, profile)
+    limit = threshold_of(scores, n_train).threshold
     return scores.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), limit))
 
 
-def _per_profile(query: Callable[[SparkSession, str, Profile], DataFrame], profile: Profile) -> Query:
+def _per_profile(
+    query: Callable[[SparkSession, str, Profile], DataFrame], profile: Profile
+) -> Query:
     return lambda spark, sf_dir: query(spark, sf_dir, profile)
 
 
@@ -271,11 +281,12 @@ def q_scores(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
 
 
 def q_threshold(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    found = threshold_of(scored(spark, sf_dir, profile))
-    row = (found.threshold, found.percentile, found.mse_mean, found.mse_std)
-    out = spark.createDataFrame(
-        [row], "threshold double, percentile int, mse_mean double, mse_std double"
-    )
+    return threshold_row(spark, threshold_of(*scored_with_size(spark, sf_dir, profile)))
+
+
+def threshold_row(spark: SparkSession, found: Threshold) -> DataFrame:
+    schema = "threshold double, percentile int, mse_mean double, mse_std double"
+    out = one_row(spark, asdict(found), schema)
     return out.select(
         "percentile", *[rounded(F.col(c), c) for c in ("threshold", "mse_mean", "mse_std")]
     )
@@ -327,8 +338,8 @@ def q_error_histogram(spark: SparkSession, sf_dir: str, profile: Profile) -> Dat
 
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> tuple[dict, Threshold, DataFrame]:
-    scores = scored(spark, sf_dir, LINEITEM)
-    limit = threshold_of(scores)
+    scores, n_train = scored_with_size(spark, sf_dir, LINEITEM)
+    limit = threshold_of(scores, n_train)
     rows = scores.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), limit.threshold))
     return jobs.evaluate(spark, rows), limit, rows
 
@@ -348,7 +359,7 @@ def q_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, limit, _ = _evaluation(spark, sf_dir)
-    rows = jobs.report_rows(found, limit.__dict__)
+    rows = jobs.report_rows(found, asdict(limit))
     return spark.createDataFrame(
         rows, "metric string, value string, normal string, anomalous string"
     )
@@ -395,7 +406,7 @@ def q_train_score(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFra
     rows = result.model.score(ready.preprocessor.transform(ready.rows, "float"))
     rows = rows.select(*profile.key, SPLIT, binary_label(profile).alias(M.LABEL), "mse")
     scores = Scratch(spark).keep(rows, "scores")
-    limit = threshold_of(scores).threshold
+    limit = threshold_of(scores, ready.split.n_train).threshold
     return scores.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), limit))
 
 
@@ -410,14 +421,9 @@ def q_training_history(spark: SparkSession, sf_dir: str, profile: Profile) -> Da
 def q_threshold_artefact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The threshold as read back from a run folder."""
     run = Scratch(spark).path
-    artefacts.save_threshold(spark, run, threshold_of(scored(spark, sf_dir, LINEITEM)))
-    found = artefacts.load_threshold(spark, run)
-    row = [(found.threshold, found.percentile, found.mse_mean, found.mse_std)]
-    schema = "threshold double, percentile int, mse_mean double, mse_std double"
-    out = spark.createDataFrame(row, schema)
-    return out.select(
-        "percentile", *[rounded(F.col(c), c) for c in ("threshold", "mse_mean", "mse_std")]
-    )
+    found = threshold_of(*scored_with_size(spark, sf_dir, LINEITEM))
+    artefacts.save_threshold(spark, run, found)
+    return threshold_row(spark, artefacts.load_threshold(spark, run))
 
 
 def q_scaler_artefact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,10 +477,8 @@ def q_prepare_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_prepare_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _prepare_events(spark, sf_dir)
-    return spark.createDataFrame(
-        [(found.total, found.normal, found.attack)], "total bigint, normal bigint, attack bigint"
-    )
+    found = asdict(_prepare_events(spark, sf_dir))
+    return one_row(spark, found, "total bigint, normal bigint, attack bigint")
 
 
 def all_queries() -> dict[str, Query]:

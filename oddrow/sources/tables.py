@@ -180,9 +180,11 @@ def load_table(
     return project(rows, profile, extras, not is_parquet, path, label_required)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> None:
     """Write a table as Parquet, or as CSV with a header and no index."""
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").partitionBy(*partition_by)
     try:
         if fmt == "csv":
             writer.option("header", True).option("escape", '"').csv(path)

@@ -240,5 +240,6 @@ def test_learns_to_tell_shifted_rows(spark):
         [(0, r.tolist()) for r in normal] + [(1, r.tolist()) for r in odd],
         "y int, features array<double>",
     )
-    means = {r.y: r.m for r in model.score(both).groupBy("y").agg(F.avg("mse").alias("m")).collect()}
+    by_class = model.score(both).groupBy("y").agg(F.avg("mse").alias("mean"))
+    means = {r.y: r["mean"] for r in by_class.collect()}
     assert means[1] > 3 * means[0]

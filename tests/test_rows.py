@@ -71,7 +71,8 @@ def test_unknown_and_missing_labels_are_attacks(spark):
 
 
 def test_counts_add_up(spark):
-    rows = spark.createDataFrame([("normal",)] * 80 + [("neptune",)] * 19 + [(None,)], "label string")
+    labels = [("normal",)] * 80 + [("neptune",)] * 19 + [(None,)]
+    rows = spark.createDataFrame(labels, "label string")
     assert tuple(class_counts(rows, NSL_KDD).first()) == (100, 80, 20)
     assert {tuple(r) for r in distinct_labels(rows, NSL_KDD).collect()} == {
         ("normal", 80), ("neptune", 19), (None, 1),
@@ -109,7 +110,9 @@ def _order(ids, seed):
     return sorted(ids, key=lambda i: hashlib.md5(f"{seed}|{i}".encode()).hexdigest())
 
 
-@given(st.integers(1, 400), st.integers(0, 450), st.integers(0, 5), st.sampled_from([1, 20, 10_000]))
+@given(
+    st.integers(1, 400), st.integers(0, 450), st.integers(0, 5), st.sampled_from([1, 20, 10_000])
+)
 @settings(max_examples=12, deadline=None)
 def test_cut_equals_sorting(spark, n, k, seed, fetch):
     rows = spark.range(n)
