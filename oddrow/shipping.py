@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from oddrow.sources.storage import shared_folder, write_bytes
+
 _shipped: set[str] = set()
 
 
@@ -17,9 +19,10 @@ def ship_package(spark: SparkSession) -> None:
     home = Path(__file__).resolve().parent
     if context.applicationId in _shipped or not home.is_dir():
         return
-    archive = Path(tempfile.mkdtemp(prefix="oddrow-pkg-")) / "oddrow.zip"
+    archive = io.BytesIO()
     with zipfile.ZipFile(archive, "w") as out:
         for path in sorted(home.rglob("*.py")):
             out.write(path, path.relative_to(home.parent))
-    context.addPyFile(str(archive))
+    folder = f"{shared_folder(spark)}/oddrow-package-{context.applicationId}"
+    context.addPyFile(write_bytes(spark, f"{folder}/oddrow.zip", archive.getvalue()))
     _shipped.add(context.applicationId)

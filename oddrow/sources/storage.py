@@ -43,6 +43,17 @@ def make_folder(spark: SparkSession, path: str) -> None:
         raise ArtifactWriteError(f"cannot create '{path}'")
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> str:
+    """Write a small file and return its full address."""
+    fs, target = _open(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return fs.makeQualified(target).toString()
+
+
 def escape_glob(path: str) -> str:
     """Make Spark read ``path`` literally even if it holds glob characters."""
     return "".join("\\" + c if c in GLOB_CHARACTERS else c for c in path)
