@@ -276,7 +276,7 @@ def epoch_pass(
         group = F.floor(F.col("shard") / width).alias("g")
         parts = parts.groupBy(group).applyInArrow(merge, PASS_SCHEMA)
     merged = _merge(layout, [r.asDict() for r in parts.collect()])
-    sent.unpersist()
+    sent.destroy()
     return merged
 
 

@@ -18,7 +18,7 @@ HISTOGRAM_BINS = 30
 AUC_WARNING_LEVEL = 0.80
 
 # Score ranges for running sums: about this many rows each, and at most this many ranges.
-RANGE_ROWS = 1_000_000
+RANGE_ROWS = 250_000
 MAX_RANGES = 4_096
 
 CLASS_METRICS = ("precision", "recall", "f1")
