@@ -124,8 +124,8 @@ class RankedScores:
             return None
         auc = twice_area / (2 * self.positives * self.negatives)
         if auc < AUC_WARNING_LEVEL:
-            message = f"model may be underperforming: AUC-ROC={auc:.4f} is below 0.80"
-            warnings.warn(message, stacklevel=2)
+            level = f"{AUC_WARNING_LEVEL:.2f}"
+            warnings.warn(f"low AUC: {auc:.4f} is below {level}", stacklevel=2)
         return auc
 
     def _per_range(self, values: list[int | None]) -> Column:

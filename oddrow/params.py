@@ -169,7 +169,7 @@ class JobParams:
             )
         for section in _SECTIONS:
             if section not in raw:
-                raise ConfigurationError(f"missing required configuration key: '{section}'")
+                raise ConfigurationError(f"parameters lack the section '{section}'")
         return cls(**{name: _section(name, kind, raw[name]) for name, kind in _SECTIONS.items()})
 
     def to_mapping(self) -> dict[str, Any]:
@@ -195,7 +195,7 @@ def _section(name: str, kind: type, raw: Any) -> Any:
         if entry.name in raw:
             values[entry.name] = raw[entry.name]
         elif f"{name}.{entry.name}" not in _OPTIONAL:
-            raise ConfigurationError(f"missing required configuration key: '{name}.{entry.name}'")
+            raise ConfigurationError(f"parameters lack '{name}.{entry.name}'")
     return kind(**values)
 
 

@@ -542,7 +542,7 @@ def _quiet(query: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         with warnings.catch_warnings():
-            warnings.filterwarnings("ignore", message="model may be underperforming")
+            warnings.filterwarnings("ignore", message="low AUC")
             return query(spark, sf_dir)
 
     return run

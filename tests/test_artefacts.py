@@ -48,8 +48,8 @@ def test_plain_indented_file_is_read(spark, tmp_path):
         ({"threshold": "abc", "mse_mean": 1}, "missing fields.*unparseable fields"),
         ("{not json", "invalid JSON"),
         ("", "invalid JSON"),
-        ([1, 2], "must be a JSON object, got list"),
-        ("3", "must be a JSON object, got int"),
+        ([1, 2], "one JSON object, not a list"),
+        ("3", "one JSON object, not a int"),
     ],
 )
 def test_bad_threshold_files(spark, tmp_path, content, words):

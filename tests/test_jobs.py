@@ -30,7 +30,7 @@ ARTEFACTS = (
     "re_histogram", "metrics.json", "params.json", "history", "scores",
 )
 
-pytestmark = pytest.mark.filterwarnings("ignore:model may be")
+pytestmark = pytest.mark.filterwarnings("ignore:low AUC")
 
 
 @pytest.fixture(scope="module")
