@@ -80,7 +80,31 @@ _EXACT_DEDUP = """
       sha256(coalesce(text, '')) AS text_sha256
     FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 
+_NGRAM_JOIN = f"""
+    WITH RECURSIVE cut AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{SPACE}]+') AS w
+      FROM documents),
+    sets AS (
+      SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3),
+          lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+      FROM cut),
+    items AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+    pairs AS (
+      SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS m, any_value(y.n) AS n,
+        count(*) AS common
+      FROM items x JOIN items y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS MATERIALIZED (
+      SELECT a, b FROM pairs WHERE 100 * common >= 75 * (m + n - common)),
+    reach AS (
+      SELECT doc_id, doc_id AS other FROM sets
+      UNION SELECT reach.doc_id, b FROM reach JOIN links ON other = a)
+    SELECT doc_id, any_value(len(s)) AS n_shingles, min(other) AS component_id
+    FROM sets JOIN reach USING (doc_id) GROUP BY doc_id"""
+
 ORACLES: dict[str, str] = {
+    "op1_ngram_join": _NGRAM_JOIN,
     "op6_rules": _rules(),
     "op7_chat": _CHAT,
     "op8_exact_dedup": _EXACT_DEDUP,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddrow.llm import bpe, chat, cuckoo, mixing, rules, token_files
+from oddrow.llm import bpe, chat, cuckoo, mixing, ngram_join, rules, token_files
 from oddrow.llm.common import table
 from oddrow.sources.storage import Scratch
 
@@ -17,6 +17,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Queries leave their intermediate tables behind, since their result is read from them later.
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_near(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), path)
@@ -70,5 +74,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_bpe, op5_token_files, op6_rules, op7_chat, op8_exact_dedup, op9_mixing)
+    for f in (op1_ngram_join, op3_bpe, op5_token_files, op6_rules, op7_chat, op8_exact_dedup, op9_mixing)
 }
