@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oddrow.shipping import ship_package
 
@@ -37,26 +35,7 @@ def remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with the package on the workers' path."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
-
-
-def batches_of(
-    rows: Iterable[tuple], schema: pa.Schema, size: int = 4096
-) -> Iterator[pa.RecordBatch]:
-    """Pack tuples into record batches of bounded length."""
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield _pack(held, schema)
-            held = []
-    if held:
-        yield _pack(held, schema)
-
-
-def _pack(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -5,11 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddrow.llm import bpe, chat, cuckoo, mixing, ngram_join, rules, token_files
-from oddrow.llm.common import table
+from oddrow.llm import (
+    bpe,
+    chat,
+    cuckoo,
+    mixing,
+    ngram_join,
+    quality_pu,
+    rules,
+    token_files,
+    toxicity_mil,
+)
+from oddrow.llm.common import remainder, table
 from oddrow.sources.storage import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +31,22 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_near(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def _predicted(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op2_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 3) == 1
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = quality_pu.train(docs, labels, ~held_out)
+    return _predicted(quality_pu.score(docs.select("doc_id", "text"), model), held_out)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), path)
@@ -72,7 +98,24 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.takes(queued).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 5) == 0
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = toxicity_mil.train(docs, labels, ~held_out)
+    return _predicted(toxicity_mil.score(docs, model), held_out)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_ngram_join, op3_bpe, op5_token_files, op6_rules, op7_chat, op8_exact_dedup, op9_mixing)
+    for f in (
+        op1_ngram_join,
+        op2_quality_pu,
+        op3_bpe,
+        op5_token_files,
+        op6_rules,
+        op7_chat,
+        op8_exact_dedup,
+        op9_mixing,
+        op10_toxicity_mil,
+    )
 }
