@@ -12,6 +12,7 @@ from oddrow.llm import (
     bpe,
     chat,
     cuckoo,
+    html_extract,
     mixing,
     ngram_join,
     quality_pu,
@@ -52,6 +53,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    texts = html_extract.main_text(pages, html_extract.train(pages))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{Scratch(spark).path}/token-files"
     docs = table(spark, sf_dir, "documents")
@@ -111,6 +118,7 @@ QUERIES: dict[str, Query] = {
         op1_ngram_join,
         op2_quality_pu,
         op3_bpe,
+        op4_html_text,
         op5_token_files,
         op6_rules,
         op7_chat,
