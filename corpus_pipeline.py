@@ -23,8 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of 0.5 or more; labels of one id in three are never read."""
     labels = table(spark, sf_dir, "labels")
     model = quality_pu.train(docs, labels, remainder("doc_id", 3) != 1)
-    scored = quality_pu.score(docs.withColumnRenamed("score", "_score"), model)
-    return scored.filter("score >= 0.5").drop("score").withColumnRenamed("_score", "score")
+    return quality_pu.keep_good(docs, model)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

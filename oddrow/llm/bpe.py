@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from oddrow.llm.chunks import ChunkEncoder
-from oddrow.llm.common import map_batches, text_of
+from oddrow.llm.common import ids_and_texts, map_batches
 
 # One character per byte, none of which sentencepiece treats specially.
 FIRST_CHARACTER = 0x2800
@@ -135,7 +135,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 [doc_ids, pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
             )
 
-    return map_batches(docs.select("doc_id", text_of().alias("text")), run, SCHEMA)
+    return map_batches(ids_and_texts(docs).na.fill("", "text"), run, SCHEMA)
 
 
 def _bounded(
@@ -170,4 +170,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(docs.select("doc_id", text_of().alias("text")), run, schema)
+    return map_batches(ids_and_texts(docs).na.fill("", "text"), run, schema)

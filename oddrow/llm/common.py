@@ -21,6 +21,23 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def ids_and_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with whatever other columns there are left out; null texts stay null."""
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Every row as one value ``row``, so that no column name can clash with a new one."""
+    quoted = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return docs.select(F.struct(*quoted).alias("row"))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
 def word_count(text: Column) -> Column:
     """Number of runs of characters other than ASCII white space."""
     parts = F.split(text, NOT_WORD)

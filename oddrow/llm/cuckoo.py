@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oddrow.llm.common import map_batches, text_of
+from oddrow.llm.common import map_batches, packed, text_of, unpacked
 from oddrow.sources.storage import Scratch
 
 SLOTS = 4
@@ -280,9 +280,14 @@ def drop_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     Of rows that are equal in doc_id and text, one stays.
     """
-    gone = find_copies(docs, scratch).filter(~F.col("kept")).select(F.col("doc_id").alias("_id"))
-    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    return left.dropDuplicates(["doc_id"])
+    gone = find_copies(docs, scratch).filter(~F.col("kept")).select("doc_id").distinct()
+    left = packed(docs).join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")), "left_anti")
+    first = left.select(
+        "row",
+        F.col("row.doc_id").alias("id"),
+        F.sha2(text_of("row.text").cast("binary"), 256).alias("sha"),
+    )
+    return unpacked(first.dropDuplicates(["id", "sha"]))
 
 
 # ---------------------------------------------------------------------- a kept index

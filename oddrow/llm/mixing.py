@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oddrow.llm.common import text_of, word_count
+from oddrow.llm.common import packed, text_of, unpacked, word_count
 from oddrow.sources.storage import Scratch
 
 WEIGHTS = (1, 2, 3)
@@ -29,10 +29,13 @@ SEED = 7
 KEY = ("doc_id", "source", "_mark")
 
 
-def marked(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``_mark``, a seeded hash of the row that also orders the shuffle."""
-    return docs.withColumn(
-        "_mark", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), text_of())
+def _mark(prefix: str = "") -> Column:
+    """A seeded hash of the row, which also orders the shuffle."""
+    return F.xxhash64(
+        F.lit(SEED),
+        F.col(f"{prefix}doc_id"),
+        F.col(f"{prefix}source"),
+        text_of(f"{prefix}text"),
     )
 
 
@@ -108,8 +111,7 @@ def queue(docs: DataFrame, scratch: Scratch, block_rows: int = BLOCK_ROWS) -> Da
     """
     # Identical rows travel as one row with a count and are told apart after the running sum.
     sized = scratch.keep(
-        marked(docs)
-        .select(*KEY, word_count(text_of()).alias("size"))
+        docs.select("doc_id", "source", _mark().alias("_mark"), word_count(text_of()).alias("size"))
         .groupBy(*KEY, "size")
         .agg(F.count("*").alias("_n"))
         .withColumn("_words", F.col("size") * F.col("_n")),
@@ -168,12 +170,16 @@ def mix(docs: DataFrame, scratch: Scratch) -> DataFrame:
     # Identical rows are interchangeable, so their passes add up on one representative.
     times = chosen.groupBy(*KEY).agg(F.sum("passes").cast("int").alias("_times"))
     times = times.select(*(F.col(c).alias(f"_of_{c}") for c in KEY), "_times")
-    one = marked(docs).dropDuplicates(["doc_id", "source", "_mark"])
+    one = (
+        packed(docs)
+        .withColumn("_mark", _mark("row."))
+        .withColumns({c: F.col(f"row.{c}") for c in ("doc_id", "source")})
+        .dropDuplicates(list(KEY))
+    )
     same = F.col("_mark") == F.col("_of__mark")
     for c in ("doc_id", "source"):
         same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    return (
+    return unpacked(
         one.join(times, same)
         .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*docs.columns)
     )

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oddrow.llm.common import map_batches
+from oddrow.llm.common import ids_and_texts, map_batches, packed, unpacked
 from oddrow.llm.components import connected
 from oddrow.llm.shingles import ShingleSet, mix, shingle_sets
 from oddrow.sources.storage import Scratch
@@ -372,14 +372,14 @@ def _compare_blocks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 def text_keys(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n_shingles): the class of each document and the size of its set."""
-    return map_batches(docs.select("doc_id", "text"), _key_batches, KEYS)
+    return map_batches(ids_and_texts(docs), _key_batches, KEYS)
 
 
 def shared_sets(docs: DataFrame, shingles: int, classes: int) -> DataFrame:
     """Classes that may link, with their shared tokens and first prefix."""
     buckets = max(1, min(1 << 16, -(-shingles // BUCKET_TOKENS)))
     class_buckets = max(1, -(-classes // CLASS_BUCKET))
-    packed = map_batches(docs.select("doc_id", "text"), _pack_tokens(buckets), PACKED)
+    packed = map_batches(ids_and_texts(docs), _pack_tokens(buckets), PACKED)
     returned = packed.groupBy("bucket").applyInArrow(_share_tokens(class_buckets), RETURNED)
     return returned.groupBy("bucket").applyInArrow(_gather_sets, SETS)
 
@@ -504,6 +504,6 @@ def join_near(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``docs`` with the document of the smallest doc_id of every component."""
-    found = join_near(docs, scratch)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    gone = join_near(docs, scratch).filter("doc_id <> component_id").select("doc_id").distinct()
+    left = packed(docs).join(gone, F.col("row.doc_id") == F.col("doc_id"), "left_anti")
+    return unpacked(left)

@@ -24,9 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from oddrow.llm.common import map_batches
+from oddrow.llm.common import ids_and_texts, map_batches
 from oddrow.llm.text_features import NAMES, describe
 
 MAX_POSITIVES = 6_000
@@ -151,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
     trusted = sample_ids(of_doc.filter("low = 1 AND high = 1"), MAX_POSITIVES)
     at_large = sample_ids(docs.select("doc_id").filter(allowed), MAX_UNLABELLED)
     wanted = trusted.withColumn("role", F.lit(1)).union(at_large.withColumn("role", F.lit(0)))
-    chosen = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    chosen = ids_and_texts(docs).join(F.broadcast(wanted), "doc_id")
     rows = map_batches(
         chosen.select("role", "text"), _features, "role int, features array<float>"
     ).toArrow()
@@ -164,20 +163,29 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
     return fit(made[roles == 1], made[roles == 0], prior)
 
 
+def _scores(batch: pa.RecordBatch, model: Model) -> np.ndarray:
+    texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+    made = np.array([describe(t) for t in texts], np.float64)
+    return model.score(made.reshape(-1, len(NAMES)))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` columns and ``score``: higher where label 1 is likelier."""
-    docs = docs.drop("score")
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    """(doc_id, score): higher where label 1 is likelier."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            made = np.array([describe(t) for t in texts.to_pylist()], np.float64)
-            scores = model.score(made.reshape(-1, len(NAMES)))
-            yield batch.append_column("score", pa.array(scores))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(_scores(batch, model))], names=["doc_id", "score"]
+            )
+
+    return map_batches(ids_and_texts(docs), run, "doc_id long, score double")
 
-    return map_batches(docs, run, schema)
 
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch, model) >= threshold))
 
-def train_and_score(docs: DataFrame, labels: DataFrame, allowed: Column) -> DataFrame:
-    return score(docs, train(docs, labels, allowed))
+    return map_batches(docs, run, docs.schema)

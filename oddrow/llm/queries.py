@@ -45,7 +45,7 @@ def op2_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 3) == 1
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = quality_pu.train(docs, labels, ~held_out)
-    return _predicted(quality_pu.score(docs.select("doc_id", "text"), model), held_out)
+    return _predicted(quality_pu.score(docs, model), held_out)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from oddrow.llm.chunks import ID, ChunkEncoder
-from oddrow.llm.common import map_batches, text_of
+from oddrow.llm.common import ids_and_texts, map_batches
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 21
@@ -137,7 +137,8 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID
     """Write the ids of all documents, each followed by ``end_id``, in ascending doc_id order."""
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     ordered = (
-        docs.select("doc_id", text_of().alias("text"))
+        ids_and_texts(docs)
+        .na.fill("", "text")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oddrow.llm.common import map_batches
+from oddrow.llm.common import ids_and_texts, map_batches
 from oddrow.llm.quality_pu import sample_ids
 
 MAX_TOXIC = 2_000
@@ -205,8 +205,9 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
         for label, most in ((1, MAX_TOXIC), (0, MAX_CLEAN))
     ]
     wanted = F.broadcast(picked[0].union(picked[1]))
-    chosen = docs.select("doc_id", "text").join(wanted, "doc_id")
-    found = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    chosen = ids_and_texts(docs).join(wanted, "doc_id")
+    by_label = chosen.groupBy("toxic").agg(F.count("*").alias("n"))
+    found = {r["toxic"]: r["n"] for r in by_label.collect()}
     if not found.get(0) or not found.get(1):
         return Model({}, START_BIAS)
     names = _telling(chosen, found[1], found[0])
@@ -239,7 +240,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"]
             )
 
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, score double")
+    return map_batches(ids_and_texts(docs), run, "doc_id long, score double")
 
 
 def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -262,4 +263,4 @@ def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
             )
 
     schema = "doc_id long, start int, end int, sentence string, probability double"
-    return map_batches(docs.select("doc_id", "text"), run, schema)
+    return map_batches(ids_and_texts(docs), run, schema)
