@@ -280,14 +280,15 @@ def drop_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     Of rows that are equal in doc_id and text, one stays.
     """
-    gone = find_copies(docs, scratch).filter(~F.col("kept")).select("doc_id").distinct()
-    left = packed(docs).join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")), "left_anti")
-    first = left.select(
+    gone = find_copies(docs, scratch).filter(~F.col("kept")).select("doc_id", "text_sha256")
+    rows = packed(docs).select(
         "row",
         F.col("row.doc_id").alias("id"),
         F.sha2(text_of("row.text").cast("binary"), 256).alias("sha"),
     )
-    return unpacked(first.dropDuplicates(["id", "sha"]))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))
+    left = rows.join(gone.distinct(), same, "left_anti")
+    return unpacked(left.dropDuplicates(["id", "sha"]))
 
 
 # ---------------------------------------------------------------------- a kept index

@@ -50,18 +50,20 @@ PACKED_TOKENS = 1 << 20
 SEEN_KEYS = 200_000
 TEXTS_AT_ONCE = 256
 
-KEYS = "doc_id long, key long, n_shingles long"
+KEYS = "doc_id long, key long, n_shingles long, mark long"
 PACKED = "bucket int, keys binary, sizes binary, counts binary, low binary, high binary"
 RETURNED = "bucket int, keys binary, sizes binary, counts binary, tokens binary, df binary"
 SETS = "key long, n int, tokens binary, df binary, prefix array<long>"
 EDGES = "a long, b long"
 
 
-def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[ShingleSet]]]:
+def _texts(
+    batches: Iterable[pa.RecordBatch],
+) -> Iterator[tuple[pa.RecordBatch, list[ShingleSet]]]:
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
             few = batch.slice(at, TEXTS_AT_ONCE)
-            yield few.column(0), shingle_sets(few.column(1).to_pylist())
+            yield few, shingle_sets(few.column("text").to_pylist())
 
 
 def _signed(value: int) -> int:
@@ -69,11 +71,16 @@ def _signed(value: int) -> int:
 
 
 def _key_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for doc_ids, sets in _texts(batches):
+    for few, sets in _texts(batches):
         keys = [None if s.key is None else _signed(s.key) for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [doc_ids, pa.array(keys, pa.int64()), pa.array([len(s.items) for s in sets])],
-            names=["doc_id", "key", "n_shingles"],
+            [
+                few.column("doc_id"),
+                pa.array(keys, pa.int64()),
+                pa.array([len(s.items) for s in sets], pa.int64()),
+                few.column("mark"),
+            ],
+            names=["doc_id", "key", "n_shingles", "mark"],
         )
 
 
@@ -371,8 +378,9 @@ def _compare_blocks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 def text_keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, n_shingles): the class of each document and the size of its set."""
-    return map_batches(ids_and_texts(docs), _key_batches, KEYS)
+    """(doc_id, key, n_shingles, mark): class, size of the set, and a hash of the text."""
+    texts = ids_and_texts(docs).withColumn("mark", F.xxhash64("text"))
+    return map_batches(texts, _key_batches, KEYS)
 
 
 def shared_sets(docs: DataFrame, shingles: int, classes: int) -> DataFrame:
@@ -477,8 +485,12 @@ def _units(met: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def join_near(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per document."""
+def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, mark, n_shingles, component_id, first), one row per document.
+
+    ``first`` is (doc_id, mark) of the row of its component that comes first: by doc_id, nulls
+    last, then by the hash of the text.
+    """
     keys = scratch.keep(text_keys(docs), "keys")
     totals = keys.agg(
         F.sum("n_shingles").alias("shingles"), F.count("key").alias("classes")
@@ -487,23 +499,45 @@ def join_near(docs: DataFrame, scratch: Scratch) -> DataFrame:
         shared_sets(docs, totals["shingles"] or 0, totals["classes"]), "sets"
     )
     roots = connected(scratch.keep(links(sets, scratch), "links"), scratch)
-    classes = keys.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
+    ranked = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    classes = keys.filter("key IS NOT NULL").groupBy("key").agg(F.min(ranked).alias("least"))
     named = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key")
     )
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = scratch.keep(named.join(least, "root").select("key", "component_id"), "classes")
+    least = named.groupBy("root").agg(F.min("least").alias("first"))
+    of_class = scratch.keep(named.join(least, "root").select("key", "first"), "classes")
+    own = F.struct(F.col("doc_id"), F.col("mark"))
+    first = F.when(F.col("key").isNull(), own).otherwise(
+        F.struct(F.col("first.doc_id"), F.col("first.mark"))
+    )
     return keys.join(of_class, "key", "left").select(
         "doc_id",
+        "mark",
         "n_shingles",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias(
-            "component_id"
-        ),
+        first["doc_id"].alias("component_id"),
+        first.alias("first"),
     )
 
 
+def join_near(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per document."""
+    return components(docs, scratch).select("doc_id", "n_shingles", "component_id")
+
+
 def keep_one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` with the document of the smallest doc_id of every component."""
-    gone = join_near(docs, scratch).filter("doc_id <> component_id").select("doc_id").distinct()
-    left = packed(docs).join(gone, F.col("row.doc_id") == F.col("doc_id"), "left_anti")
-    return unpacked(left)
+    """``docs`` with the first row of every component: see :func:`components`.
+
+    Of rows that are equal in doc_id and text, one stays.
+    """
+    found = components(docs, scratch)
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
+        F.col("mark") == F.col("first.mark")
+    )
+    gone = found.filter(~stays).select("doc_id", F.col("mark").alias("gone_mark")).distinct()
+    rows = packed(docs).select(
+        "row",
+        F.col("row.doc_id").cast("long").alias("id"),
+        F.xxhash64(F.col("row.text").cast("string")).alias("mark"),
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("gone_mark"))
+    return unpacked(rows.join(gone, same, "left_anti").dropDuplicates(["id", "mark"]))

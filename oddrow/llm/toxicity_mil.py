@@ -244,18 +244,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, start, end, sentence, probability) of the offending sentences."""
+    """(doc_id, start, end, sentence, probability) of the offending sentences.
+
+    These reach the threshold themselves, or are the likeliest of a document that reaches it.
+    """
     names = ["doc_id", "start", "end", "sentence", "probability"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            rows = [
-                (doc_id, start, end, text[start:end], p)
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for start, end, p in scorer.sentences(text)
-                if p >= threshold
-            ]
+            rows = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = scorer.sentences(text)
+                least = threshold
+                if found and scorer.document(text) >= threshold:
+                    least = min(threshold, max(p for _, _, p in found))
+                rows += [(doc_id, s, e, text[s:e], p) for s, e, p in found if p >= least]
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.float64())
             columns = zip(*rows) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays(

@@ -1,0 +1,122 @@
+"""Held-out accuracy of the two classifiers, and their edges."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from oddrow.llm import quality_pu, toxicity_mil
+from oddrow.llm.text_features import NAMES, describe
+
+LABELS = "doc_id long, quality int, toxic int"
+INSULTS = ["grobbish", "snarfling", "zwockel"]
+
+
+@pytest.fixture
+def labelled(spark, make_docs, prose):
+    """Clean prose and junk, some of it with insults; labels for two thirds."""
+    r = random.Random(8)
+    docs, labels = [], []
+    for i in range(360):
+        text, quality, toxic = prose(r.randint(20, 250), i), 1, 0
+        if i % 6 == 0:
+            quality, mark = 0, r.choice(["***", "$$$", " |", "!!"])
+            text = " ".join(w + mark for w in text.split())
+        elif i % 5 == 0:
+            toxic, words = 1, text.split(" ")
+            for _ in range(1 + len(words) // 60):
+                words[r.randrange(len(words))] = r.choice(INSULTS) + r.choice(["", "er", "um"])
+            text = " ".join(words)
+        docs.append((i, text))
+        if r.random() < 0.67:
+            labels.append((i, quality, toxic))
+    return make_docs(docs), spark.createDataFrame(labels, LABELS), labels
+
+
+HELD = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1"
+
+
+def held_out_accuracy(scored, truth):
+    rows = scored.filter(HELD).collect()
+    known = [(r["score"] >= 0.5, truth[r["doc_id"]]) for r in rows if r["doc_id"] in truth]
+    assert len(known) > 40
+    return sum(p == bool(t) for p, t in known) / len(known)
+
+
+def test_quality_on_held_out_rows(labelled):
+    docs, labels, rows = labelled
+    model = quality_pu.train(docs, labels, ~F.expr(HELD))
+    scored = quality_pu.score(docs, model)
+    assert held_out_accuracy(scored, {i: q for i, q, _ in rows}) > 0.9
+    kept = quality_pu.keep_good(docs.withColumnRenamed("lang", "score"), model)
+    assert kept.columns == ["doc_id", "text", "score", "source", "n_chars"]
+    good = {r["doc_id"] for r in scored.collect() if r["score"] >= 0.5}
+    assert {r["doc_id"] for r in kept.collect()} == good
+
+
+def test_training_reads_no_held_out_label(labelled, spark):
+    docs, labels, _ = labelled
+    flipped = labels.withColumns(
+        {c: F.when(F.expr(HELD), 1 - F.col(c)).otherwise(F.col(c)) for c in ("quality", "toxic")}
+    )
+    for module in (quality_pu, toxicity_mil):
+        first, second = (
+            dict(map(tuple, module.score(docs, module.train(docs.repartition(n), given, ~F.expr(HELD))).collect()))
+            for n, given in ((2, labels), (5, flipped))
+        )
+        assert first == pytest.approx(second)
+
+
+def test_toxicity_on_held_out_rows_and_sentences(labelled):
+    docs, labels, rows = labelled
+    model = toxicity_mil.train(docs, labels, ~F.expr(HELD))
+    assert held_out_accuracy(toxicity_mil.score(docs, model), {i: t for i, _, t in rows}) > 0.9
+    found = toxicity_mil.locate(docs, model).collect()
+    toxic = {i for i, _, t in rows if t}
+    scored = {r["doc_id"]: r["score"] for r in toxicity_mil.score(docs, model).collect()}
+    assert {i for i, p in scored.items() if p >= 0.5} == {r["doc_id"] for r in found}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in found:
+        assert texts[r["doc_id"]][r["start"] : r["end"]] == r["sentence"]
+    named = [any(w in r["sentence"] for w in INSULTS) for r in found if r["doc_id"] in toxic]
+    assert np.mean(named) > 0.95
+
+
+def test_noisy_or_of_sentences():
+    model = toxicity_mil.Model({"=bad": 6.0}, -6.0)
+    scorer = toxicity_mil.Scorer(model)
+    low = 1 / (1 + np.exp(6.0))
+    assert scorer.document("fine words. Bad words!") == pytest.approx(1 - (1 - low) * 0.5)
+    assert [round(p, 3) for _, _, p in scorer.sentences("ok.\nBAD.")] == [0.002, 0.5]
+    assert scorer.document(None) == scorer.document("") == scorer.document("... \n !") == 0
+
+
+@pytest.mark.parametrize("module", [quality_pu, toxicity_mil])
+def test_odd_rows_and_missing_labels(spark, make_docs, labelled, module):
+    docs, labels, _ = labelled
+    odd = make_docs([(900, None), (901, ""), (902, "z" * 200_000), (None, "x y"), (5, "x y")])
+    mixed = docs.unionByName(odd)
+    more = labels.union(
+        spark.createDataFrame([(900, 1, None), (None, 1, 1), (901, None, 0), (7, 0, 1)], LABELS)
+    )
+    scores = module.score(mixed, module.train(mixed, more, F.lit(True))).collect()
+    assert len(scores) == 365 and all(0 <= r["score"] <= 1 for r in scores)
+    none = labels.filter("false")
+    plain = {r["score"] for r in module.score(docs, module.train(docs, none, F.lit(True))).collect()}
+    assert len(plain) == 1
+    empty = make_docs([])
+    assert module.score(empty, module.train(empty, labels, F.lit(True))).collect() == []
+
+
+def test_risk_estimate_learns_from_unlabelled_rows():
+    random_ = np.random.default_rng(0)
+    good, bad = random_.normal(1, 1, (1_500, 4)), random_.normal(-2, 1, (500, 4))
+    model = quality_pu.fit(good[:500], np.concatenate([good[500:], bad]), 2 / 3)
+    assert (model.score(good) >= 0.5).mean() > 0.93 and (model.score(bad) < 0.5).mean() > 0.93
+
+
+def test_features_are_finite():
+    for text in (None, "", " ", "a", "\n\n", "日本 😀", "A! B! |", "x " * 10_000):
+        made = describe(text)
+        assert made.shape == (len(NAMES),) and np.isfinite(made).all()

@@ -1,0 +1,77 @@
+"""Binary token files: the coding, the tokenizer, and whole tables."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from oddrow.llm import token_files as tf
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    made = Tokenizer.from_file(PATH)
+    made.encode_special_tokens = True
+    return made
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=50))
+def test_packing_is_undone(numbers):
+    control, data = tf.pack(np.array(numbers, np.uint32))
+    assert len(control) == -(-len(numbers) // 4)
+    assert len(data) == sum(max(1, (n.bit_length() + 7) // 8) for n in numbers)
+    assert tf.unpack(control, data, len(numbers)).tolist() == numbers
+
+
+def test_frequent_ids_take_one_byte():
+    ids = np.array([40_000] * 500 + [3] * 300 + list(range(1_000, 1_400)), np.uint32)
+    block = tf.encode_block(ids)
+    assert np.frombuffer(block.ranks, "<u4")[:2].tolist() == [40_000, 3]
+    assert len(block.data) == 500 + 300 + 254 + 2 * 146
+    assert (tf.decode_block(block, len(ids)) == ids).all()
+
+
+def test_same_ids_as_the_library(library, prose):
+    texts = [prose(300, s) for s in range(20)]
+    texts += ["", " ", "a  b\n\n c", "don't", "日本 語", "😀́", "<|endoftext|> x", "y" * 9_000]
+    got = [ids.tolist() for ids in tf.encoder(PATH).encode(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def expected_rows(rows, library):
+    out, start = [], 0
+    for doc_id, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, tf.END_ID]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("block_tokens", [1, 50, 1 << 21])
+def test_files_are_read_back(spark, make_docs, scratch, library, prose, monkeypatch, block_tokens):
+    monkeypatch.setattr(tf, "BLOCK_TOKENS", block_tokens)
+    rows = [(None, "first"), *((i, prose(i % 40, i)) for i in range(120)), (500, None), (501, "")]
+    docs = make_docs(rows[::-1]).repartition(5).withColumnRenamed("lang", "start")
+    folder = f"{scratch.path}/files-{block_tokens}"
+    tf.write_files(docs, PATH, folder)
+    got = sorted(map(tuple, tf.read_files(spark, folder).collect()), key=lambda r: r[1])
+    assert got == expected_rows(rows, library)
+
+
+def test_repeated_rows_follow_each_other(spark, make_docs, scratch, library):
+    rows = [(1, "a b"), (2, "same"), (2, "same"), (3, "c")]
+    tf.write_files(make_docs(rows), PATH, f"{scratch.path}/files")
+    got = sorted(map(tuple, tf.read_files(spark, f"{scratch.path}/files").collect()))
+    assert got == sorted(expected_rows(rows, library))
+
+
+def test_empty_table(spark, make_docs, scratch):
+    tf.write_files(make_docs([]), PATH, f"{scratch.path}/files")
+    assert tf.read_files(spark, f"{scratch.path}/files").collect() == []
