@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from oddrow.llm.chunks import ChunkEncoder
-from oddrow.llm.common import ids_and_texts, map_batches
+from oddrow.llm.common import ids_and_texts, map_batches, small_batches
 
 # One character per byte, none of which sentencepiece treats specially.
 FIRST_CHARACTER = 0x2800
@@ -110,7 +110,7 @@ class Codec:
             made[i] = [rank_at[k - 1] for k in ids]
         return made
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         return self._chunks.encode(texts)
 
     def decode(self, ids: Iterable[int]) -> bytes:
@@ -129,25 +129,16 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        for doc_ids, texts in _bounded(batches):
-            ids = [made.astype(np.int32) for made in coder.encode(texts)]
+        for few in small_batches(batches):
+            ids = [made.astype(np.int32) for made in coder.encode(few.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [doc_ids, pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
+                [few.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))],
+                names=["doc_id", "ids"],
             )
 
     return map_batches(ids_and_texts(docs).na.fill("", "text"), run, SCHEMA)
 
 
-def _bounded(
-    batches: Iterable[pa.RecordBatch], size: int = 256
-) -> Iterator[tuple[pa.Array, list]]:
-    """(ids, texts) of few rows at a time, so that long texts do not pile up."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, size):
-            part = batch.slice(at, size)
-            yield part.column(0), part.column(1).to_pylist()
-
-
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of their decoding.
 
@@ -157,15 +148,20 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         names = {rank: str(rank) for rank in coder.ranks.values()}
-        for doc_ids, texts in _bounded(batches):
+        for few in small_batches(batches):
             counts, of_ids, of_bytes = [], [], []
-            for ids in map(np.ndarray.tolist, coder.encode(texts)):
+            for ids in map(np.ndarray.tolist, coder.encode(few.column("text"))):
                 counts.append(len(ids))
                 listed = ",".join(map(names.__getitem__, ids))
                 of_ids.append(hashlib.sha256(listed.encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(coder.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [doc_ids, pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)],
+                [
+                    few.column("doc_id"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(of_ids, pa.string()),
+                    pa.array(of_bytes, pa.string()),
+                ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -9,24 +9,29 @@ and each chunk may be matched alone. Most chunks are one word, and frequent ones
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # Python's \s covers every character that the pattern's \s covers, and a few more.
 _CUT = re.compile(r" (?=\S)")
-_LOOSE_SPACE = re.compile(r" (?!\S)")
+# A space before any character of Python's \s, or at the end; for RE2.
+_LOOSE_SPACE = r" (?:[\t-\r\x1c-\x20\x85\p{Z}]|\z)"
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 #: Entries of each of the two generations of a memory.
 REMEMBERED = 400_000
 ID = np.dtype("<u4")
+#: Bytes of text whose chunks are numbered together.
+PORTION = 8_000_000
 
 
 def cut(text: str) -> list[str]:
     """The chunks of a text, without the space that each but the first begins with."""
-    return text.split(" ") if _LOOSE_SPACE.search(text) is None else _CUT.split(text)
+    return _CUT.split(text)
 
 
 def pieces_of(chunk: str) -> list[str]:
@@ -67,7 +72,8 @@ class Memory:
 class ChunkEncoder:
     """Encodes texts through ``encode_pieces``, which gives the ids of matches of the pattern.
 
-    Ids are remembered as bytes, which the garbage collector need not follow.
+    The chunks of many texts are numbered by value first, so each different one is looked up
+    once. Ids are remembered as bytes, which the garbage collector need not follow.
     """
 
     def __init__(self, encode_pieces: Callable[[list[str]], Iterable[list[int]]]) -> None:
@@ -75,28 +81,63 @@ class ChunkEncoder:
         self._chunks = Memory()
         self._pieces = Memory()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [cut(text) for text in texts]
-        heads = [parts[0] for parts in split]
-        known = self._chunks.new
-        found = [list(map(known.get, parts[1:])) for parts in split]
-        lacking = [i for i, values in enumerate(found) if None in values]
-        self._learn({p for i in lacking for p, v in zip(split[i][1:], found[i]) if v is None})
-        for i in lacking:
-            found[i] = list(map(known.__getitem__, split[i][1:]))
-        first = self._ids_of([_PATTERN.findall(head) for head in heads])
-        made = [
-            np.frombuffer(b"".join([head, *values]), ID) for head, values in zip(first, found)
-        ]
-        self._chunks.turn()
-        self._pieces.turn()
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        texts = texts.cast(pa.large_string())
+        made: list[np.ndarray] = []
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        for start, end in _portions(sizes):
+            made += self._encode_portion(texts.slice(start, end - start))
         return made
 
-    def _learn(self, wanted: set[str]) -> None:
-        unknown = self._chunks.missing(wanted)
-        values = self._ids_of([pieces_of(chunk) for chunk in unknown])
-        self._chunks.new.update(zip(unknown, values))
+    def _encode_portion(self, texts: pa.Array) -> list[np.ndarray]:
+        loose = pc.match_substring_regex(texts, _LOOSE_SPACE)
+        made: list[np.ndarray] = [None] * len(texts)
+        plain = pc.indices_nonzero(pc.invert(loose)).to_numpy()
+        if len(plain):
+            split = pc.split_pattern(texts.take(pa.array(plain)), " ")
+            for i, ids in zip(plain, self._encode_split(split)):
+                made[i] = ids
+        others = pc.indices_nonzero(loose).to_numpy()
+        if len(others):
+            cuts = [cut(t) for t in texts.take(pa.array(others)).to_pylist()]
+            split = pa.array(cuts, pa.large_list(pa.large_string()))
+            for i, ids in zip(others, self._encode_split(split)):
+                made[i] = ids
+        return made
+
+    def _encode_split(self, split: pa.Array) -> list[np.ndarray]:
+        chunks, offsets = split.flatten(), split.offsets.to_numpy()
+        after_space = np.ones(len(chunks), bool)
+        after_space[offsets[:-1]] = False
+        heads = chunks.filter(pa.array(~after_space)).to_pylist()
+        numbered = chunks.filter(pa.array(after_space)).dictionary_encode()
+        different = numbered.dictionary.to_pylist()
+        values = self._learned(different) + self._ids_of([_PATTERN.findall(h) for h in heads])
+        at = np.empty(len(chunks), np.int64)
+        at[after_space] = numbered.indices.to_numpy()
+        at[~after_space] = len(different) + np.arange(len(heads))
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // ID.itemsize
+        starts = np.cumsum(lengths) - lengths
+        ids = np.frombuffer(b"".join(values), ID)
+        counts = lengths[at]
+        ends = np.cumsum(counts)
+        flat = np.arange(ends[-1])
+        flat += np.repeat(starts[at] - (ends - counts), counts)
+        flat = ids[flat]
+        bounds = np.concatenate([[0], ends])[offsets]
+        return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _learned(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that follow a space."""
+        unknown = self._chunks.missing(chunks)
+        self._chunks.new.update(zip(unknown, self._ids_of([pieces_of(c) for c in unknown])))
+        values = list(map(self._chunks.new.__getitem__, chunks))
+        self._chunks.turn()
+        self._pieces.turn()
+        return values
 
     def _ids_of(self, cuts: list[list[str]]) -> list[bytes]:
         """The ids of sequences of pieces."""
@@ -111,3 +152,15 @@ class ChunkEncoder:
             known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
             for pieces in cuts
         ]
+
+
+def _portions(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of texts of about ``PORTION`` bytes, at least one text each."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > PORTION:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)

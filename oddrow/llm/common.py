@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -52,6 +55,16 @@ def remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+def small_batches(
+    batches: Iterable[pa.RecordBatch], most: int = 8_000_000
+) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``most`` bytes, so that what is made of long texts does not pile up."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * most / max(most, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with the package on the workers' path."""
     ship_package(df.sparkSession)

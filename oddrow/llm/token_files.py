@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from oddrow.llm.chunks import ID, ChunkEncoder
-from oddrow.llm.common import ids_and_texts, map_batches
+from oddrow.llm.common import ids_and_texts, map_batches, small_batches
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 21
@@ -113,7 +113,7 @@ class Encoder:
             for p in pieces
         ]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         return self._chunks.encode(texts)
 
 
@@ -162,16 +162,14 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID
             parts.clear()
             return pa.RecordBatch.from_pylist([row], schema=_block_schema())
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                few = batch.slice(at, 256)
-                made = coder.encode(few.column(1).to_pylist())
-                for doc_id, ids in zip(few.column(0).to_pylist(), made):
-                    doc_ids.append(doc_id)
-                    parts.append(ids)
-                    held += len(ids) + 1
-                    if held >= BLOCK_TOKENS:
-                        yield flush()
+        for few in small_batches(batches):
+            made = coder.encode(few.column("text"))
+            for doc_id, ids in zip(few.column("doc_id").to_pylist(), made):
+                doc_ids.append(doc_id)
+                parts.append(ids)
+                held += len(ids) + 1
+                if held >= BLOCK_TOKENS:
+                    yield flush()
         if parts:
             yield flush()
 
