@@ -25,9 +25,9 @@ from oddrow.sources.storage import shared_folder
 
 # A replica's parameters and moments are broadcast and sent back; larger models are refused.
 MAX_STATE_BYTES = 128 * 1024 * 1024
-# Default size of a training shard, and the most shards that are averaged per epoch.
-SHARD_ROWS = 50_000
-MAX_SHARDS = 8_192
+# Training rows that are shuffled together. Shards are cut into blocks of this length whatever
+# the length of the batches they arrive in, so a model does not depend on session settings.
+BLOCK_ROWS = 8_192
 # Replicas that one task, or the driver, averages at a time: by number and by size.
 MERGE_REPLICAS = 64
 MERGE_BYTES = 256 * 1024 * 1024
@@ -80,6 +80,11 @@ class Autoencoder:
         if FEATURES not in df.columns:
             raise InferenceError(f"rows to score lack the column '{FEATURES}'; encode them first")
 
+    def _check_rows(self, df: DataFrame) -> None:
+        self._check(df)
+        if not df.isStreaming and df.isEmpty():
+            raise InferenceError("cannot score an empty table (0 rows)")
+
     def _send(self, spark: SparkSession) -> tuple[Layout, Broadcast]:
         ship_package(spark)
         return self.layout, spark.sparkContext.broadcast(self.vector)
@@ -110,8 +115,8 @@ class Autoencoder:
         return df.withColumn("mse", self.errors(df))
 
     def reconstruct(self, df: DataFrame) -> DataFrame:
-        """Add ``reconstruction`` and ``mse``."""
-        self._check(df)
+        """Add ``reconstruction`` and ``mse``; an empty batch table is an error."""
+        self._check_rows(df)
         layout, vector = self._send(df.sparkSession)
 
         @arrow_udf("struct<reconstruction:array<double>,mse:double>")
@@ -130,16 +135,12 @@ class Autoencoder:
         return df.withColumn("_r", rebuild(F.col(FEATURES))).select(*df.columns, "_r.*")
 
     def predict(self, df: DataFrame, threshold: float) -> DataFrame:
-        """Add ``mse`` and ``prediction``, 1 iff ``mse`` reaches the threshold."""
+        """Add ``mse`` and ``prediction``, 1 iff ``mse`` reaches the threshold; an empty batch
+        table is an error."""
+        self._check_rows(df)
         return self.score(df).withColumn("prediction", anomaly_flag(F.col("mse"), threshold))
 
 
-def shard_count(params: TrainingParams, rows: int) -> int:
-    if params.shards is not None:
-        return params.shards
-    return max(1, min(MAX_SHARDS, -(-rows // SHARD_ROWS)))
-
-
 def make_shards(
     df: DataFrame,
     is_train: Column,
@@ -168,12 +169,28 @@ def make_shards(
     return placed.select(FEATURES, "is_train").checkpoint()
 
 
+def _recut(blocks: Iterable[np.ndarray], size: int) -> Iterator[np.ndarray]:
+    """The same rows in blocks of exactly ``size``; the last may be shorter."""
+    held: list[np.ndarray] = []
+    count = 0
+    for block in blocks:
+        while len(block):
+            part, block = block[: size - count], block[size - count :]
+            held.append(part)
+            count += len(part)
+            if count == size:
+                yield np.concatenate(held)
+                held, count = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
 def _mini_batches(
     blocks: Iterable[np.ndarray], size: int, rng: np.random.Generator
 ) -> Iterator[np.ndarray]:
-    """Mini-batches from a stream of blocks, shuffled inside each block."""
+    """Mini-batches from a stream of blocks, shuffled inside each block of fixed length."""
     held: np.ndarray | None = None
-    for block in blocks:
+    for block in _recut(blocks, BLOCK_ROWS):
         block = block[rng.permutation(len(block))]
         if held is not None and len(held):
             block = np.concatenate([held, block])
@@ -186,12 +203,13 @@ def _mini_batches(
 
 
 PASS_SCHEMA = (
-    "shard int, n bigint, loss double, val_n bigint, val_loss double, steps bigint, state binary"
+    "shard int, n bigint, loss double, val_n bigint, val_loss double, steps bigint, "
+    "taken bigint, state binary"
 )
 _PASS_TYPES = pa.schema(
     [
         ("shard", pa.int32()), ("n", pa.int64()), ("loss", pa.float64()), ("val_n", pa.int64()),
-        ("val_loss", pa.float64()), ("steps", pa.int64()), ("state", pa.binary()),
+        ("val_loss", pa.float64()), ("steps", pa.int64()), ("taken", pa.int64()), ("state", pa.binary()),
     ]
 )
 
@@ -218,6 +236,7 @@ def _merge(layout: Layout, parts: list[dict]) -> dict:
         "val_n": sum(p["val_n"] for p in parts),
         "val_loss": sum(p["val_loss"] for p in parts),
         "steps": max(p["steps"] for p in parts),
+        "taken": sum(p["taken"] for p in parts),
         "state": state,
     }
 
@@ -256,12 +275,14 @@ def epoch_pass(
 
         for rows in _mini_batches(training_blocks(), params.batch_size, rng):
             loss = network.train_step(
-                layout, own, rows, rng, params.learning_rate, params.lr_schedule
+                layout, own, rows, rng, params.learning_rate, params.lr_schedule, replicas
             )
             tally["n"] += len(rows)
             tally["loss"] += loss * len(rows)
         packed = own.pack() if tally["n"] else None
-        yield _pass_batch([tally | {"shard": shard, "steps": own.steps, "state": packed}])
+        taken = own.steps - sent.value.steps
+        done = {"shard": shard, "steps": own.steps, "taken": taken, "state": packed}
+        yield _pass_batch([tally | done])
 
     def merge(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches([_pass_batch([_merge(layout, table.to_pylist())])])
@@ -323,7 +344,8 @@ def train_autoencoder(
                     break
         if learn:
             loss = result["loss"] / result["n"]
-            rate = network.learning_rate(params.learning_rate, params.lr_schedule, state.steps)
+            rate = network.learning_rate(params.learning_rate, params.lr_schedule, state.seen)
             packed = np.frombuffer(result["state"], layout.dtype)
-            state = TrainState.unpack(layout, packed, result["steps"])
+            seen = state.seen + result["taken"]
+            state = TrainState.unpack(layout, packed, result["steps"], seen)
     return TrainingResult(Autoencoder(layout, best_state.vector), history, best_epoch)

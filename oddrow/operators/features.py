@@ -135,16 +135,3 @@ def fit_preprocessor(train: DataFrame, profile: Profile) -> Preprocessor:
 def feature_columns(df: DataFrame, width: int) -> list[Column]:
     """The feature array as columns f0, f1, ..."""
     return [F.element_at(FEATURES, i + 1).alias(f"f{i}") for i in range(width)]
-
-
-def width_guard(features: Column, width: int) -> Column:
-    """The array itself; rows of another length stop the job and name both widths."""
-    message = F.concat(
-        F.lit(f"feature width mismatch: expected {width} features but got "),
-        F.size(features).cast("string"),
-    )
-    return F.when(F.size(features) == width, features).otherwise(
-        F.raise_error(message).cast("array<double>")
-    )
-
-

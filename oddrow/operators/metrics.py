@@ -17,9 +17,10 @@ LABEL, PREDICTION, SCORE = "y", "prediction", "mse"
 HISTOGRAM_BINS = 30
 AUC_WARNING_LEVEL = 0.80
 
-# Score ranges for running sums: about this many rows each, and at most this many ranges.
-RANGE_ROWS = 250_000
-MAX_RANGES = 4_096
+# Score ranges for running sums: about this many rows each. The bounds are literals, so there are
+# at most as many ranges as below; in tables of more rows than the product a range grows.
+RANGE_ROWS = 20_000
+MAX_RANGES = 65_536
 
 CLASS_METRICS = ("precision", "recall", "f1")
 METRIC_NAMES = tuple(f"{m}_{c}" for c in ("normal", "anomalous") for m in CLASS_METRICS) + (
@@ -240,18 +241,36 @@ def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
 
     Rows: class label, bin, lower and upper edge, records. The last bin is closed; a class
     whose scores are all equal gets a range of one unit around them; an absent class has no rows.
+    Bins span the finite scores; infinite ones, if any, are counted in a bin of their own, -1 or
+    ``bins``, whose edges are infinite.
     """
     scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias("s"))
     scored = scored.filter(F.col("s").isNotNull() & ~F.isnan("s"))
-    spans = scored.groupBy("y").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).collect()
+    finite = F.when(F.abs("s") < math.inf, F.col("s"))
+    spans = scored.groupBy("y").agg(
+        F.min(finite).alias("lo"),
+        F.max(finite).alias("hi"),
+        F.count_if(F.col("s") == -math.inf).alias("below"),
+        F.count_if(F.col("s") == math.inf).alias("above"),
+    ).collect()
+    scored = scored.filter(finite.isNotNull())
+    schema = "label int, bin int, lower double, upper double, records bigint"
+    endless = [
+        (int(row.y), place, edge, edge, n)
+        for row in spans
+        for place, edge, n in ((-1, -math.inf, row.below), (bins, math.inf, row.above))
+        if n
+    ]
     edges: dict[int, list[float]] = {}
     for row in spans:
+        if row.lo is None:
+            continue
         lo, hi = (row.lo, row.hi) if row.lo < row.hi else (row.lo - 0.5, row.hi + 0.5)
         width = (hi - lo) / bins
         edges[row.y] = [lo + i * width for i in range(bins)] + [hi]
+    beyond = df.sparkSession.createDataFrame(endless, schema)
     if not edges:
-        schema = "label int, bin int, lower double, upper double, records bigint"
-        return df.sparkSession.createDataFrame([], schema)
+        return beyond
 
     def by_class(value) -> Column:
         picked = None
@@ -291,4 +310,5 @@ def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         F.broadcast(counted), (grid.label == counted.y) & (grid.bin == counted.b), "left"
     )
     records = F.coalesce("count", F.lit(0)).cast("bigint").alias("records")
-    return joined.select("label", "bin", "lower", "upper", records)
+    binned = joined.select("label", "bin", "lower", "upper", records)
+    return binned.unionByName(beyond) if endless else binned

@@ -209,12 +209,17 @@ def gradient(
 
 @dataclass
 class TrainState:
-    """Parameters with the optimiser's moments, as one replica carries them."""
+    """Parameters with the optimiser's moments, as one replica carries them.
+
+    ``steps`` are those of the replica's own optimiser; ``seen`` counts the mini-batches of all
+    replicas and drives the schedule of the learning rate.
+    """
 
     vector: np.ndarray
     first: np.ndarray
     second: np.ndarray
     steps: int = 0
+    seen: int = 0
 
     @classmethod
     def fresh(cls, layout: Layout, seed: int) -> TrainState:
@@ -222,15 +227,16 @@ class TrainState:
         return cls(layout.initial(seed), zeros, zeros.copy())
 
     def copy(self) -> TrainState:
-        return TrainState(self.vector.copy(), self.first.copy(), self.second.copy(), self.steps)
+        parts = (self.vector.copy(), self.first.copy(), self.second.copy())
+        return TrainState(*parts, self.steps, self.seen)
 
     def pack(self) -> bytes:
         return np.concatenate([self.vector, self.first, self.second]).tobytes()
 
     @classmethod
-    def unpack(cls, layout: Layout, data: np.ndarray, steps: int) -> TrainState:
+    def unpack(cls, layout: Layout, data: np.ndarray, steps: int, seen: int) -> TrainState:
         at = (layout.size, layout.size + layout.trainable)
-        return cls(*(p.copy() for p in np.split(data, at)), steps)
+        return cls(*(p.copy() for p in np.split(data, at)), steps, seen)
 
 
 def train_step(
@@ -240,12 +246,17 @@ def train_step(
     rng: np.random.Generator,
     base_rate: float,
     schedule: str,
+    replicas: int = 1,
 ) -> float:
-    """One optimiser step on a mini-batch, in place; returns the training loss."""
+    """One optimiser step on a mini-batch, in place; returns the training loss.
+
+    ``replicas`` take such a step at the same time, and the schedule moves on by as many.
+    """
     loss, grad = gradient(layout, state.vector, rows, rng)
     g = grad[: layout.trainable]
-    rate = learning_rate(base_rate, schedule, state.steps)
+    rate = learning_rate(base_rate, schedule, state.seen)
     state.steps += 1
+    state.seen += replicas
     state.first += (g - state.first) * (1 - ADAM_BETA1)
     state.second += (g * g - state.second) * (1 - ADAM_BETA2)
     rate *= np.sqrt(1 - ADAM_BETA2**state.steps) / (1 - ADAM_BETA1**state.steps)

@@ -12,10 +12,8 @@ from pyspark.sql import functions as F
 from oddrow.errors import InferenceError
 from oddrow.functions.cells import column, number
 
-# Up to this many rows the built-in exact percentile, which holds all values in one task, is used.
-SMALL_ROWS = 1_000_000
 # Values that the driver takes at a time: a sample that proposes an interval, or the last few.
-FETCH_ROWS = 65_536
+FETCH_ROWS = 16_384
 SAMPLE_SEED = 42
 
 
@@ -89,7 +87,6 @@ def exact_percentile(
     score: Column,
     percentile: float,
     n: int | None = None,
-    small_rows: int = SMALL_ROWS,
     fetch_rows: int = FETCH_ROWS,
 ) -> float | None:
     """Linear-interpolated percentile of the non-missing scores; None without any."""
@@ -98,8 +95,6 @@ def exact_percentile(
         n = values.count()
     if n == 0:
         return None
-    if n <= small_rows:
-        return values.agg(F.percentile("x", F.lit(percentile / 100.0))).first()[0]
     position = (n - 1) * (percentile / 100.0)
     k = math.floor(position)
     lower = kth_smallest(values, k, n, fetch_rows)
@@ -115,29 +110,15 @@ def exact_percentile(
 
 
 def fit_threshold(
-    df: DataFrame,
-    percentile: int,
-    score: str = "mse",
-    max_rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
-    fetch_rows: int = FETCH_ROWS,
+    df: DataFrame, percentile: int, score: str = "mse", fetch_rows: int = FETCH_ROWS
 ) -> Threshold:
-    """Threshold with mean and population deviation of the scores.
-
-    With ``max_rows``, a known upper bound on the rows, small tables take a single pass.
-    """
+    """Threshold with mean and population deviation of the scores; one way for every size."""
     x = number(column(score))
     measures = [F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.count(x).alias("n")]
-    single = max_rows is not None and max_rows <= small_rows
-    if single:
-        measures.append(F.percentile(x, F.lit(percentile / 100.0)).alias("value"))
     stats = df.agg(*measures).first()
     if not stats["n"]:
         raise InferenceError("threshold not computed: there are no scores to take it from")
-    if single:
-        value = stats["value"]
-    else:
-        value = exact_percentile(df, x, percentile, stats["n"], small_rows, fetch_rows)
+    value = exact_percentile(df, x, percentile, stats["n"], fetch_rows)
     return Threshold(value, percentile, stats["mean"], stats["std"])
 
 

@@ -111,7 +111,11 @@ class ArchitectureParams:
 
 @dataclass(frozen=True)
 class TrainingParams:
-    """``shards`` fixes how many data-parallel replicas train; None derives it from row counts."""
+    """``shards`` is the number of data-parallel replicas, whatever the size of the table.
+
+    One shard is plain sequential training; more spread an epoch over as many tasks, whose
+    replicas are averaged at its end.
+    """
 
     learning_rate: float = 0.001
     batch_size: int = 256
@@ -119,7 +123,7 @@ class TrainingParams:
     patience: int = 10
     lr_schedule: str = "none"
     random_seed: int = 42
-    shards: int | None = None
+    shards: int = 8
 
     def __post_init__(self) -> None:
         if _real("training.learning_rate", self.learning_rate) <= 0.0:
@@ -131,8 +135,7 @@ class TrainingParams:
         _integer("training.patience", self.patience, 1)
         _one_of("training.lr_schedule", self.lr_schedule, LR_SCHEDULES)
         _integer("training.random_seed", self.random_seed)
-        if self.shards is not None:
-            _integer("training.shards", self.shards, 1)
+        _integer("training.shards", self.shards, 1)
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,6 @@ from oddrow.operators.autoencoder import (
     TrainingResult,
     layout_for,
     make_shards,
-    shard_count,
     train_autoencoder,
 )
 from oddrow.operators.dedup import COPIES, dedup
@@ -102,7 +101,7 @@ def fit_model(
     layout = layout_for(params.architecture, prepared.preprocessor.width, dtype)
     element = "float" if dtype == "float32" else "double"
     encoded = prepared.preprocessor.transform(prepared.normal, element)
-    count = shard_count(params.training, prepared.split.n_train + prepared.split.n_val)
+    count = params.training.shards
     seed = params.training.random_seed
     with compiled_methods(prepared.rows.sparkSession):
         shards = make_shards(encoded, F.col(SPLIT) == TRAIN, [RANK], count, seed, dtype)
@@ -145,11 +144,8 @@ def train(
         write_table(written, f"{run}/{artefacts.SCORES}", partition_by=[SPLIT])
         scores = spark.read.schema(written.schema).parquet(f"{run}/{artefacts.SCORES}")
 
-        threshold = fit_threshold(
-            scores.filter(F.col(SPLIT) == TRAIN),
-            params.threshold.percentile,
-            max_rows=prepared.split.n_train,
-        )
+        train_scores = scores.filter(F.col(SPLIT) == TRAIN)
+        threshold = fit_threshold(train_scores, params.threshold.percentile)
         artefacts.save_threshold(spark, run, threshold)
         tested = scores.filter(F.col(SPLIT) != TRAIN) if holdout else scores
         flagged = tested.withColumn(
@@ -228,7 +224,8 @@ def apply_run(spark: SparkSession, rows: DataFrame, run: str) -> DataFrame:
         )
     threshold = artefacts.load_threshold(spark, run)
     element = "float" if model.layout.dtype == "float32" else "double"
-    return model.predict(fitted.transform(rows, element), threshold.threshold).drop("features")
+    scored = model.score(fitted.transform(rows, element)).drop("features")
+    return scored.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), threshold.threshold))
 
 
 def report(spark: SparkSession, run: str) -> DataFrame:

@@ -24,8 +24,6 @@ from oddrow.operators.dedup import COPIES, dedup, dedup_counts
 from oddrow.operators.features import (
     category_table,
     feature_columns,
-    moments,
-    scale_of,
 )
 from oddrow.operators.network import Layout
 from oddrow.operators.quality import class_counts, distinct_labels, quality_counts
@@ -103,28 +101,21 @@ def baseline_score(fitted: jobs.Preprocessor) -> Column:
     ).alias("mse")
 
 
-def scored_with_size(
-    spark: SparkSession, sf_dir: str, profile: Profile
-) -> tuple[DataFrame, int]:
-    """Key, split, binary label and baseline score of all deduplicated rows, written once, and
-    the number of training rows."""
+def scored(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    """Key, split, binary label and baseline score of all deduplicated rows, written once."""
     ready = prepared(spark, sf_dir, profile)
     label, mse = binary_label(profile).alias(M.LABEL), baseline_score(ready.preprocessor)
     rows = ready.rows.select(*profile.key, SPLIT, label, mse)
-    return Scratch(spark).keep(rows, "scores"), ready.split.n_train
-
+    return Scratch(spark).keep(rows, "scores")
 
-def scored(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    return scored_with_size(spark, sf_dir, profile)[0]
 
-
-def threshold_of(scores: DataFrame, n_train: int) -> Threshold:
-    return fit_threshold(scores.filter(F.col(SPLIT) == TRAIN), PERCENTILE, max_rows=n_train)
+def threshold_of(scores: DataFrame) -> Threshold:
+    return fit_threshold(scores.filter(F.col(SPLIT) == TRAIN), PERCENTILE)
 
 
 def flagged(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    scores, n_train = scored_with_size(spark, sf_dir, profile)
-    limit = threshold_of(scores, n_train).threshold
+    scores = scored(spark, sf_dir, profile)
+    limit = threshold_of(scores).threshold
     return scores.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), limit))
 
 
@@ -225,12 +216,8 @@ def q_sample_n(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
 
 
 def q_scaler_fit(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    train = prepared(spark, sf_dir, profile).train
-    row = moments(train, profile.numeric).first()
-    fitted = [
-        (c, row[f"mean_{i}"], row[f"std_{i}"], scale_of(row[f"mean_{i}"], row[f"std_{i}"]))
-        for i, c in enumerate(profile.numeric)
-    ]
+    scales = prepared(spark, sf_dir, profile).preprocessor.scales
+    fitted = [(s.column, s.mean, s.std, s.scale) for s in scales]
     out = spark.createDataFrame(fitted, "column string, mean double, std double, scale double")
     return out.select("column", *[rounded(F.col(c), c) for c in ("mean", "std", "scale")])
 
@@ -245,7 +232,9 @@ def q_scaler_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ohe_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category_table(prepared(spark, sf_dir, LINEITEM).train, LINEITEM.categorical)
+    fitted = prepared(spark, sf_dir, LINEITEM).preprocessor
+    rows = [(c, i, v) for c, values in fitted.categories for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "column string, place int, category string")
 
 
 def q_ohe_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +270,7 @@ def q_scores(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
 
 
 def q_threshold(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    return threshold_row(spark, threshold_of(*scored_with_size(spark, sf_dir, profile)))
+    return threshold_row(spark, threshold_of(scored(spark, sf_dir, profile)))
 
 
 def threshold_row(spark: SparkSession, found: Threshold) -> DataFrame:
@@ -406,7 +395,7 @@ def q_train_score(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFra
     rows = result.model.score(ready.preprocessor.transform(ready.rows, "float"))
     rows = rows.select(*profile.key, SPLIT, binary_label(profile).alias(M.LABEL), "mse")
     scores = Scratch(spark).keep(rows, "scores")
-    limit = threshold_of(scores, ready.split.n_train).threshold
+    limit = threshold_of(scores).threshold
     return scores.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), limit))
 
 
@@ -421,7 +410,7 @@ def q_training_history(spark: SparkSession, sf_dir: str, profile: Profile) -> Da
 def q_threshold_artefact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The threshold as read back from a run folder."""
     run = Scratch(spark).path
-    found = threshold_of(*scored_with_size(spark, sf_dir, LINEITEM))
+    found = threshold_of(scored(spark, sf_dir, LINEITEM))
     artefacts.save_threshold(spark, run, found)
     return threshold_row(spark, artefacts.load_threshold(spark, run))
 
@@ -447,8 +436,9 @@ def q_score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     artefacts.write_record(spark, f"{run}/{artefacts.PARAMS}", job_params(EVENTS).to_mapping())
     artefacts.save_preprocessor(spark, run, ready.preprocessor)
     artefacts.save_weights(spark, f"{run}/{artefacts.WEIGHTS}", model)
-    train = model.score(ready.preprocessor.transform(ready.train))
-    artefacts.save_threshold(spark, run, fit_threshold(train, PERCENTILE))
+    train = model.score(ready.preprocessor.transform(ready.train)).select("mse")
+    written = Scratch(spark).keep(train, "train-scores")
+    artefacts.save_threshold(spark, run, fit_threshold(written, PERCENTILE))
     rows = jobs.score(spark, table(spark, sf_dir, "events"), run)
     return rows.select(*EVENTS.key, rounded(F.col("mse"), "mse"), M.PREDICTION)
 

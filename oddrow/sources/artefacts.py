@@ -11,13 +11,14 @@ import numpy as np
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oddrow.errors import ArtifactLoadError, ArtifactNotFoundError, InferenceError
 from oddrow.operators.autoencoder import Autoencoder
 from oddrow.operators.features import ColumnScale, Preprocessor
 from oddrow.operators.network import Layout
 from oddrow.operators.threshold import Threshold
-from oddrow.sources.storage import exists, make_folder, subfolders
+from oddrow.sources.storage import exists, finished, make_folder
 from oddrow.sources.tables import write_table
 
 WEIGHTS, SCALER, ENCODER, THRESHOLD = "weights", "scaler", "encoder", "threshold.json"
@@ -40,19 +41,12 @@ def new_run(spark: SparkSession, base: str) -> str:
 
 
 def latest_run(spark: SparkSession, base: str) -> str:
-    """The last run by name that holds finished weights, else the last of all."""
-    if not exists(spark, base):
-        raise ArtifactNotFoundError(f"no runs found: folder '{base}' does not exist; train first")
-    names = subfolders(spark, base)
-    if not names:
-        raise ArtifactNotFoundError(f"no runs found under '{base}'; train first")
+    """The newest run, by name, whose weights were written to their end."""
     base = base.rstrip("/")
-
-    def complete(name: str) -> bool:
-        weights = f"{base}/{name}/{WEIGHTS}"
-        return exists(spark, weights) and not exists(spark, f"{weights}/_temporary")
-
-    return f"{base}/{max([n for n in names if complete(n)] or names)}"
+    runs = finished(spark, base, WEIGHTS)
+    if not runs:
+        raise ArtifactNotFoundError(f"'{base}' holds no run with finished weights")
+    return f"{base}/{runs[-1]}"
 
 
 def check_artefacts(spark: SparkSession, run: str, names: tuple[str, ...] = CRITICAL) -> None:
@@ -78,7 +72,7 @@ def read_record(spark: SparkSession, path: str, what: str) -> dict[str, Any]:
     if not exists(spark, path):
         raise ArtifactLoadError(f"{what} not found: '{path}'")
     try:
-        texts = [r.value for r in spark.read.text(path, wholetext=True).limit(8).collect()]
+        texts = [r.value for r in spark.read.text(path, wholetext=True).collect()]
         data = json.loads("".join(texts))
     except json.JSONDecodeError as exc:
         raise ArtifactLoadError(f"{what} '{path}' contains invalid JSON: {exc}") from exc
@@ -99,24 +93,18 @@ def save_threshold(spark: SparkSession, run: str, found: Threshold) -> None:
 
 
 def load_threshold(spark: SparkSession, run: str) -> Threshold:
-    """All missing and all unparseable fields are reported together."""
+    """The stored threshold; one error names every field that gives no number."""
     path = f"{run}/{THRESHOLD}"
-    data = read_record(spark, path, "threshold artefact")
-    missing = [key for key in THRESHOLD_KEYS if key not in data]
-    numbers, unparseable = {}, []
-    for key in THRESHOLD_KEYS:
-        if key in data:
-            try:
-                numbers[key] = float(data[key])
-            except (TypeError, ValueError):
-                unparseable.append(key)
-    problems = [f"missing fields: {missing}"] if missing else []
-    problems += [f"unparseable fields: {unparseable}"] if unparseable else []
-    if problems:
-        raise ArtifactLoadError(f"threshold artefact '{path}' is invalid: {'; '.join(problems)}")
-    percentile = numbers.pop("percentile")
-    whole = int(percentile) if percentile == percentile // 1 else percentile
-    return Threshold(percentile=whole, **numbers)
+    read_record(spark, path, "threshold artefact")  # one well-formed object, or its error
+    schema = ", ".join(f"{key} string" for key in THRESHOLD_KEYS)
+    cells = spark.read.schema(schema).option("multiLine", True).json(path)
+    numbers = [F.col(key).try_cast("double").alias(key) for key in THRESHOLD_KEYS]
+    found = cells.select(*numbers).first().asDict()
+    unusable = [k for k, v in found.items() if v is None]
+    if unusable:
+        raise ArtifactLoadError(f"'{path}' gives no number for {', '.join(unusable)}")
+    share = found["percentile"]
+    return Threshold(**found | {"percentile": int(share) if share.is_integer() else share})
 
 
 def record_timing(spark: SparkSession, run: str, seconds: float) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -27,10 +26,23 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the directories directly below ``path``."""
+def holds_files(spark: SparkSession, path: str, suffix: str) -> bool:
+    """True if some file at or below ``path`` has a name that ends in ``suffix``."""
+    if not exists(spark, path):
+        return False
     fs, target = _open(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+    found = fs.listFiles(target, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(suffix):
+            return True
+    return False
+
+
+def finished(spark: SparkSession, base: str, part: str) -> list[str]:
+    """Names of the folders below ``base`` whose table ``part`` was written to its end."""
+    fs, target = _open(spark, f"{escape_glob(base)}/*/{part}/_SUCCESS")
+    marks = fs.globStatus(target) or []
+    return sorted(mark.getPath().getParent().getParent().getName() for mark in marks)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
@@ -60,15 +72,13 @@ def escape_glob(path: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for a local master."""
+    """The folder in ``spark.checkpoint.dir``, which all executors must reach."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise ConfigurationError(
-                "set 'spark.checkpoint.dir' to a folder that all executors can reach"
-            )
-        folder = tempfile.mkdtemp(prefix="oddrow-")
+        raise ConfigurationError(
+            "set 'spark.checkpoint.dir' to a folder that all executors can reach"
+        )
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

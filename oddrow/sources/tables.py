@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from oddrow.errors import ArtifactWriteError, DataLoadError, SchemaValidationError
 from oddrow.functions import cells
 from oddrow.profiles import Profile
-from oddrow.sources.storage import escape_glob, exists
+from oddrow.sources.storage import escape_glob, exists, holds_files
 
 # Count of unreadable numbers in a row of text; present on tables read from CSV only.
 BAD_CELLS = "_bad_cells"
@@ -29,44 +30,100 @@ def _load_error(path: str, exc: Exception) -> DataLoadError:
     return DataLoadError(f"dataset cannot be read: {path} ({type(exc).__name__})")
 
 
-def _csv(spark: SparkSession, path: str, header: bool, multi_line: bool) -> DataFrame:
+def _csv(
+    spark: SparkSession, paths: str | list[str], header: bool, multi_line: bool
+) -> DataFrame:
     # Doubled quotes inside quoted text, as CSV writers other than Spark produce them.
     reader = spark.read.option("header", header).option("quote", '"').option("escape", '"')
     reader = reader.option("multiLine", multi_line)
-    readable = escape_glob(path) if exists(spark, path) else path
-    width = len(reader.csv(readable).columns)
+    width = len(reader.csv(paths).columns)
     if not width:
-        raise DataLoadError(f"dataset contains no parseable data: {path}")
+        raise DataLoadError(f"dataset contains no parseable data: {paths}")
     # Names by position: real headers may repeat or differ in case only. Without pruning every
     # row is checked for its number of fields.
     names = [f"_c{i}" for i in range(width)]
     schema = ", ".join(f"{n} string" for n in [*names, MALFORMED])
     reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
-    return reader.schema(schema).csv(readable)
+    return reader.schema(schema).csv(paths)
+
+
+def _readable(spark: SparkSession, path: str) -> str:
+    return escape_glob(path) if exists(spark, path) else path
 
 
 def _header(first: Sequence[str | None]) -> list[str]:
-    """Header names with repeats numbered ``name.1``, ``name.2``."""
-    seen: dict[str, int] = {}
+    """Header names with repeats numbered ``name.1``, ``name.2``; numbers that a column of the
+    file already bears are passed over."""
+    raw = [name if name is not None else f"Unnamed: {i}" for i, name in enumerate(first)]
+    used: set[str] = set()
     names = []
-    for i, raw in enumerate(first):
-        name = raw if raw is not None else f"Unnamed: {i}"
-        count = seen.get(name, 0)
-        seen[name] = count + 1
-        names.append(f"{name}.{count}" if count else name)
+    for name in raw:
+        made, number = name, 0
+        while made in used or (number and made in raw):
+            number += 1
+            made = f"{name}.{number}"
+        used.add(made)
+        names.append(made)
     return names
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a CSV table, grouped by the text of their first line.
+
+    One file needs no look. Of several, the text is scanned once for the first line of each;
+    what reaches the driver is one row per header with its files.
+    """
+    lines = spark.read.text(path)
+    files = [unquote(f) for f in lines.inputFiles()]
+    if len(files) < 2:
+        return [files]
+    starts = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    ).filter("at = 0 AND value <> ''")
+    firsts = starts.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups = firsts.groupBy("header").agg(F.sort_array(F.collect_set("file")).alias("files"))
+    return sorted([unquote(f) for f in row.files] for row in groups.collect())
+
+
 def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A CSV file with a header as string columns, named as in the file."""
+    """A CSV table with headers as string columns, named as in its files.
+
+    Every file is read under its own header, so files may order their columns differently; files
+    that lack a column of others are an error.
+    """
     try:
-        rows = _csv(spark, path, True, multi_line)
-        first = _csv(spark, path, False, multi_line).drop(MALFORMED).first()
+        readable = _readable(spark, path)
+        groups = _files_by_header(spark, readable)
+        parts: list[DataFrame] = []
+        names: dict[frozenset[str], str] = {}
+        for files in groups:
+            paths = [escape_glob(f) for f in files] if len(groups) > 1 else readable
+            parts.append(_under_own_header(spark, paths, multi_line))
+            names.setdefault(frozenset(parts[-1].columns), files[0] if files else path)
+            if len(names) > 1:
+                differ = sorted(frozenset.symmetric_difference(*names))
+                raise SchemaValidationError(
+                    f"files of '{path}' have different columns: {differ} are in only one of "
+                    f"{sorted(names.values())}"
+                )
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
         if rows.isEmpty():
             raise DataLoadError(f"dataset is empty (no records after the header): {path}")
     except (PySparkException, Py4JJavaError) as exc:
         raise _load_error(path, exc) from exc
-    return rows.toDF(*_header(first), MALFORMED)
+    return rows
+
+
+def _under_own_header(
+    spark: SparkSession, paths: str | list[str], multi_line: bool
+) -> DataFrame:
+    first = _csv(spark, paths, False, multi_line).drop(MALFORMED).first()
+    return _csv(spark, paths, True, multi_line).toDF(*_header(first), MALFORMED)
 
 
 def read_headerless_csv(
@@ -74,7 +131,7 @@ def read_headerless_csv(
 ) -> DataFrame:
     """A CSV file without a header as string columns under a declared header."""
     try:
-        rows = _csv(spark, path, False, multi_line)
+        rows = _csv(spark, _readable(spark, path), False, multi_line)
     except (PySparkException, Py4JJavaError) as exc:
         raise _load_error(path, exc) from exc
     if len(rows.columns) - 1 != len(header):
@@ -174,8 +231,8 @@ def load_table(
     label_required: bool = True,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Read a table under a profile: Parquet if the path says so, else CSV with a header."""
-    is_parquet = path.rstrip("/").endswith(".parquet")
+    """Read a table under a profile: Parquet if its files say so, else CSV with a header."""
+    is_parquet = path.rstrip("/").endswith(".parquet") or holds_files(spark, path, ".parquet")
     rows = read_parquet(spark, path) if is_parquet else read_csv_text(spark, path, multi_line)
     return project(rows, profile, extras, not is_parquet, path, label_required)
 

@@ -43,9 +43,9 @@ def test_plain_indented_file_is_read(spark, tmp_path):
 @pytest.mark.parametrize(
     ("content", "words"),
     [
-        ({"threshold": 0.5, "percentile": 95}, r"missing fields: \['mse_mean', 'mse_std'\]"),
-        ({**GOOD, "threshold": "abc", "mse_std": None}, r"unparseable fields: \['threshold', 'mse"),
-        ({"threshold": "abc", "mse_mean": 1}, "missing fields.*unparseable fields"),
+        ({"threshold": 0.5, "percentile": 95}, "no number for mse_mean, mse_std"),
+        ({**GOOD, "threshold": "abc", "mse_std": None}, "no number for threshold, mse_std"),
+        ({"threshold": "abc", "mse_mean": 1}, "no number for threshold, percentile, mse_std"),
         ("{not json", "invalid JSON"),
         ("", "invalid JSON"),
         ([1, 2], "one JSON object, not a list"),
@@ -138,7 +138,7 @@ def test_exactly_the_missing_artefacts_are_listed(spark, tmp_path_factory, gone)
 
 def test_run_folders(spark, tmp_path):
     base = f"{tmp_path}/runs"
-    with pytest.raises(ArtifactNotFoundError, match="does not exist"):
+    with pytest.raises(ArtifactNotFoundError, match="no run with finished weights"):
         artefacts.latest_run(spark, base)
     first, second = artefacts.new_run(spark, base), artefacts.new_run(spark, base)
     assert first != second and Path(first).is_dir()
@@ -147,13 +147,15 @@ def test_run_folders(spark, tmp_path):
 
 
 def test_latest_run_prefers_finished_ones(spark, tmp_path):
-    with pytest.raises(ArtifactNotFoundError, match="no runs"):
+    with pytest.raises(ArtifactNotFoundError, match="no run with finished weights"):
         artefacts.latest_run(spark, str(tmp_path))
     for name in ("20240101_000000", "20240201_000000", "20240301_000000", "20240401_000000"):
         (tmp_path / name).mkdir()
-    assert artefacts.latest_run(spark, str(tmp_path)).endswith("20240401_000000")
-    (tmp_path / "20240101_000000" / "weights").mkdir()
-    (tmp_path / "20240201_000000" / "weights").mkdir()
+    with pytest.raises(ArtifactNotFoundError, match="no run with finished weights"):
+        artefacts.latest_run(spark, str(tmp_path))
+    for name in ("20240101_000000", "20240201_000000"):
+        (tmp_path / name / "weights").mkdir()
+        (tmp_path / name / "weights" / "_SUCCESS").touch()
     (tmp_path / "20240301_000000" / "weights" / "_temporary").mkdir(parents=True)
     assert artefacts.latest_run(spark, str(tmp_path)).endswith("20240201_000000")
 

@@ -121,10 +121,3 @@ def test_fitted_state_is_a_projection(spark):
     out = FE.fit_preprocessor(rows, NSL_KDD).transform(rows).select("features")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
-
-
-def test_width_guard(spark):
-    rows = spark.createDataFrame([([1.0, 2.0],)], "features array<double>")
-    assert rows.select(FE.width_guard(F.col("features"), 2).alias("f")).first().f == [1.0, 2.0]
-    with pytest.raises(Exception, match="expected 3 features but got 2"):
-        rows.select(FE.width_guard(F.col("features"), 3).alias("f")).collect()

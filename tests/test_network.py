@@ -119,7 +119,7 @@ def test_state_packing():
     layout = small(dtype="float32")
     state = TrainState.fresh(layout, 2)
     state.first += 1
-    back = TrainState.unpack(layout, np.frombuffer(state.pack(), "float32"), 9)
+    back = TrainState.unpack(layout, np.frombuffer(state.pack(), "float32"), 9, 11)
     assert np.array_equal(back.vector, state.vector) and np.array_equal(back.first, state.first)
     assert back.steps == 9 and back.vector.flags.writeable
 

@@ -19,6 +19,7 @@ NOT_SQL = {
     for name in ("autoencoder_train_score", "training_history")
     for table in ("embeddings", "lineitem")
 }
+ORACLES, QUERIES = driver.all_oracles(), driver.all_queries()
 # DuckDB types that hold the same values as the Spark type on the left.
 SAME_TYPES = {
     "bigint": {"BIGINT"}, "int": {"INTEGER"}, "double": {"DOUBLE"}, "string": {"VARCHAR"},
@@ -35,8 +36,9 @@ def duck():
 
 
 def test_only_training_has_no_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == NOT_SQL
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(QUERIES) - set(ORACLES) == NOT_SQL
+    assert set(ORACLES) <= set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
 
 
 def _plain(value):
@@ -45,12 +47,12 @@ def _plain(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    result = driver.queries()[name](spark, str(TABLES))
+    result = QUERIES[name](spark, str(TABLES))
     names = sorted(result.columns)
     got = [tuple(_plain(r[c]) for c in names) for r in result.collect()]
-    answer = duck.execute(driver.oracle_sql()[name])
+    answer = duck.execute(ORACLES[name])
     columns = [d[0] for d in answer.description]
     assert sorted(columns) == names
     kinds = {d[0]: str(d[1]) for d in answer.description}
@@ -63,7 +65,7 @@ def test_query_equals_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(NOT_SQL))
 def test_training_queries(spark, name):
-    rows = driver.queries()[name](spark, str(TABLES)).collect()
+    rows = QUERIES[name](spark, str(TABLES)).collect()
     assert rows
     if name.startswith("training_history"):
         assert [r.epoch for r in sorted(rows)] == [1, 2, 3]

@@ -43,7 +43,7 @@ def test_threshold_matches_numpy(spark, scores, p):
     assert math.isclose(found.threshold, np.percentile(scores, p), abs_tol=1e-9)
     assert math.isclose(found.mse_mean, np.mean(scores), abs_tol=1e-9)
     assert math.isclose(found.mse_std, np.std(scores), abs_tol=1e-9)
-    assert fit_threshold(frame(spark, scores), p, max_rows=1000) == found
+    assert fit_threshold(frame(spark, scores), p) == found
 
 
 @given(
@@ -52,7 +52,7 @@ def test_threshold_matches_numpy(spark, scores, p):
 )
 @settings(max_examples=10, deadline=None)
 def test_search_matches_numpy(spark, scores, p):
-    got = exact_percentile(frame(spark, scores), F.col("mse"), p, small_rows=0, fetch_rows=3)
+    got = exact_percentile(frame(spark, scores), F.col("mse"), p, fetch_rows=3)
     assert math.isclose(got, np.percentile(scores, p), rel_tol=1e-9, abs_tol=1e-12)
 
 
@@ -71,7 +71,7 @@ def test_search_matches_numpy(spark, scores, p):
 def test_search_on_awkward_distributions(spark, column, p):
     rows = spark.range(9_000).selectExpr(f"{column} AS mse")
     values = np.array([r.mse for r in rows.collect()])
-    got = exact_percentile(rows, F.col("mse"), p, small_rows=0, fetch_rows=20)
+    got = exact_percentile(rows, F.col("mse"), p, fetch_rows=20)
     assert math.isclose(got, np.percentile(values, p), rel_tol=1e-12)
 
 
@@ -266,3 +266,15 @@ def test_histogram_of_equal_scores_and_edges(spark):
 def test_histogram_without_scores(spark):
     rows = frame(spark, [math.nan], [0])
     assert M.error_histogram(rows).count() == 0
+
+
+def test_histogram_counts_infinite_scores_apart(spark):
+    scores = [1.0, 2.0, math.inf, 5.0, -math.inf, math.nan, None]
+    rows = M.error_histogram(frame(spark, scores, [0, 0, 0, 1, 1, 1, 1]), bins=2).collect()
+    got = {(r.label, r.bin): (r.lower, r.upper, r.records) for r in rows}
+    assert got == {
+        (0, 0): (1.0, 1.5, 1), (0, 1): (1.5, 2.0, 1), (0, 2): (math.inf, math.inf, 1),
+        (1, 0): (4.5, 5.0, 0), (1, 1): (5.0, 5.5, 1), (1, -1): (-math.inf, -math.inf, 1),
+    }
+    only = M.error_histogram(frame(spark, [math.inf, math.inf], [0, 0])).collect()
+    assert [(r.bin, r.records) for r in only] == [(M.HISTOGRAM_BINS, 2)]

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from oddrow import DataLoadError, SchemaValidationError
 from oddrow.operators.quality import Quality
 from oddrow.profiles import CICIDS2017, EVENTS, LINEITEM, NSL_KDD, UNSW_NB15
+from oddrow.sources import tables
 from oddrow.sources.tables import (
     BAD_CELLS,
     MALFORMED,
@@ -104,6 +105,52 @@ def test_glob_pattern_reads_several_files(spark, make_csv, tmp_path):
     assert load_table(spark, f"{tmp_path}/part*.csv", NSL_KDD).count() == 8
 
 
+def test_every_file_is_read_under_its_own_header(spark, make_csv, tmp_path):
+    one, two = connections(4, 1, seed=1), connections(3, 2, seed=2)
+    (tmp_path / "parts").mkdir()
+    make_csv(one, "parts/a b.csv")
+    make_csv(two[sorted(two.columns)], "parts/b%20.csv")
+    make_csv(two.head(1)[two.columns[::-1]], "parts/c.csv")
+    rows = load_table(spark, f"{tmp_path}/parts", NSL_KDD).toPandas()
+    expected = pd.concat([one, two, two.head(1)])[list(rows.columns[:-1])]
+    order = list(expected.columns[:6])
+    assert rows.pop(BAD_CELLS).sum() == 0
+    pd.testing.assert_frame_equal(
+        rows.sort_values(order).reset_index(drop=True),
+        expected.sort_values(order).reset_index(drop=True),
+        check_dtype=False,
+    )
+
+
+def test_files_with_other_columns_are_named(spark, make_csv, tmp_path):
+    make_csv(connections(3, 1), "x1.csv")
+    make_csv(connections(3, 1).drop(columns="hot"), "x2.csv")
+    with pytest.raises(SchemaValidationError, match="'hot'.*x1.csv.*x2.csv"):
+        load_table(spark, f"{tmp_path}/x*.csv", NSL_KDD)
+
+
+@pytest.mark.parametrize(
+    ("raw", "named"),
+    [
+        (["a", "a", "a.1"], ["a", "a.2", "a.1"]),
+        (["a", "a", "a"], ["a", "a.1", "a.2"]),
+        (["a.1", "a", "a", "a.1", None], ["a.1", "a", "a.2", "a.1.1", "Unnamed: 4"]),
+    ],
+)
+def test_header_numbers_do_not_collide(spark, tmp_path, raw, named):
+    assert tables._header(raw) == named
+    path = tmp_path / "h.csv"
+    path.write_text(",".join(n or "" for n in raw) + "\n" + ",".join("1" for _ in raw) + "\n")
+    assert tables.read_csv_text(spark, str(path)).columns[:-1] == named
+
+
+def test_parquet_folders_of_any_name(spark, tmp_path):
+    written = spark.createDataFrame(connections(6, 2))
+    written.write.partitionBy("label").parquet(f"{tmp_path}/plain")
+    rows = load_table(spark, f"{tmp_path}/plain", NSL_KDD)
+    assert rows.count() == 8 and BAD_CELLS not in rows.columns
+
+
 def test_missing_spellings_and_bad_numbers(spark, make_csv):
     table = connections(6, 0).astype({"duration": object})
     table["duration"] = ["NA", "None", "", "oops", "nan", "1.5"]
