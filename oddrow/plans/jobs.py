@@ -39,7 +39,7 @@ from oddrow.params import JobParams
 from oddrow.plans.session import compiled, compiled_methods
 from oddrow.profiles import NSL_KDD, NSL_KDD_RAW_HEADER, Profile, get_profile
 from oddrow.sources import artefacts
-from oddrow.sources.storage import Scratch, exists
+from oddrow.sources.storage import Scratch, drop_checkpoint, exists
 from oddrow.sources.tables import (
     BAD_CELLS,
     load_table,
@@ -105,7 +105,10 @@ def fit_model(
     seed = params.training.random_seed
     with compiled_methods(prepared.rows.sparkSession):
         shards = make_shards(encoded, F.col(SPLIT) == TRAIN, [RANK], count, seed, dtype)
-    return train_autoencoder(shards, layout, params.training)
+    try:
+        return train_autoencoder(shards, layout, params.training)
+    finally:
+        drop_checkpoint(shards)
 
 
 @compiled
@@ -245,7 +248,7 @@ def report(spark: SparkSession, run: str) -> DataFrame:
 def report_rows(
     found: Mapping[str, Any], limits: Mapping[str, Any]
 ) -> list[tuple[str, str | None, str | None, str | None]]:
-    """The lines of a report; absent values read N/A."""
+    """The lines of a report; absent values read N/A. Labels and formats are fixed values."""
 
     def shown(value: Any, pattern: str, factor: float = 1.0) -> str:
         return "N/A" if value is None else pattern.format(factor * value)

@@ -233,8 +233,8 @@ def q_scaler_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ohe_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = prepared(spark, sf_dir, LINEITEM).preprocessor
-    rows = [(c, i, v) for c, values in fitted.categories for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "column string, place int, category string")
+    rows = [(c, v) for c, values in fitted.categories for v in values]
+    return spark.createDataFrame(rows, "column string, category string")
 
 
 def q_ohe_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,8 +327,8 @@ def q_error_histogram(spark: SparkSession, sf_dir: str, profile: Profile) -> Dat
 
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> tuple[dict, Threshold, DataFrame]:
-    scores, n_train = scored_with_size(spark, sf_dir, LINEITEM)
-    limit = threshold_of(scores, n_train)
+    scores = scored(spark, sf_dir, LINEITEM)
+    limit = threshold_of(scores)
     rows = scores.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), limit.threshold))
     return jobs.evaluate(spark, rows), limit, rows
 
@@ -347,11 +347,12 @@ def q_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a run, from the records in its folder."""
     found, limit, _ = _evaluation(spark, sf_dir)
-    rows = jobs.report_rows(found, asdict(limit))
-    return spark.createDataFrame(
-        rows, "metric string, value string, normal string, anomalous string"
-    )
+    run = Scratch(spark).path
+    artefacts.write_record(spark, f"{run}/{artefacts.METRICS}", found)
+    artefacts.save_threshold(spark, run, limit)
+    return jobs.report(spark, run)
 
 
 # -- the autoencoder ---------------------------------------------------------------------
@@ -443,6 +444,16 @@ def q_score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*EVENTS.key, rounded(F.col("mse"), "mse"), M.PREDICTION)
 
 
+def q_train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run from a table to flags: train, find the run again, score the table with it."""
+    base = f"{Scratch(spark).path}/runs"
+    params = job_params(EVENTS, f"{sf_dir}/events.parquet").to_mapping()
+    jobs.train(spark, params | {"output": {"artefact_dir": base}})
+    run = artefacts.latest_run(spark, base)
+    rows = jobs.score(spark, table(spark, sf_dir, "events"), run)
+    return rows.select(*EVENTS.key, "mse", M.PREDICTION)
+
+
 # -- preparing raw files -----------------------------------------------------------------
 
 
@@ -497,6 +508,7 @@ def all_queries() -> dict[str, Query]:
         "scaler_artefact": q_scaler_artefact,
         "encoder_artefact": q_encoder_artefact,
         "score_job": q_score_job,
+        "train_job": q_train_job,
         "prepare_dataset": q_prepare_dataset,
         "prepare_sample": q_prepare_sample,
         "prepare_summary": q_prepare_summary,

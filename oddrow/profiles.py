@@ -66,7 +66,9 @@ class Profile:
         return T.StructType([T.StructField(c, self.column_type(c)) for c in self.required])
 
 
-# Column and label names of the public intrusion-detection datasets.
+# The column and label names that tables of these profiles must have. They follow
+# the public intrusion-detection datasets, but for the last three numeric names of CICIDS2017 and
+# the last four of UNSW_NB15, which are part of the contract only.
 NSL_KDD_CATEGORICAL = ("protocol_type", "service", "flag")
 NSL_KDD_NUMERIC = (
     "duration", "src_bytes", "dst_bytes", "land", "wrong_fragment", "urgent", "hot",

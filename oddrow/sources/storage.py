@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -72,18 +73,31 @@ def escape_glob(path: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors must reach."""
+    """The folder in ``spark.checkpoint.dir``, which all executors must reach.
+
+    Where it is unset, a local master gets a folder of its own; a cluster is refused.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        raise ConfigurationError(
-            "set 'spark.checkpoint.dir' to a folder that all executors can reach"
-        )
+        if not context.master.startswith("local") or "cluster" in context.master:
+            raise ConfigurationError(
+                "set 'spark.checkpoint.dir' to a folder that all executors can reach"
+            )
+        folder = tempfile.mkdtemp(prefix="oddrow-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a DataFrame that ``checkpoint()`` returned; it cannot be read again."""
+    written = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if written.isDefined():
+        fs, target = _open(df.sparkSession, written.get())
+        fs.delete(target, True)
+
+
 class Scratch:
     """Intermediate tables of one job, written under the shared folder."""
 

@@ -33,12 +33,28 @@ ARTEFACTS = (
 pytestmark = pytest.mark.filterwarnings("ignore:low AUC")
 
 
+LEFT_BEHIND: set[Path] = set()
+
+
+def shared_files(spark):
+    """Files in the shared folder, but for the package itself."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    return {p for p in folder.rglob("*") if p.is_file() and "oddrow-package" not in str(p)}
+
+
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("jobs")
     connections(300, 100).to_csv(base / "train.csv", index=False)
     params = job(str(base / "train.csv"), str(base / "runs"))
-    return jobs.train(spark, params)
+    before = shared_files(spark)
+    made = jobs.train(spark, params)
+    LEFT_BEHIND.update(shared_files(spark) - before)
+    return made
+
+
+def test_training_leaves_only_its_run_folder(run):
+    assert not LEFT_BEHIND
 
 
 def test_a_run_holds_all_artefacts(spark, run):

@@ -18,7 +18,7 @@ NOT_SQL = {
     f"{name}_{table}"
     for name in ("autoencoder_train_score", "training_history")
     for table in ("embeddings", "lineitem")
-}
+} | {"train_job"}
 ORACLES, QUERIES = driver.all_oracles(), driver.all_queries()
 # DuckDB types that hold the same values as the Spark type on the left.
 SAME_TYPES = {
