@@ -6,9 +6,10 @@ least 0.75. With tokens in any one global order, linked sets share a token withi
 tokens of equal frequency, so a candidate must pass the filter under each of them.
 
 1. Texts of one word sequence form a class; only classes go on.
-2. Tokens are dealt into buckets, as packed arrays, and counted over all classes. Tokens of a
-   single class come first in every order and can link nothing; all others return to their class
-   with their count. These shared tokens hold every intersection, so texts are not read again.
+2. Tokens are dealt into buckets, as packed arrays of some thousand classes, and counted. Tokens
+   that occur once come first in every order and can link nothing; all others return to their
+   pack with their count. (A class with copies in several packs counts once in each.) These shared
+   tokens hold every intersection, so texts are not read again.
 3. The prefixes under the first order are posting lists. Each list has a pivot; every class is
    compared with the pivot of its lists, which merges groups of near copies by one link each.
 4. What this left apart is compared in blocks of about 256 classes, for every pair of blocks that
@@ -31,6 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +46,17 @@ SHARE, OF = 75, 100
 ORDERS = 3
 #: Tokens per bucket and classes per block, on average: they bound the memory of one task.
 BUCKET_TOKENS = 2_000_000
-CLASS_BUCKET = 2_000
 BLOCK = 256
+#: Tokens and classes of one pack; places in a pack are 16-bit numbers.
 PACKED_TOKENS = 1 << 20
+PACKED_CLASSES = 60_000
 SEEN_KEYS = 200_000
 TEXTS_AT_ONCE = 256
 
 KEYS = "doc_id long, key long, n_shingles long, mark long"
-PACKED = "bucket int, keys binary, sizes binary, counts binary, low binary, high binary"
-RETURNED = "bucket int, keys binary, sizes binary, counts binary, tokens binary, df binary"
+# A pack's tokens in one bucket; or, without tokens, the classes of the pack.
+PACKED = "bucket int, pack long, places binary, low binary, high binary, keys binary, sizes binary"
+RETURNED = "pack long, places binary, tokens binary, df binary, keys binary, sizes binary"
 SETS = "key long, n int, tokens binary, df binary, prefix array<long>"
 EDGES = "a long, b long"
 
@@ -95,37 +99,40 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.r_[starts, len(values)])
 
 
-def _packed(parts: list[ShingleSet], buckets: int) -> pa.RecordBatch:
-    """One row per bucket with the tokens of several classes."""
+def _packed(parts: list[ShingleSet], buckets: int, pack: int) -> pa.RecordBatch:
+    """One row per bucket with the tokens of several classes, and one row with the classes."""
     tokens = np.concatenate([p.items for p in parts])
-    owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p.items) for p in parts])
-    keys = np.array([p.key for p in parts], np.uint64)
-    sizes = np.array([len(p.items) for p in parts], np.uint32)
+    places = np.repeat(np.arange(len(parts), dtype=np.uint16), [len(p.items) for p in parts])
     dealt = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(dealt, kind="stable")
-    tokens, owner, dealt = tokens[order], owner[order], dealt[order]
+    tokens, places, dealt = tokens[order], places[order], dealt[order]
     rows: dict[str, list] = {c.split()[0]: [] for c in PACKED.split(", ")}
     for start, length in zip(*_runs(dealt)):
         inside = slice(start, start + length)
-        at, counts = _runs(owner[inside])
-        owners = owner[inside][at]
         rows["bucket"].append(int(dealt[start]))
-        rows["keys"].append(keys[owners].tobytes())
-        rows["sizes"].append(sizes[owners].tobytes())
-        rows["counts"].append(counts.astype(np.uint32).tobytes())
+        rows["places"].append(places[inside].tobytes())
         rows["low"].append(tokens[inside].astype(np.uint32).tobytes())
         rows["high"].append((tokens[inside] >> np.uint64(32)).astype(np.uint16).tobytes())
+    rows["bucket"].append(pack % buckets)
+    for column in ("places", "low", "high"):
+        rows[column].append(b"")
+    listed = len(rows["bucket"]) - 1
+    rows["keys"] = [b""] * listed + [np.array([p.key for p in parts], np.uint64).tobytes()]
+    rows["sizes"] = [b""] * listed + [np.array([len(p.items) for p in parts], np.uint32).tobytes()]
+    rows["pack"] = [pack] * (listed + 1)
     return _batch(rows)
 
 
 def _batch(rows: dict[str, list]) -> pa.RecordBatch:
-    kinds = {"bucket": pa.int32()}
+    kinds = {"bucket": pa.int32(), "pack": pa.int64()}
     arrays = [pa.array(v, kinds.get(c, pa.binary())) for c, v in rows.items()]
     return pa.RecordBatch.from_arrays(arrays, names=list(rows))
 
 
 def _pack_tokens(buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task that is run again makes the same packs from the same rows.
+        pack = TaskContext.get().partitionId() << 32
         seen: set[int] = set()
         parts: list[ShingleSet] = []
         held = 0
@@ -136,13 +143,13 @@ def _pack_tokens(buckets: int):
                 seen.add(made.key)
                 parts.append(made)
                 held += len(made.items)
+                if held >= PACKED_TOKENS or len(parts) >= PACKED_CLASSES:
+                    yield _packed(parts, buckets, pack)
+                    pack, parts, held = pack + 1, [], 0
             if len(seen) > SEEN_KEYS:
                 seen.clear()
-            if held >= PACKED_TOKENS:
-                yield _packed(parts, buckets)
-                parts, held = [], 0
         if parts:
-            yield _packed(parts, buckets)
+            yield _packed(parts, buckets, pack)
 
     return run
 
@@ -151,51 +158,41 @@ def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def _share_tokens(class_buckets: int):
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Count one bucket's tokens; return those of two or more classes to their classes."""
-        tokens = _joined(table, "low", np.uint32).astype(np.uint64)
-        tokens |= _joined(table, "high", np.uint16).astype(np.uint64) << np.uint64(32)
-        counts = _joined(table, "counts", np.uint32)
-        # Most tokens occur once; a coarse count leaves few of those for the sort.
-        slots = (tokens % np.uint64(1 << 23)).astype(np.int64)
-        maybe = np.bincount(slots, minlength=1 << 23)[slots] > 1
-        owner = np.repeat(np.arange(len(counts), dtype=np.int64), counts)[maybe]
-        tokens = tokens[maybe]
-        keys = _joined(table, "keys", np.uint64)[owner]
-        sizes = _joined(table, "sizes", np.uint32)[owner]
-        order = np.lexsort((keys, tokens))
-        tokens, keys, sizes = tokens[order], keys[order], sizes[order]
-        # A class that several scans met is there several times.
-        fresh = np.r_[True, (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])][: len(keys)]
-        tokens, keys, sizes = tokens[fresh], keys[fresh], sizes[fresh]
-        _, runs = _runs(tokens)
-        df = np.repeat(runs, runs)
-        shared = df > 1
-        named = tokens[shared] | np.uint64(key[0].as_py()) << np.uint64(48)
-        return _returned(
-            named, keys[shared], sizes[shared], np.minimum(df[shared], 0xFFFF), class_buckets
-        )
-
-    return run
-
-
-def _returned(
-    tokens: np.ndarray, keys: np.ndarray, sizes: np.ndarray, df: np.ndarray, buckets: int
-) -> pa.Table:
-    dealt = (keys % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((keys, dealt))
-    tokens, keys, sizes, df, dealt = (x[order] for x in (tokens, keys, sizes, df, dealt))
+def _share_tokens(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Count one bucket's tokens; return those that occur twice or more to their packs."""
+    tokens = _joined(table, "low", np.uint32).astype(np.uint64)
+    tokens |= _joined(table, "high", np.uint16).astype(np.uint64) << np.uint64(32)
+    places = _joined(table, "places", np.uint16)
+    lengths = np.array([len(b) for b in table.column("places").to_pylist()], np.int64) // 2
+    packs = np.repeat(table.column("pack").to_numpy(), lengths)
+    # Most tokens occur once; a coarse count leaves few of those for the sort.
+    slots = (tokens % np.uint64(1 << 23)).astype(np.int64)
+    maybe = np.bincount(slots, minlength=1 << 23)[slots] > 1
+    tokens, places, packs = tokens[maybe], places[maybe], packs[maybe]
+    order = np.argsort(tokens, kind="stable")
+    tokens, places, packs = tokens[order], places[order], packs[order]
+    _, runs = _runs(tokens)
+    df = np.repeat(runs, runs)
+    shared = df > 1
+    tokens = tokens[shared] | np.uint64(key[0].as_py()) << np.uint64(48)
+    places, packs = places[shared], packs[shared]
+    df = np.minimum(df[shared], 0xFFFF).astype(np.uint16)
+    order = np.argsort(packs, kind="stable")
+    tokens, places, packs, df = tokens[order], places[order], packs[order], df[order]
     rows: dict[str, list] = {c.split()[0]: [] for c in RETURNED.split(", ")}
-    for start, length in zip(*_runs(dealt)):
+    for start, length in zip(*_runs(packs)):
         inside = slice(start, start + length)
-        at, counts = _runs(keys[inside])
-        rows["bucket"].append(int(dealt[start]))
-        rows["keys"].append(keys[inside][at].tobytes())
-        rows["sizes"].append(sizes[inside][at].astype(np.uint32).tobytes())
-        rows["counts"].append(counts.astype(np.uint32).tobytes())
+        rows["pack"].append(int(packs[start]))
+        rows["places"].append(places[inside].tobytes())
         rows["tokens"].append(tokens[inside].tobytes())
-        rows["df"].append(df[inside].astype(np.uint16).tobytes())
+        rows["df"].append(df[inside].tobytes())
+        rows["keys"].append(b"")
+        rows["sizes"].append(b"")
+    for row in table.select(["pack", "keys", "sizes"]).to_pylist():
+        if row["keys"]:
+            for column in RETURNED.split(", "):
+                name = column.split()[0]
+                rows[name].append(row.get(name, b""))
     return pa.Table.from_batches([_batch(rows)])
 
 
@@ -221,21 +218,22 @@ def prefix(tokens: np.ndarray, df: np.ndarray, n: int, order: int) -> np.ndarray
 
 
 def _gather_sets(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """The shared tokens of each class, with its prefix under the first order."""
-    counts = _joined(table, "counts", np.uint32)
-    keys = np.repeat(_joined(table, "keys", np.uint64), counts)
-    sizes = np.repeat(_joined(table, "sizes", np.uint32), counts)
+    """The shared tokens of each class of a pack, with its prefix under the first order."""
+    places = _joined(table, "places", np.uint16)
     tokens = _joined(table, "tokens", np.uint64)
     df = _joined(table, "df", np.uint16)
-    order = np.lexsort((tokens, keys))
-    keys, sizes, tokens, df = keys[order], sizes[order], tokens[order], df[order]
+    keys = _joined(table, "keys", np.uint64)
+    sizes = _joined(table, "sizes", np.uint32)
+    order = np.lexsort((tokens, places))
+    places, tokens, df = places[order], tokens[order], df[order]
     rows: dict[str, list] = {c.split()[0]: [] for c in SETS.split(", ")}
-    for start, length in zip(*_runs(keys)):
+    for start, length in zip(*_runs(places)):
         inside = slice(start, start + length)
-        n = int(sizes[start])
+        place = int(places[start])
+        n = int(sizes[place])
         first = prefix(tokens[inside], df[inside], n, 1)
         if len(first):
-            rows["key"].append(_signed(int(keys[start])))
+            rows["key"].append(_signed(int(keys[place])))
             rows["n"].append(n)
             rows["tokens"].append(tokens[inside].tobytes())
             rows["df"].append(df[inside].tobytes())
@@ -383,13 +381,14 @@ def text_keys(docs: DataFrame) -> DataFrame:
     return map_batches(texts, _key_batches, KEYS)
 
 
-def shared_sets(docs: DataFrame, shingles: int, classes: int) -> DataFrame:
+def shared_sets(docs: DataFrame, shingles: int) -> DataFrame:
     """Classes that may link, with their shared tokens and first prefix."""
     buckets = max(1, min(1 << 16, -(-shingles // BUCKET_TOKENS)))
-    class_buckets = max(1, -(-classes // CLASS_BUCKET))
-    packed = map_batches(ids_and_texts(docs), _pack_tokens(buckets), PACKED)
-    returned = packed.groupBy("bucket").applyInArrow(_share_tokens(class_buckets), RETURNED)
-    return returned.groupBy("bucket").applyInArrow(_gather_sets, SETS)
+    packed_tokens = map_batches(ids_and_texts(docs), _pack_tokens(buckets), PACKED)
+    returned = packed_tokens.groupBy("bucket").applyInArrow(_share_tokens, RETURNED)
+    sets = returned.groupBy("pack").applyInArrow(_gather_sets, SETS)
+    # A class of several packs comes out of each with the same tokens and counts.
+    return sets.dropDuplicates(["key"])
 
 
 def _prefixed(sets: DataFrame) -> DataFrame:
@@ -492,12 +491,8 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     last, then by the hash of the text.
     """
     keys = scratch.keep(text_keys(docs), "keys")
-    totals = keys.agg(
-        F.sum("n_shingles").alias("shingles"), F.count("key").alias("classes")
-    ).first()
-    sets = scratch.keep(
-        shared_sets(docs, totals["shingles"] or 0, totals["classes"]), "sets"
-    )
+    shingles = keys.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
+    sets = scratch.keep(shared_sets(docs, shingles), "sets")
     roots = connected(scratch.keep(links(sets, scratch), "links"), scratch)
     ranked = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
     classes = keys.filter("key IS NOT NULL").groupBy("key").agg(F.min(ranked).alias("least"))

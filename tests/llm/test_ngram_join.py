@@ -78,9 +78,10 @@ def test_components_equal_brute_force(make_docs, scratch, crowd):
 def test_small_blocks_and_buckets_change_nothing(make_docs, scratch, crowd, monkeypatch):
     monkeypatch.setattr(nj, "BLOCK", 4)
     monkeypatch.setattr(nj, "BUCKET_TOKENS", 2_000)
-    monkeypatch.setattr(nj, "CLASS_BUCKET", 5)
-    got = nj.join_near(make_docs(crowd), scratch).collect()
-    assert sorted(map(tuple, got)) == brute_force(crowd)
+    monkeypatch.setattr(nj, "PACKED_TOKENS", 1_500)
+    rows = crowd + crowd[3:30]
+    got = nj.join_near(make_docs(rows).repartition(3), scratch).collect()
+    assert sorted(map(tuple, got)) == brute_force(rows)
 
 
 def test_null_ids_and_empty_table(make_docs, scratch):
