@@ -133,6 +133,8 @@ def _telling(chosen: DataFrame, toxic: int, clean: int) -> list[str]:
     strength = gap * gap / (share * (1.001 - share))
     best = (
         both.filter(F.col("a") + F.col("c") >= MIN_DOCUMENTS)
+        # Every partition sends its best; the sample is bounded, so a few partitions will do.
+        .coalesce(8)
         .orderBy(strength.desc(), "feature")
         .limit(MAX_FEATURES)
     )
