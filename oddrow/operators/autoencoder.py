@@ -209,7 +209,8 @@ PASS_SCHEMA = (
 _PASS_TYPES = pa.schema(
     [
         ("shard", pa.int32()), ("n", pa.int64()), ("loss", pa.float64()), ("val_n", pa.int64()),
-        ("val_loss", pa.float64()), ("steps", pa.int64()), ("taken", pa.int64()), ("state", pa.binary()),
+        ("val_loss", pa.float64()), ("steps", pa.int64()), ("taken", pa.int64()),
+        ("state", pa.binary()),
     ]
 )
 
