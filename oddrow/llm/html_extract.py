@@ -73,7 +73,8 @@ NO_CONTENT_ROLES = {
 }
 # Words in class and id names of elements beside the main text.
 _BESIDE = re.compile(
-    r"(?<![a-z0-9])(?<!has[-_])(?<!with[-_])(?<!no[-_])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|"
+    r"(?<![a-z0-9])(?<!has[-_])(?<!with[-_])(?<!no[-_])"
+    r"(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|"
     r"notice|notification|alert|popup|modal|overlay|nav|navbar|navigation|menu\w*|breadcrumbs?|"
     r"sidebar|side|aside|widget\w*|footer|foot|masthead|topbar|toolbar|site-?header|"
     r"page-?header|comments?|commentlist|respond|replies|disqus\w*|discussion|related|"

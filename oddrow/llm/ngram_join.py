@@ -435,19 +435,16 @@ def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
         "members",
     )
     units = scratch.keep(_units(met, members), "units")
+    sides = [
+        F.struct(F.lit(k).alias("side"), F.col(c).alias("block")) for k, c in enumerate("ab")
+    ]
+    of = F.when(F.col("alone"), F.array(sides[0])).otherwise(F.array(*sides))
     placed = (
-        units.select("unit", "alone", F.explode(
-            F.when(F.col("alone"), F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("block"))))
-            .otherwise(F.array(
-                F.struct(F.lit(0).alias("side"), F.col("a").alias("block")),
-                F.struct(F.lit(1).alias("side"), F.col("b").alias("block")),
-            ))
-        ).alias("of"))
-        .select("unit", "alone", "of.side", "of.block")
+        units.select("unit", "alone", F.inline(of))
         .join(members, "block")
         .join(body, "key")
         .select("unit", "alone", "side", "key", "pivot", "linked", "n", "tokens", "df")
-    )
+    )
     rest = placed.groupBy("unit").applyInArrow(_compare_blocks, EDGES)
     return near.union(rest)
 
