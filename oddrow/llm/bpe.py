@@ -38,6 +38,8 @@ UNK_ID_FIELD, BOS_ID_FIELD, EOS_ID_FIELD, PAD_ID_FIELD = 40, 41, 42, 43
 NAME_FIELD, FLAG_FIELDS = 1, (3, 4, 5)  # dummy prefix, extra white space, escaped white space
 
 SCHEMA = "doc_id long, ids array<int>"
+#: Chunks and pieces that a worker remembers, in each of two generations.
+REMEMBERED = 120_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -94,7 +96,7 @@ class Codec:
         self._model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(ranks))
         self._rank_at = sorted(ranks.values())
         self._token_of = {rank: token for token, rank in ranks.items()}
-        self._chunks = ChunkEncoder(self._encode_pieces)
+        self._chunks = ChunkEncoder(self._encode_pieces, REMEMBERED)
 
     def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         raw = [p.encode("utf-8") for p in pieces]

@@ -76,10 +76,14 @@ class ChunkEncoder:
     once. Ids are remembered as bytes, which the garbage collector need not follow.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], Iterable[list[int]]]) -> None:
+    def __init__(
+        self,
+        encode_pieces: Callable[[list[str]], Iterable[list[int]]],
+        entries: int = REMEMBERED,
+    ) -> None:
         self._encode_pieces = encode_pieces
-        self._chunks = Memory()
-        self._pieces = Memory()
+        self._chunks = Memory(entries)
+        self._pieces = Memory(entries)
 
     def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         """The ids of each text."""

@@ -50,7 +50,8 @@ BLOCK = 256
 #: Tokens and classes of one pack; places in a pack are 16-bit numbers.
 PACKED_TOKENS = 1 << 20
 PACKED_CLASSES = 60_000
-SEEN_KEYS = 200_000
+SEEN_KEYS = 100_000
+COARSE_SLOTS = 1 << 22
 TEXTS_AT_ONCE = 256
 
 KEYS = "doc_id long, key long, n_shingles long, mark long"
@@ -166,8 +167,8 @@ def _share_tokens(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     lengths = np.array([len(b) for b in table.column("places").to_pylist()], np.int64) // 2
     packs = np.repeat(table.column("pack").to_numpy(), lengths)
     # Most tokens occur once; a coarse count leaves few of those for the sort.
-    slots = (tokens % np.uint64(1 << 23)).astype(np.int64)
-    maybe = np.bincount(slots, minlength=1 << 23)[slots] > 1
+    slots = (tokens % np.uint64(COARSE_SLOTS)).astype(np.int64)
+    maybe = np.bincount(slots, minlength=COARSE_SLOTS)[slots] > 1
     tokens, places, packs = tokens[maybe], places[maybe], packs[maybe]
     order = np.argsort(tokens, kind="stable")
     tokens, places, packs = tokens[order], places[order], packs[order]

@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-WORDS_REMEMBERED = 500_000
+WORDS_REMEMBERED = 100_000
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
