@@ -206,7 +206,6 @@ class _Reader:
         del self.open[depth:]
         if self.skipped is not None and len(self.open) <= self.skipped:
             self.skipped = None
-            self._text = []
 
 
 def read_page(source: str | None) -> Page:

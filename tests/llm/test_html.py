@@ -83,3 +83,21 @@ def test_weights_from_labelled_pages(spark):
     assert sorted(r["text"] for r in got) == sorted([TEXT] * 21 + ["no label", ""])
     empty = pages.filter("false")
     assert h.main_text(empty, h.train(empty)).collect() == []
+
+
+INLINE_OUT = [
+    '<span class="share">x</span>', "<span hidden>x</span>", '<span aria-hidden="true">x</span>',
+    '<a class="social" href="/s">x</a>', "<b style='display:none'>x <i>y</i></b>",
+]
+
+
+@pytest.mark.parametrize("out", INLINE_OUT)
+def test_text_around_a_left_out_inline_element_stays(out):
+    for body, text in [
+        (f"<p>{out} Hello big world</p>", "Hello big world"),
+        (f"<p>Hello {out} big world</p>", "Hello big world"),
+        (f"<p>Hello big world {out}</p>", "Hello big world"),
+        (f"<p>First words here.</p><p>Closing words of it {out}</p>", "First words here.\n\nClosing words of it"),
+    ]:
+        assert h.extract(page(body), WEIGHTS) == text
+        assert h.extract(page(f"<article>{body}</article>"), WEIGHTS) == text
