@@ -7,8 +7,8 @@ learned from labelled pages: a bounded sample of pages whose own markup names th
 
 Before the scan, elements that are no text (scripts, styles, forms, ...) or that call themselves
 menu, header, footer, sidebar, notice, advert or comments leave the sequence. If a page marks its
-main text by ``article`` or ``main``, only that is scanned. The region is then widened to the
-blocks of the innermost element around it, unless that is the whole body.
+main text by ``article`` or ``main``, only that is scanned. The text is that of the blocks of the
+region; a block that it cuts through is completed.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed and stray tags are
 tolerated; equal scores choose the earliest, longest region; pages are independent, so repeated
@@ -97,9 +97,7 @@ class Piece(NamedTuple):
 class Page(NamedTuple):
     pieces: list[Piece]
     blocks: list[str]
-    block_paths: list[tuple[int, ...]]
     landmarks: set[int]
-    names: list[str]
 
 
 def _beside(name: str, attributes: str, inside_landmark: bool) -> bool:
@@ -133,7 +131,6 @@ class _Reader:
         self.skipped: int | None = None  # depth of the element that is being left out
         self.pieces: list[Piece] = []
         self.blocks: list[str] = []
-        self.block_paths: list[tuple[int, ...]] = []
         self.landmarks: set[int] = set()
         self._text: list[str] = []
 
@@ -142,7 +139,6 @@ class _Reader:
         self._text = []
         if joined:
             self.blocks.append(joined)
-            self.block_paths.append(self._block_path)
 
     def text(self, raw: str) -> None:
         if self.skipped is not None or not raw:
@@ -151,8 +147,6 @@ class _Reader:
         count = len(plain.split())
         if count:
             path = tuple(self.open)
-            if not any(not t.isspace() for t in self._text):
-                self._block_path = path
             linked = any(self.names[e] == "a" for e in self.open)
             self.pieces.append(Piece("linked" if linked else "word", count, len(self.blocks), path))
         self._text.append(plain)
@@ -231,9 +225,7 @@ def read_page(source: str | None) -> Page:
             reader.end(name)
     reader.text(source[at:])
     reader.end_block()
-    return Page(
-        reader.pieces, reader.blocks, reader.block_paths, reader.landmarks, reader.names
-    )
+    return Page(reader.pieces, reader.blocks, reader.landmarks)
 
 
 # ------------------------------------------------------------------------- weights
@@ -317,23 +309,8 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
         inside = page.pieces
     scores = [weights.get(p.kind, -LEAST_WEIGHT) * (p.words or 1) for p in inside]
     start, end = best_run(scores)
+    # Blocks that the run cuts through are completed.
     chosen = {p.block for p in inside[start:end] if p.words}
-    if not chosen:
-        return ""
-    shared = page.block_paths[min(chosen)]
-    for block in chosen:
-        path = page.block_paths[block]
-        same = 0
-        while same < min(len(shared), len(path)) and shared[same] == path[same]:
-            same += 1
-        shared = shared[:same]
-    # The innermost element that holds the region: a landmark if there is one, or one that is
-    # neither the whole body nor a single block of text.
-    around = [e for e in shared if e in page.landmarks][:1] or [
-        e for e in shared if page.names[e] in ("div", "section", "td", "main", "article")
-    ][-1:]
-    if around:
-        chosen |= {i for i, path in enumerate(page.block_paths) if around[0] in path}
     return "\n\n".join(page.blocks[i] for i in sorted(chosen))
 
 

@@ -101,3 +101,27 @@ def test_text_around_a_left_out_inline_element_stays(out):
     ]:
         assert h.extract(page(body), WEIGHTS) == text
         assert h.extract(page(f"<article>{body}</article>"), WEIGHTS) == text
+
+
+LINKS = '<ul class="zz"><li><a href="/1">One other story</a><li><a href="/2">Two more of them</a></ul>'
+THREAD = "".join(
+    f'<div class="zz"><a href="/u{i}">User number {i}</a> so <a href="/r">Answer to this</a></div>'
+    for i in range(3)
+)
+
+
+@pytest.mark.parametrize("clutter", [LINKS, THREAD])
+@pytest.mark.parametrize("wrapper", ["article", "main", 'div id="page"', "section"])
+def test_unmarked_clutter_in_the_wrapper_of_the_text_is_cut(wrapper, clutter):
+    first, last = "Some words of the text that stand before", "and some more of them that follow it to its end here."
+    text = f"<h2>A title here</h2><p>{first} <a href=3>one</a> link</p><p>{last}</p>"
+    expected = f"A title here\n\n{first} one link\n\n{last}"
+    for body in (clutter + text, text + clutter, clutter + text + clutter):
+        made = page(f"<{wrapper}>{body}</{wrapper.split()[0]}>")
+        assert h.extract(made, WEIGHTS) == expected
+
+
+def test_the_weights_decide_the_text():
+    body = page("<article><p>Some words of it.</p><table><tr><td>x<td>y</table></article>")
+    assert h.extract(body, {"word": 1.0}) == "Some words of it.\n\nx\n\ny"
+    assert h.extract(body, {"word": 1.0, "<td>": -3.0}) == "Some words of it."
