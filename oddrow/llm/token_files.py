@@ -10,6 +10,9 @@ Every block carries its own table of ids by rank. Ranks therefore need no pass o
 before the first block is written, a file can be read alone, and a lost task is simply run again.
 The container of the blocks is a Parquet table, so that any storage which Spark reaches will do.
 
+Ids are those of ``Tokenizer.encode`` at its defaults without template tokens: the string of an
+added token of the file has the id of that token.
+
 Defined cases: a null text counts as empty and has the end id only; null doc_ids come first; rows
 of one doc_id are ordered by a hash of the text, identical ones are interchangeable; an empty
 table gives no blocks; a text longer than a block makes a block of its own.
@@ -17,6 +20,7 @@ table gives no blocks; a text longer than a block makes a block of its own.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -24,6 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -98,13 +103,25 @@ def decode_block(block: Block, count: int) -> np.ndarray:
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    Strings of special tokens inside a text are ordinary text.
+    Texts are split at the added tokens of the file, which have ids of their own. As in the
+    library, ``encode_special_tokens`` takes the strings of special ones for ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
-        self._model = Tokenizer.from_file(path).model
+    def __init__(self, path: str, encode_special_tokens: bool = True) -> None:
+        tokenizer = Tokenizer.from_file(path)
+        self._model = tokenizer.model
         self._alphabet = _byte_alphabet()
         self._chunks = ChunkEncoder(self._encode_pieces)
+        self._added: dict[str, np.ndarray] = {}
+        for made, token in tokenizer.get_added_tokens_decoder().items():
+            if token.special and encode_special_tokens:
+                continue
+            if token.lstrip or token.rstrip or token.single_word:
+                raise ValueError(f"added token {token.content!r} has flags that are not supported")
+            self._added[token.content] = np.array([made], ID)
+        # The longest of those that begin at one place, as the library takes them.
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
 
     def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         tokenize, alphabet = self._model.tokenize, self._alphabet
@@ -114,7 +131,25 @@ class Encoder:
         ]
 
     def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
-        return self._chunks.encode(texts)
+        """The ids of each text."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        with_added = np.zeros(len(texts), bool)
+        for content in self._added:
+            with_added |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not with_added.any():
+            return self._chunks.encode(texts)
+        made: list[np.ndarray] = [None] * len(texts)
+        plain = self._chunks.encode(texts.filter(pa.array(~with_added)))
+        for i, ids in zip(np.flatnonzero(~with_added), plain):
+            made[i] = ids
+        # Text and added tokens by turns, beginning and ending with a text.
+        splits = [self._at_added.split(t) for t in texts.filter(pa.array(with_added)).to_pylist()]
+        between = iter(self._chunks.encode([part for parts in splits for part in parts[::2]]))
+        for i, parts in zip(np.flatnonzero(with_added), splits):
+            ids = [self._added[p] if k % 2 else next(between) for k, p in enumerate(parts)]
+            made[i] = np.concatenate(ids)
+        return made
 
 
 def _byte_alphabet() -> dict[int, int]:
@@ -125,9 +160,9 @@ def _byte_alphabet() -> dict[int, int]:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, encode_special_tokens: bool = True) -> Encoder:
     """The encoder of a file, made once per worker."""
-    return Encoder(path)
+    return Encoder(path, encode_special_tokens)
 
 
 # -------------------------------------------------------------------------- files
@@ -144,7 +179,7 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = encoder(tokenizer), np.array([end_id], ID)
+        coder, end = encoder(tokenizer, encode_special_tokens=False), np.array([end_id], ID)
         file = TaskContext.get().partitionId()
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []

@@ -75,3 +75,26 @@ def test_repeated_rows_follow_each_other(spark, make_docs, scratch, library):
 def test_empty_table(spark, make_docs, scratch):
     tf.write_files(make_docs([]), PATH, f"{scratch.path}/files")
     assert tf.read_files(spark, f"{scratch.path}/files").collect() == []
+
+
+ADDED = "<|endoftext|>"
+WITH_ADDED = [
+    f"a {ADDED} b", ADDED, f"{ADDED}{ADDED}", f"  {ADDED}\n\nx", f"word{ADDED}word, don't", "a <|endof",
+    f"<|endoftext{ADDED}|>", f"日本 {ADDED} 語  ", f" {ADDED} ", "no token", "",
+]
+
+
+def test_added_tokens_have_their_ids():
+    plain = Tokenizer.from_file(PATH)
+    got = [ids.tolist() for ids in tf.encoder(PATH, encode_special_tokens=False).encode(WITH_ADDED)]
+    assert got == [e.ids for e in plain.encode_batch(WITH_ADDED, add_special_tokens=False)]
+    assert got[0] == [64, 220, 50256, 275]
+
+
+def test_files_hold_the_ids_of_the_library_at_its_defaults(spark, make_docs, scratch, prose):
+    texts = [*WITH_ADDED, *(prose(40, i) + ADDED * (i % 2) for i in range(20))]
+    rows = list(enumerate(texts))
+    folder = f"{scratch.path}/files"
+    tf.write_files(make_docs(rows).repartition(3), PATH, folder)
+    got = sorted(map(tuple, tf.read_files(spark, folder).collect()))
+    assert got == expected_rows(rows, Tokenizer.from_file(PATH))
