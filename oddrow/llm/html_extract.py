@@ -5,8 +5,10 @@ scan finds the contiguous run with the greatest sum: the content region. How muc
 in or outside a link, and how much each tag costs are log-odds of lying inside the main text,
 learned from labelled pages: a bounded sample of pages whose own markup names their main text.
 
-Before the scan, elements that are no text (scripts, styles, forms, ...) or that call themselves
-menu, header, footer, sidebar, notice, advert or comments leave the sequence. If a page marks its
+Before the scan, elements that are no text (scripts, styles, ...) or that call themselves menu,
+header, footer, sidebar, notice, advert or comments leave the sequence, and so do forms. Headings
+keep their text whatever their names, and forms and named elements that hold most of the page's
+words are wrappers of it and stay, except threads of comments. If a page marks its
 main text by ``article`` or ``main``, only that is scanned. The text is that of the blocks of the
 region; a block that it cuts through is completed.
 
@@ -21,6 +23,7 @@ import html
 import math
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -35,11 +38,12 @@ LEAST_WEIGHT, MOST_WEIGHT = 0.25, 4.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    # Quotes open a value only after an equals sign.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)>",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(
-    r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.DOTALL
+    r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?", re.DOTALL
 )
 _WHITE = re.compile(r"\s+")
 # Elements by what they are for in HTML.
@@ -54,7 +58,7 @@ INLINE = {
     "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 NO_CONTENT = RAW_TEXT | {
-    "head", "noscript", "template", "svg", "math", "canvas", "object", "audio", "video", "form",
+    "head", "noscript", "template", "svg", "math", "canvas", "object", "audio", "video",
     "button", "select", "option", "input", "nav", "aside", "footer", "menu", "dialog", "map",
 }
 CLOSES_PARAGRAPH = {
@@ -69,20 +73,30 @@ SIBLINGS = {
 LANDMARKS = {"article", "main"}
 NO_CONTENT_ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert",
-    "alertdialog", "menu", "menubar", "toolbar", "form",
+    "alertdialog", "menu", "menubar", "toolbar",
 }
-# Words in class and id names of elements beside the main text.
-_BESIDE = re.compile(
-    r"(?<![a-z0-9])(?<!has[-_])(?<!with[-_])(?<!no[-_])"
-    r"(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|"
-    r"notice|notification|alert|popup|modal|overlay|nav|navbar|navigation|menu\w*|breadcrumbs?|"
-    r"sidebar|side|aside|widget\w*|footer|foot|masthead|topbar|toolbar|site-?header|"
-    r"page-?header|comments?|commentlist|respond|replies|disqus\w*|discussion|related|"
-    r"recommend\w*|share|sharing|social|subscribe|subscription|newsletter|signup|login|search|"
-    r"pagination|pager|tags|hidden)(?![a-z0-9])(?![-_](?:open|closed|enabled))",
-    re.IGNORECASE,
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# A class or id names an element beside the main text if all its words are of these lists and one
+# is of the first two. Ids made of one topic alone may be anchors of a chapter ("discussion").
+_PARTS = re.compile(
+    r"ads?|adv|advert\w*|sponsor\w*|promo\w*|gdpr|popup|modal|overlay|nav|navbar|breadcrumbs?|"
+    r"sidebar|aside|widget\w*|footer|masthead|topbar|toolbar|siteheader|pageheader|newsletter|"
+    r"signup|pagination|pager"
 )
-_PAGE_HEADER = re.compile(r"(?:^|\s)(?:header|top)(?:$|\s)", re.IGNORECASE)
+_TOPICS = re.compile(
+    r"banner|cookies?|consent|notice|notification|alert|navigation|menus?|side|foot|related|"
+    r"recommend\w*|share|sharing|social|subscribe|subscription|login|search|tags|hidden|discussion"
+)
+_THREADS = re.compile(r"comments?|commentlist|respond|replies|disqus\w*")
+_PLACES = re.compile(
+    r"site|page|main|primary|secondary|global|top|bottom|left|right|post|entry|google|list|area|"
+    r"box|bar|block|container|wrap|wrapper|inner|outer|links?|items?|buttons?|btn|icons?|form|"
+    r"panel|section|slot|unit|text|title|row|group|posts|articles|stories|thread|policy|media|\d+"
+)
+_KNOWN = re.compile("|".join(p.pattern for p in (_PARTS, _TOPICS, _THREADS, _PLACES)))
+_HEADERS = {"site-header", "page-header"}
+# What an element says about itself.
+MAIN, MAYBE_BESIDE, BESIDE = 0, 1, 2
 
 
 class Piece(NamedTuple):
@@ -100,32 +114,71 @@ class Page(NamedTuple):
     landmarks: set[int]
 
 
-def _beside(name: str, attributes: str, inside_landmark: bool) -> bool:
-    """True for elements that are no part of a main text."""
+@lru_cache(maxsize=10_000)
+def _named(value: str, is_id: bool, inside_landmark: bool) -> int:
+    """What a class or id says about its element."""
+    found = MAIN
+    for token in value.lower().replace("_", "-").split():
+        words = [w for w in token.split("-") if w]
+        parts, topics, threads = (
+            any(p.fullmatch(w) for w in words) for p in (_PARTS, _TOPICS, _THREADS)
+        )
+        if token in _HEADERS or (not inside_landmark and token in ("header", "top")):
+            found = MAYBE_BESIDE
+        elif not all(_KNOWN.fullmatch(w) for w in words):
+            continue
+        elif threads:
+            return BESIDE
+        elif parts or (topics and (len(words) > 1 or not is_id)):
+            found = MAYBE_BESIDE
+    return found
+
+
+def _beside(name: str, attributes: str, inside_landmark: bool) -> int:
+    """Whether an element is beside the main text, by its kind, its role and its names.
+
+    Forms and names only make it likely: such an element may as well wrap the whole page.
+    """
     if name in NO_CONTENT or (name == "header" and not inside_landmark):
-        return True
+        return BESIDE
+    found = MAYBE_BESIDE if name == "form" else MAIN
     if not attributes or name in ("html", "body") or name in LANDMARKS:
-        return False
+        return found
     for match in _ATTRIBUTE.finditer(attributes):
         key, value = match[1].lower(), match[2] or match[3] or match[4] or ""
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return BESIDE
         if key == "role" and value.lower() in NO_CONTENT_ROLES:
-            return True
-        if key in ("class", "id"):
-            if _BESIDE.search(value):
-                return True
-            if not inside_landmark and _PAGE_HEADER.search(value):
-                return True
+            return BESIDE
+        if key == "role" and value.lower() == "form":
+            found = max(found, MAYBE_BESIDE)
+        if key in ("class", "id") and name not in HEADINGS:
+            found = max(found, _named(value, key == "id", inside_landmark))
         if key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
-    return False
+            return BESIDE
+    return found
+
+
+class _Likely(NamedTuple):
+    """An element that is likely beside the main text, with what stands before and in it."""
+
+    around: tuple[int, ...]
+    words_before: int
+    words: int = 0
+    last: int = 0  # the last element in it
 
 
 class _Reader:
-    """Walks through a page once, keeping the open elements."""
+    """Walks through a page once, keeping the open elements.
+
+    Elements that are likely beside the main text are left out if ``cut`` holds their number;
+    without it they are read and measured.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, cut: set[int] | None = None) -> None:
+        self.cut = cut
+        self.words = 0
+        self.likely: dict[int, _Likely] = {}
         self.names: list[str] = []
         self.open: list[int] = []
         self.skipped: int | None = None  # depth of the element that is being left out
@@ -146,6 +199,7 @@ class _Reader:
         plain = html.unescape(raw) if "&" in raw else raw
         count = len(plain.split())
         if count:
+            self.words += count
             path = tuple(self.open)
             linked = any(self.names[e] == "a" for e in self.open)
             self.pieces.append(Piece("linked" if linked else "word", count, len(self.blocks), path))
@@ -169,10 +223,13 @@ class _Reader:
             return
         if self.skipped is None:
             inside = any(e in self.landmarks for e in self.open)
-            if _beside(name, attributes, inside):
+            found, number = _beside(name, attributes, inside), len(self.names)
+            if found == BESIDE or (found == MAYBE_BESIDE and number in (self.cut or ())):
                 self.skipped = len(self.open)
             else:
                 self.tag(name)
+                if found == MAYBE_BESIDE:
+                    self.likely[number] = _Likely(tuple(self.open), self.words)
         self.names.append(name)
         self.open.append(len(self.names) - 1)
         if self.skipped is None and name in LANDMARKS:
@@ -197,15 +254,46 @@ class _Reader:
                 return
 
     def _cut(self, depth: int) -> None:
+        if self.likely:
+            for number in self.open[depth:]:
+                if number in self.likely:
+                    one = self.likely[number]
+                    self.likely[number] = one._replace(
+                        words=self.words - one.words_before, last=len(self.names) - 1
+                    )
         del self.open[depth:]
         if self.skipped is not None and len(self.open) <= self.skipped:
             self.skipped = None
 
 
+    def finish(self) -> None:
+        self.end_block()
+        self._cut(0)
+
+    def beside(self) -> set[int]:
+        """The likely ones that are beside the main text.
+
+        One that holds most of the page's words wraps the main text, unless a marked one stands
+        next to it.
+        """
+        return {
+            number
+            for number, one in self.likely.items()
+            if 2 * one.words <= self.words
+            or any(not number < m <= one.last and m not in one.around for m in self.landmarks)
+        }
+
+
 def read_page(source: str | None) -> Page:
     """Pieces and blocks of a page, without the elements beside the main text."""
-    reader, at = _Reader(), 0
-    source = source or ""
+    reader = _read(source or "", _Reader())
+    if cut := reader.beside():
+        reader = _read(source, _Reader(cut))
+    return Page(reader.pieces, reader.blocks, reader.landmarks)
+
+
+def _read(source: str, reader: _Reader) -> _Reader:
+    at = 0
     while (match := _TOKEN.search(source, at)) is not None:
         reader.text(source[at : match.start()])
         at = match.end()
@@ -224,8 +312,8 @@ def read_page(source: str | None) -> Page:
         elif attributes.rstrip().endswith("/") and name in ("svg", "math", "object"):
             reader.end(name)
     reader.text(source[at:])
-    reader.end_block()
-    return Page(reader.pieces, reader.blocks, reader.landmarks)
+    reader.finish()
+    return reader
 
 
 # ------------------------------------------------------------------------- weights

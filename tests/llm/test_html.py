@@ -125,3 +125,39 @@ def test_the_weights_decide_the_text():
     body = page("<article><p>Some words of it.</p><table><tr><td>x<td>y</table></article>")
     assert h.extract(body, {"word": 1.0}) == "Some words of it.\n\nx\n\ny"
     assert h.extract(body, {"word": 1.0, "<td>": -3.0}) == "Some words of it."
+
+
+@pytest.mark.parametrize(
+    "kept",
+    [
+        '<h2 id="related-work">{}</h2>', '<section id="discussion">{}</section>', '<h3 id="menu-options">{}</h3>',
+        '<h2 id="cookies">{}</h2>', '<section id="social-sciences">{}</section>', '<h2 class="search">{}</h2>',
+    ],
+)
+@pytest.mark.parametrize("wrapper", ["article", "div"])
+def test_names_of_chapters_cut_no_text(wrapper, kept):
+    rest = "<p>Some words are here and more of them follow here.</p>"
+    body = f"<{wrapper}>{rest}{kept.format('Words of a chapter')}{rest}</{wrapper}>"
+    assert "Words of a chapter" in h.extract(page(body), WEIGHTS).split("\n\n")
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['form action="/x" id="aspnetForm"', 'div class="sidebar-right"', 'div id="layout-sidebar-left"', 'div role="form"'],
+)
+def test_wrappers_of_the_whole_page_are_kept(wrapper):
+    name = wrapper.split()[0]
+    for body, text in [(ARTICLE, TEXT), ("<p>Some words are here.</p>", "Some words are here.")]:
+        body = f'<{wrapper}>{body}<div class="ad">Buy</div><form>Name</form></{name}>'
+        assert h.extract(page(NAV + body), WEIGHTS) == text
+
+
+def test_parts_that_outweigh_a_marked_text_are_no_wrappers():
+    long = "<p>" + "other words " * 30 + "</p>"
+    for part in (f'<div class="sidebar">{long}</div>', f'<div class="post-comments">{long}</div>'):
+        assert h.extract(page(f"<main>{ARTICLE}{part}</main>"), WEIGHTS) == TEXT
+
+
+def test_quotes_open_a_value_only_after_an_equals_sign():
+    assert h.extract("<p title=Bob's>First text that's here.</p><p>More</p>", WEIGHTS).startswith("First text")
+    assert h.extract("<p title='a > b' alt=\"it's > c\" hidden>gone</p><p it's>Text</p>", WEIGHTS) == "Text"
