@@ -1,14 +1,15 @@
 """Token ids in binary files: frequency-ranked, byte-aligned, control bytes apart.
 
 Documents are sorted by id into files. A file is a series of blocks of whole documents. In a block
-ids are replaced by their rank of frequency (ties: the smaller id first), so that frequent ids
-become small numbers; a number is stored in 1 to 4 bytes, and its length less one in two bits of a
+ids are replaced by their rank of frequency in the whole corpus (ties: the smaller id first), so
+that frequent ids become small numbers; a number is stored in 1 to 4 bytes, and its length less one in two bits of a
 separate stream of control bytes, four numbers to a byte. Control bytes are decoded by looking up
 their four lengths in a table, for all numbers of a block at once.
 
-Every block carries its own table of ids by rank. Ranks therefore need no pass over the corpus
-before the first block is written, a file can be read alone, and a lost task is simply run again.
-The container of the blocks is a Parquet table, so that any storage which Spark reaches will do.
+Texts are encoded once, into kept blocks by ranks of their own and their counts. The counts of all
+blocks make the one table of ids by rank, at most as long as the vocabulary, which is stored beside
+the files; the blocks are then renumbered by it. Blocks and table are Parquet tables (``blocks`` and
+``ranks``), so that any storage which Spark reaches will do.
 
 Ids are those of ``Tokenizer.encode`` at its defaults without template tokens: the string of an
 added token of the file has the id of that token.
@@ -36,13 +37,15 @@ from tokenizers import Tokenizer
 
 from oddrow.llm.chunks import ID, ChunkEncoder
 from oddrow.llm.common import ids_and_texts, map_batches, small_batches
+from oddrow.sources.storage import Scratch
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 21
-SCHEMA = (
-    "file int, block int, before long, doc_ids array<long>, lengths array<long>, "
-    "ranks binary, control binary, data binary"
-)
+_HEAD = "file int, block int, before long, doc_ids array<long>, lengths array<long>, "
+SCHEMA = _HEAD + "control binary, data binary"
+#: Blocks before the corpus is counted, with ids by rank in the block and their counts.
+OWN_SCHEMA = _HEAD + "ranks binary, counts binary, control binary, data binary"
+COUNT = np.dtype("<i8")
 ROWS = "file int, at long, doc_id long, n_tokens long, ids_crc32 long"
 _LENGTHS = np.array(
     [[(byte >> shift & 3) + 1 for shift in (0, 2, 4, 6)] for byte in range(256)], np.uint8
@@ -187,15 +190,18 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID
 
         def flush() -> pa.RecordBatch:
             nonlocal block, before, held
-            coded = encode_block(np.concatenate([x for p in parts for x in (p, end)]))
+            ids = np.concatenate([x for p in parts for x in (p, end)])
+            coded = encode_block(ids)
+            counts = np.bincount(ids)[np.frombuffer(coded.ranks, ID)].astype(COUNT)
             row = {
                 "file": file, "block": block, "before": before, "doc_ids": list(doc_ids),
-                "lengths": [len(p) + 1 for p in parts], **coded._asdict(),
+                "lengths": [len(p) + 1 for p in parts], "counts": counts.tobytes(),
+                **coded._asdict(),
             }
             block, before, held = block + 1, before + held, 0
             doc_ids.clear()
             parts.clear()
-            return pa.RecordBatch.from_pylist([row], schema=_block_schema())
+            return pa.RecordBatch.from_pylist([row], schema=_block_schema("ranks", "counts"))
 
         for few in small_batches(batches):
             made = coder.encode(few.column("text"))
@@ -208,26 +214,75 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID
         if parts:
             yield flush()
 
-    blocks = map_batches(ordered, run, SCHEMA)
-    blocks.write.mode("overwrite").option("compression", "none").parquet(path)
+    scratch = Scratch(docs.sparkSession)
+    blocks = scratch.keep(map_batches(ordered, run, OWN_SCHEMA), "own-ranks")
+    table = _ranked(blocks)
+    _renumbered(blocks, table).write.mode("overwrite").option("compression", "none").parquet(
+        f"{path}/blocks"
+    )
+    stored = docs.sparkSession.createDataFrame([(bytearray(table.tobytes()),)], "ids binary")
+    stored.coalesce(1).write.mode("overwrite").parquet(f"{path}/ranks")
+    scratch.drop()
+
+
+def _ranked(blocks: DataFrame) -> np.ndarray:
+    """Ids by rank of frequency in all blocks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ranks, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.frombuffer(ranks, ID).astype(np.int64)),
+                        pa.array(np.frombuffer(counts, COUNT)),
+                    ],
+                    names=["id", "n"],
+                )
+
+    counted = map_batches(blocks.select("ranks", "counts"), run, "id long, n long")
+    # One row per id that occurs, at most the vocabulary.
+    totals = counted.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    ids, n = (totals.column(c).to_numpy() for c in ("id", "n"))
+    return ids[np.lexsort((ids, -n))].astype(ID)
 
 
-def _block_schema() -> pa.Schema:
+def _renumbered(blocks: DataFrame, table: np.ndarray) -> DataFrame:
+    """Blocks whose numbers are ranks in ``table``."""
+    rank_of = np.zeros(int(table.max(initial=0)) + 1, ID)
+    rank_of[table] = np.arange(len(table), dtype=ID)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                numbers = unpack(row["control"], row["data"], sum(row["lengths"]))
+                row["control"], row["data"] = pack(rank_of[np.frombuffer(row["ranks"], ID)][numbers])
+                del row["ranks"], row["counts"]
+                yield pa.RecordBatch.from_pylist([row], schema=_block_schema())
+
+    return map_batches(blocks, run, SCHEMA)
+
+
+def _block_schema(*more: str) -> pa.Schema:
     whole = [("file", pa.int32()), ("block", pa.int32()), ("before", pa.int64())]
     lists = [("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))]
-    return pa.schema(whole + lists + [(c, pa.binary()) for c in Block._fields])
+    return pa.schema(whole + lists + [(c, pa.binary()) for c in (*more, "control", "data")])
 
 
-def read_ids(block: dict) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(doc_id, ids) of a block's documents."""
-    coded = Block(*(block[c] for c in Block._fields))
-    ids = decode_block(coded, sum(block["lengths"]))
+def read_ids(block: dict, table: np.ndarray) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(doc_id, ids) of a block's documents, by the table of ids by rank."""
+    ids = table[unpack(block["control"], block["data"], sum(block["lengths"]))]
     at = 0
     for doc_id, n in zip(block["doc_ids"], block["lengths"]):
         yield doc_id, ids[at : at + n]
         at += n
 
 
+def read_table(spark: SparkSession, path: str) -> np.ndarray:
+    """Ids by rank of frequency, of the files in ``path``."""
+    return np.frombuffer(spark.read.schema("ids binary").parquet(f"{path}/ranks").first()["ids"], ID)
+
+
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
 
@@ -236,7 +291,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
                 at, columns = row["before"], ([], [], [], [], [])
-                for doc_id, ids in read_ids(row):
+                for doc_id, ids in read_ids(row, table):
                     made = (row["file"], at, doc_id, len(ids), zlib.crc32(ids.astype(ID)))
                     for column, value in zip(columns, made):
                         column.append(value)
@@ -246,7 +301,8 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
                     names=["file", "at", "doc_id", "n_tokens", "ids_crc32"],
                 )
 
-    blocks = spark.read.schema(SCHEMA).parquet(path)
+    table = read_table(spark, path)
+    blocks = spark.read.schema(SCHEMA).parquet(f"{path}/blocks")
     totals = blocks.groupBy("file").agg(
         F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)).alias("tokens")
     )

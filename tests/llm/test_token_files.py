@@ -98,3 +98,18 @@ def test_files_hold_the_ids_of_the_library_at_its_defaults(spark, make_docs, scr
     tf.write_files(make_docs(rows).repartition(3), PATH, folder)
     got = sorted(map(tuple, tf.read_files(spark, folder).collect()))
     assert got == expected_rows(rows, Tokenizer.from_file(PATH))
+
+
+def test_ranks_are_those_of_all_documents(spark, make_docs, scratch, monkeypatch, library):
+    monkeypatch.setattr(tf, "BLOCK_TOKENS", 8)
+    rows = [(i, " the" * 6 if i % 2 else " of" * 4 + " in") for i in range(40)]
+    folder = f"{scratch.path}/files"
+    tf.write_files(make_docs(rows).repartition(4), PATH, folder)
+    ids = {w: library.encode(w, add_special_tokens=False).ids[0] for w in (" the", " of", " in")}
+    table = tf.read_table(spark, folder)
+    # 120, 80, 40 and 20 times.
+    assert table.tolist() == [ids[" the"], ids[" of"], tf.END_ID, ids[" in"]]
+    for block in spark.read.parquet(f"{folder}/blocks").collect():
+        numbers = tf.unpack(block["control"], block["data"], sum(block["lengths"])).tolist()
+        expected = [n for d in block["doc_ids"] for n in ([0] * 6 + [2] if d % 2 else [1] * 4 + [3, 2])]
+        assert numbers == expected
