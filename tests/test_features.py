@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import CATEGORIES, connections
+from samples import CATEGORIES, connections
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

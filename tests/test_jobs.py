@@ -8,7 +8,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import connections, job
+from samples import connections, job
 from pyspark.sql import functions as F
 
 from oddrow import (

@@ -5,7 +5,7 @@ import json
 import math
 
 import pytest
-from conftest import job
+from samples import job
 from hypothesis import given
 from hypothesis import strategies as st
 

@@ -4,7 +4,7 @@ import hashlib
 
 import pandas as pd
 import pytest
-from conftest import connections
+from samples import connections
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 """Keys, values and copies that make up a third of a table."""
 
 import pytest
-from conftest import connections
+from samples import connections
 from pyspark.sql import functions as F
 
 from oddrow import JobParams, Profile

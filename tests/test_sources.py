@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import connections
+from samples import connections
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
