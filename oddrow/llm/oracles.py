@@ -103,9 +103,43 @@ _NGRAM_JOIN = f"""
     SELECT doc_id, any_value(len(s)) AS n_shingles, min(other) AS component_id
     FROM sets JOIN reach USING (doc_id) GROUP BY doc_id"""
 
+_LOWER = """translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+LETTERS_AND_DIGITS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+_DECONTAMINATE = f"""
+    WITH words AS (
+      SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all({_LOWER}, '{LETTERS_AND_DIGITS}') AS w
+      FROM documents),
+    items AS (
+      SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+        regexp_extract_all({_LOWER}, '{LETTERS_AND_DIGITS}') AS w
+      FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS g
+      FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k
+            FROM items WHERE len(w) > 0)),
+    places AS (
+      SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS g
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k
+            FROM words, (SELECT DISTINCT n FROM windows))),
+    found AS MATERIALIZED (SELECT r, k, n, item_id FROM places JOIN windows USING (n, g)),
+    hits AS (
+      SELECT r, count(DISTINCT p) AS n_hit
+      FROM (SELECT DISTINCT r, unnest(range(k, k + n)) AS p FROM found) GROUP BY r),
+    named AS (
+      SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+      coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+      n_hit IS NOT NULL AS contaminated
+    FROM words LEFT JOIN hits USING (r) LEFT JOIN named USING (r)"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_join": _NGRAM_JOIN,
     "op6_rules": _rules(),
     "op7_chat": _CHAT,
     "op8_exact_dedup": _EXACT_DEDUP,
+    "op11_decontaminate": _DECONTAMINATE,
 }

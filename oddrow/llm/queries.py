@@ -12,6 +12,7 @@ from oddrow.llm import (
     bpe,
     chat,
     cuckoo,
+    decontaminate,
     html_extract,
     mixing,
     ngram_join,
@@ -112,6 +113,20 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(toxicity_mil.score(docs, model), held_out)
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = decontaminate.find_matches(docs, benchmark, Scratch(spark))
+    words = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        words.cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (words > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -125,5 +140,6 @@ QUERIES: dict[str, Query] = {
         op8_exact_dedup,
         op9_mixing,
         op10_toxicity_mil,
+        op11_decontaminate,
     )
 }
