@@ -136,10 +136,109 @@ _DECONTAMINATE = f"""
       n_hit IS NOT NULL AS contaminated
     FROM words LEFT JOIN hits USING (r) LEFT JOIN named USING (r)"""
 
+_IMPORTANCE = f"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all({_LOWER}, '{LETTERS_AND_DIGITS}') AS w
+      FROM documents),
+    own AS MATERIALIZED (
+      SELECT r, g, count(*) AS n FROM (SELECT r, unnest(w) AS g FROM docs) GROUP BY r, g),
+    wanted AS MATERIALIZED (
+      SELECT unnest(regexp_extract_all({_LOWER}, '{LETTERS_AND_DIGITS}')) AS g FROM benchmark),
+    crc_table AS (
+      SELECT list(c ORDER BY i) AS t
+      FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+              lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+            FROM range(256) AS x(i))),
+    words AS (
+      SELECT g, hex(encode(g)) AS h FROM (SELECT g FROM own UNION SELECT g FROM wanted)),
+    hashed AS MATERIALIZED (
+      SELECT g, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+          list_transform(range(0, len(h) // 2),
+            lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))),
+          lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) % 10000 AS b
+      FROM words, crc_table),
+    counted AS (
+      SELECT b, CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t
+      FROM (SELECT g, n AS s, 0 AS t FROM own UNION ALL SELECT g, 0, 1 FROM wanted)
+      JOIN hashed USING (g) GROUP BY b),
+    gained AS (
+      SELECT b, CAST(floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000))
+        / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+      FROM counted),
+    weighed AS (
+      SELECT r, CAST(sum(n * gain) AS BIGINT) AS weight
+      FROM own JOIN hashed USING (g) JOIN gained USING (b) GROUP BY r),
+    scored AS (
+      SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' ||
+          sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) + 0.5::DOUBLE)
+          / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM docs LEFT JOIN weighed USING (r)),
+    placed AS (
+      SELECT *, n_features >= 20 AS fits, CAST(count(*) FILTER (n_features >= 20) OVER () AS BIGINT) AS n,
+        row_number() OVER (PARTITION BY n_features >= 20
+          ORDER BY score DESC, doc_id ASC NULLS LAST, n_features) AS place
+      FROM scored)
+    SELECT doc_id, n_features, weight, score,
+      CASE WHEN fits AND place <= 10 * n // 100 THEN place END AS rank
+    FROM placed"""
+
+LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_SHARE = "CAST(1 + (1000000000::HUGEINT * ({n} + 1)) // ({words} + v) AS BIGINT)"
+
+_DIVERGENCE = f"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({_LOWER}, '{LETTERS}') AS w
+      FROM documents),
+    counts AS MATERIALIZED (
+      SELECT r, lang, source, term, count(*) AS n
+      FROM (SELECT r, lang, source, unnest(w) AS term FROM docs) GROUP BY ALL),
+    kept AS MATERIALIZED (
+      SELECT lang, term, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY lang, term
+      HAVING count(*) >= 3),
+    langs AS (
+      SELECT lang, count(*) AS v, CAST(sum(total) AS BIGINT) AS words FROM kept GROUP BY lang),
+    own AS MATERIALIZED (
+      SELECT lang, source, term, CAST(sum(n) AS BIGINT) AS n, any_value(total) AS total
+      FROM counts JOIN kept USING (lang, term) GROUP BY lang, source, term),
+    groups AS MATERIALIZED (
+      SELECT g.lang, g.source, coalesce(v, 0) AS v, langs.words AS lang_words,
+        coalesce(o.words, 0) AS words
+      FROM (SELECT DISTINCT lang, source FROM docs) AS g LEFT JOIN langs USING (lang)
+      LEFT JOIN (SELECT lang, source, CAST(sum(n) AS BIGINT) AS words FROM own
+                 GROUP BY lang, source) AS o USING (lang, source)),
+    dense AS MATERIALIZED (
+      SELECT groups.lang, groups.source, kept.term,
+        {_SHARE.format(n="coalesce(n, 0)", words="words")} AS p
+      FROM groups JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)),
+    pairs AS (
+      SELECT lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+      FROM dense AS a JOIN dense AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+    all_pairs AS (
+      SELECT lang, a.source, b.source AS item, coalesce(value, 0) AS value
+      FROM groups AS a JOIN groups AS b USING (lang)
+      LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND item = b.source
+      WHERE a.source <> b.source),
+    terms AS (
+      SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value
+      FROM (SELECT own.lang, own.source, term, {_SHARE.format(n="n", words="words")} AS p,
+              {_SHARE.format(n="total", words="lang_words")} AS q
+            FROM own JOIN groups USING (lang, source)) WHERE p > q)
+    SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part
+            ORDER BY value DESC, item) AS rank
+          FROM (SELECT *, 'pair' AS part FROM all_pairs
+                UNION ALL SELECT *, 'term' FROM terms))
+    WHERE part = 'pair' OR rank <= 200"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_join": _NGRAM_JOIN,
     "op6_rules": _rules(),
     "op7_chat": _CHAT,
     "op8_exact_dedup": _EXACT_DEDUP,
     "op11_decontaminate": _DECONTAMINATE,
+    "op12_importance": _IMPORTANCE,
+    "op13_divergence": _DIVERGENCE,
 }

@@ -13,7 +13,9 @@ from oddrow.llm import (
     chat,
     cuckoo,
     decontaminate,
+    divergence,
     html_extract,
+    importance,
     mixing,
     ngram_join,
     quality_pu,
@@ -127,6 +129,16 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = importance.resample(docs, benchmark, Scratch(spark))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -141,5 +153,7 @@ QUERIES: dict[str, Query] = {
         op9_mixing,
         op10_toxicity_mil,
         op11_decontaminate,
+        op12_importance,
+        op13_divergence,
     )
 }
