@@ -40,6 +40,8 @@ NAME_FIELD, FLAG_FIELDS = 1, (3, 4, 5)  # dummy prefix, extra white space, escap
 SCHEMA = "doc_id long, ids array<int>"
 #: Chunks and pieces that a worker remembers, in each of two generations.
 REMEMBERED = 120_000
+#: Bytes of text that are cut and encoded together.
+PORTION = 1_000_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -96,7 +98,7 @@ class Codec:
         self._model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(ranks))
         self._rank_at = sorted(ranks.values())
         self._token_of = {rank: token for token, rank in ranks.items()}
-        self._chunks = ChunkEncoder(self._encode_pieces, REMEMBERED)
+        self._chunks = ChunkEncoder(self._encode_pieces, REMEMBERED, PORTION)
 
     def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         raw = [p.encode("utf-8") for p in pieces]
@@ -131,7 +133,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        for few in small_batches(batches):
+        for few in small_batches(batches, PORTION):
             ids = [made.astype(np.int32) for made in coder.encode(few.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [few.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))],
@@ -150,7 +152,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         names = {rank: str(rank) for rank in coder.ranks.values()}
-        for few in small_batches(batches):
+        for few in small_batches(batches, PORTION):
             counts, of_ids, of_bytes = [], [], []
             for ids in map(np.ndarray.tolist, coder.encode(few.column("text"))):
                 counts.append(len(ids))

@@ -80,8 +80,10 @@ class ChunkEncoder:
         self,
         encode_pieces: Callable[[list[str]], Iterable[list[int]]],
         entries: int = REMEMBERED,
+        portion: int = PORTION,
     ) -> None:
         self._encode_pieces = encode_pieces
+        self._portion = portion
         self._chunks = Memory(entries)
         self._pieces = Memory(entries)
 
@@ -92,7 +94,7 @@ class ChunkEncoder:
         texts = texts.cast(pa.large_string())
         made: list[np.ndarray] = []
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-        for start, end in _portions(sizes):
+        for start, end in _portions(sizes, self._portion):
             made += self._encode_portion(texts.slice(start, end - start))
         return made
 
@@ -158,11 +160,11 @@ class ChunkEncoder:
         ]
 
 
-def _portions(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of texts of about ``PORTION`` bytes, at least one text each."""
+def _portions(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of texts of about ``most`` bytes, at least one text each."""
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if held and held + size > PORTION:
+        if held and held + size > most:
             yield start, i
             start, held = i, 0
         held += size

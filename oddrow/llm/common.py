@@ -66,6 +66,16 @@ def small_batches(
 
 
 def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with the package on the workers' path."""
+    """``mapInArrow`` with the package on the workers' path.
+
+    Workers serve later stages too, so a task gives its buffers back when its batches end.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
