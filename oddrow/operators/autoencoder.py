@@ -1,14 +1,15 @@
-"""The autoencoder as Spark jobs: scoring is map-only, training is one job per epoch."""
+"""The autoencoder as Spark jobs: scoring is map-only, training is one job per round."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -21,7 +22,7 @@ from oddrow.operators.features import FEATURES
 from oddrow.operators.network import Layout, TrainState
 from oddrow.params import ArchitectureParams, TrainingParams
 from oddrow.shipping import ship_package
-from oddrow.sources.storage import shared_folder
+from oddrow.sources.storage import Scratch
 
 # A replica's parameters and moments are broadcast and sent back; larger models are refused.
 MAX_STATE_BYTES = 128 * 1024 * 1024
@@ -141,32 +142,73 @@ class Autoencoder:
         return self.score(df).withColumn("prediction", anomaly_flag(F.col("mse"), threshold))
 
 
+VALIDATION_ROUND = -1
+
+
+@dataclass(frozen=True)
+class Shards:
+    """Encoded rows as columnar files, one for each shard and round.
+
+    ``table`` has the columns features, is_train, shard and round, the last two as folders, so a
+    pass over one round reads the files of that round only. Rows to validate on are in
+    ``VALIDATION_ROUND``.
+    """
+
+    table: DataFrame
+    count: int
+    rounds: int
+
+    def round(self, *numbers: int) -> DataFrame:
+        return self.table.filter(F.col("round").isin(*numbers))
+
+
 def make_shards(
     df: DataFrame,
     is_train: Column,
     identity: Sequence[str],
-    shards: int,
+    count: int,
     seed: int,
+    scratch: Scratch,
     dtype: str = "float32",
-) -> DataFrame:
-    """Encoded rows in a fixed number of shards with a fixed, seeded order inside each.
-
-    A hash of the features and of the ``identity`` columns places a row, so no single value
-    can fill a shard; rows that tie in both are the same to the model. The checkpoint keeps
-    exactly one file per shard: every epoch reads the same shards again wherever it runs, and a
+    round_rows: int = TrainingParams.round_rows,
+    place: Column | None = None,
+) -> Shards:
+    """Write encoded rows in a fixed number of shards and rounds, in a fixed, seeded order.
+
+    A hash of the features and of the ``identity`` columns places a row, so no single value can
+    fill a shard; rows that tie in both are the same to the model. ``place``, a long, may take the
+    hash's part where it tells nearly all rows apart. A round of a shard has ``round_rows``
+    training rows on average, whatever the size of the table. Every file is written by one task
+    as one row group and read by one task in its order, again and again wherever that runs; a
     lost executor costs a re-read only.
     """
-    shared_folder(df.sparkSession)
     element = "float" if dtype == "float32" else "double"
     told_apart = [F.col(FEATURES), *[column(c) for c in identity]]
     rows = df.withColumn(FEATURES, F.col(FEATURES).cast(f"array<{element}>")).select(
         FEATURES,
         is_train.alias("is_train"),
-        F.xxhash64(F.lit(seed), *told_apart).alias("_o0"),
+        (F.xxhash64(F.lit(seed), *told_apart) if place is None else place).alias("_o0"),
         F.xxhash64(F.lit(seed), F.lit("again"), *told_apart).alias("_o1"),
     )
-    placed = rows.repartition(shards, "_o0").sortWithinPartitions("_o0", "_o1", "is_train")
-    return placed.select(FEATURES, "is_train").checkpoint()
+    n = df.filter(is_train).count()
+    rounds = max(1, -(-n // (count * round_rows)))
+    shard = F.pmod("_o0", F.lit(count)).cast("int")
+    turn = F.pmod(F.call_function("div", "_o0", F.lit(count)), F.lit(rounds)).cast("int")
+    keys = ["round", "shard"]
+    placed = (
+        rows.withColumn("shard", shard)
+        .withColumn("round", F.when(F.col("is_train"), turn).otherwise(VALIDATION_ROUND))
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "_o0", "_o1")
+        .select(FEATURES, "is_train", *keys)
+    )
+    width = df.select(F.size(FEATURES)).first()
+    row_bytes = (width[0] if width else 1) * np.dtype(dtype).itemsize
+    group = max(128 << 20, 2 * round_rows * row_bytes)
+    path = f"{scratch.path}/shards"
+    placed.write.partitionBy(*keys).option("parquet.block.size", min(group, 2**31 - 1)).parquet(path)
+    table = df.sparkSession.read.schema(placed.schema).parquet(path)
+    return Shards(table, count, rounds)
 
 
 def _recut(blocks: Iterable[np.ndarray], size: int) -> Iterator[np.ndarray]:
@@ -215,6 +257,13 @@ _PASS_TYPES = pa.schema(
 )
 
 
+_NOTHING = {
+    "shard": 0, "n": 0, "loss": 0.0, "val_n": 0, "val_loss": 0.0, "steps": 0, "taken": 0,
+    "state": None,
+}
+HISTORY_SCHEMA = "epoch int, loss double, val_loss double, learning_rate double"
+
+
 def _pass_batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=_PASS_TYPES)
 
@@ -242,53 +291,72 @@ def _merge(layout: Layout, parts: list[dict]) -> dict:
     }
 
 
-def epoch_pass(
-    shards: DataFrame,
+def _by_shard(
+    batches: Iterable[pa.RecordBatch], layout: Layout
+) -> Iterator[tuple[tuple[int, bool], np.ndarray]]:
+    """((shard, is_train), rows) for stretches of rows that agree in both."""
+    for batch in batches:
+        rows = _matrix(batch.column(0), layout.input_dim, layout.dtype)
+        train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        shard = batch.column(2).to_numpy()
+        changes = (np.diff(shard) != 0) | (np.diff(train) != 0)
+        bounds = [0, *(np.flatnonzero(changes) + 1).tolist(), len(rows)]
+        for a, b in zip(bounds, bounds[1:]):
+            if a < b:
+                yield (int(shard[a]), bool(train[a])), rows[a:b]
+
+
+def training_pass(
+    shards: Shards,
     layout: Layout,
     state: TrainState,
     params: TrainingParams,
     epoch: int,
+    turn: int = 0,
     learn: bool = True,
-    replicas: int = 1,
 ) -> dict:
-    """One Spark job: validation loss of the incoming state and, if learning, the next state."""
-    ship_package(shards.sparkSession)
-    sent = shards.sparkSession.sparkContext.broadcast(state)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
-        rng = np.random.default_rng([params.random_seed, epoch, shard])
+    """One Spark job: in the first round of an epoch the validation loss of the incoming state
+    and, if learning, the next state after one round."""
+    spark = shards.table.sparkSession
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast(state)
+    replicas = shards.count
+
+    def learned(shard: int, blocks: Iterable[np.ndarray]) -> dict:
+        rng = np.random.default_rng([params.random_seed, epoch, shard, turn])
         own = sent.value.copy()
-        forward = network.Forward(layout, sent.value.vector)
-        tally = {"n": 0, "loss": 0.0, "val_n": 0, "val_loss": 0.0}
-
-        def training_blocks() -> Iterator[np.ndarray]:
-            for batch in batches:
-                rows = _matrix(batch.column(0), layout.input_dim, layout.dtype)
-                train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                held_out = rows[~train]
-                if len(held_out):
-                    errors = network.row_errors(held_out, forward(held_out))
-                    tally["val_n"] += len(held_out)
-                    tally["val_loss"] += float(errors.sum(dtype=np.float64))
-                if learn and train.any():
-                    yield rows[train]
-
-        for rows in _mini_batches(training_blocks(), params.batch_size, rng):
-            loss = network.train_step(
+        n, loss = 0, 0.0
+        for rows in _mini_batches(blocks, params.batch_size, rng):
+            step_loss = network.train_step(
                 layout, own, rows, rng, params.learning_rate, params.lr_schedule, replicas
             )
-            tally["n"] += len(rows)
-            tally["loss"] += loss * len(rows)
-        packed = own.pack() if tally["n"] else None
+            n += len(rows)
+            loss += step_loss * len(rows)
         taken = own.steps - sent.value.steps
-        done = {"shard": shard, "steps": own.steps, "taken": taken, "state": packed}
-        yield _pass_batch([tally | done])
+        return _NOTHING | {
+            "shard": shard, "n": n, "loss": loss, "steps": own.steps, "taken": taken,
+            "state": own.pack(),
+        }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forward = network.Forward(layout, sent.value.vector)
+        for (shard, train), group in groupby(_by_shard(batches, layout), key=lambda g: g[0]):
+            if train:
+                part = learned(shard, (rows for _, rows in group))
+            else:
+                part = _NOTHING | {"shard": shard}
+                for _, rows in group:
+                    errors = network.row_errors(rows, forward(rows))
+                    part["val_n"] += len(rows)
+                    part["val_loss"] += float(errors.sum(dtype=np.float64))
+            yield _pass_batch([part])
 
     def merge(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches([_pass_batch([_merge(layout, table.to_pylist())])])
 
-    parts = shards.mapInArrow(run, PASS_SCHEMA)
+    wanted = [VALIDATION_ROUND] if turn == 0 else []
+    parts = shards.round(*wanted, *([turn] if learn else [])).select(FEATURES, "is_train", "shard")
+    parts = parts.mapInArrow(run, PASS_SCHEMA)
     fan_in = max(2, min(MERGE_REPLICAS, MERGE_BYTES // state_bytes(layout)))
     width = 1
     while replicas > fan_in:
@@ -297,9 +365,43 @@ def epoch_pass(
         replicas = -(-replicas // fan_in)
         group = F.floor(F.col("shard") / width).alias("g")
         parts = parts.groupBy(group).applyInArrow(merge, PASS_SCHEMA)
-    merged = _merge(layout, [r.asDict() for r in parts.collect()])
+    found = [r.asDict() for r in parts.collect()]
     sent.destroy()
-    return merged
+    return _merge(layout, found) if found else dict(_NOTHING)
+
+
+@dataclass(frozen=True)
+class Epoch:
+    """One line of the history, with the state after the epoch (None where it was not kept)."""
+
+    epoch: int
+    loss: float
+    val_loss: float | None
+    learning_rate: float
+    state: TrainState | None = None
+
+    @property
+    def line(self) -> tuple[int, float, float | None, float]:
+        return self.epoch, self.loss, self.val_loss, self.learning_rate
+
+
+class EarlyStop:
+    """Remembers the best epoch and says when ``patience`` epochs in a row were no better."""
+
+    def __init__(self, patience: int) -> None:
+        self.patience = patience
+        self.best: Epoch | None = None
+        self._least, self._waited = math.inf, 0
+
+    def ends_with(self, done: Epoch) -> bool:
+        loss = done.val_loss
+        if self.best is None or loss is None or loss < self._least:
+            self.best, self._waited = done, 0
+            if loss is not None and not math.isnan(loss):
+                self._least = loss
+            return False
+        self._waited += 1
+        return self._waited >= self.patience
 
 
 @dataclass(frozen=True)
@@ -309,44 +411,64 @@ class TrainingResult:
     best_epoch: int
 
     def history_table(self, spark: SparkSession) -> DataFrame:
-        schema = "epoch int, loss double, val_loss double, learning_rate double"
-        return spark.createDataFrame(self.history, schema)
+        return spark.createDataFrame(self.history, HISTORY_SCHEMA)
 
 
 def train_autoencoder(
-    shards: DataFrame, layout: Layout, params: TrainingParams
+    shards: Shards,
+    layout: Layout,
+    params: TrainingParams,
+    done: Sequence[Epoch] = (),
+    keep: Callable[[Epoch], None] | None = None,
 ) -> TrainingResult:
     """Train on sharded rows, stop early on validation loss, keep the best parameters.
 
-    Each epoch every shard runs mini-batch Adam from the same state, then the replicas are
-    averaged by rows. With one shard this is plain sequential mini-batch training. A job
-    reports the validation loss of the state it received, so a loss is known one job late.
+    In every round each shard runs mini-batch Adam from the same state over its rows of the round,
+    then the replicas are averaged by rows. With one shard this is plain sequential mini-batch
+    training. A job reports the validation loss of the state it received, so a loss is known one
+    job late. ``keep`` is given every finished epoch; training goes on after the epochs in
+    ``done``, of which the last and the best must have their state, just as if it had never
+    been interrupted.
     """
-    state = TrainState.fresh(layout, params.random_seed)
-    history: list[tuple[int, float, float | None, float]] = []
-    best_state, best_loss, best_epoch, waited = state, math.inf, 0, 0
+    stop = EarlyStop(params.patience)
+    history = [e.line for e in done]
+    ended = [stop.ends_with(e) for e in done]
+    state = done[-1].state if done else TrainState.fresh(layout, params.random_seed)
     loss = rate = 0.0
-    replicas = shards.rdd.getNumPartitions()
-    for epoch in range(params.max_epochs + 1):
+    first = len(done)
+    for epoch in range(first, params.max_epochs + 1):
+        if ended and ended[-1]:
+            break
         learn = epoch < params.max_epochs
-        result = epoch_pass(shards, layout, state, params, epoch, learn, replicas)
-        if epoch == 0 and not result["n"]:
-            raise DataLoadError("cannot train: the training split holds no normal records")
-        if epoch > 0:
-            val_loss = result["val_loss"] / result["val_n"] if result["val_n"] else None
-            history.append((epoch, loss, val_loss, rate))
-            if val_loss is None or val_loss < best_loss or best_epoch == 0:
-                best_state, best_epoch, waited = state, epoch, 0
-                if val_loss is not None and not math.isnan(val_loss):
-                    best_loss = val_loss
-            else:
-                waited += 1
-                if waited >= params.patience:
+        n, total, came = 0, 0.0, state
+        for turn in range(shards.rounds if learn else 1):
+            result = training_pass(shards, layout, state, params, epoch, turn, learn)
+            if turn == 0 and epoch > first:
+                val = result["val_loss"] / result["val_n"] if result["val_n"] else None
+                finished = Epoch(epoch, loss, val, rate, came)
+                history.append(finished.line)
+                if keep is not None:
+                    keep(finished)
+                ended.append(stop.ends_with(finished))
+                if ended[-1]:
                     break
-        if learn:
-            loss = result["loss"] / result["n"]
-            rate = network.learning_rate(params.learning_rate, params.lr_schedule, state.seen)
-            packed = np.frombuffer(result["state"], layout.dtype)
-            seen = state.seen + result["taken"]
-            state = TrainState.unpack(layout, packed, result["steps"], seen)
-    return TrainingResult(Autoencoder(layout, best_state.vector), history, best_epoch)
+            if learn:
+                if turn == 0:
+                    rate_now = network.learning_rate(
+                        params.learning_rate, params.lr_schedule, state.seen
+                    )
+                n += result["n"]
+                total += result["loss"]
+                if result["n"]:
+                    packed = np.frombuffer(result["state"], layout.dtype)
+                    seen = state.seen + result["taken"]
+                    state = TrainState.unpack(layout, packed, result["steps"], seen)
+        else:
+            if learn:
+                if not n:
+                    raise DataLoadError(
+                        "cannot train: the training split holds no normal records"
+                    )
+                loss, rate = total / n, rate_now
+    best = stop.best
+    return TrainingResult(Autoencoder(layout, best.state.vector), history, best.epoch)

@@ -165,9 +165,18 @@ def row_errors(rows: np.ndarray, rebuilt: np.ndarray) -> np.ndarray:
 
 
 def gradient(
-    layout: Layout, vector: np.ndarray, rows: np.ndarray, rng: np.random.Generator
+    layout: Layout,
+    vector: np.ndarray,
+    rows: np.ndarray,
+    rng: np.random.Generator,
+    replicas: int = 1,
 ) -> tuple[float, np.ndarray]:
-    """Training loss of a mini-batch and its gradient; moves the running statistics in place."""
+    """Training loss of a mini-batch and its gradient; moves the running statistics in place.
+
+    The statistics move on by the steps of all ``replicas``, so that their lag behind the weights
+    does not grow with the number of shards.
+    """
+    momentum = NORM_MOMENTUM**replicas
     w = layout.views(vector)
     grad = np.zeros(layout.size, vector.dtype)
     g_of = layout.views(grad)
@@ -183,7 +192,7 @@ def gradient(
             normed = (a - mean) * spread
             out = normed * w[d.name, "gamma"] + w[d.name, "beta"]
             for name, now in (("moving_mean", mean), ("moving_variance", var)):
-                w[d.name, name][:] = NORM_MOMENTUM * w[d.name, name] + (1 - NORM_MOMENTUM) * now
+                w[d.name, name][:] = momentum * w[d.name, name] + (1 - momentum) * now
             if layout.dropout_rate:
                 mask = ((rng.random(out.shape) < keep) / keep).astype(out.dtype)
                 out = out * mask
@@ -250,9 +259,10 @@ def train_step(
 ) -> float:
     """One optimiser step on a mini-batch, in place; returns the training loss.
 
-    ``replicas`` take such a step at the same time, and the schedule moves on by as many.
+    ``replicas`` take such a step at the same time; the schedule and the running statistics move
+    on by as many.
     """
-    loss, grad = gradient(layout, state.vector, rows, rng)
+    loss, grad = gradient(layout, state.vector, rows, rng, replicas)
     g = grad[: layout.trainable]
     rate = learning_rate(base_rate, schedule, state.seen)
     state.steps += 1

@@ -10,6 +10,7 @@ from typing import Any
 from oddrow.errors import ConfigurationError
 from oddrow.profiles import profile_names
 
+PRECISIONS = ("float32", "float64")
 LR_SCHEDULES = ("none", "step_decay", "cosine_annealing")
 ACTIVATIONS = ("relu", "tanh", "sigmoid", "linear", "elu", "softplus")
 RATIO_TOLERANCE = 1e-6
@@ -113,8 +114,10 @@ class ArchitectureParams:
 class TrainingParams:
     """``shards`` is the number of data-parallel replicas, whatever the size of the table.
 
-    One shard is plain sequential training; more spread an epoch over as many tasks, whose
-    replicas are averaged at its end.
+    One shard is plain sequential training; more spread the work over as many tasks, whose
+    replicas are averaged by rows after every round of about ``round_rows`` training rows each.
+    Larger rounds mean fewer jobs and fewer files, smaller ones keep many shards closer to
+    sequential training. ``precision`` is the type of features and parameters.
     """
 
     learning_rate: float = 0.001
@@ -124,6 +127,8 @@ class TrainingParams:
     lr_schedule: str = "none"
     random_seed: int = 42
     shards: int = 8
+    round_rows: int = 16_384
+    precision: str = "float32"
 
     def __post_init__(self) -> None:
         if _real("training.learning_rate", self.learning_rate) <= 0.0:
@@ -136,6 +141,8 @@ class TrainingParams:
         _one_of("training.lr_schedule", self.lr_schedule, LR_SCHEDULES)
         _integer("training.random_seed", self.random_seed)
         _integer("training.shards", self.shards, 1)
+        _integer("training.round_rows", self.round_rows, 1)
+        _one_of("training.precision", self.precision, PRECISIONS)
 
 
 @dataclass(frozen=True)
@@ -187,7 +194,7 @@ _SECTIONS: dict[str, type] = {
     "threshold": ThresholdParams,
     "output": OutputParams,
 }
-_OPTIONAL = {"training.shards"}
+_OPTIONAL = {"training.shards", "training.round_rows", "training.precision"}
 
 
 def _section(name: str, kind: type, raw: Any) -> Any:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import partial
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddrow.errors import ArtifactNotFoundError, DataLoadError, InferenceError
@@ -39,7 +40,7 @@ from oddrow.params import JobParams
 from oddrow.plans.session import compiled, compiled_methods
 from oddrow.profiles import NSL_KDD, NSL_KDD_RAW_HEADER, Profile, get_profile
 from oddrow.sources import artefacts
-from oddrow.sources.storage import Scratch, drop_checkpoint, exists
+from oddrow.sources.storage import Scratch, exists
 from oddrow.sources.tables import (
     BAD_CELLS,
     load_table,
@@ -95,20 +96,32 @@ def _preprocess(cleaned: DataFrame, profile: Profile, params: JobParams, source:
 
 
 def fit_model(
-    prepared: Prepared, params: JobParams, dtype: str = "float32"
+    prepared: Prepared,
+    params: JobParams,
+    place: Column | None = None,
+    run: str | None = None,
 ) -> TrainingResult:
-    """Train the autoencoder on the normal rows."""
-    layout = layout_for(params.architecture, prepared.preprocessor.width, dtype)
-    element = "float" if dtype == "float32" else "double"
+    """Train the autoencoder on the normal rows.
+
+    With a run folder every finished epoch is kept there, and epochs that it already holds are
+    not trained again. ``place`` deals the rows over the shards, see :func:`make_shards`.
+    """
+    spark, training = prepared.rows.sparkSession, params.training
+    layout = layout_for(params.architecture, prepared.preprocessor.width, training.precision)
+    element = "float" if training.precision == "float32" else "double"
     encoded = prepared.preprocessor.transform(prepared.normal, element)
-    count = params.training.shards
-    seed = params.training.random_seed
-    with compiled_methods(prepared.rows.sparkSession):
-        shards = make_shards(encoded, F.col(SPLIT) == TRAIN, [RANK], count, seed, dtype)
+    done = artefacts.load_progress(spark, run, layout, training.patience) if run else []
+    scratch = Scratch(spark)
     try:
-        return train_autoencoder(shards, layout, params.training)
+        with compiled_methods(spark):
+            shards = make_shards(
+                encoded, F.col(SPLIT) == TRAIN, [RANK], training.shards, training.random_seed,
+                scratch, training.precision, training.round_rows, place,
+            )
+        keep = partial(artefacts.keep_epoch, spark, run) if run else None
+        return train_autoencoder(shards, layout, training, done, keep)
     finally:
-        drop_checkpoint(shards)
+        scratch.drop()
 
 
 @compiled
@@ -121,27 +134,49 @@ def train(
     """Run a training job and return its run folder.
 
     All rows, the training rows included, are evaluated; ``holdout`` leaves the training rows
-    out of the evaluation.
+    out of the evaluation. Finished epochs can be read with :func:`artefacts.progress` while the
+    job runs; if it dies, :func:`resume` goes on.
     """
     params = params if isinstance(params, JobParams) else JobParams.from_mapping(params)
-    started = time.monotonic()
-    profile = get_profile(params.dataset.schema)
     run = artefacts.new_run(spark, params.output.artefact_dir)
     artefacts.write_record(spark, f"{run}/{artefacts.PARAMS}", params.to_mapping())
+    return _train(spark, params, run, holdout, keep_scratch)
+
+
+@compiled
+def resume(
+    spark: SparkSession, run: str, holdout: bool = False, keep_scratch: bool = False
+) -> str:
+    """Go on with a run whose job died: fitted state and finished epochs are taken from its
+    folder, the rest is done as the unbroken job would have done it."""
+    record = artefacts.read_record(spark, f"{run}/{artefacts.PARAMS}", "run parameters")
+    return _train(spark, JobParams.from_mapping(record), run, holdout, keep_scratch)
+
+
+def _train(
+    spark: SparkSession, params: JobParams, run: str, holdout: bool, keep_scratch: bool
+) -> str:
+    started = time.monotonic()
+    profile = get_profile(params.dataset.schema)
     scratch = Scratch(spark)
     try:
         source = params.dataset.path
         loaded = load_table(spark, source, profile, extras=profile.key)
         cleaned = clean(loaded, profile, scratch, params.splits.random_seed)
         prepared = preprocess(cleaned, profile, params, source)
-        artefacts.save_preprocessor(spark, run, prepared.preprocessor)
+        fitted = [f"{run}/{name}/_SUCCESS" for name in (artefacts.ENCODER, artefacts.SCALER)]
+        if all(exists(spark, mark) for mark in fitted):
+            prepared = replace(prepared, preprocessor=artefacts.load_preprocessor(spark, run))
+        else:
+            artefacts.save_preprocessor(spark, run, prepared.preprocessor)
 
-        result = fit_model(prepared, params)
+        result = fit_model(prepared, params, run=run)
         artefacts.save_weights(spark, f"{run}/{artefacts.WEIGHTS}", result.model)
         write_table(result.history_table(spark).coalesce(1), f"{run}/{artefacts.HISTORY}")
 
         # One scoring pass serves the threshold and the evaluation.
-        scored = result.model.score(prepared.preprocessor.transform(prepared.rows, "float"))
+        element = "float" if params.training.precision == "float32" else "double"
+        scored = result.model.score(prepared.preprocessor.transform(prepared.rows, element))
         kept = [*profile.key, SPLIT, binary_label(profile).alias(M.LABEL), "mse"]
         written = scored.select(*kept)
         write_table(written, f"{run}/{artefacts.SCORES}", partition_by=[SPLIT])
@@ -156,6 +191,7 @@ def train(
         )
         evaluate(spark, flagged, run)
         artefacts.record_timing(spark, run, time.monotonic() - started)
+        artefacts.finish_run(spark, run)
     finally:
         if not keep_scratch:
             scratch.drop()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import replace
 from datetime import datetime
 from typing import Any
 
@@ -14,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddrow.errors import ArtifactLoadError, ArtifactNotFoundError, InferenceError
-from oddrow.operators.autoencoder import Autoencoder
+from oddrow.operators.autoencoder import HISTORY_SCHEMA, Autoencoder, EarlyStop, Epoch
 from oddrow.operators.features import ColumnScale, Preprocessor
-from oddrow.operators.network import Layout
+from oddrow.operators.network import Layout, TrainState
 from oddrow.operators.threshold import Threshold
 from oddrow.sources.storage import exists, finished, make_folder
 from oddrow.sources.tables import write_table
@@ -24,6 +25,7 @@ from oddrow.sources.tables import write_table
 WEIGHTS, SCALER, ENCODER, THRESHOLD = "weights", "scaler", "encoder", "threshold.json"
 METRICS, PARAMS, HISTORY, SCORES = "metrics.json", "params.json", "history", "scores"
 CONFUSION, ROC, HISTOGRAM = "confusion_matrix", "roc_curve", "re_histogram"
+PROGRESS, MANIFEST = "progress", "manifest.json"
 CRITICAL = (WEIGHTS, SCALER, ENCODER, THRESHOLD)
 
 THRESHOLD_KEYS = ("threshold", "percentile", "mse_mean", "mse_std")
@@ -41,14 +43,20 @@ def new_run(spark: SparkSession, base: str) -> str:
 
 
 def latest_run(spark: SparkSession, base: str) -> str:
-    """The newest run, by name, whose weights were written to their end."""
+    """The newest run, by name, that came to its end."""
     base = base.rstrip("/")
-    runs = finished(spark, base, WEIGHTS)
+    runs = finished(spark, base, MANIFEST)
     if not runs:
-        raise ArtifactNotFoundError(f"'{base}' holds no run with finished weights")
+        raise ArtifactNotFoundError(f"'{base}' holds no finished run")
     return f"{base}/{runs[-1]}"
 
 
+def finish_run(spark: SparkSession, run: str) -> None:
+    """Write the manifest, which makes a run count; all critical artefacts must be there."""
+    check_artefacts(spark, run)
+    write_record(spark, f"{run}/{MANIFEST}", {"artefacts": list(CRITICAL)})
+
+
 def check_artefacts(spark: SparkSession, run: str, names: tuple[str, ...] = CRITICAL) -> None:
     """All of the artefacts or an error that lists exactly the missing ones."""
     missing = [n for n in names if not exists(spark, f"{run}/{n}")]
@@ -115,6 +123,51 @@ def record_timing(spark: SparkSession, run: str, seconds: float) -> None:
         write_record(spark, path, metrics | {"training_time_secs": round(seconds, 2)})
 
 
+# -- progress of training ----------------------------------------------------------------
+
+
+def keep_epoch(spark: SparkSession, run: str, done: Epoch) -> None:
+    """Add a finished epoch with its state to a run; the row appears whole or not at all."""
+    state = done.state
+    row = (*done.line, state.steps, state.seen, bytearray(state.pack()))
+    schema = f"{HISTORY_SCHEMA}, steps long, seen long, state binary"
+    table = spark.createDataFrame([row], schema).coalesce(1)
+    write_table(table, f"{run}/{PROGRESS}/{done.epoch:06d}")
+
+
+def progress(spark: SparkSession, run: str) -> DataFrame:
+    """The epochs finished so far, also while the run is still training or after it has died."""
+    found = finished(spark, f"{run}/{PROGRESS}", "")
+    schema = f"{HISTORY_SCHEMA}, steps long, seen long, state binary"
+    if not found:
+        return spark.createDataFrame([], schema)
+    paths = [f"{run}/{PROGRESS}/{name}" for name in found]
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def load_progress(
+    spark: SparkSession, run: str, layout: Layout, patience: int
+) -> list[Epoch]:
+    """The finished epochs in order; the last and the best one with their states."""
+    table = progress(spark, run)
+    lines = sorted(map(tuple, table.drop("steps", "seen", "state").collect()))
+    stop = EarlyStop(patience)
+    done = [Epoch(*line) for line in lines]
+    for epoch in done:
+        stop.ends_with(epoch)
+    if not done:
+        return []
+    wanted = [done[-1].epoch, stop.best.epoch]
+    rows = table.filter(F.col("epoch").isin(*wanted)).select("epoch", "steps", "seen", "state")
+    states = {
+        r["epoch"]: TrainState.unpack(
+            layout, np.frombuffer(r["state"], layout.dtype), r["steps"], r["seen"]
+        )
+        for r in rows.collect()
+    }
+    return [replace(e, state=states.get(e.epoch)) for e in done]
+
+
 # -- fitted state ----------------------------------------------------------------------
 
 

@@ -40,10 +40,12 @@ def holds_files(spark: SparkSession, path: str, suffix: str) -> bool:
 
 
 def finished(spark: SparkSession, base: str, part: str) -> list[str]:
-    """Names of the folders below ``base`` whose table ``part`` was written to its end."""
-    fs, target = _open(spark, f"{escape_glob(base)}/*/{part}/_SUCCESS")
-    marks = fs.globStatus(target) or []
-    return sorted(mark.getPath().getParent().getParent().getName() for mark in marks)
+    """Names of the folders below ``base`` whose table ``part`` (itself if empty) was written to
+    its end."""
+    inner = f"{part}/_SUCCESS" if part else "_SUCCESS"
+    fs, target = _open(spark, f"{escape_glob(base)}/*/{inner}")
+    marks = [mark.getPath().getParent() for mark in fs.globStatus(target) or []]
+    return sorted((m.getParent() if part else m).getName() for m in marks)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
@@ -90,14 +92,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def drop_checkpoint(df: DataFrame) -> None:
-    """Delete the files of a DataFrame that ``checkpoint()`` returned; it cannot be read again."""
-    written = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
-    if written.isDefined():
-        fs, target = _open(df.sparkSession, written.get())
-        fs.delete(target, True)
-
-
 class Scratch:
     """Intermediate tables of one job, written under the shared folder."""
 

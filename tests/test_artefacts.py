@@ -138,7 +138,7 @@ def test_exactly_the_missing_artefacts_are_listed(spark, tmp_path_factory, gone)
 
 def test_run_folders(spark, tmp_path):
     base = f"{tmp_path}/runs"
-    with pytest.raises(ArtifactNotFoundError, match="no run with finished weights"):
+    with pytest.raises(ArtifactNotFoundError, match="holds no finished run"):
         artefacts.latest_run(spark, base)
     first, second = artefacts.new_run(spark, base), artefacts.new_run(spark, base)
     assert first != second and Path(first).is_dir()
@@ -147,16 +147,19 @@ def test_run_folders(spark, tmp_path):
 
 
 def test_latest_run_prefers_finished_ones(spark, tmp_path):
-    with pytest.raises(ArtifactNotFoundError, match="no run with finished weights"):
+    with pytest.raises(ArtifactNotFoundError, match="holds no finished run"):
         artefacts.latest_run(spark, str(tmp_path))
     for name in ("20240101_000000", "20240201_000000", "20240301_000000", "20240401_000000"):
         (tmp_path / name).mkdir()
-    with pytest.raises(ArtifactNotFoundError, match="no run with finished weights"):
+    with pytest.raises(ArtifactNotFoundError, match="holds no finished run"):
         artefacts.latest_run(spark, str(tmp_path))
     for name in ("20240101_000000", "20240201_000000"):
-        (tmp_path / name / "weights").mkdir()
-        (tmp_path / name / "weights" / "_SUCCESS").touch()
-    (tmp_path / "20240301_000000" / "weights" / "_temporary").mkdir(parents=True)
+        (tmp_path / name / "manifest.json").mkdir()
+        (tmp_path / name / "manifest.json" / "_SUCCESS").touch()
+    # Died while writing the manifest; died after the weights.
+    (tmp_path / "20240301_000000" / "manifest.json" / "_temporary").mkdir(parents=True)
+    (tmp_path / "20240401_000000" / "weights").mkdir()
+    (tmp_path / "20240401_000000" / "weights" / "_SUCCESS").touch()
     assert artefacts.latest_run(spark, str(tmp_path)).endswith("20240201_000000")
 
 

@@ -11,6 +11,7 @@ from oddrow.operators import autoencoder as A
 from oddrow.operators import network as N
 from oddrow.operators.network import Layout, TrainState
 from oddrow.params import ArchitectureParams, TrainingParams
+from oddrow.sources.storage import Scratch
 
 LAYOUT = Layout(6, (5, 4), 2, "relu", 0.0)
 
@@ -23,9 +24,19 @@ def table(spark, n=300, n_val=60, width=6, seed=0, partitions=3):
     return spark.createDataFrame(rows, schema).repartition(partitions), values
 
 
-def shards_of(spark, count=1, **options):
-    rows, _ = table(spark, **options)
-    return A.make_shards(rows, F.col("is_train"), ["id"], count, seed=1)
+def shards_of(spark, count=1, round_rows=100_000, rows=None, seed=1, **options):
+    rows = table(spark, **options)[0] if rows is None else rows
+    return A.make_shards(
+        rows, F.col("is_train"), ["id"], count, seed, Scratch(spark), round_rows=round_rows
+    )
+
+
+def rows_by_shard(shards):
+    """{(round, shard): (features, is_train)} in the order of the files."""
+    found = {}
+    for r in shards.table.collect():
+        found.setdefault((r.round, r.shard), []).append((r.features, r.is_train))
+    return found
 
 
 def params(**changes):
@@ -93,22 +104,38 @@ def test_scoring_is_map_only(spark):
 
 def test_shards_have_fixed_places(spark):
     rows, _ = table(spark)
-    first = A.make_shards(rows, F.col("is_train"), ["id"], 4, seed=1)
-    second = A.make_shards(rows.repartition(9), F.col("is_train"), ["id"], 4, seed=1)
-    assert first.rdd.getNumPartitions() == 4
-    assert first.rdd.glom().collect() == second.rdd.glom().collect()
-    other = A.make_shards(rows, F.col("is_train"), ["id"], 4, seed=2)
-    assert first.rdd.glom().collect() != other.rdd.glom().collect()
-
-
-def sequential(shard, hyper, epochs):
+    first = shards_of(spark, 4, rows=rows)
+    second = shards_of(spark, 4, rows=rows.repartition(9))
+    assert (first.count, first.rounds) == (4, 1)
+    assert rows_by_shard(first) == rows_by_shard(second)
+    assert set(rows_by_shard(first)) == {(r, s) for r in (-1, 0) for s in range(4)}
+    assert rows_by_shard(first) != rows_by_shard(shards_of(spark, 4, rows=rows, seed=2))
+
+
+def test_rounds_are_files_that_a_pass_reads_alone(spark):
+    shards = shards_of(spark, 2, round_rows=20)
+    assert shards.rounds == 6
+    held = rows_by_shard(shards)
+    assert sum(len(v) for (r, _), v in held.items() if r >= 0) == 240
+    assert all(t == (r >= 0) for (r, _), v in held.items() for _, t in v)
+    assert all(5 <= len(v) <= 40 for (r, _), v in held.items() if r >= 0)
+    files = shards.table.inputFiles()
+    assert len(files) == len(held)
+    plan = shards.round(3)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(round" in plan or "PartitionFilters: [(round" in plan
+    assert "features" in plan and "Exchange" not in plan
+    assert len(shards.round(3).collect()) == len(held[3, 0]) + len(held[3, 1])
+
+
+def sequential(shards, hyper, epochs):
     """The same training without Spark: one replica, row blocks as the shard gives them."""
-    x = np.array([r.features for r in shard], "float32")
-    train = np.array([r.is_train for r in shard])
+    shard = [row for rows in rows_by_shard(shards).values() for row in rows]
+    x = np.array([features for features, _ in shard], "float32")
+    train = np.array([is_train for _, is_train in shard])
     state = TrainState.fresh(LAYOUT, hyper.random_seed)
     history = []
     for epoch in range(epochs):
-        rng = np.random.default_rng([hyper.random_seed, epoch, 0])
+        rng = np.random.default_rng([hyper.random_seed, epoch, 0, 0])
         rows = x[train]
         rows = rows[rng.permutation(len(rows))]
         losses = []
@@ -128,7 +155,7 @@ def test_one_shard_is_sequential_training(spark, schedule):
     shards = shards_of(spark)
     hyper = params(lr_schedule=schedule)
     result = A.train_autoencoder(shards, LAYOUT, hyper)
-    state, history = sequential(shards.collect(), hyper, 3)
+    state, history = sequential(shards, hyper, 3)
     assert [h[0] for h in result.history] == [1, 2, 3]
     assert np.allclose([h[1] for h in result.history], [h[0] for h in history], rtol=1e-5)
     assert np.allclose([h[2] for h in result.history], [h[1] for h in history], rtol=1e-5)
@@ -147,31 +174,36 @@ def test_same_seed_same_weights(spark, count):
     assert not np.array_equal(runs[0].model.vector, runs[2].model.vector)
 
 
-def test_an_epoch_averages_replicas_by_rows(spark):
-    shards = shards_of(spark, 4)
+def test_a_round_averages_replicas_by_rows(spark):
+    shards = shards_of(spark, 4, round_rows=35)
+    assert shards.rounds == 2
     hyper, state = params(), TrainState.fresh(LAYOUT, 4)
-    merged = A.epoch_pass(shards, LAYOUT, state, hyper, 0, True, 4)
+    merged = A.training_pass(shards, LAYOUT, state, hyper, 0, 1)
     total, n = np.zeros(LAYOUT.size), 0
-    for i, part in enumerate(shards.rdd.glom().collect()):
+    for (turn, shard), part in rows_by_shard(shards).items():
+        if turn != 1:
+            continue
         own = state.copy()
-        rng = np.random.default_rng([4, 0, i])
-        rows = np.array([r.features for r in part if r.is_train], "float32")
+        rng = np.random.default_rng([4, 0, shard, turn])
+        rows = np.array([features for features, _ in part], "float32")
         rows = rows[rng.permutation(len(rows))]
         for at in range(0, len(rows), 32):
-            N.train_step(LAYOUT, own, rows[at : at + 32], rng, 0.001, "none")
+            N.train_step(LAYOUT, own, rows[at : at + 32], rng, 0.001, "none", 4)
         total += own.vector.astype(float) * len(rows)
         n += len(rows)
     got = TrainState.unpack(LAYOUT, np.frombuffer(merged["state"], "float32"), 0, 0)
-    assert merged["n"] == n == 240 and merged["val_n"] == 60
+    assert merged["n"] == n and merged["val_n"] == 0
     assert np.allclose(got.vector, total / n, atol=1e-6)
+    first = A.training_pass(shards, LAYOUT, state, hyper, 0, 0)
+    assert first["n"] == 240 - n and first["val_n"] == 60
 
 
 def test_averaging_in_a_tree_equals_averaging_at_once(spark, monkeypatch):
     shards = shards_of(spark, 9)
     hyper, state = params(), TrainState.fresh(LAYOUT, 4)
-    flat = A.epoch_pass(shards, LAYOUT, state, hyper, 0, True, 9)
+    flat = A.training_pass(shards, LAYOUT, state, hyper, 0)
     monkeypatch.setattr(A, "MERGE_REPLICAS", 2)
-    nested = A.epoch_pass(shards, LAYOUT, state, hyper, 0, True, 9)
+    nested = A.training_pass(shards, LAYOUT, state, hyper, 0)
     assert (flat["n"], flat["val_n"], flat["steps"]) == (
         nested["n"], nested["val_n"], nested["steps"],
     )
@@ -181,6 +213,46 @@ def test_averaging_in_a_tree_equals_averaging_at_once(spark, monkeypatch):
     )
 
 
+def test_many_shards_learn_about_as_much_as_one(spark):
+    """Rows lie near a plane; with rounds of 25 rows replicas meet after about two steps."""
+    rng = np.random.default_rng(1)
+    hidden = rng.normal(size=(1200, 2))
+    values = (hidden @ rng.normal(size=(2, 6)) + 0.1 * rng.normal(size=(1200, 6))).tolist()
+    rows = spark.createDataFrame(
+        [(i, v, i >= 200) for i, v in enumerate(values)],
+        "id bigint, features array<double>, is_train boolean",
+    )
+    layout = Layout(6, (12,), 2, "tanh", 0.0)
+    hyper = params(max_epochs=12, batch_size=16, learning_rate=0.01, patience=12)
+    losses = {}
+    for count in (1, 4, 8):
+        shards = shards_of(spark, count, round_rows=25 if count > 1 else 1000, rows=rows)
+        result = A.train_autoencoder(shards, layout, hyper)
+        losses[count] = min(h[2] for h in result.history)
+    assert losses[4] <= 1.1 * losses[1] and losses[8] <= 1.1 * losses[1]
+
+
+def test_resumed_training_equals_unbroken_training(spark):
+    shards, hyper = shards_of(spark, 3, round_rows=30), params(max_epochs=5)
+    kept = []
+    whole = A.train_autoencoder(shards, LAYOUT, hyper, keep=kept.append)
+    assert [e.line for e in kept] == whole.history
+    for after in (1, 3, 5):
+        again = A.train_autoencoder(shards, LAYOUT, hyper, done=kept[:after])
+        assert again.history == whole.history and again.best_epoch == whole.best_epoch
+        assert np.array_equal(again.model.vector, whole.model.vector)
+
+
+def test_resuming_after_the_last_epoch_trains_no_further(spark):
+    hyper = params(max_epochs=40, patience=2, learning_rate=0.05)
+    shards, kept = shards_of(spark), []
+    whole = A.train_autoencoder(shards, LAYOUT, hyper, keep=kept.append)
+    assert len(kept) < 40
+    again = A.train_autoencoder(shards, LAYOUT, hyper, done=kept, keep=pytest.fail)
+    assert again.history == whole.history
+    assert np.array_equal(again.model.vector, whole.model.vector)
+
+
 def test_empty_shards_do_no_harm(spark):
     result = A.train_autoencoder(shards_of(spark, 40, n=12, n_val=3), LAYOUT, params())
     assert len(result.history) == 3 and all(math.isfinite(h[2]) for h in result.history)
@@ -204,8 +276,7 @@ def test_early_stopping_keeps_the_best(spark):
 @pytest.mark.parametrize("count", [1, 3])
 def test_model_does_not_depend_on_batch_lengths(spark, count, monkeypatch):
     monkeypatch.setattr(A, "BLOCK_ROWS", 20)
-    rows, _ = table(spark)
-    shards = A.make_shards(rows, F.col("is_train"), ["id"], count, seed=1)
+    shards = shards_of(spark, count)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     histories = []
@@ -253,7 +324,7 @@ def test_learns_to_tell_shifted_rows(spark):
     odd = rng.normal(size=(60, 6)) * 2
     rows = [(i, r.tolist(), i % 8 != 0) for i, r in enumerate(normal)]
     schema = "id bigint, features array<double>, is_train boolean"
-    shards = A.make_shards(spark.createDataFrame(rows, schema), F.col("is_train"), ["id"], 2, 1)
+    shards = shards_of(spark, 2, rows=spark.createDataFrame(rows, schema))
     hyper = params(max_epochs=25, learning_rate=0.01, batch_size=16)
     model = A.train_autoencoder(shards, Layout(6, (8,), 3, "tanh", 0.0), hyper).model
     both = spark.createDataFrame(

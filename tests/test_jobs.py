@@ -27,7 +27,8 @@ from oddrow.streaming.scoring import score_stream
 
 ARTEFACTS = (
     "weights", "scaler", "encoder", "threshold.json", "confusion_matrix", "roc_curve",
-    "re_histogram", "metrics.json", "params.json", "history", "scores",
+    "re_histogram", "metrics.json", "params.json", "history", "scores", "progress",
+    "manifest.json",
 )
 
 pytestmark = pytest.mark.filterwarnings("ignore:low AUC")
@@ -95,6 +96,69 @@ def test_chart_tables(spark, run):
     assert [h.epoch for h in history] == [1, 2, 3]
 
 
+def test_progress_is_the_history(spark, run):
+    lines = ["epoch", "loss", "val_loss", "learning_rate"]
+    kept = sorted(map(tuple, artefacts.progress(spark, run).select(*lines).collect()))
+    history = spark.read.parquet(f"{run}/history").select(*lines)
+    assert kept == sorted(map(tuple, history.collect())) and len(kept) == 3
+
+
+def weights_of(spark, run):
+    return artefacts.load_weights(spark, f"{run}/weights").vector
+
+
+def test_a_run_whose_driver_died_goes_on(spark, make_csv, tmp_path, monkeypatch):
+    path = make_csv(connections(200, 60))
+    plan = job(path, str(tmp_path / "runs"), max_epochs=5, shards=2)
+    whole = jobs.train(spark, plan)
+
+    class Died(Exception):
+        pass
+
+    keep = artefacts.keep_epoch
+
+    def dies_after_two(spark, run, done):
+        assert artefacts.progress(spark, run).count() == done.epoch - 1  # readable meanwhile
+        keep(spark, run, done)
+        if done.epoch == 2:
+            raise Died
+
+    with monkeypatch.context() as patched:
+        patched.setattr(artefacts, "keep_epoch", dies_after_two)
+        with pytest.raises(Died):
+            jobs.train(spark, plan | {"output": {"artefact_dir": str(tmp_path / "broken")}})
+    (broken,) = (str(p) for p in (tmp_path / "broken").iterdir())
+    with pytest.raises(ArtifactNotFoundError, match="no finished run"):
+        artefacts.latest_run(spark, str(tmp_path / "broken"))
+    assert jobs.resume(spark, broken) == broken
+    assert artefacts.latest_run(spark, str(tmp_path / "broken")) == broken
+    assert np.array_equal(weights_of(spark, broken), weights_of(spark, whole))
+    same = [spark.read.parquet(f"{r}/history").orderBy("epoch").collect() for r in (whole, broken)]
+    assert same[0] == same[1] and len(same[0]) > 2
+    assert artefacts.progress(spark, broken).count() == len(same[0])
+
+
+def test_a_run_that_fails_after_its_weights_does_not_count(
+    spark, make_csv, tmp_path, monkeypatch
+):
+    base = str(tmp_path / "runs")
+    plan = job(make_csv(connections(120, 40)), base, max_epochs=1, shards=2)
+    first = jobs.train(spark, plan)
+
+    def fails(*_, **__):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(artefacts, "save_threshold", fails)
+        with pytest.raises(OSError, match="no space"):
+            jobs.train(spark, plan)
+    broken = max(p for p in Path(base).iterdir() if str(p) != first)
+    assert (broken / "weights" / "_SUCCESS").exists()
+    assert artefacts.latest_run(spark, base) == first
+    jobs.resume(spark, str(broken))
+    assert artefacts.latest_run(spark, base) == max(first, str(broken))
+
+
 @pytest.mark.parametrize("with_label", [True, False])
 def test_scoring_new_rows(spark, run, make_csv, with_label):
     table = connections(20, 10, seed=7).assign(note=[f"row {i}" for i in range(30)])

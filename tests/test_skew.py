@@ -58,8 +58,8 @@ def test_hot_key_splits_exactly_and_shards_evenly(spark, hot_rows):
     sizes = {r[SPLIT]: r["count"] for r in ready.rows.groupBy(SPLIT).count().collect()}
     assert sizes == {"train": ready.split.n_train, "val": ready.split.n_val, "attack": 1_000}
     encoded = ready.preprocessor.transform(ready.normal, "float")
-    shards = make_shards(encoded, F.col(SPLIT) == TRAIN, [RANK], 6, 1)
-    per_shard = [len(part) for part in shards.rdd.glom().collect()]
+    shards = make_shards(encoded, F.col(SPLIT) == TRAIN, [RANK], 6, 1, scratch)
+    per_shard = [r["count"] for r in shards.table.groupBy("shard").count().collect()]
     assert sum(per_shard) == normal and max(per_shard) < 1.3 * normal / 6
     result = jobs.fit_model(ready, params())
     assert len(result.history) == 1
