@@ -125,6 +125,11 @@ def with_rank(
     return df.withColumn(RANK, _rank(seed, key, columns or df.columns))
 
 
+def rank_place() -> Column:
+    """A long, evenly spread, from the stored rank of a row."""
+    return F.conv(F.substring(RANK, 1, 15), 16, 10).cast("long")
+
+
 def mark_lowest(
     df: DataFrame,
     seed: int,

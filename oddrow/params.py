@@ -11,6 +11,7 @@ from oddrow.errors import ConfigurationError
 from oddrow.profiles import profile_names
 
 PRECISIONS = ("float32", "float64")
+DEALS = ("row", "rank")
 LR_SCHEDULES = ("none", "step_decay", "cosine_annealing")
 ACTIVATIONS = ("relu", "tanh", "sigmoid", "linear", "elu", "softplus")
 RATIO_TOLERANCE = 1e-6
@@ -117,7 +118,9 @@ class TrainingParams:
     One shard is plain sequential training; more spread the work over as many tasks, whose
     replicas are averaged by rows after every round of about ``round_rows`` training rows each.
     Larger rounds mean fewer jobs and fewer files, smaller ones keep many shards closer to
-    sequential training. ``precision`` is the type of features and parameters.
+    sequential training. ``precision`` is the type of features and parameters. Rows are dealt
+    over shards and rounds by a hash of the whole row (``deal_by`` "row"), or by the seeded rank
+    of their key ("rank"), which other engines can repeat but needs a key that few rows share.
     """
 
     learning_rate: float = 0.001
@@ -129,6 +132,7 @@ class TrainingParams:
     shards: int = 8
     round_rows: int = 16_384
     precision: str = "float32"
+    deal_by: str = "row"
 
     def __post_init__(self) -> None:
         if _real("training.learning_rate", self.learning_rate) <= 0.0:
@@ -143,6 +147,7 @@ class TrainingParams:
         _integer("training.shards", self.shards, 1)
         _integer("training.round_rows", self.round_rows, 1)
         _one_of("training.precision", self.precision, PRECISIONS)
+        _one_of("training.deal_by", self.deal_by, DEALS)
 
 
 @dataclass(frozen=True)
@@ -194,7 +199,9 @@ _SECTIONS: dict[str, type] = {
     "threshold": ThresholdParams,
     "output": OutputParams,
 }
-_OPTIONAL = {"training.shards", "training.round_rows", "training.precision"}
+_OPTIONAL = {
+    f"training.{name}" for name in ("shards", "round_rows", "precision", "deal_by")
+}
 
 
 def _section(name: str, kind: type, raw: Any) -> Any:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from functools import partial
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddrow.errors import ArtifactNotFoundError, DataLoadError, InferenceError
@@ -31,6 +31,7 @@ from oddrow.operators.selection import (
     SPLIT,
     TRAIN,
     Split,
+    rank_place,
     sample_rows,
     split_normal,
     with_rank,
@@ -98,18 +99,18 @@ def _preprocess(cleaned: DataFrame, profile: Profile, params: JobParams, source:
 def fit_model(
     prepared: Prepared,
     params: JobParams,
-    place: Column | None = None,
     run: str | None = None,
 ) -> TrainingResult:
     """Train the autoencoder on the normal rows.
 
     With a run folder every finished epoch is kept there, and epochs that it already holds are
-    not trained again. ``place`` deals the rows over the shards, see :func:`make_shards`.
+    not trained again.
     """
     spark, training = prepared.rows.sparkSession, params.training
     layout = layout_for(params.architecture, prepared.preprocessor.width, training.precision)
     element = "float" if training.precision == "float32" else "double"
     encoded = prepared.preprocessor.transform(prepared.normal, element)
+    place = rank_place() if training.deal_by == "rank" else None
     done = artefacts.load_progress(spark, run, layout, training.patience) if run else []
     scratch = Scratch(spark)
     try:

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 from oddrow.operators.metrics import CLASS_METRICS, HISTOGRAM_BINS, METRIC_NAMES
 from oddrow.operators.network import NORM_EPSILON, Layout
+from oddrow.plans import training_sql
 from oddrow.plans.queries import (
     DIGITS,
     FIXED_LAYOUT,
     PERCENTILE,
     SAMPLE_SIZE,
+    STEP_ACTIVATION,
+    STEP_BOTTLENECK,
+    STEP_EPOCHS,
+    STEP_LAYERS,
+    STEP_RATE,
+    STEP_ROUNDS,
+    STEP_SHARDS,
     fixed_vector,
     job_params,
 )
@@ -181,13 +191,16 @@ SELECT b.y AS label, b.i AS bin, {r("lower", "lower")}, {r("upper", "upper")}, r
 FROM bins b JOIN counted c ON b.y = c.y AND b.i = c.i"""
 
 
-def features(p: Profile) -> str:
+def feature_cells(p: Profile) -> list[str]:
     """Cells of the assembled features; the categories of the only categorical column are F, O."""
     cells = []
     if p.categorical:
         cells = [f"CASE WHEN {p.categorical[0]} = '{c}' THEN 1.0e0 ELSE 0.0e0 END" for c in "FO"]
-    cells += [f"z{i}" for i in range(len(p.numeric))]
-    listed = ", ".join(r(cell, f"f{i}") for i, cell in enumerate(cells))
+    return cells + [f"z{i}" for i in range(len(p.numeric))]
+
+
+def features(p: Profile) -> str:
+    listed = ", ".join(r(cell, f"f{i}") for i, cell in enumerate(feature_cells(p)))
     return f"{fitted(p)} SELECT {keys(p)}, split, {listed} FROM scaled"
 
 
@@ -259,6 +272,49 @@ def forward(p: Profile, layout: Layout) -> str:
     return ",\n".join([fitted(p), *ctes, net])
 
 
+def trained(p: Profile, shards: int = STEP_SHARDS, rounds: int = STEP_ROUNDS) -> str:
+    """CTEs up to ``history`` and ``best``, with ``base``: encoded rows in shards and rounds."""
+    place = f"CAST('0x' || substr({rank(p)}, 1, 15) AS BIGINT)"
+    cells = [f"{c} AS x{i}" for i, c in enumerate(feature_cells(p))]
+    layout = step_layout(p)
+    return f"""{fitted(p)},
+base AS MATERIALIZED (
+  SELECT {keys(p)}, split, {y(p)} AS y, {", ".join(cells)}, {place} % {shards} AS shard,
+    ({place} // {shards}) % {rounds} AS turn FROM scaled),
+{training_sql.training(layout, "base", SEED, STEP_RATE, STEP_EPOCHS, rounds, shards)}"""
+
+
+def step_layout(p: Profile) -> Layout:
+    width = len(feature_cells(p))
+    return Layout(width, STEP_LAYERS, STEP_BOTTLENECK, STEP_ACTIVATION, 0.0, "float64")
+
+
+def history(p: Profile) -> str:
+    columns = ", ".join(r(c, c) for c in ("loss", "val_loss", "learning_rate"))
+    return f"{trained(p)} SELECT epoch, {columns} FROM history"
+
+
+def weights(p: Profile) -> str:
+    lines, at = [], 0
+    for layer, name, shape, _ in step_layout(p).parameters:
+        for cell in range(math.prod(shape)):
+            lines.append(
+                f"SELECT '{layer}' AS layer, '{name}' AS parameter, {cell} AS cell, "
+                f"{r(f'p{at}', 'value')} FROM best"
+            )
+            at += 1
+    return f"{trained(p)} " + " UNION ALL ".join(lines)
+
+
+def trained_scores(p: Profile, columns: str, shards: int, rounds: int) -> str:
+    scores = training_sql.forward(step_layout(p), "base", "best", "net", f"{keys(p)}, split, y")
+    return f"""{trained(p, shards, rounds)},
+{scores},
+lim AS (SELECT quantile_cont(mse, {PERCENTILE / 100}) AS threshold FROM net WHERE split = 'train')
+SELECT {columns}, {r("mse", "mse")}, CASE WHEN mse >= threshold THEN 1 ELSE 0 END AS prediction
+FROM net, lim"""
+
+
 def report(p: Profile) -> str:
     def percent(name: str) -> str:
         return f"printf('%.2f%%', 100 * ({METRIC_SQL[name]}))"
@@ -367,6 +423,7 @@ FROM (SELECT DISTINCT l_linestatus AS category FROM rows WHERE split = 'train')"
 lim AS (SELECT quantile_cont(mse, {PERCENTILE / 100}) AS threshold FROM net WHERE split = 'train')
 SELECT event_id, {r('mse', 'mse')}, CASE WHEN mse >= threshold THEN 1 ELSE 0 END AS prediction
 FROM net, lim""",
+        "train_job": trained_scores(EVENTS, "event_id", STEP_SHARDS, 1),
         "prepare_dataset": RAW_EVENTS,
         "prepare_sample": f"{RAW_EVENTS} ORDER BY "
         f"md5(concat_ws('|', '{SEED}', CAST(event_id AS VARCHAR))) LIMIT {SAMPLE_SIZE}",
@@ -416,6 +473,13 @@ FROM net, lim""",
         ("auc_roc", auc, (LINEITEM, EVENTS)),
         ("roc_curve", roc, (LINEITEM, EVENTS)),
         ("error_histogram", histogram, (LINEITEM, EVENTS)),
+        ("training_history", history, (EMBEDDINGS, LINEITEM)),
+        ("train_epoch", weights, (EVENTS, LINEITEM)),
+        (
+            "train_steps_score",
+            lambda q: trained_scores(q, f"{keys(q)}, split, y", STEP_SHARDS, STEP_ROUNDS),
+            (EVENTS, LINEITEM),
+        ),
     ):
         for profile in profiles:
             out[f"{name}_{profile.name}"] = sql(profile)

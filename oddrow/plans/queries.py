@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
-from dataclasses import asdict
+from dataclasses import asdict, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +19,7 @@ from oddrow.functions.encoding import one_hot, standard_score
 from oddrow.functions.labels import binary_label, is_attack, is_normal
 from oddrow.functions.scores import anomaly_flag, mean_square
 from oddrow.operators import metrics as M
-from oddrow.operators.autoencoder import Autoencoder
+from oddrow.operators.autoencoder import Autoencoder, TrainingResult
 from oddrow.operators.dedup import COPIES, dedup, dedup_counts
 from oddrow.operators.features import (
     category_table,
@@ -400,9 +400,56 @@ def q_train_score(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFra
     return scores.withColumn(M.PREDICTION, anomaly_flag(F.col("mse"), limit))
 
 
+# Training that SQL can follow: in every round each shard takes one Adam step over all its rows,
+# in doubles, and rows are dealt by their rank.
+STEP_LAYERS, STEP_BOTTLENECK, STEP_ACTIVATION = (4,), 2, "tanh"
+STEP_SHARDS, STEP_ROUNDS, STEP_EPOCHS = 4, 2, 3
+STEP_RATE = 0.01
+WHOLE_BATCH = 1 << 40
+
+
+def step_params(profile: Profile, n_train: int = 1, path: str = "table") -> JobParams:
+    """One step per shard and round, and ``STEP_ROUNDS`` rounds whatever the size of the table."""
+    made = job_params(
+        profile, path, learning_rate=STEP_RATE, batch_size=WHOLE_BATCH, max_epochs=STEP_EPOCHS,
+        shards=STEP_SHARDS, precision="float64", deal_by="rank",
+        round_rows=max(1, -(-n_train // (STEP_SHARDS * STEP_ROUNDS))),
+    )
+    layers = replace(
+        made.architecture, encoder_layers=list(STEP_LAYERS), bottleneck_dim=STEP_BOTTLENECK,
+        activation=STEP_ACTIVATION,
+    )
+    return replace(made, architecture=layers)
+
+
+def stepped(ready: jobs.Prepared, profile: Profile) -> TrainingResult:
+    return jobs.fit_model(ready, step_params(profile, ready.split.n_train))
+
+
 def q_training_history(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    """Losses and rate of every epoch."""
+    history = stepped(prepared(spark, sf_dir, profile), profile).history_table(spark)
+    columns = ("loss", "val_loss", "learning_rate")
+    return history.select("epoch", *[rounded(F.col(c), c) for c in columns])
+
+
+def q_train_epoch(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    """Every parameter of the best model after the last epoch."""
+    model = stepped(prepared(spark, sf_dir, profile), profile).model
+    weights = artefacts.weight_table(spark, model)
+    cells = weights.select("layer", "parameter", F.posexplode("values").alias("cell", "value"))
+    return cells.select("layer", "parameter", "cell", rounded(F.col("value"), "value"))
+
+
+def q_train_steps_score(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+    """Train, take the threshold from the training rows, flag all rows."""
     ready = prepared(spark, sf_dir, profile)
-    return jobs.fit_model(ready, job_params(profile)).history_table(spark)
+    model = stepped(ready, profile).model
+    rows = model.score(ready.preprocessor.transform(ready.rows))
+    kept = rows.select(*profile.key, SPLIT, binary_label(profile).alias(M.LABEL), "mse")
+    scores = Scratch(spark).keep(kept, "scores")
+    flag = anomaly_flag(F.col("mse"), threshold_of(scores).threshold).alias(M.PREDICTION)
+    return scores.select(*profile.key, SPLIT, "y", rounded(F.col("mse"), "mse"), flag)
 
 
 # -- stored artefacts --------------------------------------------------------------------
@@ -447,11 +494,11 @@ def q_score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run from a table to flags: train, find the run again, score the table with it."""
     base = f"{Scratch(spark).path}/runs"
-    params = job_params(EVENTS, f"{sf_dir}/events.parquet").to_mapping()
-    jobs.train(spark, params | {"output": {"artefact_dir": base}})
+    plan = step_params(EVENTS, WHOLE_BATCH, f"{sf_dir}/events.parquet").to_mapping()
+    jobs.train(spark, plan | {"output": {"artefact_dir": base}})
     run = artefacts.latest_run(spark, base)
     rows = jobs.score(spark, table(spark, sf_dir, "events"), run)
-    return rows.select(*EVENTS.key, "mse", M.PREDICTION)
+    return rows.select(*EVENTS.key, rounded(F.col("mse"), "mse"), M.PREDICTION)
 
 
 # -- preparing raw files -----------------------------------------------------------------
@@ -533,6 +580,8 @@ def all_queries() -> dict[str, Query]:
         ("error_histogram", q_error_histogram, (LINEITEM, EVENTS)),
         ("autoencoder_train_score", q_train_score, (EMBEDDINGS, LINEITEM)),
         ("training_history", q_training_history, (EMBEDDINGS, LINEITEM)),
+        ("train_epoch", q_train_epoch, (EVENTS, LINEITEM)),
+        ("train_steps_score", q_train_steps_score, (EVENTS, LINEITEM)),
     ):
         for profile in profiles:
             named[f"{name}_{profile.name}"] = _per_profile(query, profile)

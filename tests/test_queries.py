@@ -14,11 +14,8 @@ driver = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(driver)
 
 pytestmark = pytest.mark.skipif(not TABLES.is_dir(), reason="needs the generated tables")
-NOT_SQL = {
-    f"{name}_{table}"
-    for name in ("autoencoder_train_score", "training_history")
-    for table in ("embeddings", "lineitem")
-} | {"train_job"}
+# Mini-batches are shuffled by the tasks, which SQL cannot follow.
+NOT_SQL = {f"autoencoder_train_score_{table}" for table in ("embeddings", "lineitem")}
 ORACLES, QUERIES = driver.all_oracles(), driver.all_queries()
 # DuckDB types that hold the same values as the Spark type on the left.
 SAME_TYPES = {
@@ -67,10 +64,7 @@ def test_query_equals_sql(spark, duck, name):
 def test_training_queries(spark, name):
     rows = QUERIES[name](spark, str(TABLES)).collect()
     assert rows
-    if name.startswith("training_history"):
-        assert [r.epoch for r in sorted(rows)] == [1, 2, 3]
-    else:
-        assert all(r.mse >= 0 and r.prediction in (0, 1) for r in rows)
+    assert all(r.mse >= 0 and r.prediction in (0, 1) for r in rows)
 
 
 def test_entry(spark):
