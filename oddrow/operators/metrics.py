@@ -6,38 +6,69 @@ import math
 import warnings
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from oddrow.functions.cells import one_row
-from oddrow.operators.threshold import sampled_values
+from oddrow.sources.storage import Scratch
 
 LABEL, PREDICTION, SCORE = "y", "prediction", "mse"
 HISTOGRAM_BINS = 30
 AUC_WARNING_LEVEL = 0.80
 
-# Score ranges for running sums: about this many rows each. The bounds are literals, so there are
-# at most as many ranges as below; in tables of more rows than the product a range grows.
-RANGE_ROWS = 20_000
-MAX_RANGES = 65_536
-
 CLASS_METRICS = ("precision", "recall", "f1")
 METRIC_NAMES = tuple(f"{m}_{c}" for c in ("normal", "anomalous") for m in CLASS_METRICS) + (
     "accuracy",
 )
 
 
+def _cells() -> list[Column]:
+    y, p = F.col(LABEL), F.col(PREDICTION)
+    return [
+        F.count_if((y == t) & (p == q)).alias(f"n{t}{q}") for t in (0, 1) for q in (0, 1)
+    ]
+
+
 def cell_counts(df: DataFrame) -> DataFrame:
     """One row with the confusion counts n00, n01, n10, n11 (true label, prediction)."""
-    y, p = F.col(LABEL), F.col(PREDICTION)
-    return df.agg(
-        *[
-            F.count_if((y == t) & (p == q)).alias(f"n{t}{q}")
-            for t in (0, 1)
-            for q in (0, 1)
-        ]
-    )
+    return df.agg(*_cells())
+
+
+@dataclass(frozen=True)
+class Span:
+    """The finite scores of a class, and how many of its scores are infinite."""
+
+    y: int
+    lo: float | None
+    hi: float | None
+    below: int
+    above: int
+
+
+def _span_measures(of_class: Column) -> list[Column]:
+    s = F.when(of_class, F.col(SCORE).cast("double"))
+    finite = F.when(F.abs(s) < math.inf, s)
+    return [
+        F.min(finite), F.max(finite), F.count_if(s == -math.inf), F.count_if(s == math.inf)
+    ]
+
+
+def summarise(df: DataFrame) -> tuple[DataFrame, list[Span]]:
+    """In one pass over flagged rows: the cells of the confusion matrix as one row, and the span
+    of the scores of each class."""
+    measures = [
+        m.alias(f"{name}_{y}")
+        for y in (0, 1)
+        for name, m in zip(("lo", "hi", "below", "above"), _span_measures(F.col(LABEL) == y))
+    ]
+    found = df.agg(*_cells(), *measures).first().asDict()
+    counts = {k: v for k, v in found.items() if k.startswith("n")}
+    schema = ", ".join(f"{name} bigint" for name in counts)
+    spans = [
+        Span(y, *(found[f"{name}_{y}"] for name in ("lo", "hi", "below", "above")))
+        for y in (0, 1)
+    ]
+    return one_row(df.sparkSession, counts, schema), spans
 
 
 def _counted(df: DataFrame) -> DataFrame:
@@ -88,24 +119,18 @@ def classification_metrics(df: DataFrame) -> DataFrame:
     return _counted(df).select(*out)
 
 
-def _descending() -> Window:
-    return Window.partitionBy("r").orderBy(F.col("s").desc())
-
-
-def _running(name: str) -> Column:
-    return F.sum(name).over(_descending().rowsBetween(Window.unboundedPreceding, 0))
-
-
 @dataclass(frozen=True)
 class RankedScores:
-    """Positives and negatives per distinct score, in score ranges of bounded size.
+    """Positives and negatives per distinct score, in ranges of the descending order.
 
-    ``groups`` has the columns range ``r`` (ascending with the score), score ``s``, ``pos`` and
-    ``neg``; ``ranges`` holds one row per range, from the highest scores down.
+    ``groups`` is a stored table: range ``r`` (0 has the highest scores), score ``s``, ``pos``,
+    ``neg``, their running sums ``tps`` and ``fps`` inside the range, and the counts of the next
+    lower score in it. ``ranges`` holds one row per range, from the highest scores down.
     """
 
     groups: DataFrame
     ranges: list[Row]
+    scratch: Scratch
 
     @property
     def positives(self) -> int:
@@ -129,12 +154,15 @@ class RankedScores:
             warnings.warn(f"low AUC: {auc:.4f} is below {level}", stacklevel=2)
         return auc
 
-    def _per_range(self, values: list[int | None]) -> Column:
-        """The value of a row's range, looked up in a literal."""
-        listed: list[int | None] = [None] * (max((r.r for r in self.ranges), default=0) + 1)
-        for r, value in zip(self.ranges, values, strict=True):
-            listed[r.r] = value
-        return F.element_at(F.lit(listed).cast("array<bigint>"), F.col("r") + 1)
+    def _beside(self) -> DataFrame:
+        """Per range the counts above it, and those of the first score of the next range."""
+        rows, above_pos, above_neg = [], 0, 0
+        for r, below in zip(self.ranges, [*self.ranges[1:], None]):
+            first = (below.top_pos, below.top_neg) if below else (None, None)
+            rows.append((r.r, above_pos, above_neg, *first))
+            above_pos, above_neg = above_pos + r.pos, above_neg + r.neg
+        schema = "r int, above_pos long, above_neg long, first_pos long, first_neg long"
+        return self.groups.sparkSession.createDataFrame(rows, schema)
 
     def curve(self, drop_intermediate: bool = True) -> DataFrame:
         """Points (threshold, fpr, tpr) from the strictest threshold down, from infinity.
@@ -143,26 +171,15 @@ class RankedScores:
         the curve; the strictest and the loosest threshold always stay. A rate whose class is
         absent is null.
         """
-        above = {"pos": 0, "neg": 0}
-        offsets: dict[str, list[int | None]] = {"pos": [], "neg": []}
-        for r in self.ranges:
-            for name in above:
-                offsets[name].append(above[name])
-                above[name] += r[name]
-
-        def following(name: str) -> Column:
-            inside = F.lead(name).over(_descending())
-            beyond = self._per_range([*[r[f"top_{name}"] for r in self.ranges[1:]], None])
-            return F.coalesce(inside, beyond) if len(self.ranges) > 1 else inside
-
-        points = self.groups.select(
+        # One row per shuffle partition at most.
+        points = self.groups.join(F.broadcast(self._beside()), "r").select(
             F.col("s").alias("threshold"),
             "pos",
             "neg",
-            (_running("neg") + self._per_range(offsets["neg"])).alias("fps"),
-            (_running("pos") + self._per_range(offsets["pos"])).alias("tps"),
-            following("pos").alias("next_pos"),
-            following("neg").alias("next_neg"),
+            (F.col("fps") + F.col("above_neg")).alias("fps"),
+            (F.col("tps") + F.col("above_pos")).alias("tps"),
+            F.coalesce("next_pos", "first_pos").alias("next_pos"),
+            F.coalesce("next_neg", "first_neg").alias("next_neg"),
         )
         if drop_intermediate:
             bends = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
@@ -178,62 +195,72 @@ class RankedScores:
             F.try_divide(F.col("tps").cast("double"), F.lit(float(self.positives))).alias("tpr"),
         )
 
+    def histogram(self, spans: list[Span], bins: int = HISTOGRAM_BINS) -> DataFrame:
+        """:func:`error_histogram` from the counts per score."""
+        classes = F.array(
+            *[F.struct(F.lit(y).alias("y"), F.col(n).alias("n")) for y, n in ((0, "neg"), (1, "pos"))]
+        )
+        counted = self.groups.select("s", F.explode(classes).alias("c")).select("s", "c.*")
+        return _binned(counted.filter("n > 0"), spans, bins)
+
 
-def rank_scores(df: DataFrame, range_rows: int = RANGE_ROWS) -> RankedScores:
+def rank_scores(df: DataFrame, ranges: int | None = None) -> RankedScores:
     """Group the rows by score; ties collapse before the shuffle.
 
-    The range bounds are quantiles of a sample, so running sums are taken range by range and no
-    task sorts the whole table.
+    The groups are cut into ranges of the descending order by Spark's range partitioning, the
+    number of a partition being its range; running sums are taken inside ranges, so no task sorts
+    the whole table, and the totals of the ranges, one row for each, do the rest. The groups are
+    written once; ``ranges`` sets their number, else it is Spark's.
     """
+    scratch = Scratch(df.sparkSession)
     scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias("s"))
-    scored = scored.filter(F.col("s").isNotNull() & ~F.isnan("s"))
-    rows = scored.count()
-    count = min(MAX_RANGES, -(-rows // range_rows))
-    bounds: list[float] = []
-    if count > 1:
-        sample = sampled_values(scored.withColumnRenamed("s", "x"), rows)
-        places = [len(sample) * i // count for i in range(1, count)]
-        bounds = sorted({float(sample[i]) for i in places if i < len(sample)})
-        bounds = [b for b in bounds if math.isfinite(b)]
-    if bounds:
-        splits = [float("-inf"), *bounds, float("inf")]
-        scored = Bucketizer(splits=splits, inputCol="s", outputCol="r").transform(scored)
-        scored = scored.withColumn("r", F.col("r").cast("int"))
-    else:
-        scored = scored.withColumn("r", F.lit(0))
-    groups = scored.groupBy("r", "s").agg(
-        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
+    # Adding zero joins -0.0 to 0.0.
+    groups = (
+        scored.filter(F.col("s").isNotNull() & ~F.isnan("s"))
+        .groupBy((F.col("s") + F.lit(0.0)).alias("s"))
+        .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
     )
-    # Twice the area inside a range. It is at most rows**2, beyond 64 bits in large tables.
-    whole = "bigint" if rows**2 < 2**63 else "decimal(19,0)"
-    twice = (_running("pos") * 2 - F.col("pos")).cast(whole) * F.col("neg").cast(whole)
-    ranges = (
-        groups.withColumn("twice", twice)
-        .groupBy("r")
-        .agg(
-            F.sum("twice").alias("twice"),
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.max_by("pos", "s").alias("top_pos"),
-            F.max_by("neg", "s").alias("top_neg"),
-        )
-        .collect()
+    cut = [ranges, F.desc("s")] if ranges else [F.desc("s")]
+    order = Window.partitionBy("r").orderBy(F.desc("s"))
+    until = order.rowsBetween(Window.unboundedPreceding, 0)
+    ranged = groups.repartitionByRange(*cut).withColumn("r", F.spark_partition_id())
+    table = scratch.keep(
+        ranged.select(
+            "*",
+            F.sum("pos").over(until).alias("tps"),
+            F.sum("neg").over(until).alias("fps"),
+            F.lead("pos").over(order).alias("next_pos"),
+            F.lead("neg").over(order).alias("next_neg"),
+        ),
+        "ranked",
+    )
+    # Twice the area inside a range is at most rows**2, beyond 64 bits in large tables.
+    whole = "decimal(19,0)"
+    twice = (F.col("tps") * 2 - F.col("pos")).cast(whole) * F.col("neg").cast(whole)
+    totals = table.groupBy("r").agg(
+        F.sum(twice).alias("twice"),
+        F.sum("pos").alias("pos"),
+        F.sum("neg").alias("neg"),
+        F.max_by("pos", "s").alias("top_pos"),
+        F.max_by("neg", "s").alias("top_neg"),
     )
-    return RankedScores(groups, sorted(ranges, key=lambda r: -r.r))
+    return RankedScores(table, sorted(totals.collect(), key=lambda r: r.r), scratch)
 
 
-def auc_roc(df: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+def auc_roc(df: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row: AUC (null with one class) and whether it is below the warning level."""
-    auc = rank_scores(df, range_rows).auc()
+    ranked = rank_scores(df, ranges)
+    auc = ranked.auc()
+    ranked.scratch.drop()
     found = {"auc_roc": auc, "below_warning": None if auc is None else auc < AUC_WARNING_LEVEL}
     return one_row(df.sparkSession, found, "auc_roc double, below_warning boolean")
 
 
 def roc_curve(
-    df: DataFrame, drop_intermediate: bool = True, range_rows: int = RANGE_ROWS
+    df: DataFrame, drop_intermediate: bool = True, ranges: int | None = None
 ) -> DataFrame:
     """ROC points of rows with ``y`` and ``mse``; see :meth:`RankedScores.curve`."""
-    return rank_scores(df, range_rows).curve(drop_intermediate)
+    return rank_scores(df, ranges).curve(drop_intermediate)
 
 
 def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -244,16 +271,18 @@ def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     Bins span the finite scores; infinite ones, if any, are counted in a bin of their own, -1 or
     ``bins``, whose edges are infinite.
     """
-    scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias("s"))
-    scored = scored.filter(F.col("s").isNotNull() & ~F.isnan("s"))
-    finite = F.when(F.abs("s") < math.inf, F.col("s"))
-    spans = scored.groupBy("y").agg(
-        F.min(finite).alias("lo"),
-        F.max(finite).alias("hi"),
-        F.count_if(F.col("s") == -math.inf).alias("below"),
-        F.count_if(F.col("s") == math.inf).alias("above"),
-    ).collect()
-    scored = scored.filter(finite.isNotNull())
+    scored = df.select(F.col(LABEL).alias("y"), F.col(SCORE).cast("double").alias(SCORE))
+    measures = zip(("lo", "hi", "below", "above"), _span_measures(F.lit(True)))
+    valid = scored.filter(F.col(SCORE).isNotNull() & ~F.isnan(SCORE))
+    found = valid.groupBy("y").agg(*[m.alias(name) for name, m in measures]).collect()
+    spans = [Span(r.y, r.lo, r.hi, r.below, r.above) for r in found]
+    counted = valid.select("y", F.col(SCORE).alias("s"), F.lit(1).cast("bigint").alias("n"))
+    return _binned(counted, spans, bins)
+
+
+def _binned(counted: DataFrame, spans: list[Span], bins: int) -> DataFrame:
+    """Bins of rows (y, s, n), each standing for ``n`` scores; the spans cover them."""
+    scored = counted.filter(F.abs("s") < math.inf)
     schema = "label int, bin int, lower double, upper double, records bigint"
     endless = [
         (int(row.y), place, edge, edge, n)
@@ -268,7 +297,8 @@ def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         lo, hi = (row.lo, row.hi) if row.lo < row.hi else (row.lo - 0.5, row.hi + 0.5)
         width = (hi - lo) / bins
         edges[row.y] = [lo + i * width for i in range(bins)] + [hi]
-    beyond = df.sparkSession.createDataFrame(endless, schema)
+    spark = counted.sparkSession
+    beyond = spark.createDataFrame(endless, schema)
     if not edges:
         return beyond
 
@@ -300,8 +330,10 @@ def error_histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         .withColumn("b", lowered)
         .withColumn("b", raised)
     )
-    counted = placed.groupBy(F.col("y").cast("int").alias("y"), "b").count()
-    grid = df.sparkSession.createDataFrame(
+    counted = placed.groupBy(F.col("y").cast("int").alias("y"), "b").agg(
+        F.sum("n").alias("count")
+    )
+    grid = spark.createDataFrame(
         [(int(y), i, at[i], at[i + 1]) for y, at in edges.items() for i in range(bins)],
         "label int, bin int, lower double, upper double",
     )

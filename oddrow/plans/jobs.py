@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oddrow.errors import ArtifactNotFoundError, DataLoadError, InferenceError
-from oddrow.functions.cells import one_row
 from oddrow.functions.labels import binary_label, is_normal
 from oddrow.functions.scores import anomaly_flag
 from oddrow.operators import metrics as M
@@ -202,19 +201,23 @@ def _train(
 @compiled
 def evaluate(spark: SparkSession, scored: DataFrame, run: str | None = None) -> dict[str, Any]:
     """Metrics of rows with ``y``, ``prediction`` and ``mse``; with a run folder also the
-    tables behind the confusion matrix, ROC and error-histogram charts."""
+    tables behind the confusion matrix, ROC and error-histogram charts.
+
+    The rows are read twice: for counts and spans, and for the counts per score, which give the
+    area, the curve and the histogram.
+    """
     missing = [c for c in (M.LABEL, M.PREDICTION, M.SCORE) if c not in scored.columns]
     if missing:
         raise InferenceError(f"rows to evaluate lack columns: {missing}")
-    counts = M.cell_counts(scored).first().asDict()
-    cells = one_row(spark, counts, ", ".join(f"{name} bigint" for name in counts))
+    cells, spans = M.summarise(scored)
     ranked = M.rank_scores(scored)
     found = M.classification_metrics(cells).first().asDict() | {"auc_roc": ranked.auc()}
     if run is not None:
         write_table(M.confusion_matrix(cells).coalesce(1), f"{run}/{artefacts.CONFUSION}")
         write_table(ranked.curve(), f"{run}/{artefacts.ROC}")
-        write_table(M.error_histogram(scored).coalesce(1), f"{run}/{artefacts.HISTOGRAM}")
+        write_table(ranked.histogram(spans).coalesce(1), f"{run}/{artefacts.HISTOGRAM}")
         artefacts.write_record(spark, f"{run}/{artefacts.METRICS}", found)
+    ranked.scratch.drop()
     return found
 
 

@@ -14,6 +14,7 @@ from oddrow import InferenceError
 from oddrow.functions.scores import anomaly_flag
 from oddrow.operators import metrics as M
 from oddrow.operators.threshold import exact_percentile, fit_threshold, kth_smallest
+from oddrow.plans import jobs
 
 
 def frame(spark, scores, y=None, prediction=None):
@@ -207,12 +208,12 @@ SCORES = st.lists(
 ).filter(lambda rows: len({y for y, _ in rows}) == 2)
 
 
-@given(SCORES, st.sampled_from([3, 1_000]), st.booleans())
+@given(SCORES, st.sampled_from([7, None]), st.booleans())
 @settings(max_examples=12, deadline=None)
 @pytest.mark.filterwarnings("ignore:low AUC")
-def test_roc_matches_brute_force(spark, rows, range_rows, drop):
+def test_roc_matches_brute_force(spark, rows, ranges, drop):
     y, s = zip(*rows, strict=True)
-    ranked = M.rank_scores(frame(spark, s, y), range_rows)
+    ranked = M.rank_scores(frame(spark, s, y), ranges)
     assert math.isclose(ranked.auc(), brute_auc(y, s), abs_tol=1e-12)
     got = sorted(((r.threshold, r.fpr, r.tpr) for r in ranked.curve(drop).collect()), reverse=True)
     assert_points(got, brute_roc(y, s, drop))
@@ -225,13 +226,49 @@ def test_one_score_on_a_third_of_the_rows(spark):
         "case when id % 3 = 0 then 100.0D else cast(hash(id, 1) % 1000 as double) end AS mse",
     )
     local = rows.toPandas()
-    ranked = M.rank_scores(rows, range_rows=500)
+    ranked = M.rank_scores(rows, ranges=12)
     assert len(ranked.ranges) > 3
     assert math.isclose(ranked.auc(), brute_auc(local["y"], local["mse"]), abs_tol=1e-12)
     got = sorted(((r.threshold, r.fpr, r.tpr) for r in ranked.curve().collect()), reverse=True)
     assert_points(got, brute_roc(local["y"], local["mse"], True))
 
 
+def test_no_user_function_ranks_scores(spark):
+    rows = frame(spark, [float(i) for i in range(50)], [i % 2 for i in range(50)])
+    ranked = M.rank_scores(rows, ranges=4)
+    assert len(ranked.ranges) == 4
+    for made in (ranked.groups, ranked.curve()):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "UDF" not in plan and "Window" not in plan and "Exchange hash" not in plan
+
+
+@pytest.mark.filterwarnings("ignore:low AUC")
+def test_evaluation_reads_the_scores_twice(spark, tmp_path):
+    """Every read of the rows passes through a function that counts them."""
+    seen, n = spark.sparkContext.accumulator(0), 400
+    rng = np.random.default_rng(1)
+    y, s = rng.integers(0, 2, n), rng.random(n).round(2)
+    flags = (s > 0.9).astype(int)
+    plain = spark.createDataFrame(
+        [(int(a), float(b), int(c)) for a, b, c in zip(y, s, flags)],
+        "y int, mse double, prediction int",
+    )
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = plain.mapInArrow(counted, plain.schema)
+    found = jobs.evaluate(spark, rows, str(tmp_path))
+    assert seen.value == 2 * n
+    assert math.isclose(found["auc_roc"], brute_auc(y.tolist(), s.tolist()), abs_tol=1e-12)
+    bins = spark.read.parquet(f"{tmp_path}/re_histogram")
+    direct = M.error_histogram(plain)
+    key = lambda r: (r.label, r.bin)
+    assert sorted(bins.collect(), key=key) == sorted(direct.collect(), key=key)
+
+
 # -- histogram -------------------------------------------------------------------------
 
 
