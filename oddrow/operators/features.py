@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from oddrow.errors import ConfigurationError, InferenceError
 from oddrow.functions.cells import column
 from oddrow.functions.encoding import one_hot, standard_score
+from oddrow.params import ArchitectureParams
 from oddrow.profiles import Profile
 from oddrow.sources.tables import check_columns
 
 FEATURES = "features"
 
 # A one-hot block is dense model input, and its categories travel as a plan literal.
-MAX_CATEGORIES = 50_000
+MAX_CATEGORIES = ArchitectureParams.max_categories
 # A spread below this share of the mean is rounding noise of a constant column.
 CONSTANT_SPREAD = 10 * float(np.finfo(np.float64).eps)
 
@@ -100,26 +101,37 @@ class Preprocessor:
         return df.withColumn(FEATURES, self.feature_array(element))
 
 
-def _categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str | None]]:
-    found: dict[str, list[str | None]] = {c: [] for c in columns}
-    limit = MAX_CATEGORIES * max(len(columns), 1)
-    rows = category_table(df, columns).limit(limit + 1).collect()
-    for row in rows:
-        found[row["column"]].append(row["category"])
-    wide = {c: len(v) for c, v in found.items() if len(v) > MAX_CATEGORIES}
-    if len(rows) > limit or wide:
+def _categories(
+    df: DataFrame, columns: Sequence[str], most: int
+) -> dict[str, list[str | None]]:
+    """The sorted categories of each column; distinct values are counted before any is listed."""
+    values = category_table(df, columns)
+    counts = {r["column"]: r["count"] for r in values.groupBy("column").count().collect()}
+    wide = {c: n for c, n in sorted(counts.items()) if n > most}
+    if wide:
         raise ConfigurationError(
-            f"more than {MAX_CATEGORIES} categories in {sorted(wide) or list(columns)}: "
-            "one-hot encoding them gives no usable model input"
+            f"more than {most} categories: {wide}; one-hot encoding them needs a higher "
+            "'architecture.max_categories'"
         )
+    found: dict[str, list[str | None]] = {c: [] for c in columns}
+    for row in values.collect():
+        found[row["column"]].append(row["category"])
     # A missing value sorts last.
     return {c: sorted(v, key=lambda x: (x is None, x or "")) for c, v in found.items()}
 
 
-def fit_preprocessor(train: DataFrame, profile: Profile) -> Preprocessor:
-    """Learn categories and scales; pass training rows only."""
+def fit_preprocessor(
+    train: DataFrame, profile: Profile, max_categories: int = MAX_CATEGORIES
+) -> Preprocessor:
+    """Learn categories and scales; pass training rows only.
+
+    A column with more than ``max_categories`` distinct values is refused: every category is an
+    input of the model and a literal of the plan.
+    """
     check_columns(train.columns, profile, "training rows", label_required=False)
-    found = _categories(train, profile.categorical) if profile.categorical else {}
+    found = {}
+    if profile.categorical:
+        found = _categories(train, profile.categorical, max_categories)
     row = moments(train, profile.numeric).first()
     if not row["rows"]:
         raise InferenceError("cannot fit a preprocessor on zero rows")

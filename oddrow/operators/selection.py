@@ -22,6 +22,8 @@ HASH_DIGITS = 32
 PREFIX_STEP = 3
 FETCH_ROWS = 65_536
 REPLICA_CHUNK = 1_000_000
+# Samples of at most so many rows are taken in one scan.
+HEAP_ROWS = 1_000
 
 # Column with the hash of the key, for tables that are selected from more than once.
 RANK = "_rank"
@@ -107,14 +109,15 @@ def _identical_rows(df: DataFrame, tie: Column) -> DataFrame:
     return spread.withColumn("_ordinal", F.explode(ordinals)).drop("_chunk")
 
 
-def _rank(seed: int, key: Sequence[str], columns: Sequence[str]) -> Column:
+def rank_of(seed: int, key: Sequence[str], columns: Sequence[str]) -> Column:
+    """The seeded rank by the key, or by ``columns`` without one."""
     return seeded_rank(seed, key) if key else seeded_row_rank(seed, columns)
 
 
 def row_ranks(df: DataFrame, seed: int, key: Sequence[str]) -> list[Column]:
     """Stored or fresh rank of the key, then of the whole row for rows that share a key."""
     columns = [c for c in df.columns if c != RANK]
-    first = F.col(RANK) if RANK in df.columns else _rank(seed, key, columns)
+    first = F.col(RANK) if RANK in df.columns else rank_of(seed, key, columns)
     return [first, seeded_row_rank(seed, columns)]
 
 
@@ -122,7 +125,7 @@ def with_rank(
     df: DataFrame, seed: int, key: Sequence[str], columns: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``_rank``, the seeded rank by the key, or by ``columns`` (default: all) without one."""
-    return df.withColumn(RANK, _rank(seed, key, columns or df.columns))
+    return df.withColumn(RANK, rank_of(seed, key, columns or df.columns))
 
 
 def rank_place() -> Column:
@@ -185,6 +188,15 @@ def split_normal(
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, key: Sequence[str] = ()) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, chosen by seeded order."""
+    """Exactly ``min(n, rows)`` rows, chosen by seeded order.
+
+    A small sample is the ``n`` rows that sort first, for which every task keeps only as many:
+    one scan. Rows that agree in all columns are interchangeable. A large one is cut by rank.
+    """
+    if n <= HEAP_ROWS:
+        ranks = row_ranks(df, seed, key)
+        names = [f"_order{i}" for i in range(len(ranks))]
+        ordered = df.withColumns(dict(zip(names, ranks))).orderBy(*names).limit(n)
+        return ordered.drop(*names)
     marked, _ = mark_lowest(df, seed, key, lambda total: min(n, total), "_chosen")
     return marked.filter("_chosen").drop("_chosen")

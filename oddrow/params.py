@@ -86,10 +86,14 @@ class SplitParams:
 
 @dataclass(frozen=True)
 class ArchitectureParams:
+    """``max_categories`` is the most distinct values that a one-hot column may have: each is an
+    input of the model."""
+
     encoder_layers: tuple[int, ...] = (128, 64, 32)
     bottleneck_dim: int = 16
     activation: str = "relu"
     dropout_rate: float = 0.2
+    max_categories: int = 50_000
 
     def __post_init__(self) -> None:
         layers = self.encoder_layers
@@ -109,6 +113,7 @@ class ArchitectureParams:
         rate = _real("architecture.dropout_rate", self.dropout_rate)
         if not 0.0 <= rate < 1.0:
             raise ConfigurationError(f"'architecture.dropout_rate' must be in [0, 1), got: {rate}")
+        _integer("architecture.max_categories", self.max_categories, 1)
 
 
 @dataclass(frozen=True)
@@ -199,7 +204,7 @@ _SECTIONS: dict[str, type] = {
     "threshold": ThresholdParams,
     "output": OutputParams,
 }
-_OPTIONAL = {
+_OPTIONAL = {"architecture.max_categories"} | {
     f"training.{name}" for name in ("shards", "round_rows", "precision", "deal_by")
 }
 

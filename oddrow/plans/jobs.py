@@ -21,7 +21,7 @@ from oddrow.operators.autoencoder import (
     make_shards,
     train_autoencoder,
 )
-from oddrow.operators.dedup import COPIES, dedup
+from oddrow.operators.dedup import COPIES, dedup, dedup_stored
 from oddrow.operators.features import Preprocessor, fit_preprocessor
 from oddrow.operators.quality import Quality
 from oddrow.operators.selection import (
@@ -30,10 +30,10 @@ from oddrow.operators.selection import (
     SPLIT,
     TRAIN,
     Split,
+    rank_of,
     rank_place,
     sample_rows,
     split_normal,
-    with_rank,
 )
 from oddrow.operators.threshold import fit_threshold
 from oddrow.params import JobParams
@@ -71,10 +71,9 @@ class Prepared:
 def clean(rows: DataFrame, profile: Profile, scratch: Scratch, seed: int) -> DataFrame:
     """Duplicates removed over the required columns, and rows ranked for the split; written
     once for all later passes."""
-    kept = dedup(rows, profile.required, profile.key)
-    ranked = with_rank(kept, seed, profile.key, profile.required)
+    rank = {RANK: rank_of(seed, profile.key, profile.required)}
     with compiled_methods(rows.sparkSession):
-        return scratch.keep(ranked, "clean")
+        return dedup_stored(rows, profile.required, profile.key, scratch, rank)
 
 
 def preprocess(
@@ -91,7 +90,8 @@ def _preprocess(cleaned: DataFrame, profile: Profile, params: JobParams, source:
     rows = cleaned.drop(COPIES, BAD_CELLS)
     ratios = params.splits
     split = split_normal(rows, is_normal(profile), ratios.train_fraction, ratios.random_seed)
-    fitted = fit_preprocessor(split.rows.filter(F.col(SPLIT) == TRAIN), profile)
+    limit = params.architecture.max_categories
+    fitted = fit_preprocessor(split.rows.filter(F.col(SPLIT) == TRAIN), profile, limit)
     return Prepared(split.rows, split, fitted, quality)
 
 

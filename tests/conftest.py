@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 HERE = Path(__file__).resolve().parent
 sys.path[:0] = [str(HERE.parent), str(HERE)]
 
+from oddrow.sources.storage import Scratch  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -30,6 +32,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def scratch(spark):
+    made = Scratch(spark)
+    yield made
+    made.drop()
+
+
 @pytest.fixture
 def make_csv(tmp_path):
     """Write a table as one CSV file with a header and return its path."""

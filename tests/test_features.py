@@ -109,11 +109,11 @@ def test_fit_errors(spark):
         fitted.transform(spark.createDataFrame([(1.0,)], "x double"))
 
 
-def test_too_many_categories(spark, monkeypatch):
-    monkeypatch.setattr(FE, "MAX_CATEGORIES", 10)
+def test_too_many_categories(spark):
     rows = spark.range(30).selectExpr("cast(id as string) c", "'k' d", "1.0D x")
-    with pytest.raises(ConfigurationError, match="more than 10"):
-        FE.fit_preprocessor(rows, SMALL)
+    with pytest.raises(ConfigurationError, match=r"more than 10 categories: {'c': 30}"):
+        FE.fit_preprocessor(rows, SMALL, max_categories=10)
+    assert FE.fit_preprocessor(rows, SMALL, max_categories=30).width == 32
 
 
 def test_fitted_state_is_a_projection(spark):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from oddrow import DataLoadError, SchemaValidationError
 from oddrow.functions.labels import binary_label, is_attack, is_normal
 from oddrow.operators import selection as S
-from oddrow.operators.dedup import COPIES, dedup, dedup_counts, dedup_report
+from oddrow.operators.dedup import COPIES, dedup, dedup_counts, dedup_report, dedup_stored
 from oddrow.operators.quality import Quality, class_counts, distinct_labels
 from oddrow.profiles import NSL_KDD, UNSW_NB15
 
@@ -58,6 +58,63 @@ def test_dedup_aggregates_copies_before_the_shuffle(spark):
     assert kept.count() == 20_001
 
 
+def explained(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_dedup_picks_only_among_copies(spark, scratch):
+    rows = spark.createDataFrame(
+        [("a", 0.0, 3, 1), ("a", -0.0, 2, 9), ("a", 0.0, 2, 8), ("b", None, 9, 1),
+         ("b", None, 8, 2), ("c", 1.0, 5, 5), (None, 1.0, 5, 5)],
+        "c string, x double, id int, n int",
+    )
+    extra = {"twice": F.col("id") * 2}
+    kept = dedup_stored(rows, ["c", "x"], ["id"], scratch, extra)
+    assert kept.columns == ["c", "x", "id", "n", COPIES, "twice"]
+    found = {tuple(r) for r in kept.collect()}
+    # Least columns of a key taken alone would make the row ("a", 0.0, 2, 1), which is none.
+    assert found == {
+        ("a", 0.0, 2, 8, 3, 4), ("b", None, 8, 2, 2, 16), ("c", 1.0, 5, 5, 1, 10),
+        (None, 1.0, 5, 5, 1, 10),
+    }
+    plain = dedup(rows, ["c", "x"], ["id"]).withColumns(extra)
+    assert found == {tuple(r) for r in plain.select(kept.columns).collect()}
+
+
+def test_stored_dedup_sorts_nothing(spark, scratch, monkeypatch):
+    plans = []
+    keep = type(scratch).keep
+    monkeypatch.setattr(
+        type(scratch), "keep", lambda self, df, name: plans.append(explained(df)) or keep(self, df, name)
+    )
+    rows = spark.range(1_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("id"))
+    kept = dedup_stored(rows, ["k"], ["id"], scratch)
+    assert kept.count() == 1_000 and len(plans) == 1
+    assert "HashAggregate" in plans[0] and "Sort" not in plans[0]
+
+
+def test_stored_dedup_with_texts_takes_one_stage(spark, scratch):
+    rows = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, text string")
+    kept = dedup_stored(rows, ["k"], [], scratch)
+    assert {tuple(r) for r in kept.collect()} == {(1, "a", 2), (2, "c", 1)}
+
+
+def test_a_small_sample_is_one_scan(spark):
+    rows = spark.range(5_000).withColumn("x", F.col("id") % 7)
+    plan = explained(S.sample_rows(rows, 50, 42, ["id"]))
+    assert "TakeOrdered" in plan and "Exchange" not in plan and plan.count("Range (") == 1
+
+
+@pytest.mark.parametrize("n", [0, 50, 1_001])
+def test_small_and_large_samples_agree(spark, monkeypatch, n):
+    rows = spark.range(1_500).withColumn("x", F.col("id") % 7)
+    chosen = []
+    for most in (0, 10_000):
+        monkeypatch.setattr(S, "HEAP_ROWS", most)
+        chosen.append({tuple(r) for r in S.sample_rows(rows, n, 42, ["id"]).collect()})
+    assert chosen[0] == chosen[1] and len(chosen[0]) == n
+
+
 LABELS = [("normal",), ("neptune",), ("brand_new",), (None,)]
 
 
