@@ -1,5 +1,8 @@
 """Main text of pages."""
 
+import re
+
+import pyarrow as pa
 import pytest
 
 from oddrow.llm import html_extract as h
@@ -161,3 +164,67 @@ def test_parts_that_outweigh_a_marked_text_are_no_wrappers():
 def test_quotes_open_a_value_only_after_an_equals_sign():
     assert h.extract("<p title=Bob's>First text that's here.</p><p>More</p>", WEIGHTS).startswith("First text")
     assert h.extract("<p title='a > b' alt=\"it's > c\" hidden>gone</p><p it's>Text</p>", WEIGHTS) == "Text"
+
+
+LONG = "some words of a longer text " * 12
+
+
+def test_marks_and_names_do_not_limit_the_text():
+    assert h.extract(page("<main><h2>x</h2></main><p>long text of many words</p>"), WEIGHTS).endswith(
+        "long text of many words"
+    )
+
+
+def test_formulas_and_icons_stay_in_their_paragraph():
+    body = "<p>We have <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <svg><text>no</text></svg>so on.</p>"
+    assert h.extract(page(body), WEIGHTS) == "We have x=2 and so on."
+
+
+@pytest.mark.parametrize("names", ["user-feedback", "reader-comments", "customer_reviews list"])
+def test_reader_comments_are_left_out(names):
+    thread = f'<div class="{names}"><p>I do not agree with this at all, my friend.</p></div>'
+    assert h.extract(page(f"<article><p>{LONG}</p></article>{thread}"), WEIGHTS) == LONG.strip()
+
+
+def labelled(i):
+    """A page of plain words, with an advert beside its article."""
+    nav = "".join(f'<li><a href="/{k}">entry{k}</a></li>' for k in range(6))
+    paragraphs = "".join(f"<p>{LONG}{i} {k}.</p>" for k in range(1 + i % 4))
+    return page(
+        f'<nav><ul>{nav}</ul></nav><div class="ad">Buy these eight good things here now {i}.</div>'
+        f"<article><h1>Title {i}</h1>{paragraphs}</article><footer>&copy; owner of page</footer>"
+    )
+
+
+def bare(source):
+    """The same page without marks and names."""
+    source = re.sub(r'\s(class|id|role)="[^"]*"', "", source)
+    return re.sub(r"<(/?)(article|main|nav|aside|footer|header)\b[^>]*>", r"<\1div>", source)
+
+
+def test_learned_weights_find_the_text_without_marks_and_names():
+    sources = [labelled(i) for i in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(sources)], names=["html"])
+    counts = {
+        r["kind"]: (r["inside"], r["outside"]) for b in h._label_counts([batch]) for r in b.to_pylist()
+    }
+    weights = h.weights_from(counts)
+    assert len({w for k, w in weights.items() if w < -0.05}) > 3  # not one limit for all
+    for i, source in enumerate(sources):
+        expected = [f"Title {i}", *(f"{LONG}{i} {k}." for k in range(1 + i % 4))]
+        assert h.extract(source, weights).split("\n\n") == expected
+        assert h.extract(bare(source), weights).split("\n\n") == expected
+
+
+def test_the_scan_cuts_unmarked_clutter_of_marked_parts():
+    """What the scan keeps is less than all blocks of the marked part."""
+    inside = f"<article><p>{LONG}</p><div>Buy these good things</div></article>"
+    weights = {"word": 0.4, "<div>": -2.9}
+    assert h.extract(page(inside), weights) == LONG.strip()
+    assert h.extract(page(inside), {"word": 0.4}) == f"{LONG.strip()}\n\nBuy these good things"
+
+
+def test_names_with_positive_weights_are_text():
+    body = f'<div class="sidebar"><p>Words in it</p></div><p>{LONG}</p>'
+    assert h.extract(page(body), WEIGHTS) == LONG.strip()
+    assert h.extract(page(body), WEIGHTS | {"word@part": 0.5}).startswith("Words in it")
