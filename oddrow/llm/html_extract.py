@@ -251,10 +251,10 @@ class _Reader:
             self.pieces.append(Piece(f"<{name}>", 0, self.block, tuple(path)))
 
     def start(self, name: str, attributes: str) -> None:
-        if name not in INLINE and name != "br":
-            self.end_block()
-        elif name == "br":
+        if name == "br":
             self.texts.append((self.block, " ", tuple(self.open)))
+        elif name not in INLINE and self.skipped is None:
+            self.end_block()
         if name in CLOSES_PARAGRAPH:
             self._close_implied({"p"}, {"table", "td", "th", "button", "article", "section"})
         if name in SIBLINGS:
@@ -283,7 +283,7 @@ class _Reader:
             self.kinds[number] = said.kind
 
     def end(self, name: str) -> None:
-        if name not in INLINE:
+        if name not in INLINE and self.skipped is None:
             self.end_block()
         for depth in range(len(self.open) - 1, -1, -1):
             if self.names[self.open[depth]] == name:
