@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oddrow.llm.common import map_batches
-from oddrow.llm.quality_pu import sample_ids
+from oddrow.llm.samples import sample_ids
 
 MAX_LABELLED = 2_000
 #: Tags that the main text has more often than the rest of a page cost this, unseen tags more.

@@ -6,8 +6,8 @@ times the class prior, plus the unlabelled text's risk as negatives less the pos
 it; where that second part falls below zero, its gradient is turned round. The class prior is
 estimated as the share of 1 among labelled rows.
 
-The model is fitted on a bounded sample (``MAX_POSITIVES``, ``MAX_UNLABELLED`` documents, chosen by
-a hash of the id) in the driver; features are made, and all documents scored, in Spark tasks.
+The model is fitted on a bounded sample (``MAX_POSITIVES``, ``MAX_UNLABELLED`` different rows, chosen
+by hashes of id and text) in the driver; features are made, and all documents scored, in Spark tasks.
 
 Defined cases: null texts count as empty and get the score of an empty text; a document whose
 labels disagree is not trusted; null labels and ids are left out of training; without trusted
@@ -26,7 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrow.llm.common import ids_and_texts, map_batches
+from oddrow.llm.samples import sample_ids, sample_texts
 from oddrow.llm.text_features import NAMES, describe
+from oddrow.sources.storage import Scratch
 
 MAX_POSITIVES = 6_000
 MAX_UNLABELLED = 12_000
@@ -67,6 +69,40 @@ def constant_model(prior: float | None) -> Model:
     )
 
 
+def risk(
+    weights: list[np.ndarray], positives: np.ndarray, unlabelled: np.ndarray, prior: float
+) -> tuple[float, list[np.ndarray]]:
+    """What is minimised in one step, and its gradient.
+
+    With the loss ``1 - out`` of calling a text positive and ``out`` of calling it negative that is
+    the unbiased risk; where its negative part is below zero, that part alone, turned round.
+    """
+    x = np.concatenate([positives, unlabelled])
+    n, m = len(positives), len(unlabelled)
+    hidden = np.tanh(x @ weights[0] + weights[1])
+    out = _sigmoid(hidden @ weights[2] + weights[3])
+    on_positives, on_unlabelled = out[:n].mean(), out[n:].mean()
+    negative_part = on_unlabelled - prior * on_positives
+    d_out = np.empty(n + m)
+    if negative_part >= 0:
+        value = prior * (1 - on_positives) + negative_part
+        d_out[:n] = -2 * prior / n
+        d_out[n:] = 1 / m
+    else:
+        value = -negative_part
+        d_out[:n] = prior / n
+        d_out[n:] = -1 / m
+    value += DECAY / 2 * ((weights[0] ** 2).sum() + (weights[2] ** 2).sum())
+    d_margin = d_out * out * (1 - out)
+    d_hidden = d_margin[:, None] * weights[2] * (1 - hidden**2)
+    return float(value), [
+        x.T @ d_hidden + DECAY * weights[0],
+        d_hidden.sum(0),
+        hidden.T @ d_margin + DECAY * weights[2],
+        np.array([d_margin.sum()]),
+    ]
+
+
 def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> Model:
     """Minimise the non-negative risk with the sigmoid loss by Adam."""
     if not len(positives) or not len(unlabelled) or prior is None:
@@ -88,27 +124,7 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> M
     for step in range(1, STEPS + 1):
         p = positives[random.integers(len(positives), size=BATCH)]
         u = unlabelled[random.integers(len(unlabelled), size=BATCH)]
-        x = np.concatenate([p, u])
-        hidden = np.tanh(x @ weights[0] + weights[1])
-        out = _sigmoid(hidden @ weights[2] + weights[3])
-        slope = out * (1 - out)
-        # The loss of calling x positive is 1 - out, that of calling it negative is out.
-        negative_part = out[BATCH:].mean() - prior * out[:BATCH].mean()
-        d_out = np.empty(2 * BATCH)
-        if negative_part >= 0:
-            d_out[:BATCH] = (-prior - prior) / BATCH
-            d_out[BATCH:] = 1 / BATCH
-        else:
-            d_out[:BATCH] = prior / BATCH
-            d_out[BATCH:] = -1 / BATCH
-        d_margin = d_out * slope
-        d_hidden = d_margin[:, None] * weights[2] * (1 - hidden**2)
-        gradients = [
-            x.T @ d_hidden + DECAY * weights[0],
-            d_hidden.sum(0),
-            hidden.T @ d_margin + DECAY * weights[2],
-            np.array([d_margin.sum()]),
-        ]
+        _, gradients = risk(weights, p, u, prior)
         for w, g, (m, v) in zip(weights, gradients, moments):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
@@ -116,21 +132,6 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> M
     return Model(centre, scale, weights[0], weights[1], weights[2], float(weights[3][0]))
 
 
-def sample_ids(rows: DataFrame, most: int, column: str = "doc_id") -> DataFrame:
-    """At most ``most`` distinct ids: those of the smallest hashes."""
-    ids = rows.select(column).filter(F.col(column).isNotNull()).distinct()
-    total = ids.count()
-    place = (F.xxhash64(F.lit(SEED), column) / 2.0**63 + 1) / 2
-    share = min(1.0, 1.2 * most / total + 1_000 / total) if total else 1.0
-    return (
-        ids.withColumn("_place", place)
-        .filter(F.col("_place") <= share)
-        .orderBy("_place", column)
-        .limit(most)
-        .select(column)
-    )
-
-
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [describe(t) for t in batch.column(1).to_pylist()]
@@ -150,10 +151,12 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
     trusted = sample_ids(of_doc.filter("low = 1 AND high = 1"), MAX_POSITIVES)
     at_large = sample_ids(docs.select("doc_id").filter(allowed), MAX_UNLABELLED)
     wanted = trusted.withColumn("role", F.lit(1)).union(at_large.withColumn("role", F.lit(0)))
-    chosen = ids_and_texts(docs).join(F.broadcast(wanted), "doc_id")
+    scratch = Scratch(docs.sparkSession)
+    chosen = sample_texts(docs, wanted, {1: MAX_POSITIVES, 0: MAX_UNLABELLED}, scratch)
     rows = map_batches(
         chosen.select("role", "text"), _features, "role int, features array<float>"
     ).toArrow()
+    scratch.drop()
     roles = rows.column("role").to_numpy()
     flat = rows.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     made = flat.reshape(len(roles), len(NAMES)).astype(np.float64)

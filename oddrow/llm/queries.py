@@ -35,12 +35,13 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_near(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
-def _predicted(scored: DataFrame, held_out: Column) -> DataFrame:
+def _predicted(scored: DataFrame, held_out: Column, *more: Column) -> DataFrame:
     return scored.select(
         "doc_id",
         held_out.alias("held_out"),
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        *more,
     )
 
 
@@ -112,7 +113,9 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 5) == 0
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = toxicity_mil.train(docs, labels, ~held_out)
-    return _predicted(toxicity_mil.score(docs, model), held_out)
+    scored = toxicity_mil.score_and_locate(docs, model)
+    spans = F.transform("offending", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return _predicted(scored, held_out, F.array_join(spans, ",").alias("offending"))
 
 
 def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ beginnings in it, and the document's probability is their noisy-or: one offendin
 enough. The sentence model is trained from document labels alone, through the noisy-or, and then
 says which sentences offend.
 
-The model is fitted on a bounded sample of labelled documents (``MAX_TOXIC``, ``MAX_CLEAN``, by a
-hash of the id) and holds at most ``MAX_FEATURES`` features, those that best tell the sample's
+The model is fitted on a bounded sample of labelled rows (``MAX_TOXIC``, ``MAX_CLEAN`` different ones,
+by hashes of id and text) and holds at most ``MAX_FEATURES`` features, those that best tell the sample's
 labels apart; counts are taken, and all documents scored, in Spark tasks.
 
 Defined cases: null and empty texts have no sentence and score 0; a document with any label 1 is
@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrow.llm.common import ids_and_texts, map_batches
-from oddrow.llm.quality_pu import sample_ids
+from oddrow.llm.samples import sample_ids, sample_texts
+from oddrow.sources.storage import Scratch
 
 MAX_TOXIC = 2_000
 MAX_CLEAN = 4_000
@@ -91,10 +92,24 @@ class Scorer:
 
     def document(self, text: str | None) -> float:
         """Noisy-or of the sentences."""
-        clean = 0.0
-        for _, _, p in self.sentences(text):
-            clean += np.log1p(-min(p, 1 - 1e-12))
-        return float(-np.expm1(clean))
+        return noisy_or(p for _, _, p in self.sentences(text))
+
+
+def noisy_or(probabilities: Iterable[float]) -> float:
+    clean = 0.0
+    for p in probabilities:
+        clean += np.log1p(-min(p, 1 - 1e-12))
+    return float(-np.expm1(clean))
+
+
+def offending(
+    found: list[tuple[int, int, float]], score: float, threshold: float
+) -> list[tuple[int, int, float]]:
+    """The sentences that reach the threshold, or the likeliest of a document that reaches it."""
+    least = threshold
+    if found and score >= threshold:
+        least = min(threshold, max(p for _, _, p in found))
+    return [one for one in found if one[2] >= least]
 
 
 # ------------------------------------------------------------------------- training
@@ -165,28 +180,45 @@ def _bags(places: dict[str, int]):
     return run
 
 
+class Bags:
+    """Feature numbers of the sentences of labelled documents, and the loss over them."""
+
+    def __init__(self, labels: np.ndarray, sizes: list[list[int]], items: list[list[int]]):
+        self.labels = labels
+        self.bag_of = np.repeat(np.arange(len(labels)), [len(s) for s in sizes])
+        per_sentence = np.concatenate([np.asarray(s, np.int64) for s in sizes])
+        self.n_sentences = len(per_sentence)
+        self.sentence_of = np.repeat(np.arange(self.n_sentences), per_sentence)
+        self.flat = np.concatenate([np.asarray(i, np.int64) for i in items])
+        # Both labels weigh the same.
+        share = labels.mean()
+        self.of_bag = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(labels)
+
+    def loss(self, weights: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
+        """Log loss of the noisy-or with the penalty, and its gradient by weights and bias."""
+        labels, n = self.labels, len(self.labels)
+        margin = bias + np.bincount(self.sentence_of, weights[self.flat], self.n_sentences)
+        p = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
+        clean = np.bincount(self.bag_of, np.log1p(-np.minimum(p, 1 - 1e-12)), n)
+        toxic = np.maximum(-np.expm1(clean), 1e-12)
+        value = -(self.of_bag * np.where(labels == 1, np.log(toxic), clean)).sum()
+        # d loss / d margin: p for clean bags, -p (1 - P) / P for toxic ones.
+        slope = np.where(labels == 1, -np.exp(clean) / toxic, 1.0) * self.of_bag
+        d_margin = slope[self.bag_of] * p
+        g = np.empty(len(weights) + 1)
+        g[:-1] = np.bincount(self.flat, d_margin[self.sentence_of], len(weights))
+        g[:-1] += PENALTY * weights
+        g[-1] = d_margin.sum()
+        return float(value + PENALTY / 2 * (weights**2).sum()), g
+
+
 def fit(labels: np.ndarray, sizes: list[list[int]], items: list[list[int]], width: int):
     """(weights, bias) that minimise the log loss of the noisy-or, by Adam over all bags."""
-    bag_of = np.repeat(np.arange(len(labels)), [len(s) for s in sizes])
-    per_sentence = np.concatenate([np.asarray(s, np.int64) for s in sizes])
-    sentence_of = np.repeat(np.arange(len(per_sentence)), per_sentence)
-    flat = np.concatenate([np.asarray(i, np.int64) for i in items])
+    bags = Bags(labels, sizes, items)
     weights, bias = np.zeros(width), START_BIAS
-    # Both labels weigh the same.
-    share = labels.mean()
-    of_bag = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(labels)
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
-        margin = bias + np.bincount(sentence_of, weights[flat], len(per_sentence))
-        p = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
-        clean = np.bincount(bag_of, np.log1p(-np.minimum(p, 1 - 1e-12)), len(labels))
-        toxic = np.maximum(-np.expm1(clean), 1e-12)
-        # d loss / d margin: p for clean bags, -p (1 - P) / P for toxic ones.
-        slope = np.where(labels == 1, -np.exp(clean) / toxic, 1.0) * of_bag
-        d_margin = slope[bag_of] * p
-        g = np.empty(width + 1)
-        g[:width] = np.bincount(flat, d_margin[sentence_of], width) + PENALTY * weights
-        g[width] = d_margin.sum()
+        _, g = bags.loss(weights, bias)
         m += 0.1 * (g - m)
         v += 0.001 * (g * g - v)
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -203,14 +235,17 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
         .agg(F.max("toxic").alias("toxic"))
     )
     picked = [
-        sample_ids(of_doc.filter(F.col("toxic") == label), most).withColumn("toxic", F.lit(label))
+        sample_ids(of_doc.filter(F.col("toxic") == label), most).withColumn("role", F.lit(label))
         for label, most in ((1, MAX_TOXIC), (0, MAX_CLEAN))
     ]
-    wanted = F.broadcast(picked[0].union(picked[1]))
-    chosen = ids_and_texts(docs).join(wanted, "doc_id")
+    wanted = picked[0].union(picked[1])
+    scratch = Scratch(docs.sparkSession)
+    limits = {1: MAX_TOXIC, 0: MAX_CLEAN}
+    chosen = sample_texts(docs, wanted, limits, scratch).withColumnRenamed("role", "toxic")
     by_label = chosen.groupBy("toxic").agg(F.count("*").alias("n"))
     found = {r["toxic"]: r["n"] for r in by_label.collect()}
     if not found.get(0) or not found.get(1):
+        scratch.drop()
         return Model({}, START_BIAS)
     names = _telling(chosen, found[1], found[0])
     places = {name: i for i, name in enumerate(names)}
@@ -218,6 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
         chosen.select("toxic", "text"), _bags(places),
         "toxic int, sizes array<int>, items array<int>",
     ).toArrow().to_pylist()
+    scratch.drop()
     rows.sort(key=lambda r: (r["toxic"], r["sizes"], r["items"]))
     weights, bias = fit(
         np.array([r["toxic"] for r in rows]),
@@ -245,6 +281,38 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return map_batches(ids_and_texts(docs), run, "doc_id long, score double")
 
 
+def score_and_locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """(doc_id, score, offending) of every whole text; ``offending`` holds the spans that
+    :func:`locate` gives, as (start, end, probability)."""
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            scores, spans = [], []
+            for text in batch.column(1).to_pylist():
+                found = scorer.sentences(text)
+                scores.append(noisy_or(p for _, _, p in found))
+                spans.append([
+                    {"start": s, "end": e, "probability": p}
+                    for s, e, p in offending(found, scores[-1], threshold)
+                ])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(scores, pa.float64()),
+                    pa.array(spans, pa.list_(span)),
+                ],
+                names=["doc_id", "score", "offending"],
+            )
+
+    schema = (
+        "doc_id long, score double, "
+        "offending array<struct<start: int, end: int, probability: double>>"
+    )
+    return map_batches(ids_and_texts(docs), run, schema)
+
+
 def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """(doc_id, start, end, sentence, probability) of the offending sentences.
 
@@ -258,10 +326,8 @@ def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = scorer.sentences(text)
-                least = threshold
-                if found and scorer.document(text) >= threshold:
-                    least = min(threshold, max(p for _, _, p in found))
-                rows += [(doc_id, s, e, text[s:e], p) for s, e, p in found if p >= least]
+                likely = offending(found, noisy_or(p for _, _, p in found), threshold)
+                rows += [(doc_id, s, e, text[s:e], p) for s, e, p in likely]
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.float64())
             columns = zip(*rows) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays(

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from oddrow.llm import quality_pu, toxicity_mil
+from oddrow.llm import quality_pu, samples, toxicity_mil
 from oddrow.llm.text_features import NAMES, describe
+from oddrow.sources.storage import Scratch
 
 LABELS = "doc_id long, quality int, toxic int"
 INSULTS = ["grobbish", "snarfling", "zwockel"]
@@ -120,3 +121,69 @@ def test_features_are_finite():
     for text in (None, "", " ", "a", "\n\n", "日本 😀", "A! B! |", "x " * 10_000):
         made = describe(text)
         assert made.shape == (len(NAMES),) and np.isfinite(made).all()
+
+
+@pytest.mark.parametrize("side", ["positive", "negative"])
+def test_risk_gradient_equals_a_numerical_one(side):
+    rng = np.random.default_rng(3)
+    positives, unlabelled = rng.normal(size=(30, 5)), rng.normal(size=(40, 5))
+    weights = [rng.normal(size=(5, 4)), rng.normal(size=4), rng.normal(size=4), rng.normal(size=1)]
+    if side == "negative":  # unlabelled texts far below the positives: the negative part is < 0
+        weights[0][:] = 0
+        weights[0][0, :], weights[2][:] = 1.0, 1.0
+        positives[:, 0] += 3
+        unlabelled[:, 0] -= 3
+    _, gradients = quality_pu.risk(weights, positives, unlabelled, 0.6)
+    for k, w in enumerate(weights):
+        for at in np.ndindex(w.shape):
+            values = []
+            for step in (1e-6, -2e-6):
+                w[at] += step
+                values.append(quality_pu.risk(weights, positives, unlabelled, 0.6)[0])
+            w[at] += 1e-6
+            assert (values[0] - values[1]) / 2e-6 == pytest.approx(gradients[k][at], abs=1e-6)
+
+
+def test_bag_loss_gradient_equals_a_numerical_one():
+    rng = np.random.default_rng(4)
+    labels = np.array([1, 0, 1, 0, 0])
+    sizes = [[2, 3], [1], [4, 0, 1], [2, 2], []]
+    items = [rng.integers(0, 6, sum(s)).tolist() for s in sizes]
+    bags, weights = toxicity_mil.Bags(labels, sizes, items), rng.normal(size=6)
+    _, gradient = bags.loss(weights, -1.0)
+    for i in range(7):
+        step = np.zeros(7)
+        step[i] = 1e-6
+        high, low = (bags.loss(weights + d * step[:6], -1.0 + d * step[6])[0] for d in (1, -1))
+        assert (high - low) / 2e-6 == pytest.approx(gradient[i], abs=1e-6)
+
+
+def test_sampled_rows_are_bounded_whatever_one_id_holds(spark, make_docs):
+    rows = [(7, f"text number {i} of one id") for i in range(600)] + [(7, "a copy")] * 400
+    rows += [(i, f"text of {i}") for i in range(100, 140)] + [(140, None)]
+    scratch = Scratch(spark)
+    ids = spark.createDataFrame(
+        [(7, 1), (7, 0), *((i, 0) for i in range(100, 141)), (None, 0)], "doc_id long, role int"
+    )
+    sample = samples.sample_texts(make_docs(rows), ids, {1: 10, 0: 2_000}, scratch)
+    found = [tuple(r) for r in sample.collect()]
+    assert len(found) == len(set(found))
+    assert sum(r[0] == 1 for r in found) == 10 and sum(r[0] == 0 for r in found) == 642
+    again = samples.sample_texts(make_docs(rows[::-1]), ids, {1: 10, 0: 2_000}, scratch)
+    assert {tuple(r) for r in again.collect()} == set(found)
+    scratch.drop()
+
+
+def test_spans_of_offending_sentences(spark, make_docs):
+    model = toxicity_mil.Model({"=bad": 9.0, "=odd": 5.2}, toxicity_mil.START_BIAS)
+    texts = ["Good day. Bad words. Fine.", "All fine.", None, "", "Odd one. odd two. Odd three."]
+    docs = make_docs(list(enumerate(texts)))
+    scored = {r["doc_id"]: r for r in toxicity_mil.score_and_locate(docs, model).collect()}
+    plain = {r["doc_id"]: r["score"] for r in toxicity_mil.score(docs, model).collect()}
+    assert {i: r["score"] for i, r in scored.items()} == plain
+    spans = {i: [texts[i][s["start"] : s["end"]] for s in r["offending"]] for i, r in scored.items()}
+    assert spans[0] == [" Bad words."] and spans[1] == spans[2] == spans[3] == []
+    # No sentence of the last one reaches the threshold, but together they do.
+    assert scored[4]["score"] >= 0.5 and len(spans[4]) == 3
+    located = {(r["doc_id"], r["sentence"]) for r in toxicity_mil.locate(docs, model).collect()}
+    assert located == {(i, t) for i, found in spans.items() for t in found}
