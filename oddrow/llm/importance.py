@@ -29,12 +29,13 @@ from typing import NamedTuple
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrow.llm.common import map_batches, packed, text_of, unpacked
 from oddrow.llm.copies import one_by_one
 from oddrow.llm.crc import runs
+from oddrow.llm.ordered import running_total
 from oddrow.llm.words import LETTERS_AND_DIGITS, portions
 from oddrow.sources.storage import Scratch
 
@@ -204,26 +205,9 @@ def score(
 
 def ranked(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """``rows`` (with a count ``n``) with ``first``: the rank of their first copy, from 1 on."""
-    order = [F.desc("score"), F.asc_nulls_last("doc_id"), "n_features", "mark"]
-    ranges = scratch.keep(
-        rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges"
-    )
-    # One row per range: as many as there are shuffle partitions.
-    totals = sorted(map(tuple, ranges.groupBy("range").agg(F.sum("n")).collect()))
-    before, offsets = 0, []
-    for number, n in totals:
-        offsets.append((number, before))
-        before += n
-    spark = rows.sparkSession
-    starts = spark.createDataFrame(offsets, "range int, offset long")
-    inside = (
-        Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        ranges.join(F.broadcast(starts), "range")
-        .withColumn("first", F.col("offset") + F.sum("n").over(inside) - F.col("n") + 1)
-        .drop("range", "offset")
-    )
+    order = [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("n_features"), F.asc("mark")]
+    placed = running_total(rows, order, "n", "until", scratch)
+    return placed.withColumn("first", F.col("until") - F.col("n") + 1).drop("until")
 
 
 def resample(

@@ -5,8 +5,9 @@ document gets a virtual finish time, the words of its source up to and including
 source's target; all queues are merged by that time, and the merged stream ends at the total
 budget. DataFrame functions only.
 
-Running sums never gather a source or the stream in one task: rows are summed inside blocks (of a
-source's hash order, then of virtual time), and only block totals are summed over blocks.
+Running sums never gather a source or the stream in one task: rows are summed inside blocks of a
+source's hash order and inside ranges of virtual time, and only their totals are summed over blocks
+and ranges. Identical rows travel as one with a count and are told apart in chunks.
 
 Defined cases: a null text has size 0; null sources form one source that ranks last; documents
 without words are queued but take nothing; repeated rows are queued as separate documents;
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddrow.llm.common import packed, text_of, unpacked, word_count
+from oddrow.llm.copies import one_by_one
+from oddrow.llm.ordered import running_total
 from oddrow.sources.storage import Scratch
 
 WEIGHTS = (1, 2, 3)
@@ -124,11 +127,12 @@ def queue(docs: DataFrame, scratch: Scratch, block_rows: int = BLOCK_ROWS) -> Da
     blocks = max(1, (totals["rows"] or 0) // block_rows)
     budget = totals["words"] or 0
 
-    order = ["_mark", F.col("doc_id").asc_nulls_first(), F.col("source").asc_nulls_last()]
+    order = [F.asc("_mark"), F.col("doc_id").asc_nulls_first(), F.col("source").asc_nulls_last()]
     place = (F.col("_mark") / 2.0**63 + 1) / 2  # the hash as a number from 0 to 1
     summed = _running(sized, ["source"], F.floor(place * blocks), order, "_words")
+    copies = one_by_one(scratch.keep(summed, "summed"), "_n", "_ordinal")
     queued = (
-        summed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+        copies.withColumn("_copy", F.col("_ordinal") + 1)
         .withColumn("_sum", F.col("_sum") - (F.col("_n") - F.col("_copy")) * F.col("size"))
         .join(
             shares.withColumnRenamed("source", "_source"),
@@ -141,19 +145,14 @@ def queue(docs: DataFrame, scratch: Scratch, block_rows: int = BLOCK_ROWS) -> Da
             / F.greatest("target", F.lit(1e-9)),
         )
     )
-    # Equal steps of virtual time hold about equally many words: blocks of the merged order.
-    merged = _running(
-        queued.drop("_sum", "_n", "_words").withColumn("_stream", F.lit(1)),
-        ["_stream"],
-        F.floor(F.col("finish") * blocks),
-        ["finish", *order, "_copy", "pass"],
+    merged = running_total(
+        queued.drop("_sum", "_n", "_words", "_ordinal"),
+        [F.asc("finish"), *order, F.asc("_copy"), F.asc("pass")],
         "size",
+        "until",
+        scratch,
     )
-    return (
-        merged.withColumnRenamed("_sum", "until")
-        .withColumn("taken", F.col("until") <= budget)
-        .drop("_stream")
-    )
+    return merged.withColumn("taken", F.col("until") <= budget)
 
 
 def takes(queued: DataFrame) -> DataFrame:
@@ -168,7 +167,7 @@ def mix(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The mixed documents with their columns; a document taken twice is there twice."""
     chosen = takes(queue(docs, scratch)).filter(F.col("passes") > 0)
     # Identical rows are interchangeable, so their passes add up on one representative.
-    times = chosen.groupBy(*KEY).agg(F.sum("passes").cast("int").alias("_times"))
+    times = chosen.groupBy(*KEY).agg(F.sum("passes").alias("_times"))
     times = times.select(*(F.col(c).alias(f"_of_{c}") for c in KEY), "_times")
     one = (
         packed(docs)
@@ -179,7 +178,4 @@ def mix(docs: DataFrame, scratch: Scratch) -> DataFrame:
     same = F.col("_mark") == F.col("_of__mark")
     for c in ("doc_id", "source"):
         same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    return unpacked(
-        one.join(times, same)
-        .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    )
+    return unpacked(one_by_one(one.join(times, same), "_times", "_pass"))

@@ -1,8 +1,10 @@
 """Weighted fair queueing against a plain queue."""
 
+from functools import partial
+
 import pytest
 
-from oddrow.llm import mixing
+from oddrow.llm import copies, mixing
 
 
 def level_targets(sizes):
@@ -101,3 +103,17 @@ def test_empty_and_wordless_tables(make_docs, scratch):
     assert mixing.takes(mixing.queue(make_docs([]), scratch)).collect() == []
     rows = mixing.takes(mixing.queue(make_docs([(1, None), (2, " ")]), scratch)).collect()
     assert [(r["target"], r["taken"]) for r in rows] == [(0.0, 0), (0.0, 0)]
+
+
+def test_one_row_is_a_third_of_the_table_and_comes_in_chunks(make_docs, scratch, monkeypatch):
+    rows = [(i, f"word {i} " * (1 + i % 5), f"s{i % 3}") for i in range(40)]
+    rows += [(99, "the same words again", "s1")] * 21
+    whole = mixing.takes(mixing.queue(make_docs(rows), scratch)).collect()
+    monkeypatch.setattr(mixing, "one_by_one", partial(copies.one_by_one, chunk=4))
+    cut = mixing.takes(mixing.queue(make_docs(rows[::-1]), scratch)).collect()
+    assert sorted(whole) == sorted(cut) and len(whole) == len(rows)
+    total = sum(r["taken"] for r in whole)
+    assert total <= sum(r["size"] for r in whole) <= total + 25
+    mixed = mixing.mix(make_docs(rows), scratch)
+    passes = sum(r["passes"] for r in whole)
+    assert mixed.count() == passes
