@@ -18,7 +18,8 @@ tokens of equal frequency, so a candidate must pass the filter under each of the
    forest of the links is passed on: never all pairs of a group.
 5. Components of the links, carried back to the documents.
 
-Hashes have 64 bits (shingles, word sequences) and 48 bits within a bucket (tokens).
+Hashes have 64 bits. A token travels as its low 48 bits, its bucket being a number of its high bits:
+with 2 ** 16 buckets or more it is whole again, with fewer it has 48 bits beside the bucket's.
 
 Defined cases: null and empty texts, and texts of white space, have no shingles and stay alone;
 repeated rows are one class; the component is the smallest non-null doc_id (null if there is
@@ -50,6 +51,9 @@ BLOCK = 256
 #: Tokens and classes of one pack; places in a pack are 16-bit numbers.
 PACKED_TOKENS = 1 << 20
 PACKED_CLASSES = 60_000
+#: A pack has as many tokens for each bucket at least, so that its rows grow with its tokens.
+LEAST_DEALT = 16
+TOKEN_BITS = 48
 SEEN_KEYS = 100_000
 COARSE_SLOTS = 1 << 22
 TEXTS_AT_ONCE = 256
@@ -100,11 +104,11 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.r_[starts, len(values)])
 
 
-def _packed(parts: list[ShingleSet], buckets: int, pack: int) -> pa.RecordBatch:
+def _packed(parts: list[ShingleSet], bits: int, pack: int) -> pa.RecordBatch:
     """One row per bucket with the tokens of several classes, and one row with the classes."""
     tokens = np.concatenate([p.items for p in parts])
     places = np.repeat(np.arange(len(parts), dtype=np.uint16), [len(p.items) for p in parts])
-    dealt = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+    dealt = _bucket(tokens, bits)
     order = np.argsort(dealt, kind="stable")
     tokens, places, dealt = tokens[order], places[order], dealt[order]
     rows: dict[str, list] = {c.split()[0]: [] for c in PACKED.split(", ")}
@@ -114,7 +118,7 @@ def _packed(parts: list[ShingleSet], buckets: int, pack: int) -> pa.RecordBatch:
         rows["places"].append(places[inside].tobytes())
         rows["low"].append(tokens[inside].astype(np.uint32).tobytes())
         rows["high"].append((tokens[inside] >> np.uint64(32)).astype(np.uint16).tobytes())
-    rows["bucket"].append(pack % buckets)
+    rows["bucket"].append(pack % (1 << bits))
     for column in ("places", "low", "high"):
         rows[column].append(b"")
     listed = len(rows["bucket"]) - 1
@@ -130,7 +134,22 @@ def _batch(rows: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(rows))
 
 
-def _pack_tokens(buckets: int):
+def bucket_bits(tokens: int) -> int:
+    """Bits of a bucket's number, so that a bucket has ``BUCKET_TOKENS`` tokens at most on
+    average, however many there are."""
+    return max(0, -(-tokens // BUCKET_TOKENS) - 1).bit_length()
+
+
+def _bucket(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The high bits of tokens."""
+    if not bits:
+        return np.zeros(len(tokens), np.int32)
+    return (tokens >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def _pack_tokens(bits: int):
+    most = max(PACKED_TOKENS, LEAST_DEALT << bits)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task that is run again makes the same packs from the same rows.
         pack = TaskContext.get().partitionId() << 32
@@ -144,13 +163,13 @@ def _pack_tokens(buckets: int):
                 seen.add(made.key)
                 parts.append(made)
                 held += len(made.items)
-                if held >= PACKED_TOKENS or len(parts) >= PACKED_CLASSES:
-                    yield _packed(parts, buckets, pack)
+                if held >= most or len(parts) >= PACKED_CLASSES:
+                    yield _packed(parts, bits, pack)
                     pack, parts, held = pack + 1, [], 0
             if len(seen) > SEEN_KEYS:
                 seen.clear()
         if parts:
-            yield _packed(parts, buckets, pack)
+            yield _packed(parts, bits, pack)
 
     return run
 
@@ -159,8 +178,17 @@ def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def _share_tokens(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _share_tokens(bits: int):
     """Count one bucket's tokens; return those that occur twice or more to their packs."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _shared(key[0].as_py() >> max(0, bits - 16), table)
+
+    return run
+
+
+def _shared(high: int, table: pa.Table) -> pa.Table:
+    """``high`` are the bits of the bucket's tokens above the low 48."""
     tokens = _joined(table, "low", np.uint32).astype(np.uint64)
     tokens |= _joined(table, "high", np.uint16).astype(np.uint64) << np.uint64(32)
     places = _joined(table, "places", np.uint16)
@@ -175,7 +203,7 @@ def _share_tokens(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     _, runs = _runs(tokens)
     df = np.repeat(runs, runs)
     shared = df > 1
-    tokens = tokens[shared] | np.uint64(key[0].as_py()) << np.uint64(48)
+    tokens = tokens[shared] | np.uint64(high) << np.uint64(TOKEN_BITS)
     places, packs = places[shared], packs[shared]
     df = np.minimum(df[shared], 0xFFFF).astype(np.uint16)
     order = np.argsort(packs, kind="stable")
@@ -384,9 +412,9 @@ def text_keys(docs: DataFrame) -> DataFrame:
 
 def shared_sets(docs: DataFrame, shingles: int) -> DataFrame:
     """Classes that may link, with their shared tokens and first prefix."""
-    buckets = max(1, min(1 << 16, -(-shingles // BUCKET_TOKENS)))
-    packed_tokens = map_batches(ids_and_texts(docs), _pack_tokens(buckets), PACKED)
-    returned = packed_tokens.groupBy("bucket").applyInArrow(_share_tokens, RETURNED)
+    bits = bucket_bits(shingles)
+    packed_tokens = map_batches(ids_and_texts(docs), _pack_tokens(bits), PACKED)
+    returned = packed_tokens.groupBy("bucket").applyInArrow(_share_tokens(bits), RETURNED)
     sets = returned.groupBy("pack").applyInArrow(_gather_sets, SETS)
     # A class of several packs comes out of each with the same tokens and counts.
     return sets.dropDuplicates(["key"])

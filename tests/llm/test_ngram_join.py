@@ -150,3 +150,14 @@ def test_components_of_chains_and_stars(spark, scratch):
     assert all(found[i] == 0 for i in range(61))
     assert all(found[1000 + i] == 1000 for i in range(40))
     assert 5000 not in found
+
+
+def test_buckets_have_no_cap_and_give_whole_tokens_back():
+    assert [nj.bucket_bits(n) for n in (0, 1, 2_000_000, 2_000_001, 4_000_001)] == [0, 0, 0, 1, 2]
+    assert nj.bucket_bits(2_000_000 << 20) == 20
+    tokens = np.array([0, 1 << 63, (1 << 64) - 1, 0x123456789ABCDEF0], np.uint64)
+    low = tokens & np.uint64((1 << nj.TOKEN_BITS) - 1)
+    for bits in (16, 17, 20):
+        high = nj._bucket(tokens, bits).astype(np.uint64) >> np.uint64(bits - 16)
+        assert (low | high << np.uint64(nj.TOKEN_BITS)).tolist() == tokens.tolist()
+    assert nj._bucket(tokens, 0).tolist() == [0] * 4
