@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from oddrow.errors import ArtifactWriteError, ConfigurationError
 
+HEAD_BYTES = 1 << 16
 GLOB_CHARACTERS = "\\{}[]*?"
 
 
@@ -69,6 +70,26 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> str:
     return fs.makeQualified(target).toString()
 
 
+def first_line(spark: SparkSession, path: str, at_once: int = HEAD_BYTES) -> bytes:
+    """The first line of a file that holds anything, from its head alone; compressed files are
+    decompressed by Hadoop's codec for their name."""
+    fs, target = _open(spark, path)
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory
+    codec = codecs(spark._jsc.hadoopConfiguration()).getCodec(target)
+    stream = fs.open(target)
+    try:
+        source = stream if codec is None else codec.createInputStream(stream)
+        held = b""
+        while True:
+            more = bytes(source.readNBytes(at_once))
+            held = (held + more).lstrip(b"\r\n")
+            line, end, _ = held.replace(b"\r", b"\n").partition(b"\n")
+            if end or not more:
+                return line
+    finally:
+        stream.close()
+
+
 def escape_glob(path: str) -> str:
     """Make Spark read ``path`` literally even if it holds glob characters."""
     return "".join("\\" + c if c in GLOB_CHARACTERS else c for c in path)

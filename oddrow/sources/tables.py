@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 from oddrow.errors import ArtifactWriteError, DataLoadError, SchemaValidationError
 from oddrow.functions import cells
 from oddrow.profiles import Profile
-from oddrow.sources.storage import escape_glob, exists, holds_files
+from oddrow.sources.storage import escape_glob, exists, first_line, holds_files
 
 # Count of unreadable numbers in a row of text; present on tables read from CSV only.
 BAD_CELLS = "_bad_cells"
 # The text of a row with too many or too few fields, else null.
 MALFORMED = "_malformed"
+# Files whose heads are read at the same time.
+HEADS_AT_ONCE = 16
 
 
 def _load_error(path: str, exc: Exception) -> DataLoadError:
@@ -70,22 +73,18 @@ def _header(first: Sequence[str | None]) -> list[str]:
 def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
     """The files of a CSV table, grouped by the text of their first line.
 
-    One file needs no look. Of several, the text is scanned once for the first line of each;
-    what reaches the driver is one row per header with its files.
+    One file needs no look. Of several, only the head of each is read, some files at a time.
     """
-    lines = spark.read.text(path)
-    files = [unquote(f) for f in lines.inputFiles()]
+    files = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
     if len(files) < 2:
         return [files]
-    starts = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    ).filter("at = 0 AND value <> ''")
-    firsts = starts.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    groups = firsts.groupBy("header").agg(F.sort_array(F.collect_set("file")).alias("files"))
-    return sorted([unquote(f) for f in row.files] for row in groups.collect())
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: first_line(spark, file), files))
+    groups: dict[bytes, list[str]] = {}
+    for header, file in zip(headers, files, strict=True):
+        if header:
+            groups.setdefault(header, []).append(file)
+    return sorted(groups.values()) or [files]
 
 
 def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

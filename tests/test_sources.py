@@ -1,5 +1,7 @@
 """Reading tables: names, types, missing values, errors."""
 
+import gzip
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,7 +12,7 @@ from hypothesis import strategies as st
 from oddrow import DataLoadError, SchemaValidationError
 from oddrow.operators.quality import Quality
 from oddrow.profiles import CICIDS2017, EVENTS, LINEITEM, NSL_KDD, UNSW_NB15
-from oddrow.sources import tables
+from oddrow.sources import storage, tables
 from oddrow.sources.tables import (
     BAD_CELLS,
     MALFORMED,
@@ -248,3 +250,29 @@ def test_rows_with_a_wrong_number_of_fields_are_counted(spark, make_csv):
     assert sorted(r[BAD_CELLS] for r in rows.collect()) == [0, 0, 0, 1, 1]
     with pytest.raises(SchemaValidationError, match="wrong length"):
         Quality.of(rows, NSL_KDD).check_values(path)
+
+
+def test_headers_are_read_from_the_heads_of_files(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,label\n" + "1,normal\n" * 50_000)
+    (folder / "b b.csv").write_text("\n\nlabel,x\nnormal,2\n")
+    (folder / "c.csv").write_text("x,label\r\n3,neptune\r\n")
+    (folder / "empty.csv").write_text("")
+    with gzip.open(folder / "d.csv.gz", "wt") as out:
+        out.write("label,x\nneptune,4\n")
+    read = []
+    real = storage.first_line
+    monkeypatch.setattr(tables, "first_line", lambda s, f: read.append(f) or real(s, f, 16))
+    rows = tables.read_csv_text(spark, str(folder))
+    assert len(read) == 5
+    counts = {(r["x"], r["label"]): r["count"] for r in rows.groupBy("x", "label").count().collect()}
+    assert counts == {
+        ("1", "normal"): 50_000, ("2", "normal"): 1, ("3", "neptune"): 1, ("4", "neptune"): 1,
+    }
+
+
+def test_first_line_longer_than_what_is_read_at_once(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    path.write_text(",".join(f"c{i}" for i in range(2_000)) + "\n1\n")
+    assert storage.first_line(spark, str(path), 100) == path.read_bytes().split(b"\n")[0]
