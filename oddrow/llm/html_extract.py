@@ -9,11 +9,11 @@ scanned whole, and without regard to its own marks.
 An element that calls itself menu, header, footer, sidebar, notice, advert, form or comments, by its
 kind, its role or its names, turns its words and tags into pieces of another kind (``word@nav``),
 which have weights of their own. Where these are negative, the element is no text, and the scan
-passes over it: an advert does not part an article in two. Headings keep their text whatever their names, and forms and named
-elements that hold most of the page's words are wrappers of it and count as unnamed, except
-threads of comments. Only what a browser does not show as text (scripts, styles, form controls,
-hidden elements, ...) is left out beforehand. The text is that of the blocks of the region; a
-block that it cuts through is completed.
+passes over it: an advert does not part an article in two. Headings keep their text whatever their
+names, and forms and named elements that hold most of the page's words are wrappers of it and count
+as unnamed, except threads of comments. Only what a browser does not show as text (scripts, styles,
+form controls, hidden elements, ...) is left out beforehand. The text is that of the blocks of the
+region; a block that it cuts through is completed.
 
 Defined cases: null, empty and text-free pages give an empty text; unclosed and stray tags are
 tolerated; equal scores choose the earliest, longest region; pages are independent, so repeated

@@ -117,7 +117,8 @@ _DECONTAMINATE = f"""
         regexp_extract_all({_LOWER}, '{LETTERS_AND_DIGITS}') AS w
       FROM benchmark),
     windows AS (
-      SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS g
+      SELECT DISTINCT item_id, least(len(w), 10) AS n,
+        array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS g
       FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k
             FROM items WHERE len(w) > 0)),
     places AS (
@@ -176,7 +177,8 @@ _IMPORTANCE = f"""
           / 4294967296::DOUBLE))) AS BIGINT) AS score
       FROM docs LEFT JOIN weighed USING (r)),
     placed AS (
-      SELECT *, n_features >= 20 AS fits, CAST(count(*) FILTER (n_features >= 20) OVER () AS BIGINT) AS n,
+      SELECT *, n_features >= 20 AS fits,
+        CAST(count(*) FILTER (n_features >= 20) OVER () AS BIGINT) AS n,
         row_number() OVER (PARTITION BY n_features >= 20
           ORDER BY score DESC, doc_id ASC NULLS LAST, n_features) AS place
       FROM scored)
@@ -214,7 +216,8 @@ _DIVERGENCE = f"""
         {_SHARE.format(n="coalesce(n, 0)", words="words")} AS p
       FROM groups JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)),
     pairs AS (
-      SELECT lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+      SELECT lang, a.source, b.source AS item,
+        CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
       FROM dense AS a JOIN dense AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
     all_pairs AS (
       SELECT lang, a.source, b.source AS item, coalesce(value, 0) AS value
