@@ -9,7 +9,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -19,7 +19,7 @@ from oddrow.functions.cells import column
 from oddrow.functions.scores import anomaly_flag
 from oddrow.operators import network
 from oddrow.operators.features import FEATURES
-from oddrow.operators.network import Layout, TrainState
+from oddrow.operators.network import BatchSums, Layout, TrainState
 from oddrow.params import ArchitectureParams, TrainingParams
 from oddrow.shipping import ship_package
 from oddrow.sources.storage import Scratch
@@ -151,12 +151,14 @@ class Shards:
 
     ``table`` has the columns features, is_train, shard and round, the last two as folders, so a
     pass over one round reads the files of that round only. Rows to validate on are in
-    ``VALIDATION_ROUND``.
+    ``VALIDATION_ROUND``. Where each round of a shard is one mini-batch (``whole``), its rows lie in
+    any order and in any number of files.
     """
 
     table: DataFrame
     count: int
     rounds: int
+    whole: bool = False
 
     def round(self, *numbers: int) -> DataFrame:
         return self.table.filter(F.col("round").isin(*numbers))
@@ -172,6 +174,7 @@ def make_shards(
     dtype: str = "float32",
     round_rows: int = TrainingParams.round_rows,
     place: Column | None = None,
+    batch_size: int = 1,
 ) -> Shards:
     """Write encoded rows in a fixed number of shards and rounds, in a fixed, seeded order.
 
@@ -180,7 +183,9 @@ def make_shards(
     hash's part where it tells nearly all rows apart. A round of a shard has ``round_rows``
     training rows on average, whatever the size of the table. Every file is written by one task
     as one row group and read by one task in its order, again and again wherever that runs; a
-    lost executor costs a re-read only.
+    lost executor costs a re-read only. If a mini-batch takes in all training rows, and they are
+    more than a block, nothing is sorted or gathered: a round is read by as many tasks as it is
+    large, which add up one step.
     """
     element = "float" if dtype == "float32" else "double"
     told_apart = [F.col(FEATURES), *[column(c) for c in identity]]
@@ -195,17 +200,23 @@ def make_shards(
     shard = F.pmod("_o0", F.lit(count)).cast("int")
     turn = F.pmod(F.call_function("div", "_o0", F.lit(count)), F.lit(rounds)).cast("int")
     keys = ["round", "shard"]
+    placed = rows.withColumn("shard", shard).withColumn(
+        "round", F.when(F.col("is_train"), turn).otherwise(VALIDATION_ROUND)
+    )
+    path = f"{scratch.path}/shards"
+    if n > BLOCK_ROWS and batch_size >= n:
+        placed = placed.select(FEATURES, "is_train", *keys)
+        placed.write.partitionBy(*keys).parquet(path)
+        table = df.sparkSession.read.schema(placed.schema).parquet(path)
+        return Shards(table, count, rounds, whole=True)
     placed = (
-        rows.withColumn("shard", shard)
-        .withColumn("round", F.when(F.col("is_train"), turn).otherwise(VALIDATION_ROUND))
-        .repartition(*keys)
+        placed.repartition(*keys)
         .sortWithinPartitions(*keys, "_o0", "_o1")
         .select(FEATURES, "is_train", *keys)
     )
     width = df.select(F.size(FEATURES)).first()
     row_bytes = (width[0] if width else 1) * np.dtype(dtype).itemsize
     group = max(128 << 20, 2 * round_rows * row_bytes)
-    path = f"{scratch.path}/shards"
     placed.write.partitionBy(*keys).option("parquet.block.size", min(group, 2**31 - 1)).parquet(path)
     table = df.sparkSession.read.schema(placed.schema).parquet(path)
     return Shards(table, count, rounds)
@@ -306,6 +317,131 @@ def _by_shard(
                 yield (int(shard[a]), bool(train[a])), rows[a:b]
 
 
+SUMS_SCHEMA = "shard int, part int, n bigint, loss double, sums binary"
+_SUMS_TYPES = pa.schema(
+    [
+        ("shard", pa.int32()), ("part", pa.int32()), ("n", pa.int64()), ("loss", pa.float64()),
+        ("sums", pa.binary()),
+    ]
+)
+
+
+def _add(parts: list[dict], moments: bool) -> dict:
+    """Sums of blocks of one shard together, always in the same order."""
+    parts = sorted(parts, key=lambda p: p["part"])
+    n, sums = network.add_sums([(p["n"], np.frombuffer(p["sums"])) for p in parts], moments)
+    loss = sum(p["loss"] for p in parts)
+    return {
+        "shard": parts[0]["shard"], "part": parts[0]["part"], "n": n, "loss": loss,
+        "sums": sums.tobytes(),
+    }
+
+
+def _in_tree(
+    parts: DataFrame, number: str, count: int, fan_in: int, by: Sequence[str], merge, schema: str
+) -> DataFrame:
+    """Merge numbered rows on the executors, ``fan_in`` at a time, until no more are left."""
+    width = 1
+    while count > fan_in:
+        width *= fan_in
+        count = -(-count // fan_in)
+        group = F.floor(F.col(number) / width).alias("g")
+        parts = parts.groupBy(*by, group).applyInArrow(merge, schema)
+    return parts
+
+
+def _merged(parts: DataFrame, layout: Layout, replicas: int) -> dict:
+    """The average of replicas, in a tree on the executors, so that the driver sees few."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_pass_batch([_merge(layout, table.to_pylist())])])
+
+    fan_in = max(2, min(MERGE_REPLICAS, MERGE_BYTES // state_bytes(layout)))
+    parts = _in_tree(parts, "shard", replicas, fan_in, [], merge, PASS_SCHEMA)
+    found = [r.asDict() for r in parts.collect()]
+    return _merge(layout, found) if found else dict(_NOTHING)
+
+
+def _sweep(
+    rows: DataFrame, layout: Layout, sent: Broadcast, seeds: Sequence[int], sweep: int
+) -> DataFrame:
+    """Sums of one sweep over a round, at most a few rows for each shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, known = sent.value
+        part, block = TaskContext.get().partitionId(), 0
+        for (shard, _), group in groupby(_by_shard(batches, layout), key=lambda g: g[0]):
+            total = None
+            for cells in _recut((cells for _, cells in group), BLOCK_ROWS):
+                rng = np.random.default_rng([*seeds, shard, part, block])
+                block += 1
+                loss, sums = network.block_sums(
+                    layout, state.vector, cells, rng, known.get(shard, BatchSums.unknown())
+                )
+                one = {
+                    "shard": shard, "part": part, "n": len(cells), "loss": loss,
+                    "sums": sums.tobytes(),
+                }
+                total = one if total is None else _add([total, one], moments)
+            yield pa.RecordBatch.from_pylist([total], schema=_SUMS_TYPES)
+
+    def add(table: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist([_add(table.to_pylist(), moments)], schema=_SUMS_TYPES)
+
+    moments = sweep < 2 * len(layout.encoder_layers)
+    tasks = rows.rdd.getNumPartitions()
+    fan_in = max(2, MERGE_BYTES // state_bytes(layout))
+    parts = rows.mapInArrow(run, SUMS_SCHEMA)
+    return _in_tree(parts, "part", tasks, fan_in, ["shard"], add, SUMS_SCHEMA)
+
+
+def _whole_pass(
+    shards: Shards,
+    layout: Layout,
+    state: TrainState,
+    params: TrainingParams,
+    epoch: int,
+    turn: int,
+) -> dict:
+    """The next state after one round in which each shard takes one step over all its rows.
+
+    Every sweep over the rows is a job whose tasks add up blocks, so no task holds a batch.
+    """
+    rows = shards.round(turn).select(FEATURES, "is_train", "shard")
+    spark, replicas = rows.sparkSession, shards.count
+    seeds = [params.random_seed, epoch, turn]
+    known: dict[int, BatchSums] = {}
+    last = BatchSums.sweeps(layout) - 1
+    for sweep in range(last):
+        sent = spark.sparkContext.broadcast((state, known))
+        found = [r.asDict() for r in _sweep(rows, layout, sent, seeds, sweep).collect()]
+        sent.destroy()
+        for shard, parts in groupby(sorted(found, key=lambda p: p["shard"]), lambda p: p["shard"]):
+            both = _add(list(parts), sweep < 2 * len(layout.encoder_layers))
+            own = known.setdefault(shard, BatchSums.unknown())
+            own.learn(layout, both["n"], np.frombuffer(both["sums"]))
+
+    def stepped(table: pa.Table) -> pa.Table:
+        both = _add(table.to_pylist(), moments=False)
+        before, stats = sent.value
+        own = before.copy()
+        network.whole_step(
+            layout, own, np.frombuffer(both["sums"]), stats[both["shard"]],
+            params.learning_rate, params.lr_schedule, replicas,
+        )
+        part = _NOTHING | {
+            "shard": both["shard"], "n": both["n"], "loss": both["loss"] / layout.input_dim,
+            "steps": own.steps, "taken": 1, "state": own.pack(),
+        }
+        return pa.Table.from_batches([_pass_batch([part])])
+
+    sent = spark.sparkContext.broadcast((state, known))
+    parts = _sweep(rows, layout, sent, seeds, last).groupBy("shard")
+    result = _merged(parts.applyInArrow(stepped, PASS_SCHEMA), layout, replicas)
+    sent.destroy()
+    return result
+
+
 def training_pass(
     shards: Shards,
     layout: Layout,
@@ -315,10 +451,16 @@ def training_pass(
     turn: int = 0,
     learn: bool = True,
 ) -> dict:
-    """One Spark job: in the first round of an epoch the validation loss of the incoming state
-    and, if learning, the next state after one round."""
+    """In the first round of an epoch the validation loss of the incoming state and, if learning,
+    the next state after one round; one Spark job, unless a round is one batch."""
     spark = shards.table.sparkSession
     ship_package(spark)
+    if shards.whole and learn:
+        result = _whole_pass(shards, layout, state, params, epoch, turn)
+        if turn == 0:
+            checked = training_pass(shards, layout, state, params, epoch, turn, learn=False)
+            result |= {k: checked[k] for k in ("val_n", "val_loss")}
+        return result
     sent = spark.sparkContext.broadcast(state)
     replicas = shards.count
 
@@ -351,23 +493,11 @@ def training_pass(
                     part["val_loss"] += float(errors.sum(dtype=np.float64))
             yield _pass_batch([part])
 
-    def merge(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([_pass_batch([_merge(layout, table.to_pylist())])])
-
     wanted = [VALIDATION_ROUND] if turn == 0 else []
     parts = shards.round(*wanted, *([turn] if learn else [])).select(FEATURES, "is_train", "shard")
-    parts = parts.mapInArrow(run, PASS_SCHEMA)
-    fan_in = max(2, min(MERGE_REPLICAS, MERGE_BYTES // state_bytes(layout)))
-    width = 1
-    while replicas > fan_in:
-        # A tree of averages on the executors, so that the driver sees few replicas.
-        width *= fan_in
-        replicas = -(-replicas // fan_in)
-        group = F.floor(F.col("shard") / width).alias("g")
-        parts = parts.groupBy(group).applyInArrow(merge, PASS_SCHEMA)
-    found = [r.asDict() for r in parts.collect()]
+    result = _merged(parts.mapInArrow(run, PASS_SCHEMA), layout, replicas)
     sent.destroy()
-    return _merge(layout, found) if found else dict(_NOTHING)
+    return result
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ averaging replicas and stepping the optimiser are single vector operations.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 from functools import cached_property
 
@@ -216,6 +216,131 @@ def gradient(
     return loss, grad
 
 
+@dataclass
+class BatchSums:
+    """What is known of a mini-batch that is read block by block, sweep after sweep.
+
+    A hidden layer's normalisation needs the mean and variance over the whole batch before the
+    next layer can be computed, and its gradient needs two sums over the batch before the layer
+    below. Every sweep therefore finds one of these: first ``moments`` of the hidden layers from the
+    input on, then ``backward`` sums from the output back; the last one finds the gradient.
+    """
+
+    rows: int
+    moments: list[tuple[np.ndarray, np.ndarray]]
+    backward: list[tuple[np.ndarray, np.ndarray]]
+
+    @classmethod
+    def unknown(cls) -> BatchSums:
+        return cls(0, [], [])
+
+    @staticmethod
+    def sweeps(layout: Layout) -> int:
+        return 4 * len(layout.encoder_layers) + 1
+
+    def learn(self, layout: Layout, n: int, sums: np.ndarray) -> None:
+        """Take the sums of all blocks of a sweep, but for the last."""
+        parts = np.split(sums, 2)
+        if len(self.moments) < 2 * len(layout.encoder_layers):
+            self.rows = n
+            self.moments.append((parts[0], parts[1] / n))
+        else:
+            self.backward.append((parts[0], parts[1]))
+
+
+def add_sums(parts: Sequence[tuple[int, np.ndarray]], moments: bool) -> tuple[int, np.ndarray]:
+    """Rows and sums of blocks together; ``moments`` are means and squared deviations."""
+    n, total = parts[0][0], parts[0][1].copy()
+    half = len(total) // 2
+    for more, sums in parts[1:]:
+        both = n + more
+        if moments:
+            apart = sums[:half] - total[:half]
+            total[half:] += sums[half:] + apart * apart * (n * more / both)
+            total[:half] += apart * (more / both)
+        else:
+            total += sums
+        n = both
+    return n, total
+
+
+def block_sums(
+    layout: Layout, vector: np.ndarray, rows: np.ndarray, rng: np.random.Generator, known: BatchSums
+) -> tuple[float, np.ndarray]:
+    """One block's part of the next sums of its batch; in the last sweep of loss and gradient.
+
+    The loss is a sum over cells. Together with the other blocks this is :func:`gradient` of the
+    whole batch; ``rng`` must begin anew in every sweep.
+    """
+    w = layout.views(vector)
+    keep = 1.0 - layout.dropout_rate
+    tape, h, at = [], rows, 0
+    for d in layout.layers:
+        z = h @ w[d.name, "kernel"] + w[d.name, "bias"]
+        a = ACTIVATION[d.activation][0](z)
+        out, normed, spread, mask = a, None, None, None
+        if d.hidden:
+            if at == len(known.moments):
+                mean = a.mean(0, dtype=np.float64)
+                apart = a - mean
+                return 0.0, np.concatenate([mean, (apart * apart).sum(0)])
+            mean, var = known.moments[at]
+            at += 1
+            spread = (1.0 / np.sqrt(var + NORM_EPSILON)).astype(a.dtype)
+            normed = (a - mean.astype(a.dtype)) * spread
+            out = normed * w[d.name, "gamma"] + w[d.name, "beta"]
+            if layout.dropout_rate:
+                mask = ((rng.random(out.shape) < keep) / keep).astype(out.dtype)
+                out = out * mask
+        tape.append((d, h, z, a, normed, spread, mask))
+        h = out
+    grad = np.zeros(layout.size, np.float64)
+    g_of = layout.views(grad)
+    miss = h - rows
+    loss = float(np.sum(np.square(miss), dtype=np.float64))
+    g = miss * (2.0 / (known.rows * layout.input_dim))
+    at = 0
+    for d, h_in, z, a, normed, spread, mask in reversed(tape):
+        if mask is not None:
+            g = g * mask
+        if normed is not None:
+            if at == len(known.backward):
+                found = [(g * normed).sum(0, dtype=np.float64), g.sum(0, dtype=np.float64)]
+                return 0.0, np.concatenate(found)
+            scaled, plain = known.backward[at]
+            at += 1
+            g_of[d.name, "gamma"][:] = (g * normed).sum(0, dtype=np.float64)
+            g_of[d.name, "beta"][:] = g.sum(0, dtype=np.float64)
+            gamma = w[d.name, "gamma"]
+            g = g * gamma
+            means = [(gamma * s / known.rows).astype(g.dtype) for s in (plain, scaled)]
+            g = spread * (g - means[0] - normed * means[1])
+        g = g * ACTIVATION[d.activation][1](z, a)
+        g_of[d.name, "kernel"][:] = h_in.T @ g
+        g_of[d.name, "bias"][:] = g.sum(0, dtype=np.float64)
+        g = g @ w[d.name, "kernel"].T
+    return loss, grad
+
+
+def whole_step(
+    layout: Layout,
+    state: TrainState,
+    grad: np.ndarray,
+    known: BatchSums,
+    base_rate: float,
+    schedule: str,
+    replicas: int = 1,
+) -> None:
+    """:func:`train_step` of a batch whose gradient was summed over its blocks, in place."""
+    momentum = NORM_MOMENTUM**replicas
+    w = layout.views(state.vector)
+    hidden = [d for d in layout.layers if d.hidden]
+    for d, stats in zip(hidden, known.moments):
+        for name, now in zip(("moving_mean", "moving_variance"), stats):
+            w[d.name, name][:] = momentum * w[d.name, name] + (1 - momentum) * now
+    _adam(layout, state, grad.astype(state.vector.dtype), base_rate, schedule, replicas)
+
+
 @dataclass
 class TrainState:
     """Parameters with the optimiser's moments, as one replica carries them.
@@ -263,6 +388,18 @@ def train_step(
     on by as many.
     """
     loss, grad = gradient(layout, state.vector, rows, rng, replicas)
+    _adam(layout, state, grad, base_rate, schedule, replicas)
+    return loss
+
+
+def _adam(
+    layout: Layout,
+    state: TrainState,
+    grad: np.ndarray,
+    base_rate: float,
+    schedule: str,
+    replicas: int,
+) -> None:
     g = grad[: layout.trainable]
     rate = learning_rate(base_rate, schedule, state.seen)
     state.steps += 1
@@ -273,4 +410,3 @@ def train_step(
     state.vector[: layout.trainable] -= (
         rate * state.first / (np.sqrt(state.second) + ADAM_EPSILON)
     ).astype(state.vector.dtype)
-    return loss

@@ -116,7 +116,7 @@ def fit_model(
         with compiled_methods(spark):
             shards = make_shards(
                 encoded, F.col(SPLIT) == TRAIN, [RANK], training.shards, training.random_seed,
-                scratch, training.precision, training.round_rows, place,
+                scratch, training.precision, training.round_rows, place, training.batch_size,
             )
         keep = partial(artefacts.keep_epoch, spark, run) if run else None
         return train_autoencoder(shards, layout, training, done, keep)

@@ -343,3 +343,49 @@ def test_empty_tables_are_refused(spark):
         model.reconstruct(empty)
     with pytest.raises(InferenceError, match="0 rows"):
         model.predict(empty, 1.0)
+
+
+@pytest.mark.parametrize("layers", [(5,), (5, 4)])
+def test_sums_over_blocks_give_the_gradient_of_the_batch(layers):
+    layout = Layout(6, layers, 2, "tanh", 0.0, "float64")
+    rows = np.random.default_rng(1).normal(size=(50, 6))
+    start = TrainState(random_model(layout).vector, *np.zeros((2, layout.trainable)))
+    whole, swept, known = start.copy(), start.copy(), N.BatchSums.unknown()
+    loss = N.train_step(layout, whole, rows, None, 0.01, "none", 3)
+    for sweep in range(N.BatchSums.sweeps(layout)):
+        found = [N.block_sums(layout, swept.vector, b, None, known) for b in np.split(rows, [7, 30])]
+        parts = [(n, sums) for n, (_, sums) in zip((7, 23, 20), found)]
+        n, sums = N.add_sums(parts, moments=sweep < 2 * len(layers))
+        if sweep < N.BatchSums.sweeps(layout) - 1:
+            known.learn(layout, n, sums)
+    N.whole_step(layout, swept, sums, known, 0.01, "none", 3)
+    assert sum(part for part, _ in found) / rows.size == pytest.approx(loss, rel=1e-12)
+    assert np.allclose(np.frombuffer(swept.pack()), np.frombuffer(whole.pack()), rtol=1e-9, atol=1e-12)
+    assert (swept.steps, swept.seen) == (whole.steps, whole.seen) == (1, 3)
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_a_batch_of_a_whole_round_is_never_held(spark, monkeypatch, dropout):
+    """Rounds of one mini-batch go through in blocks, with the result of the batch at once."""
+    layout = Layout(6, (5, 4), 2, "tanh", dropout, "float64")
+    hyper = params(batch_size=1 << 40, max_epochs=2, precision="float64", learning_rate=0.01)
+
+    def trained():
+        shards = A.make_shards(
+            table(spark)[0], F.col("is_train"), ["id"], 3, 1, Scratch(spark), "float64", 40,
+            batch_size=hyper.batch_size,
+        )
+        return shards, A.train_autoencoder(shards, layout, hyper)
+
+    at_once, whole = trained()
+    assert not at_once.whole and at_once.rounds == 2
+    monkeypatch.setattr(A, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(A, "MERGE_BYTES", 1)
+    shards, swept = trained()
+    assert shards.whole and shards.rounds == 2
+    again = A.train_autoencoder(shards, layout, hyper)
+    assert np.array_equal(again.model.vector, swept.model.vector)
+    if not dropout:
+        for one, other in zip(whole.history, swept.history, strict=True):
+            assert one == pytest.approx(other, rel=1e-9)
+        assert np.allclose(swept.model.vector, whole.model.vector, rtol=1e-8, atol=1e-10)
