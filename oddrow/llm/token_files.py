@@ -58,16 +58,18 @@ _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
-    numbers = np.ascontiguousarray(numbers, "<u4")
-    extra = (
-        (numbers > 0xFF).astype(np.uint8) + (numbers > 0xFFFF) + (numbers > 0xFFFFFF)
-    ).astype(np.uint8)
+    most = int(numbers.max(initial=0))
+    width = 2 if most <= 0xFFFF else 4
+    numbers = np.ascontiguousarray(numbers, f"<u{width}")
+    extra = (numbers > 0xFF).view(np.uint8)
+    if width == 4:
+        extra = extra + (numbers > 0xFFFF) + (numbers > 0xFFFFFF)
     padded = np.zeros(-(-len(extra) // 4) * 4, np.uint8)
     padded[: len(extra)] = extra
     fours = padded.reshape(-1, 4)
     control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
-    used = np.arange(4, dtype=np.uint8) <= extra[:, None]
-    return control.tobytes(), numbers.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    used = np.arange(width, dtype=np.uint8) <= extra[:, None]
+    return control.tobytes(), numbers.view(np.uint8)[used.ravel()].tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -77,7 +79,7 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     starts = ends - lengths
     stored = np.frombuffer(data + bytes(3), np.uint8)
     numbers = stored[starts].astype(np.uint32)
-    for step in (1, 2, 3):
+    for step in range(1, int(lengths.max(initial=1))):
         numbers |= stored[starts + step].astype(np.uint32) << np.uint32(8 * step)
     return numbers & _MASKS[lengths]
 
@@ -88,8 +90,9 @@ class Block(NamedTuple):
     data: bytes
 
 
-def encode_block(ids: np.ndarray) -> Block:
-    counts = np.bincount(ids)
+def encode_block(ids: np.ndarray, counts: np.ndarray | None = None) -> Block:
+    """A block of ids; ``counts`` by id, where they are known."""
+    counts = np.bincount(ids) if counts is None else counts
     ranked = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
     rank_of = np.zeros(len(counts), ID)
     rank_of[ranked] = np.arange(len(ranked), dtype=ID)
@@ -127,11 +130,15 @@ class Encoder:
         self._at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
 
     def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        tokenize, alphabet = self._model.tokenize, self._alphabet
-        return [
-            [t.id for t in tokenize(p.encode("utf-8").decode("latin-1").translate(alphabet))]
+        tokenize, alphabet, space = self._model.tokenize, self._alphabet, self._alphabet[0x20]
+        written = [
+            # Printable characters of ASCII but the space stand for themselves.
+            p.replace(" ", space)
+            if p.isascii() and p.isprintable()
+            else p.encode("utf-8").decode("latin-1").translate(alphabet)
             for p in pieces
         ]
+        return [[t.id for t in tokenize(p)] for p in written]
 
     def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -155,11 +162,11 @@ class Encoder:
         return made
 
 
-def _byte_alphabet() -> dict[int, int]:
+def _byte_alphabet() -> dict[int, str]:
     """Byte to character of byte-level vocabularies: printable bytes stand for themselves."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in set(plain)]
-    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 @lru_cache(maxsize=2)
@@ -191,8 +198,9 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID
         def flush() -> pa.RecordBatch:
             nonlocal block, before, held
             ids = np.concatenate([x for p in parts for x in (p, end)])
-            coded = encode_block(ids)
-            counts = np.bincount(ids)[np.frombuffer(coded.ranks, ID)].astype(COUNT)
+            counts = np.bincount(ids)
+            coded = encode_block(ids, counts)
+            counts = counts[np.frombuffer(coded.ranks, ID)].astype(COUNT)
             row = {
                 "file": file, "block": block, "before": before, "doc_ids": list(doc_ids),
                 "lengths": [len(p) + 1 for p in parts], "counts": counts.tobytes(),

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from oddrow.llm import token_files as tf
+from oddrow.llm.chunks import Memory
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -113,3 +114,28 @@ def test_ranks_are_those_of_all_documents(spark, make_docs, scratch, monkeypatch
         numbers = tf.unpack(block["control"], block["data"], sum(block["lengths"])).tolist()
         expected = [n for d in block["doc_ids"] for n in ([0] * 6 + [2] if d % 2 else [1] * 4 + [3, 2])]
         assert numbers == expected
+
+
+def test_pieces_outside_ascii_and_repeated_chunks_keep_their_ids(library):
+    """Chunks met again, in the same call or a later one, and every way to write a piece."""
+    texts = ["a b\x7fb a \x01c", "né né ñ x a", "a~b  a\t~ a b", "日本 a 日本"]
+    coder = tf.Encoder(PATH, encode_special_tokens=False)
+    for _ in range(2):
+        for text, made in zip(texts * 2, coder.encode(texts * 2)):
+            assert made.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("most", [0, 255, 256, 65535, 65536, 1 << 24])
+def test_numbers_of_every_length_come_back(most):
+    numbers = np.array([0, most, 1, most, most // 2], np.uint32)
+    control, data = tf.pack(numbers)
+    assert tf.unpack(control, data, 5).tolist() == numbers.tolist()
+
+
+def test_a_known_chunk_is_looked_up_once():
+    memory = Memory(2)
+    memory.new.update(a=b"1", b=b"2", c=b"3")
+    memory.turn()
+    memory.new["d"] = b""
+    assert memory.recall(["a", "x", "d"]) == ([b"1", None, b""], [1])
+    assert memory.new == {"a": b"1", "d": b""}
