@@ -100,15 +100,19 @@ class Layout:
     def trainable(self) -> int:
         return sum(int(np.prod(shape)) for _, _, shape, learned in self.parameters if learned)
 
-    def views(self, vector: np.ndarray) -> dict[tuple[str, str], np.ndarray]:
-        """Parameters by layer and name, sharing memory with the vector."""
-        out, at = {}, 0
+    @cached_property
+    def _places(self) -> list[tuple[tuple[str, str], int, int, tuple[int, ...]]]:
+        out, at = [], 0
         for layer, name, shape, _ in self.parameters:
             n = int(np.prod(shape))
-            out[layer, name] = vector[at : at + n].reshape(shape)
+            out.append(((layer, name), at, at + n, shape))
             at += n
         return out
 
+    def views(self, vector: np.ndarray) -> dict[tuple[str, str], np.ndarray]:
+        """Parameters by layer and name, sharing memory with the vector."""
+        return {key: vector[a:b].reshape(shape) for key, a, b, shape in self._places}
+
     def initial(self, seed: int) -> np.ndarray:
         """Glorot-uniform kernels; unit scales and variances; zeros elsewhere."""
         rng = np.random.default_rng(seed)
@@ -187,9 +191,11 @@ def gradient(
         a = ACTIVATION[d.activation][0](z)
         out, normed, spread, mask = a, None, None, None
         if d.hidden:
-            mean, var = a.mean(0), a.var(0)
+            mean = a.mean(0)
+            apart = a - mean
+            var = np.square(apart).mean(0)
             spread = 1.0 / np.sqrt(var + NORM_EPSILON)
-            normed = (a - mean) * spread
+            normed = apart * spread
             out = normed * w[d.name, "gamma"] + w[d.name, "beta"]
             for name, now in (("moving_mean", mean), ("moving_variance", var)):
                 w[d.name, name][:] = momentum * w[d.name, name] + (1 - momentum) * now
