@@ -35,8 +35,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from oddrow.llm.chunks import ID, ChunkEncoder
+from oddrow.llm.chunks import ID
 from oddrow.llm.common import ids_and_texts, map_batches, small_batches
+from oddrow.llm.matches import MatchEncoder
 from oddrow.sources.storage import Scratch
 
 END_ID = 2
@@ -50,7 +51,6 @@ ROWS = "file int, at long, doc_id long, n_tokens long, ids_crc32 long"
 _LENGTHS = np.array(
     [[(byte >> shift & 3) + 1 for shift in (0, 2, 4, 6)] for byte in range(256)], np.uint8
 )
-_MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 # -------------------------------------------------------------------------- the coding
@@ -75,13 +75,15 @@ def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The numbers again, by table look-up of the control bytes."""
     lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
-    ends = np.cumsum(lengths, dtype=np.int64)
-    starts = ends - lengths
-    stored = np.frombuffer(data + bytes(3), np.uint8)
+    place = np.int32 if len(data) < 2**31 else np.int64
+    starts = np.cumsum(lengths, dtype=place)
+    starts -= lengths
+    stored = np.frombuffer(data, np.uint8)
     numbers = stored[starts].astype(np.uint32)
     for step in range(1, int(lengths.max(initial=1))):
-        numbers |= stored[starts + step].astype(np.uint32) << np.uint32(8 * step)
-    return numbers & _MASKS[lengths]
+        longer = np.flatnonzero(lengths > step)
+        numbers[longer] |= stored[starts[longer] + step].astype(np.uint32) << np.uint32(8 * step)
+    return numbers
 
 
 class Block(NamedTuple):
@@ -117,7 +119,7 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         self._model = tokenizer.model
         self._alphabet = _byte_alphabet()
-        self._chunks = ChunkEncoder(self._encode_pieces)
+        self._matches = MatchEncoder(self._encode_matches)
         self._added: dict[str, np.ndarray] = {}
         for made, token in tokenizer.get_added_tokens_decoder().items():
             if token.special and encode_special_tokens:
@@ -129,16 +131,14 @@ class Encoder:
         longest_first = sorted(self._added, key=len, reverse=True)
         self._at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
 
-    def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        tokenize, alphabet, space = self._model.tokenize, self._alphabet, self._alphabet[0x20]
-        written = [
-            # Printable characters of ASCII but the space stand for themselves.
-            p.replace(" ", space)
-            if p.isascii() and p.isprintable()
-            else p.encode("utf-8").decode("latin-1").translate(alphabet)
-            for p in pieces
-        ]
-        return [[t.id for t in tokenize(p)] for p in written]
+    def _encode_matches(self, matches: list[str]) -> list[list[int]]:
+        if not matches:
+            return []
+        # No text in UTF-8 has a byte 0xFF.
+        raw = np.frombuffer(b"\xff".join([m.encode() for m in matches]), np.uint8)
+        written = self._alphabet[raw].tobytes().decode("utf-16-le").split("\n")
+        tokenize = self._model.tokenize
+        return [[t.id for t in tokenize(w)] for w in written]
 
     def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -148,25 +148,31 @@ class Encoder:
         for content in self._added:
             with_added |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         if not with_added.any():
-            return self._chunks.encode(texts)
+            return list(self._matches.encode(texts))
         made: list[np.ndarray] = [None] * len(texts)
-        plain = self._chunks.encode(texts.filter(pa.array(~with_added)))
+        plain = self._matches.encode(texts.filter(pa.array(~with_added)))
         for i, ids in zip(np.flatnonzero(~with_added), plain):
             made[i] = ids
         # Text and added tokens by turns, beginning and ending with a text.
         splits = [self._at_added.split(t) for t in texts.filter(pa.array(with_added)).to_pylist()]
-        between = iter(self._chunks.encode([part for parts in splits for part in parts[::2]]))
+        between = self._matches.encode([part for parts in splits for part in parts[::2]])
         for i, parts in zip(np.flatnonzero(with_added), splits):
             ids = [self._added[p] if k % 2 else next(between) for k, p in enumerate(parts)]
             made[i] = np.concatenate(ids)
         return made
 
 
-def _byte_alphabet() -> dict[int, str]:
-    """Byte to character of byte-level vocabularies: printable bytes stand for themselves."""
+def _byte_alphabet() -> np.ndarray:
+    """Byte to character of byte-level vocabularies: printable bytes stand for themselves.
+
+    The byte 0xFF, with which no character begins or goes on, ends a match.
+    """
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+    alphabet = np.arange(256, dtype="<u2")
+    alphabet[others] = 256 + np.arange(len(others))
+    alphabet[0xFF] = ord("\n")
+    return alphabet
 
 
 @lru_cache(maxsize=2)

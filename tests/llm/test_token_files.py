@@ -1,14 +1,18 @@
 """Binary token files: the coding, the tokenizer, and whole tables."""
 
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from oddrow.llm import chunks, matches
 from oddrow.llm import token_files as tf
 from oddrow.llm.chunks import Memory
 
@@ -139,3 +143,45 @@ def test_a_known_chunk_is_looked_up_once():
     memory.new["d"] = b""
     assert memory.recall(["a", "x", "d"]) == ([b"1", None, b""], [1])
     assert memory.new == {"a": b"1", "d": b""}
+
+
+KINDS = [*" '\n\t\u3000\xa0\x85\x1cstrelvmdSaé日½٣1.!_😀\u0301", "'s", "'ll", "'re", "  ", " '"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(KINDS) | st.characters(codec="utf-8"), max_size=20)))
+def test_matches_begin_where_the_pattern_has_them(drawn):
+    texts = ["".join(parts) for parts in drawn] + ["x"]
+    raw = [t.encode() for t in texts]
+    at = np.cumsum([0, *map(len, raw)])
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    begins = matches.begins_of_matches(data, at[:-1][np.diff(at) > 0])
+    places = [*np.flatnonzero(begins).tolist(), len(data)]
+    found = [data[a:b].tobytes().decode() for a, b in zip(places, places[1:])]
+    assert found == [m for t in texts for m in regex.findall(public_tokenizers.PATTERN, t)]
+
+
+def test_only_different_matches_cost_a_call(library, prose, monkeypatch):
+    """No text is cut chunk by chunk, and a word is encoded once whatever stands behind it."""
+    for name in ("cut", "pieces_of"):
+        monkeypatch.setattr(chunks, name, lambda *_: pytest.fail("cut one by one"))
+    coder, asked = tf.Encoder(PATH), []
+    tokenize = coder._model.tokenize
+    counting = SimpleNamespace(tokenize=lambda w: asked.append(w) or tokenize(w))
+    monkeypatch.setattr(coder, "_model", counting)
+    texts = ["", prose(50, 1), " word word, word. word\nword  word", "", " word!\n"]
+    for _ in range(2):
+        got = [ids.tolist() for ids in coder.encode(texts)]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(asked) == len(set(asked))
+
+
+@pytest.mark.parametrize("portion", [1, 10, 1 << 20])
+def test_portions_and_slices_keep_texts_apart(library, portion):
+    coder = tf.Encoder(PATH)
+    coder._matches._portion = portion
+    texts = pa.array(["left out", "it", "'s", "", "a ", " b", "1", "2  ", "", "\u3000c", "don't", ""])
+    got = [ids.tolist() for ids in coder.encode(texts.slice(1))]
+    assert got == [e.ids for e in library.encode_batch(texts.to_pylist()[1:], add_special_tokens=False)]
+    assert [len(ids) for ids in coder.encode(["", ""])] == [0, 0]
+    assert coder.encode([]) == []
